@@ -11,25 +11,43 @@ from playledger.functions import default_if_absent, first_field
 from playledger.schemas import ALBUM_PAYLOAD, ARTIST_PAYLOAD, NO_PREVIEW, SONG_PAYLOAD
 
 
-def new_keys(plays: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+#: Row count up to which a batch counts as few: its ids then fit a broadcast (about 12 MB).
+FEW_ROWS = 200_000
+
+
+def without_known(rows: DataFrame, known: DataFrame, key: str, few: bool = False) -> DataFrame:
+    """Rows whose key is not among the known ones.
+
+    ``few`` says that the caller has counted ``rows``, and found at most ``FEW_ROWS``. The known
+    keys are then first cut down to those of the rows by a broadcast, so that a large table is
+    scanned in place, and not shuffled for every small batch. Otherwise both sides are shuffled.
+    """
+    known = known.select(key)
+    if few:
+        known = known.join(F.broadcast(rows.select(key)), key, "left_semi")
+    return rows.join(known, key, "left_anti")
+
+
+def new_keys(plays: DataFrame, dim: DataFrame, key: str, few: bool = False) -> DataFrame:
     """Distinct non-null keys of the plays that the dimension does not hold yet.
 
     The keys are made distinct map-side before they are shuffled, so a key that most plays share
-    costs one row per task. The anti join then finds them hash-partitioned by the key already.
+    costs one row per task. ``few`` as in ``without_known``.
     """
     keys = plays.select(key).filter(F.col(key).isNotNull()).dropDuplicates([key])
-    return keys.join(dim.select(key), key, "left_anti")
+    return without_known(keys, dim, key, few)
 
 
-def enrich(keys: DataFrame, raw: DataFrame, key: str) -> DataFrame:
+def enrich(keys: DataFrame, raw: DataFrame, key: str, few: bool = False) -> DataFrame:
     """Landing rows of the given keys, one per key; keys without details give no row.
 
     Copies of one entity are merged (greatest text, so that the pick is the same on every run)
-    below the join: hot copies collapse before the shuffle. As a semi join the key filter can
-    still move below the aggregate where Spark finds the keys small enough to broadcast.
+    below the join: hot copies collapse before the shuffle. If the keys are ``few``, they are
+    broadcast, and Spark filters the landing rows by them before it merges.
     """
     merged = raw.groupBy(key).agg(F.max("payload").alias("payload"))
-    return merged.join(keys.select(key), key, "left_semi")
+    keys = keys.select(key)
+    return merged.join(F.broadcast(keys) if few else keys, key, "left_semi")
 
 
 def flatten_song(raw: DataFrame) -> DataFrame:

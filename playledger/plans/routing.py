@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -26,15 +27,16 @@ _DETAILS = (
 )
 
 
-def route(plays: DataFrame, known: Star, entities: Entities) -> DataFrame:
+def route(plays: DataFrame, known: Star, entities: Entities, few: bool = False) -> DataFrame:
     """Topic records of a batch of plays: details of each key not known yet, and every play.
 
-    ``plays`` is read once per topic; persist it if it is expensive to compute.
+    ``plays`` is read once per topic; persist it if it is expensive to compute. ``few`` says that
+    there are at most ``FEW_ROWS`` of them.
     """
-    details = [
-        to_messages(
-            flatten(enrich(new_keys(plays, known.dim(key), key), entities.raw(key), key)), topic
-        )
-        for key, topic, flatten in _DETAILS
-    ]
-    return reduce(DataFrame.unionByName, [*details, to_messages(fact_rows(plays), ITEM_TOPIC)])
+
+    def details(key: str, topic: str, flatten: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        keys = new_keys(plays, known.dim(key), key, few)
+        return to_messages(flatten(enrich(keys, entities.raw(key), key, few)), topic)
+
+    items = to_messages(fact_rows(plays), ITEM_TOPIC)
+    return reduce(DataFrame.unionByName, [*[details(*d) for d in _DETAILS], items])

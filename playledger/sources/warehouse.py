@@ -74,14 +74,13 @@ class FolderWarehouse(_Warehouse):
         return stored.select(TABLES[table].key)
 
     def append(self, rows: DataFrame, table: str, batch: str) -> None:
-        """Write the batch. Rebalancing keeps the files few, and splits a day with many plays."""
+        """Write the batch. Plays are rebalanced by date: few files, and a date with many plays is
+        split over several tasks."""
         partitions = ["batch"]
         if table == FACT_TABLE:
             rows = rows.withColumn(PLAY_DATE, F.col("played_at").cast("date"))
-            partitions = [PLAY_DATE, "batch"]
             rows = rows.hint("rebalance", PLAY_DATE)
-        else:
-            rows = rows.hint("rebalance")
+            partitions = [PLAY_DATE, "batch"]
         (
             rows.withColumn("batch", F.lit(batch))
             .write.mode("overwrite")

@@ -9,8 +9,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from playledger.operators.entities import FEW_ROWS, without_known
 from playledger.operators.messages import accepted, decode, parse_topic, rejected
-from playledger.schemas import TOPICS, Topic
+from playledger.schemas import TOPICS
 from playledger.sources.warehouse import REJECTS_TABLE, FolderWarehouse, JdbcWarehouse
 from playledger.streaming.batches import batch_tag
 
@@ -18,15 +19,15 @@ from playledger.streaming.batches import batch_tag
 METRICS = "records"
 
 
-def new_rows(rows: DataFrame, topic: Topic, known: DataFrame) -> DataFrame:
+def new_rows(rows: DataFrame, key: str, known: DataFrame, few: bool = False) -> DataFrame:
     """One dimension row for each key that is not stored yet.
 
     Of several rows with one key the greatest wins, so that the pick is the same on a replay; NULLs
     count as least. The choice is made map-side first, so copies collapse before the shuffle.
     """
-    rest = F.struct(*[c for c in rows.columns if c != topic.key])
-    single = rows.groupBy(topic.key).agg(F.max(rest).alias("rest")).select(topic.key, "rest.*")
-    return single.join(known, topic.key, "left_anti")
+    rest = F.struct(*[c for c in rows.columns if c != key])
+    single = rows.groupBy(key).agg(F.max(rest).alias("rest")).select(key, "rest.*")
+    return without_known(single, known, key, few)
 
 
 def dispatch(
@@ -73,15 +74,15 @@ def _write_batch(
     unique_dims: bool,
     keep_rejects: bool,
 ) -> None:
-    # At most four topic names; also the check for an empty batch.
-    found = {row.topic for row in decoded.select("topic").distinct().collect()}
-    present = [topic for topic in TOPICS.values() if topic.name in found]
+    # At most four rows; also the check for an empty batch.
+    counts = {row["topic"]: row["count"] for row in decoded.groupBy("topic").count().collect()}
+    present = [topic for topic in TOPICS.values() if topic.name in counts]
     parse = accepted if keep_rejects else parse_topic
     for topic in present:
         rows = parse(decoded, topic.name)
         if unique_dims and not topic.is_fact:
             known = warehouse.known_keys(decoded.sparkSession, topic.table, tag)
-            rows = new_rows(rows, topic, known)
+            rows = new_rows(rows, topic.key, known, few=counts[topic.name] <= FEW_ROWS)
         warehouse.append(rows, topic.table, tag)
     if keep_rejects and present:
         rejects = reduce(DataFrame.unionByName, [rejected(decoded, t.name) for t in present])

@@ -8,6 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from playledger.operators.entities import FEW_ROWS
 from playledger.operators.plays import explode_plays
 from playledger.plans.routing import route
 from playledger.sources.landing import read_entities
@@ -34,10 +35,11 @@ def ingest(
         spark = batch.sparkSession
         plays = explode_plays(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if plays.isEmpty():
+            n_plays = plays.count()
+            if not n_plays:
                 return
-            known = warehouse.star(spark)
-            records = route(plays, known, read_entities(spark, entity_root))
+            known, entities = warehouse.star(spark), read_entities(spark, entity_root)
+            records = route(plays, known, entities, few=n_plays <= FEW_ROWS)
             topics.append(records, batch_tag(batch, batch_id))
         finally:
             plays.unpersist()

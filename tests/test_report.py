@@ -1,0 +1,129 @@
+import json
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from playledger.functions import escape_markup, strip_fences
+from playledger.operators.report import body, cards, final_report, reply_fields, sections
+from playledger.plans import report_bodies
+from playledger.schemas import REPLY, SECTION_NAMES
+from tests.test_recap import make_star, played
+from tests.util import rows
+
+D1, D2 = date(2024, 7, 3), date(2024, 7, 10)
+RECAP = (
+    "as_of date, section_no int, section string, rank int, song_name string, album string, "
+    "artist string, album_art string, total_minute_listened long, last_played timestamp_ntz, "
+    "days_ago int"
+)
+
+
+def recap(spark, *entries):
+    return spark.createDataFrame(list(entries), RECAP)
+
+
+def song(as_of, rank, name, art="u", minutes=3):
+    return (as_of, 1, "Top 10 Songs", rank, name, "Album", "Artist", art, minutes, None, None)
+
+
+def reports(spark, *dates):
+    return spark.createDataFrame([(d,) for d in dates], "as_of date")
+
+
+def test_escape(spark):
+    df = spark.createDataFrame([("<b>&'\"",), (None,)], "t string")
+    assert rows(df.select(escape_markup(F.col("t")))) == [("&lt;b&gt;&amp;&#39;&quot;",), ("",)]
+
+
+def test_card_of_each_section(spark):
+    df = cards(
+        recap(
+            spark,
+            song(D1, 1, "S<1>"),
+            (D1, 2, "", 1, None, "Alb", "Art", "u2", 5, None, None),
+            (D1, 3, "", 1, None, None, "Art", None, 7, None, None),
+            (D1, 4, "", 1, "Old", None, None, "u4", None, datetime(2024, 1, 1), 9),
+        )
+    )
+    texts = {r.section_no: r.card for r in df.collect()}
+    start = "<div class='play' style='background-image: url({});'>"
+    assert texts[1] == start.format("u") + "<b>S&lt;1&gt;</b><p>by Artist</p><p>3m listened</p></div>"
+    assert texts[2] == start.format("u2") + "<b>Alb</b><p>by Art</p><p>5m listened</p></div>"
+    assert texts[3] == "<div class='play'><b>Art</b><p>7m listened</p></div>"
+    assert texts[4] == start.format("u4") + "<b>Old</b><p>was played 9 days ago</p></div>"
+
+
+def test_nulls_in_a_card_are_empty(spark):
+    (row,) = cards(recap(spark, song(D1, 1, None, None, None))).collect()
+    assert "url();" in row.card and "<b></b>" in row.card and "<p>m listened</p>" in row.card
+
+
+def test_sections_keep_rank_order_per_report(spark):
+    entries = [song(D1, n, f"S{n:02d}") for n in (10, 2, 1, 9)] + [song(D2, 1, "Other")]
+    df = sections(cards(recap(spark, *entries)), reports(spark, D1, D2))
+    texts = {(r.as_of, r.section_no): r.html for r in df.collect()}
+    assert len(texts) == 8
+    first = texts[D1, 1]
+    assert first.startswith("<h3>Top 10 Songs</h3><div class='plays'>")
+    assert sorted(["S01", "S02", "S09", "S10"], key=first.index) == ["S01", "S02", "S09", "S10"]
+    assert "Other" in texts[D2, 1] and "S01" not in texts[D2, 1]
+    for number in (2, 3, 4):
+        assert texts[D1, number] == f"<h3>{SECTION_NAMES[number]}</h3><p>No data available</p>"
+
+
+def test_body_of_a_report_without_any_rows(spark):
+    df = body(sections(cards(recap(spark)), reports(spark, D1)))
+    assert rows(df) == [
+        (D1, "".join(f"<h3>{n}</h3><p>No data available</p>" for n in SECTION_NAMES.values()))
+    ]
+
+
+def test_bodies_of_several_dates(spark):
+    star = make_star(spark, played("s1"), [("s1", "Song", 60_000)])
+    found = {r.as_of: r.body for r in report_bodies(star, [D1, "2024-07-10"]).collect()}
+    assert found[D1].count("Song</b>") == 2 and "1m listened" in found[D1]
+    assert found[D2].count("No data available") == 3
+    assert "was played 8 days ago" in found[D2]
+
+
+@pytest.mark.parametrize(
+    "text, wanted",
+    [("```json\n{}\n```", "\n{}\n"), ("a```b```json", "ab"), ("plain", "plain"), (None, None)],
+)
+def test_strip_fences(spark, text, wanted):
+    df = spark.createDataFrame([(text,)], "t string").select(strip_fences(F.col("t")))
+    assert rows(df) == [(wanted,)]
+
+
+FIELDS = {name: f"{name} text" for name in REPLY.names}
+
+
+@pytest.mark.parametrize(
+    "reply, wanted",
+    [
+        (json.dumps(FIELDS), (*FIELDS.values(), True)),
+        ("```json\n" + json.dumps(FIELDS) + "\n```", (*FIELDS.values(), True)),
+        (json.dumps(FIELDS | {"other": 1}), (*FIELDS.values(), True)),
+        ("not json", (None,) * 5 + (False,)),
+        (None, (None,) * 5 + (False,)),
+        ('{"mood_recap": "m"}', (None, None, "m", None, None, False)),
+    ],
+)
+def test_reply_fields(spark, reply, wanted):
+    df = spark.createDataFrame([(1, reply)], "id int, reply string")
+    assert rows(reply_fields(df)) == [(1, *wanted)]
+
+
+def test_final_report(spark):
+    bodies = spark.createDataFrame([(D1, "BODY1"), (D2, "BODY2")], "as_of date, body string")
+    replies = spark.createDataFrame(
+        [(D1, json.dumps(FIELDS | {"opening_statement": "it's <on>"}))], "as_of date, reply string"
+    )
+    found = {r.as_of: r for r in final_report(bodies, replies).collect()}
+    html = found[D1].html
+    parts = ["it&#39;s &lt;on&gt;", "weekly_recap text", "mood_recap text", "BODY1",
+             "recommendations text", "closing_statement text"]
+    assert sorted(parts, key=html.index) == parts
+    assert found[D1].is_valid and not found[D2].is_valid
+    assert "BODY2" in found[D2].html
