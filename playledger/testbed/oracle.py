@@ -117,6 +117,12 @@ def _suite(fact: str, as_of: str, album: str = ALBUM) -> str:
     )
 
 
+def _suite_text(fact: str, as_of: str, album: str = ALBUM) -> str:
+    return f"""SELECT as_of, section_no, section, rank, song_name, album, artist, album_art,
+        CAST(total_minute_listened AS VARCHAR) AS total_minute_listened, last_played,
+        CAST(days_ago AS VARCHAR) AS days_ago FROM ({_suite(fact, as_of, album)}) suite"""
+
+
 # --- payloads and topics ------------------------------------------------------------------------
 
 SONG_ROWS = """SELECT CAST(p_partkey AS VARCHAR) AS song_id, p_name AS title,
@@ -181,8 +187,8 @@ MALFORMED = """SELECT song_id, title, duration_ms, explicit, popularity, count(*
             THEN CAST(event_id AS VARCHAR) END AS song_id,
         CASE event_type WHEN 'error' THEN CAST(user_id AS VARCHAR) WHEN 'purchase' THEN '["t"]' END
             AS title,
-        CAST(NULL AS INTEGER) AS duration_ms, CAST(NULL AS BOOLEAN) AS explicit,
-        CASE WHEN event_type = 'click' THEN CAST(user_id AS INTEGER) END AS popularity
+        CAST(NULL AS VARCHAR) AS duration_ms, CAST(NULL AS VARCHAR) AS explicit,
+        CASE WHEN event_type = 'click' THEN CAST(user_id AS VARCHAR) END AS popularity
     FROM events) q GROUP BY ALL"""
 
 REJECTED = """SELECT 'song_topic' AS topic, CASE event_type
@@ -325,7 +331,7 @@ ORACLE: dict[str, str] = {
     "recap_top_albums_events": _albums(EVENTS_FACT, EVENTS_WEEK),
     "recap_top_artists_events": _artists(EVENTS_FACT, EVENTS_WEEK),
     "recap_forgotten_songs_events": _forgotten(EVENTS_FACT, EVENTS_END),
-    "recap_suite": _suite(EVENTS_FACT, EVENTS_END),
+    "recap_suite": _suite_text(EVENTS_FACT, EVENTS_END),
     "join_fact_song": """SELECT l_partkey AS song_id, p_name AS song_name, count(*) AS plays,
         CAST(sum(p_size * 10000) AS BIGINT) AS ms
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""",
@@ -356,7 +362,7 @@ ORACLE: dict[str, str] = {
     "rejected_records": REJECTED,
     "stream_dispatch": _counts(1, broken=True),
     "warehouse_roundtrip": _counts(2, broken=False),
-    "pipeline_roundtrip": _suite(PAYLOAD_FACT, EVENTS_END, PAYLOAD_ALBUM),
+    "pipeline_roundtrip": _suite_text(PAYLOAD_FACT, EVENTS_END, PAYLOAD_ALBUM),
     "explode_plays": PLAYS,
     "event_id_shape": """SELECT count(*) AS n_plays, count(*) AS n_ids, count(*) AS n_hex
         FROM events""",

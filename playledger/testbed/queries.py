@@ -45,6 +45,11 @@ LATE_CURSOR_MS = 1_735_689_600_000
 REPORT_DATES = (v.EVENTS_WEEK, v.EVENTS_END, v.EMPTY_WEEK)
 
 
+def _as_text(df: DataFrame, *names: str) -> DataFrame:
+    """Nullable numbers and dates as text, which compares alike on both engines."""
+    return df.withColumns({name: F.col(name).cast("string") for name in names})
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -100,7 +105,7 @@ def recap_forgotten_songs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def recap_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     recap = plans.recap_table(v.events_star(spark, sf_dir), v.EVENTS_END)
-    return recap.withColumn("as_of", F.col("as_of").cast("string"))
+    return _as_text(recap, "as_of", "total_minute_listened", "days_ago")
 
 
 @query
@@ -194,7 +199,7 @@ def parse_song_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def parse_album_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = msg.parse_topic(msg.decode(_messages(spark, sf_dir, ALBUM_TOPIC)), ALBUM_TOPIC)
-    return rows.withColumn("release_date", F.col("release_date").cast("string"))
+    return _as_text(rows, "release_date")
 
 
 @query
@@ -213,9 +218,10 @@ def parse_item_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def parse_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = msg.parse_topic(msg.decode(v.broken_messages(spark, sf_dir)), SONG_TOPIC)
-    return rows.groupBy(*rows.columns).agg(F.count("*").alias("n")).select(
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("n")).select(
         "song_id", "title", "duration_ms", "explicit", "popularity", "n"
     )
+    return _as_text(counted, "duration_ms", "explicit", "popularity")
 
 
 @query
@@ -294,7 +300,7 @@ def pipeline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
            f"{root}/ingest", once).awaitTermination()
     dispatch(topics.read_stream(spark), warehouse, f"{root}/dispatch", once).awaitTermination()
     recap = plans.recap_table(warehouse.star(spark), v.EVENTS_END)
-    return recap.withColumn("as_of", F.col("as_of").cast("string"))
+    return _as_text(recap, "as_of", "total_minute_listened", "days_ago")
 
 
 # --- ingest -------------------------------------------------------------------------------------
@@ -409,23 +415,19 @@ def plays_after_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- report -------------------------------------------------------------------------------------
 
 
-def _text_date(df: DataFrame) -> DataFrame:
-    return df.withColumn("as_of", F.col("as_of").cast("string"))
-
-
 @query
 def report_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _text_date(rep.cards(plans.recap_table(v.events_star(spark, sf_dir), v.EVENTS_END)))
+    return _as_text(rep.cards(plans.recap_table(v.events_star(spark, sf_dir), v.EVENTS_END)), "as_of")
 
 
 @query
 def report_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _text_date(plans.report_sections(v.events_star(spark, sf_dir), REPORT_DATES))
+    return _as_text(plans.report_sections(v.events_star(spark, sf_dir), REPORT_DATES), "as_of")
 
 
 @query
 def report_body(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _text_date(plans.report_bodies(v.events_star(spark, sf_dir), REPORT_DATES))
+    return _as_text(plans.report_bodies(v.events_star(spark, sf_dir), REPORT_DATES), "as_of")
 
 
 @query
@@ -436,4 +438,4 @@ def reply_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def report_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = plans.report_bodies(v.events_star(spark, sf_dir), REPORT_DATES)
-    return _text_date(rep.final_report(bodies, v.report_replies(spark, sf_dir)))
+    return _as_text(rep.final_report(bodies, v.report_replies(spark, sf_dir)), "as_of")
