@@ -22,21 +22,14 @@ def decode(records: DataFrame) -> DataFrame:
     return records.select(F.col("value").cast("string").alias("json_value"), "topic")
 
 
-def _parsed(decoded: DataFrame, topic: str) -> DataFrame:
-    message = TOPICS[topic].message
-    return decoded.filter(F.col("topic") == topic).withColumn(
-        "parsed_data", F.from_json("json_value", message)
-    )
-
-
-def _typed(parsed: DataFrame, topic: str) -> DataFrame:
+def _typed(rows: DataFrame, topic: str, parsed: Column) -> DataFrame:
     casts = dict(TOPICS[topic].casts)
 
     def column(name: str) -> Column:
-        value = F.col("parsed_data")[name]
+        value = parsed[name]
         return (_CASTS[casts[name]](value) if name in casts else value).alias(name)
 
-    return parsed.select(*[column(name) for name in TOPICS[topic].message.names])
+    return rows.select(*[column(name) for name in TOPICS[topic].message.names])
 
 
 def parse_topic(decoded: DataFrame, topic: str) -> DataFrame:
@@ -44,18 +37,38 @@ def parse_topic(decoded: DataFrame, topic: str) -> DataFrame:
 
     Malformed text gives a row of NULLs.
     """
-    return _typed(_parsed(decoded, topic), topic)
+    parsed = F.from_json("json_value", TOPICS[topic].message).alias("parsed_data")
+    records = decoded.filter(F.col("topic") == topic).select(parsed)
+    return _typed(records, topic, F.col("parsed_data"))
 
 
-def accepted(decoded: DataFrame, topic: str) -> DataFrame:
-    """Rows of one topic that have their key."""
-    parsed = _parsed(decoded, topic)
-    return _typed(parsed.filter(F.col("parsed_data")[TOPICS[topic].key].isNotNull()), topic)
+def parse_records(decoded: DataFrame) -> DataFrame:
+    """Records of all topics, each parsed once, by its own schema.
 
-
-def rejected(decoded: DataFrame, topic: str) -> DataFrame:
-    """Records of one topic without their key, as they came: ``topic, json_value``."""
-    parsed = _parsed(decoded, topic)
-    return parsed.filter(F.col("parsed_data")[TOPICS[topic].key].isNull()).select(
-        "topic", "json_value"
+    There is one struct column per topic, named like it and NULL for the records of the others.
+    ``json_value`` is kept only for records that lack their key. Persist the result if more than
+    one topic is taken from it: a filter on a parsed field would otherwise parse again.
+    """
+    structs = [
+        F.when(F.col("topic") == name, F.from_json("json_value", spec.message)).alias(name)
+        for name, spec in TOPICS.items()
+    ]
+    key = F.coalesce(*[F.col(name)[spec.key] for name, spec in TOPICS.items()])
+    return decoded.select("topic", "json_value", *structs).withColumn(
+        "json_value", F.when(key.isNull(), F.coalesce("json_value", F.lit("")))
     )
+
+
+def all_rows(parsed: DataFrame, topic: str) -> DataFrame:
+    """Rows of one topic out of the parsed records, with or without their key."""
+    return _typed(parsed.filter(F.col("topic") == topic), topic, F.col(topic))
+
+
+def accepted(parsed: DataFrame, topic: str) -> DataFrame:
+    """Rows of one topic out of the parsed records that have their key."""
+    return all_rows(parsed.filter(F.col(topic)[TOPICS[topic].key].isNotNull()), topic)
+
+
+def rejected(parsed: DataFrame) -> DataFrame:
+    """Records without their key, as they came: ``topic, json_value``."""
+    return parsed.filter(F.col("json_value").isNotNull()).select("topic", "json_value")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Any
 
 from pyspark import StorageLevel
@@ -10,7 +9,13 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from playledger.operators.entities import FEW_ROWS, without_known
-from playledger.operators.messages import accepted, decode, parse_topic, rejected
+from playledger.operators.messages import (
+    accepted,
+    all_rows,
+    decode,
+    parse_records,
+    rejected,
+)
 from playledger.schemas import TOPICS
 from playledger.sources.warehouse import REJECTS_TABLE, FolderWarehouse, JdbcWarehouse
 from playledger.streaming.batches import batch_tag
@@ -48,11 +53,11 @@ def dispatch(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = parse_records(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            _write_batch(batch, batch_tag(batch, batch_id), warehouse, unique_dims, keep_rejects)
+            _write_batch(parsed, batch_tag(batch, batch_id), warehouse, unique_dims, keep_rejects)
         finally:
-            batch.unpersist()
+            parsed.unpersist()
 
     counts = [F.count_if(F.col("topic") == name).alias(name) for name in TOPICS]
     query = (
@@ -68,23 +73,27 @@ def dispatch(
 
 
 def _write_batch(
-    decoded: DataFrame,
+    parsed: DataFrame,
     tag: str,
     warehouse: FolderWarehouse | JdbcWarehouse,
     unique_dims: bool,
     keep_rejects: bool,
 ) -> None:
+    spark = parsed.sparkSession
     # At most four rows; also the check for an empty batch.
-    counts = {row["topic"]: row["count"] for row in decoded.groupBy("topic").count().collect()}
-    present = [topic for topic in TOPICS.values() if topic.name in counts]
-    parse = accepted if keep_rejects else parse_topic
-    for topic in present:
-        rows = parse(decoded, topic.name)
+    counts = parsed.groupBy("topic").agg(
+        F.count("*").alias("n_records"), F.count("json_value").alias("n_rejects")
+    )
+    found = {row["topic"]: row for row in counts.collect()}
+    rows_of = accepted if keep_rejects else all_rows
+    for topic in TOPICS.values():
+        if topic.name not in found:
+            continue
+        rows = rows_of(parsed, topic.name)
         if unique_dims and not topic.is_fact:
-            known = warehouse.known_keys(decoded.sparkSession, topic.table, tag)
-            rows = new_rows(rows, topic.key, known, few=counts[topic.name] <= FEW_ROWS)
+            few = found[topic.name]["n_records"] <= FEW_ROWS
+            known = warehouse.known_keys(spark, topic.table, tag)
+            rows = new_rows(rows, topic.key, known, few)
         warehouse.append(rows, topic.table, tag)
-    if keep_rejects and present:
-        rejects = reduce(DataFrame.unionByName, [rejected(decoded, t.name) for t in present])
-        if not rejects.isEmpty():
-            warehouse.append(rejects, REJECTS_TABLE, tag)
+    if keep_rejects and any(row["n_rejects"] for row in found.values()):
+        warehouse.append(rejected(parsed), REJECTS_TABLE, tag)

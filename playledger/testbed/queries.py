@@ -226,7 +226,7 @@ def parse_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return msg.rejected(msg.decode(v.broken_messages(spark, sf_dir)), SONG_TOPIC)
+    return msg.rejected(msg.parse_records(msg.decode(v.broken_messages(spark, sf_dir))))
 
 
 def _table_counts(spark: SparkSession, warehouse: FolderWarehouse) -> DataFrame:
@@ -277,11 +277,10 @@ def warehouse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = FolderWarehouse(shared_folder(spark, "warehouse"))
     for topic, table in ((SONG_TOPIC, SONG_TABLE), (ALBUM_TOPIC, ALBUM_TABLE),
                          (ARTIST_TOPIC, ARTIST_TABLE), (ITEM_TOPIC, FACT_TABLE)):
-        rows = msg.accepted(msg.decode(_messages(spark, sf_dir, topic)), topic)
+        rows = msg.parse_topic(msg.decode(_messages(spark, sf_dir, topic)), topic)
         for batch in ("a.0", "a.0", "a.1"):
             warehouse.append(rows, table, batch)
-    rejects = msg.rejected(msg.decode(v.broken_messages(spark, sf_dir)), SONG_TOPIC)
-    warehouse.append(rejects, REJECTS_TABLE, "a.0")
+    warehouse.append(rejected_records(spark, sf_dir), REJECTS_TABLE, "a.0")
     return _table_counts(spark, warehouse)
 
 

@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 
 from playledger.operators.listening import unresolved
-from playledger.operators.messages import decode, parse_topic
+from playledger.operators.messages import decode, parse_records, parse_topic
 from playledger.plans import forgotten_songs, top_songs
 from playledger.schemas import (
     ALBUM_TOPIC,
@@ -88,13 +88,13 @@ def test_new_checkpoint_keeps_what_the_old_query_wrote(spark, setup, tmp_path):
 @pytest.mark.parametrize("unique_dims", [True, False])
 def test_replayed_batch_counts_once(spark, setup, unique_dims):
     _, warehouse, _ = setup
-    batch = decode(
+    records = decode(
         messages(spark, SONG % ("s1", "One"), "{bad", topic=SONG_TOPIC).unionByName(
             messages(spark, ITEM % ("s1", AT), ITEM % ("s1", AT), topic=ITEM_TOPIC)
         )
     )
     for tag in ("q.0", "q.0", "q.0"):
-        _write_batch(batch, tag, warehouse, unique_dims, True)
+        _write_batch(parse_records(records), tag, warehouse, unique_dims, True)
     assert warehouse.read(spark, FACT_TABLE).count() == 2
     assert warehouse.read(spark, SONG_TABLE).count() == 1
     assert rows(warehouse.read(spark, REJECTS_TABLE)) == [(SONG_TOPIC, "{bad")]

@@ -2,7 +2,14 @@ from datetime import date, datetime
 
 import pytest
 
-from playledger.operators.messages import accepted, decode, parse_topic, rejected
+from playledger.operators.messages import (
+    accepted,
+    all_rows,
+    decode,
+    parse_records,
+    parse_topic,
+    rejected,
+)
 from playledger.schemas import ALBUM_TOPIC, ARTIST_TOPIC, ITEM_TOPIC, SONG_TOPIC, TOPICS
 from playledger.sources import FolderTopics, KafkaTopics, kafka_options, kafka_package
 from tests.util import bag, messages, rows
@@ -63,16 +70,27 @@ def test_topics_do_not_mix(spark):
 
 def test_accepted_and_rejected_split_the_records(spark):
     texts = ['{"song_id":"a"}', "{bad", '{"title":"t"}', '{"song_id":null}']
-    decoded = decode(messages(spark, *texts, topic=SONG_TOPIC))
-    assert [r.song_id for r in accepted(decoded, SONG_TOPIC).collect()] == ["a"]
-    assert bag(rejected(decoded, SONG_TOPIC)) == {(SONG_TOPIC, t): 1 for t in texts[1:]}
+    items = ['{"song_id":"b"}', "[]"]
+    records = messages(spark, *texts, topic=SONG_TOPIC).unionByName(
+        messages(spark, *items, topic=ITEM_TOPIC)
+    )
+    parsed = parse_records(decode(records))
+    assert [r.song_id for r in accepted(parsed, SONG_TOPIC).collect()] == ["a"]
+    assert [r.song_id for r in accepted(parsed, ITEM_TOPIC).collect()] == ["b"]
+    assert bag(rejected(parsed)) == {(SONG_TOPIC, t): 1 for t in texts[1:]} | {
+        (ITEM_TOPIC, "[]"): 1
+    }
+    for topic in TOPICS:
+        rows = all_rows(parsed, topic)
+        assert rows.schema == TOPICS[topic].row
+        assert bag(rows) == bag(parse_topic(decode(records), topic))
 
 
 def test_a_play_needs_its_song_only(spark):
     texts = ['{"song_id":"a"}', '{"album_id":"a","artist_id":"b"}']
-    decoded = decode(messages(spark, *texts, topic=ITEM_TOPIC))
-    assert accepted(decoded, ITEM_TOPIC).count() == 1
-    assert rejected(decoded, ITEM_TOPIC).count() == 1
+    parsed = parse_records(decode(messages(spark, *texts, topic=ITEM_TOPIC)))
+    assert accepted(parsed, ITEM_TOPIC).count() == 1
+    assert rejected(parsed).count() == 1
 
 
 def test_broker_options():
