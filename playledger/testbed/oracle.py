@@ -26,9 +26,12 @@ ARTIST = "(SELECT s_suppkey AS artist_id, s_name AS artist FROM supplier)"
 PAYLOAD_ALBUM = """(SELECT o_orderkey AS album_id, o_orderpriority AS album,
     CASE WHEN o_orderpriority <> '5-LOW' THEN 'https://music.example/image/' || o_orderstatus END
         AS album_art FROM orders)"""
-PAYLOAD_FACT = f"""(SELECT {SONG_ID} AS song_id, user_id AS album_id,
-    CASE WHEN event_type <> 'error' THEN {SONG_ID} % 10 END AS artist_id,
-    date_trunc('milliseconds', ts) AS played_at FROM events)"""
+PAGE_PLAYS = f"""(SELECT {SONG_ID} AS song, user_id, event_type, ts FROM events
+    UNION ALL SELECT ({SONG_ID} + 1) % 100, user_id, event_type, ts FROM events
+    WHERE event_type = 'click')"""
+PAYLOAD_FACT = f"""(SELECT song AS song_id, user_id AS album_id,
+    CASE WHEN event_type <> 'error' THEN song % 10 END AS artist_id,
+    date_trunc('milliseconds', ts) AS played_at FROM {PAGE_PLAYS} p)"""
 
 PLAYED_AT_TEXT = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z'"
 
@@ -154,9 +157,9 @@ ARTIST_ROWS = """SELECT CAST(s_suppkey AS VARCHAR) AS artist_id, s_name AS name,
     'https://music.example/portrait/' || s_nationkey AS image_url,
     s_nationkey AS popularity FROM supplier"""
 
-PLAYS = f"""SELECT CAST({SONG_ID} AS VARCHAR) AS song_id, CAST(user_id AS VARCHAR) AS album_id,
-    CASE WHEN event_type <> 'error' THEN CAST({SONG_ID} % 10 AS VARCHAR) END AS artist_id,
-    {PLAYED_AT_TEXT} AS played_at FROM events"""
+PLAYS = f"""SELECT CAST(song AS VARCHAR) AS song_id, CAST(user_id AS VARCHAR) AS album_id,
+    CASE WHEN event_type <> 'error' THEN CAST(song % 10 AS VARCHAR) END AS artist_id,
+    {PLAYED_AT_TEXT} AS played_at FROM {PAGE_PLAYS} p"""
 
 NEW_SONGS = """SELECT DISTINCT l_partkey AS song_id FROM lineitem WHERE NOT EXISTS
     (SELECT 1 FROM part WHERE p_partkey = l_partkey AND p_type <> 'PROMO')"""
@@ -364,8 +367,8 @@ ORACLE: dict[str, str] = {
     "warehouse_roundtrip": _counts(2, broken=False),
     "pipeline_roundtrip": _suite_text(PAYLOAD_FACT, EVENTS_END, PAYLOAD_ALBUM),
     "explode_plays": PLAYS,
-    "event_id_shape": """SELECT count(*) AS n_plays, count(*) AS n_ids, count(*) AS n_hex
-        FROM events""",
+    "event_id_shape": f"""SELECT count(*) AS n_plays, count(*) AS n_ids, count(*) AS n_hex
+        FROM {PAGE_PLAYS} p""",
     "flatten_song": SONG_ROWS,
     "flatten_album": _album_rows(RELEASE_TEXT),
     "flatten_artist": ARTIST_ROWS,

@@ -21,8 +21,6 @@ EVENTS_WEEK = "2024-01-10"
 EVENTS_END = "2024-01-31"
 EMPTY_WEEK = "2024-02-14"
 
-_PAGE = 50
-
 
 #: Given, so that opening a table does not start a job that reads its footer.
 _SCHEMAS = {
@@ -95,21 +93,26 @@ def star_of_text_ids(star: Star) -> Star:
 
 
 def history_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as history pages of up to 50 plays. Tracks of ``error`` events name no artist."""
-    song = _event_song()
-    artist = F.struct((song % 10).cast("string").alias("id"))
-    artists = F.when(F.col("event_type") == "error", F.array().cast("array<struct<id:string>>"))
-    item = F.struct(
-        format_played_at(F.col("ts")).alias("played_at"),
-        F.struct(
-            song.cast("string").alias("id"),
-            F.struct(F.col("user_id").cast("string").alias("id")).alias("album"),
-            artists.otherwise(F.array(artist)).alias("artists"),
-        ).alias("track"),
-    )
-    page = F.floor(F.col("event_id") / _PAGE)
-    pages = table(spark, sf_dir, "events").select(page.alias("page"), item.alias("item"))
-    return pages.groupBy("page").agg(F.collect_list("item").alias("items")).select("items")
+    """Each event as a history page with its play; that of a ``click`` also has a play of the next
+    song. Tracks of ``error`` events name no artist."""
+
+    def item(song: Column) -> Column:
+        artist = F.array(F.struct((song % 10).cast("string").alias("id")))
+        none = F.array().cast("array<struct<id:string>>")
+        return F.struct(
+            format_played_at(F.col("ts")).alias("played_at"),
+            F.struct(
+                song.cast("string").alias("id"),
+                F.struct(F.col("user_id").cast("string").alias("id")).alias("album"),
+                F.when(F.col("event_type") == "error", none).otherwise(artist).alias("artists"),
+            ).alias("track"),
+        )
+
+    one, next_one = item(F.col("song")), item((F.col("song") + 1) % 100)
+    items = F.when(F.col("event_type") == "click", F.array(one, next_one)).otherwise(F.array(one))
+    events = table(spark, sf_dir, "events").select("ts", "user_id", "event_type",
+                                                   _event_song().alias("song"))
+    return events.select(items.alias("items"))
 
 
 def _url(kind: str, key: str) -> Column:
