@@ -4,10 +4,12 @@ from playledger.functions.clock import (
     epoch_ms,
     format_played_at,
     moment,
+    monday_of,
     parse_played_at,
     parse_release_date,
     utc_now,
     week_bounds,
+    week_of,
 )
 from playledger.functions.payload import default_if_absent, first_field
 from playledger.functions.text import escape_markup, strip_fences
@@ -19,9 +21,11 @@ __all__ = [
     "first_field",
     "format_played_at",
     "moment",
+    "monday_of",
     "parse_played_at",
     "parse_release_date",
     "strip_fences",
     "utc_now",
     "week_bounds",
+    "week_of",
 ]

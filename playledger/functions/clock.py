@@ -15,6 +15,9 @@ AsOf = Column | str | date | datetime | None
 #: Exactly three fraction digits and a literal Z; other texts are not play times.
 _PLAYED_AT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}Z\z"
 _EPOCH = datetime(1970, 1, 1)
+#: The recap window around a Monday, 00:00:00.
+_BEFORE_MONDAY = "INTERVAL '0 23:59:00' DAY TO SECOND"
+_AFTER_MONDAY = "INTERVAL '5 08:59:00' DAY TO SECOND"
 
 
 def utc_now() -> Column:
@@ -33,17 +36,25 @@ def moment(as_of: AsOf = None) -> Column:
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
+def monday_of(day: Column) -> Column:
+    """Monday of the ISO week of a date."""
+    return F.date_sub(day, F.weekday(day))
+
+
 def week_bounds(as_of: AsOf = None) -> tuple[Column, Column]:
     """Half-open recap window ``[start, end)`` of the ISO week that holds ``as_of``.
 
     Start: the Sunday before that week's Monday, 00:01:00. End: that week's Saturday, 08:59:00.
     Consecutive windows leave a gap from Saturday 08:59:00 to Sunday 00:01:00.
     """
-    day = moment(as_of).cast("date")
-    monday = F.date_sub(day, F.weekday(day)).cast("timestamp_ntz")
-    start = monday - F.expr("INTERVAL '0 23:59:00' DAY TO SECOND")
-    end = monday + F.expr("INTERVAL '5 08:59:00' DAY TO SECOND")
-    return start, end
+    monday = monday_of(moment(as_of).cast("date")).cast("timestamp_ntz")
+    return monday - F.expr(_BEFORE_MONDAY), monday + F.expr(_AFTER_MONDAY)
+
+
+def week_of(played_at: Column) -> Column:
+    """Monday of the one week whose recap window holds the play; NULL for plays in the gap."""
+    monday = monday_of((played_at + F.expr(_BEFORE_MONDAY)).cast("date"))
+    return F.when(played_at < monday.cast("timestamp_ntz") + F.expr(_AFTER_MONDAY), monday)
 
 
 def epoch_ms(after: int | Column) -> Column:

@@ -7,11 +7,12 @@ with a third of all plays is one row per task, and the joins see one row per id
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from playledger.functions import week_bounds
+from playledger.functions import moment, monday_of, week_bounds, week_of
 from playledger.functions.clock import AsOf
 from playledger.star import DIM_KEYS, Star
 
@@ -32,7 +33,10 @@ def in_week(fact: DataFrame, as_of: AsOf = None) -> DataFrame:
     Both bounds fold to literals and reach the scan. A fact table partitioned by play date is also
     pruned to the days of the window.
     """
-    start, end = week_bounds(as_of)
+    return _between(fact, *week_bounds(as_of))
+
+
+def _between(fact: DataFrame, start: Column, end: Column) -> DataFrame:
     played_at = F.col("played_at")
     window = (played_at >= start) & (played_at < end)
     if PLAY_DATE in fact.columns:
@@ -40,6 +44,18 @@ def in_week(fact: DataFrame, as_of: AsOf = None) -> DataFrame:
     return fact.filter(window)
 
 
+def in_weeks(fact: DataFrame, as_of: Sequence[AsOf]) -> DataFrame:
+    """Plays inside the recap windows of several dates, with the Monday of their ``week``.
+
+    One scan for all dates: it is bounded by the first start and the last end.
+    """
+    starts, ends = zip(*[week_bounds(date) for date in as_of])
+    first = F.least(*starts) if len(starts) > 1 else starts[0]
+    last = F.greatest(*ends) if len(ends) > 1 else ends[0]
+    plays = _between(fact, first, last).withColumn("week", week_of(F.col("played_at")))
+    return plays.filter(F.col("week").isin([monday_of(moment(d).cast("date")) for d in as_of]))
+
+
 def plays_by(fact: DataFrame, *keys: str) -> DataFrame:
     """Number of plays per id combination."""
     return fact.groupBy(*keys).agg(F.count("*").alias("plays"))

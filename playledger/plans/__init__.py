@@ -4,6 +4,7 @@ from playledger.plans.recap import (
     SECTIONS,
     forgotten_songs,
     recap_table,
+    recap_tables,
     recaps,
     top_albums,
     top_artists,
@@ -16,6 +17,7 @@ __all__ = [
     "SECTIONS",
     "forgotten_songs",
     "recap_table",
+    "recap_tables",
     "recaps",
     "report_bodies",
     "report_sections",

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from typing import Callable
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from playledger.functions import moment
+from playledger.functions import moment, monday_of
 from playledger.functions.clock import AsOf
 from playledger.operators.listening import (
     in_week,
+    in_weeks,
     last_play_by,
     minutes_by,
     plays_by,
@@ -95,6 +96,25 @@ def recaps(star: Star, as_of: AsOf = None) -> dict[str, DataFrame]:
     return {s.name: s.query(star, as_of) for s in SECTIONS}
 
 
+def _ranking(section: Section, per: str) -> Column:
+    window = Window.partitionBy(per).orderBy(
+        F.desc_nulls_last(section.measure), *[F.asc_nulls_first(c) for c in section.keys]
+    )
+    return F.row_number().over(window)
+
+
+def _long(section: Section, ranked: DataFrame) -> DataFrame:
+    """Ranked rows of a section in the common columns."""
+    columns = [
+        (F.col(name) if name in ranked.columns else F.lit(None)).cast(kind).alias(name)
+        for name, kind in _COLUMNS.items()
+    ]
+    number, name = F.lit(section.number), F.lit(section.name)
+    return ranked.select(
+        "as_of", number.alias("section_no"), name.alias("section"), "rank", *columns
+    )
+
+
 def recap_table(star: Star, as_of: AsOf = None) -> DataFrame:
     """All four recaps as one table with ``as_of, section_no, section, rank``, in one job.
 
@@ -102,20 +122,44 @@ def recap_table(star: Star, as_of: AsOf = None) -> DataFrame:
     """
 
     def rows(section: Section) -> DataFrame:
-        ranked = Window.partitionBy("as_of").orderBy(
-            F.desc_nulls_last(section.measure), *[F.asc_nulls_first(c) for c in section.keys]
-        )
         recap = section.query(star, as_of).withColumn("as_of", moment(as_of).cast("date"))
-        columns = [
-            (F.col(name) if name in recap.columns else F.lit(None)).cast(kind).alias(name)
-            for name, kind in _COLUMNS.items()
-        ]
-        return recap.select(
-            "as_of",
-            F.lit(section.number).alias("section_no"),
-            F.lit(section.name).alias("section"),
-            F.row_number().over(ranked).alias("rank"),
-            *columns,
-        )
+        return _long(section, recap.withColumn("rank", _ranking(section, "as_of")))
 
     return reduce(DataFrame.unionByName, [rows(section) for section in SECTIONS])
+
+
+def recap_tables(star: Star, as_of: Sequence[AsOf]) -> DataFrame:
+    """The recap tables of several dates, each as ``recap_table`` gives it.
+
+    The plays are scanned for all dates together, not once per date. The top rows of each week are
+    taken by a ranking window; Spark cuts its input to k rows per week and task before the
+    shuffle. The longest unheard songs are the same for every date, and are found once.
+    """
+    dates = list(as_of)
+    days = [moment(date).cast("date") for date in dates]
+    wanted = star.fact.sparkSession.range(1).select(
+        F.inline(
+            F.array(*[F.struct(d.alias("as_of"), monday_of(d).alias("week")) for d in days])
+        )
+    )
+
+    def of_weeks(section: Section, k: int, *keys: str) -> DataFrame:
+        plays = resolve(plays_by(in_weeks(star.fact, dates), "week", *keys), star, *keys)
+        minutes = minutes_by(plays, "week", *section.keys)
+        ranked = minutes.withColumn("rank", _ranking(section, "week"))
+        return _long(section, wanted.join(ranked.filter(F.col("rank") <= k), "week"))
+
+    songs, albums, artists, forgotten = SECTIONS
+    last = forgotten_songs(star, dates[0]).drop("days_ago")
+    unheard = last.select("*", F.explode(F.array(*days)).alias("as_of")).withColumn(
+        "days_ago", F.datediff("as_of", F.col("last_played").cast("date"))
+    )
+    return reduce(
+        DataFrame.unionByName,
+        [
+            of_weeks(songs, 10, *DIM_KEYS),
+            of_weeks(albums, 5, *DIM_KEYS),
+            of_weeks(artists, 5, "song_id", "artist_id"),
+            _long(forgotten, unheard.withColumn("rank", _ranking(forgotten, "as_of"))),
+        ],
+    )

@@ -2,27 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from playledger.functions import moment
 from playledger.functions.clock import AsOf
 from playledger.operators.report import body, cards, sections
-from playledger.plans.recap import recap_table
+from playledger.plans.recap import recap_tables
 from playledger.star import Star
 
 
-def report_sections(star: Star, as_of: Iterable[AsOf]) -> DataFrame:
+def report_sections(star: Star, as_of: Sequence[AsOf]) -> DataFrame:
     """Section texts of one report per date."""
     dates = list(as_of)
-    recaps = reduce(DataFrame.unionByName, [recap_table(star, date) for date in dates])
+    recaps = recap_tables(star, dates)
     days = F.array(*[moment(date).cast("date") for date in dates])
     reports = recaps.sparkSession.range(1).select(F.explode(days).alias("as_of"))
     return sections(cards(recaps), reports)
 
 
-def report_bodies(star: Star, as_of: Iterable[AsOf]) -> DataFrame:
+def report_bodies(star: Star, as_of: Sequence[AsOf]) -> DataFrame:
     """Report text of each date: ``as_of, body``."""
     return body(report_sections(star, as_of))

@@ -11,6 +11,7 @@ from playledger.functions import (
     parse_played_at,
     parse_release_date,
     week_bounds,
+    week_of,
 )
 from playledger.operators.listening import in_week
 from tests.util import rows
@@ -32,6 +33,24 @@ def test_week_bounds_of_each_day_of_twelve_years(spark, zone):
         assert (lo, hi) == python_bounds(day)
 
 
+def test_week_of_each_hour_agrees_with_the_bounds(spark, zone):
+    hours = spark.sql(
+        "SELECT explode(sequence(TIMESTAMP_NTZ'2023-12-20 00:00:30', TIMESTAMP_NTZ'2024-04-10 00:00:00', "
+        "INTERVAL '30' MINUTE)) AS at"
+    )
+    edges = spark.sql(
+        "SELECT explode(array(TIMESTAMP_NTZ'2024-06-30 00:00:59.999', TIMESTAMP_NTZ'2024-06-30 00:01:00', "
+        "TIMESTAMP_NTZ'2024-07-06 08:58:59.999', TIMESTAMP_NTZ'2024-07-06 08:59:00')) AS at"
+    )
+    found = rows(hours.unionAll(edges).select("at", week_of(F.col("at"))))
+    assert len(found) > 5000
+    for at, monday in found:
+        day = at.date()
+        weeks = {day - timedelta(days=day.weekday() + n) for n in (-7, 0, 7)}
+        inside = [w for w in weeks if python_bounds(w)[0] <= at < python_bounds(w)[1]]
+        assert inside == ([] if monday is None else [monday])
+
+
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.datetimes(datetime(1990, 1, 1), datetime(2090, 1, 1)))
 def test_week_bounds_of_a_moment(spark, when):

@@ -6,6 +6,7 @@ import pytest
 
 from playledger.operators.listening import (
     in_week,
+    in_weeks,
     minutes_by,
     plays_by,
     resolve,
@@ -16,6 +17,7 @@ from playledger.plans import (
     SECTIONS,
     forgotten_songs,
     recap_table,
+    recap_tables,
     recaps,
     top_albums,
     top_artists,
@@ -221,6 +223,19 @@ def test_suite_holds_the_four_recaps_in_order(spark):
         assert ranks == [(n + 1, section.number, date(2024, 7, 3)) for n in range(len(ranks))]
 
 
+def test_several_dates_in_one_plan(spark):
+    star = make_star(spark, *random_tables(6))
+    dates = ["2024-06-26", "2024-07-03", "2024-07-05", "2024-07-08", "2025-01-01"]
+    wanted = recap_table(star, dates[0])
+    for day in dates[1:]:
+        wanted = wanted.unionByName(recap_table(star, day))
+    together = recap_tables(star, dates)
+    assert together.schema.names == wanted.schema.names
+    assert bag(together) == bag(wanted)
+    assert bag(recap_tables(star, dates[:1])) == bag(recap_table(star, dates[0]))
+    assert "WindowGroupLimit" in plan(together)
+
+
 def test_unresolved_plays_by_dimension(spark):
     fact = played("s1", "s2", "s2", None) + [("s1", "x", "r", IN_WEEK)]
     star = make_star(spark, fact, [("s1", "Song", 1)])
@@ -247,6 +262,12 @@ def stored_star(spark, tmp_path):
     return Star(*[spark.read.parquet(str(tmp_path / n)) for n in ("fact", "song", "album", "artist")])
 
 
+def test_bounds_of_several_weeks_are_pushed_to_the_scan(stored_star):
+    text = plan(in_weeks(stored_star.fact, ["2024-07-10", AS_OF]).select("song_id"))
+    assert "GreaterThanOrEqual(played_at,2024-06-30T00:01)" in text
+    assert "LessThan(played_at,2024-07-13T08:59)" in text
+
+
 def test_bounds_are_pushed_to_the_scan(stored_star):
     for as_of in (AS_OF, None):
         text = plan(in_week(stored_star.fact, as_of).select("song_id"))
