@@ -8,7 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from playledger.functions import default_if_absent, first_field
-from playledger.schemas import ALBUM_PAYLOAD, ARTIST_PAYLOAD, NO_PREVIEW, SONG_PAYLOAD
+from playledger.schemas import (
+    ALBUM_PAYLOAD,
+    ARTIST_PAYLOAD,
+    LINK_FIELD,
+    NO_PREVIEW,
+    SONG_PAYLOAD,
+)
 
 
 #: Row count up to which a batch counts as few: its ids then fit a broadcast (about 12 MB).
@@ -59,7 +65,7 @@ def flatten_song(raw: DataFrame) -> DataFrame:
         p["disc_number"].alias("disc_number"),
         p["duration_ms"].alias("duration_ms"),
         p["explicit"].alias("explicit"),
-        p["external_urls"]["spotify"].alias("external_url"),
+        p["external_urls"][LINK_FIELD].alias("external_url"),
         default_if_absent(F.col("payload"), p["preview_url"], "preview_url", NO_PREVIEW).alias(
             "preview_url"
         ),
@@ -75,7 +81,7 @@ def flatten_album(raw: DataFrame) -> DataFrame:
         p["name"].alias("title"),
         p["total_tracks"].alias("total_tracks"),
         p["release_date"].alias("release_date"),
-        p["external_urls"]["spotify"].alias("external_url"),
+        p["external_urls"][LINK_FIELD].alias("external_url"),
         first_field(p["images"], "url").alias("image_url"),
         p["label"].alias("label"),
         p["popularity"].alias("popularity"),
@@ -88,7 +94,7 @@ def flatten_artist(raw: DataFrame) -> DataFrame:
     return raw.select("artist_id", F.from_json("payload", ARTIST_PAYLOAD).alias("p")).select(
         "artist_id",
         p["name"].alias("name"),
-        p["external_urls"]["spotify"].alias("external_url"),
+        p["external_urls"][LINK_FIELD].alias("external_url"),
         p["followers"]["total"].alias("follower_count"),
         first_field(p["images"], "url").alias("image_url"),
         p["popularity"].alias("popularity"),

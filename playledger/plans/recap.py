@@ -71,9 +71,10 @@ def forgotten_songs(star: Star, as_of: AsOf = None, k: int = 10) -> DataFrame:
 
 @dataclass(frozen=True)
 class Section:
-    """One recap of the suite: its query, and the order of its rows."""
+    """One recap of the suite: its query, its size, and the order of its rows."""
 
     number: int
+    k: int
     query: Callable[..., DataFrame]
     measure: str
     keys: tuple[str, ...]
@@ -84,16 +85,17 @@ class Section:
 
 
 SECTIONS = (
-    Section(1, top_songs, "total_minute_listened", ("song_name", "album", "artist", "album_art")),
-    Section(2, top_albums, "total_minute_listened", ("album", "artist", "album_art")),
-    Section(3, top_artists, "total_minute_listened", ("artist",)),
-    Section(4, forgotten_songs, "days_ago", ("song_name", "album_art")),
+    Section(1, 10, top_songs, "total_minute_listened",
+            ("song_name", "album", "artist", "album_art")),
+    Section(2, 5, top_albums, "total_minute_listened", ("album", "artist", "album_art")),
+    Section(3, 5, top_artists, "total_minute_listened", ("artist",)),
+    Section(4, 10, forgotten_songs, "days_ago", ("song_name", "album_art")),
 )
 
 
 def recaps(star: Star, as_of: AsOf = None) -> dict[str, DataFrame]:
     """The four recaps under their names, in order; nothing runs until one is read."""
-    return {s.name: s.query(star, as_of) for s in SECTIONS}
+    return {s.name: s.query(star, as_of, s.k) for s in SECTIONS}
 
 
 def _ranking(section: Section, per: str) -> Column:
@@ -122,7 +124,8 @@ def recap_table(star: Star, as_of: AsOf = None) -> DataFrame:
     """
 
     def rows(section: Section) -> DataFrame:
-        recap = section.query(star, as_of).withColumn("as_of", moment(as_of).cast("date"))
+        recap = section.query(star, as_of, section.k)
+        recap = recap.withColumn("as_of", moment(as_of).cast("date"))
         return _long(section, recap.withColumn("rank", _ranking(section, "as_of")))
 
     return reduce(DataFrame.unionByName, [rows(section) for section in SECTIONS])
@@ -143,23 +146,23 @@ def recap_tables(star: Star, as_of: Sequence[AsOf]) -> DataFrame:
         )
     )
 
-    def of_weeks(section: Section, k: int, *keys: str) -> DataFrame:
+    def of_weeks(section: Section, *keys: str) -> DataFrame:
         plays = resolve(plays_by(in_weeks(star.fact, dates), "week", *keys), star, *keys)
         minutes = minutes_by(plays, "week", *section.keys)
         ranked = minutes.withColumn("rank", _ranking(section, "week"))
-        return _long(section, wanted.join(ranked.filter(F.col("rank") <= k), "week"))
+        return _long(section, wanted.join(ranked.filter(F.col("rank") <= section.k), "week"))
 
     songs, albums, artists, forgotten = SECTIONS
-    last = forgotten_songs(star, dates[0]).drop("days_ago")
+    last = forgotten_songs(star, dates[0], forgotten.k).drop("days_ago")
     unheard = last.select("*", F.explode(F.array(*days)).alias("as_of")).withColumn(
         "days_ago", F.datediff("as_of", F.col("last_played").cast("date"))
     )
     return reduce(
         DataFrame.unionByName,
         [
-            of_weeks(songs, 10, *DIM_KEYS),
-            of_weeks(albums, 5, *DIM_KEYS),
-            of_weeks(artists, 5, "song_id", "artist_id"),
+            of_weeks(songs, *DIM_KEYS),
+            of_weeks(albums, *DIM_KEYS),
+            of_weeks(artists, "song_id", "artist_id"),
             _long(forgotten, unheard.withColumn("rank", _ranking(forgotten, "as_of"))),
         ],
     )

@@ -21,6 +21,8 @@ ALBUM_TABLE = "dim_album"
 ARTIST_TABLE = "dim_artist"
 FACT_TABLE = "fact_history"
 
+#: Key of the link to an entity's page in the payload's ``external_urls``.
+LINK_FIELD = "spotify"
 NO_PREVIEW = "No preview available"
 NO_DATA = "No data available"
 
@@ -91,7 +93,7 @@ SONG_PAYLOAD = struct(
     disc_number=INT,
     duration_ms=INT,
     explicit=BOOLEAN,
-    external_urls=struct(spotify=STRING),
+    external_urls=struct(**{LINK_FIELD: STRING}),
     preview_url=STRING,
     popularity=INT,
 )
@@ -99,14 +101,14 @@ ALBUM_PAYLOAD = struct(
     name=STRING,
     total_tracks=INT,
     release_date=STRING,
-    external_urls=struct(spotify=STRING),
+    external_urls=struct(**{LINK_FIELD: STRING}),
     images=T.ArrayType(struct(url=STRING)),
     label=STRING,
     popularity=INT,
 )
 ARTIST_PAYLOAD = struct(
     name=STRING,
-    external_urls=struct(spotify=STRING),
+    external_urls=struct(**{LINK_FIELD: STRING}),
     followers=struct(total=INT),
     images=T.ArrayType(struct(url=STRING)),
     popularity=INT,

@@ -92,7 +92,7 @@ class FolderWarehouse(_Warehouse):
 
 @dataclass(frozen=True)
 class JdbcWarehouse(_Warehouse):
-    """Tables in a database.
+    """Tables in a database, which have to exist.
 
     ``options`` are those of Spark's JDBC source without ``dbtable`` (url, driver, user, password,
     batchsize, ...). ``read_options`` adds options per table for parallel reads (partitionColumn,

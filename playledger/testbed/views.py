@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from playledger.functions import format_played_at
-from playledger.schemas import SONG_TOPIC
+from playledger.schemas import LINK_FIELD, SONG_TOPIC
 from playledger.sources import Entities
 from playledger.star import Star
 
@@ -138,7 +138,7 @@ def entities(spark: SparkSession, sf_dir: str) -> Entities:
         disc_number=size % 3 + 1,
         duration_ms=size * 10_000,
         explicit=size % 2 == 0,
-        external_urls=F.struct(_url("song", "p_partkey").alias("spotify")),
+        external_urls=F.struct(_url("song", "p_partkey").alias(LINK_FIELD)),
         popularity=size,
     )
     previews = (
@@ -160,14 +160,14 @@ def entities(spark: SparkSession, sf_dir: str) -> Entities:
         name=F.col("o_orderpriority"),
         total_tracks=(F.col("o_custkey") % 20 + 1).cast("int"),
         release_date=release,
-        external_urls=F.struct(_url("album", "o_orderkey").alias("spotify")),
+        external_urls=F.struct(_url("album", "o_orderkey").alias(LINK_FIELD)),
         images=images,
         label=F.concat(F.lit("label "), F.col("o_orderpriority")),
         popularity=(F.col("o_custkey") % 101).cast("int"),
     )
     artist = _json(
         name=F.col("s_name"),
-        external_urls=F.struct(_url("artist", "s_suppkey").alias("spotify")),
+        external_urls=F.struct(_url("artist", "s_suppkey").alias(LINK_FIELD)),
         followers=F.struct((F.col("s_suppkey") * 7).cast("int").alias("total")),
         images=F.array(F.struct(_url("portrait", "s_nationkey").alias("url"))),
         popularity=F.col("s_nationkey"),

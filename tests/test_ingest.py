@@ -20,7 +20,7 @@ from playledger.operators.plays import (
     with_event_id,
 )
 from playledger.plans import route
-from playledger.schemas import HISTORY_PAYLOAD, SONG_TOPIC, TOPICS
+from playledger.schemas import HISTORY_PAYLOAD, LINK_FIELD, SONG_TOPIC, TOPICS
 from playledger.sources import Entities
 from playledger.star import Star
 from tests.util import bag, plan, rows
@@ -83,7 +83,7 @@ def test_batch_summary(spark):
 
 SONG = {
     "name": "n", "disc_number": 1, "duration_ms": 5, "explicit": True,
-    "external_urls": {"spotify": "u"}, "popularity": 9, "unused": [1, {"x": 2}],
+    "external_urls": {LINK_FIELD: "u"}, "popularity": 9, "unused": [1, {"x": 2}],
 }
 
 
@@ -105,10 +105,10 @@ def test_flatten_of_text_that_is_no_payload(spark):
 def test_flatten_album_and_artist(spark, images, wanted):
     album = {
         "name": "n", "total_tracks": 3, "release_date": "1999", "label": "l", "popularity": 4,
-        "external_urls": {"spotify": "u"}, "images": images,
+        "external_urls": {LINK_FIELD: "u"}, "images": images,
     }
     artist = {
-        "name": "n", "external_urls": {"spotify": "u"}, "followers": {"total": 7},
+        "name": "n", "external_urls": {LINK_FIELD: "u"}, "followers": {"total": 7},
         "images": images, "popularity": 4,
     }
     raw = spark.createDataFrame([("a1", json.dumps(album))], "album_id string, payload string")
