@@ -335,6 +335,7 @@ ORACLE: dict[str, str] = {
     "recap_top_artists_events": _artists(EVENTS_FACT, EVENTS_WEEK),
     "recap_forgotten_songs_events": _forgotten(EVENTS_FACT, EVENTS_END),
     "recap_suite": _suite_text(EVENTS_FACT, EVENTS_END),
+    "recap_suite_dates": " UNION ALL ".join(_suite_text(EVENTS_FACT, d) for d in REPORT_DATES),
     "join_fact_song": """SELECT l_partkey AS song_id, p_name AS song_name, count(*) AS plays,
         CAST(sum(p_size * 10000) AS BIGINT) AS ms
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""",

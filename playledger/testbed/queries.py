@@ -108,6 +108,13 @@ def recap_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(recap, "as_of", "total_minute_listened", "days_ago")
 
 
+@query
+def recap_suite_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite for several dates, from one scan of the plays."""
+    recap = plans.recap_tables(v.events_star(spark, sf_dir), REPORT_DATES)
+    return _as_text(recap, "as_of", "total_minute_listened", "days_ago")
+
+
 @query
 def join_fact_song(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = v.lineitem_star(spark, sf_dir)
