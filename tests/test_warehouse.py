@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
 from playledger.schemas import FACT_TABLE, SONG_TABLE, TABLES
 from playledger.sources import FolderWarehouse, JdbcWarehouse, shared_folder, unseen_plays
@@ -65,3 +66,17 @@ def test_scratch_is_below_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert one != two and one.startswith(f"{root}/x-")
+
+
+@pytest.mark.parametrize("idempotent, wanted", [(True, 1), (False, 2)])
+def test_database_append_leaves_out_stored_plays(spark, monkeypatch, idempotent, wanted):
+    """What would be written; no database takes part."""
+    stored = spark.createDataFrame([("s", "a", "r", T1)], PLAY)
+    written = []
+    monkeypatch.setattr(JdbcWarehouse, "read", lambda self, spark, table: stored)
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: written.append(self._df))
+    warehouse = JdbcWarehouse({"url": "jdbc:x"}, idempotent=idempotent)
+    rows = spark.createDataFrame([("s", "a", "r", T1), ("s", "a", "r", T2)], PLAY)
+    warehouse.append(rows, FACT_TABLE, "q.0")
+    assert written[0].count() == wanted
+    assert bag(warehouse.known_keys(spark, FACT_TABLE, "q.0")) == {("s",): 1}
