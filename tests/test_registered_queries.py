@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as repo
+from playledger.testbed.oracle import ORACLE
+from playledger.testbed.queries import QUERIES
 from tools.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -14,7 +16,9 @@ def db():
 
 
 def test_names_agree():
-    assert set(repo.queries()) == set(repo.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(repo.queries())
+    assert set(repo.oracle_sql()) <= set(repo.queries())
 
 
 def test_entry(spark):
@@ -23,6 +27,6 @@ def test_entry(spark):
     assert df.count() == 30
 
 
-@pytest.mark.parametrize("name", list(repo.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_its_sql(spark, db, name):
     assert differences(repo.queries()[name](spark, SF_DIR), db.sql(repo.oracle_sql()[name])) == []
