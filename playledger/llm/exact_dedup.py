@@ -82,7 +82,7 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
         hashed.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups"
     )
     index.add(groups.select("digest", "keep_id"))
-    verdicts = groups.select("digest", "group_size").join(index.rows().hint("merge"), "digest")
+    verdicts = stored(groups.select("digest", "group_size").join(index.rows().hint("merge"), "digest"), "verdicts")
     return hashed.join(verdicts, "digest").select(
         "doc_id",
         "keep_id",
