@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playledger.llm import exact_dedup, host_rules
+from playledger.llm import exact_dedup, host_rules, packing, tokens
 from playledger.llm.common import documents
 
 
+def op5_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.digests(documents(spark, sf_dir))
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(documents(spark, sf_dir))
 
@@ -18,7 +22,13 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(documents(spark, sf_dir), exact_dedup.new_index(spark))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_bpe_transducer": op5_bpe_transducer,
     "op7_host_rules": op7_host_rules,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_packing": op10_packing,
 }
