@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playledger.llm import exact_dedup, host_rules, packing, tokens
+from playledger.llm import exact_dedup, host_rules, packing, setsketch, tokens
 from playledger.llm.common import documents
 
 
+def op2_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(documents(spark, sf_dir))
+
+
 def op5_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digests(documents(spark, sf_dir))
 
@@ -27,6 +31,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_setsketch": op2_setsketch,
     "op5_bpe_transducer": op5_bpe_transducer,
     "op7_host_rules": op7_host_rules,
     "op8_exact_dedup": op8_exact_dedup,
