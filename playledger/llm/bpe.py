@@ -35,7 +35,7 @@ _ODD_SPACE = re.compile("[\x85\xa0  -     　]")
 _PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACES}\p{{L}}\p{{N}}]+")
 END = "</w>"
 #: Distinct words whose ids a worker remembers before it starts anew, and the longest that it remembers.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 CACHE_BYTES = 64
 _PACK = [struct.Struct(f"<{n}I").pack for n in range(16)]
 
