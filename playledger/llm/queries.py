@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playledger.llm import exact_dedup, host_rules, packing, setsketch, tokens
+from playledger.llm import exact_dedup, host_rules, packing, setsketch, suffixes, tokens
 from playledger.llm.common import documents
 
 
@@ -26,6 +26,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(documents(spark, sf_dir), exact_dedup.new_index(spark))
 
 
+def op9_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeats(documents(spark, sf_dir))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -35,5 +39,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_transducer": op5_bpe_transducer,
     "op7_host_rules": op7_host_rules,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_sparse_suffixes": op9_sparse_suffixes,
     "op10_packing": op10_packing,
 }
