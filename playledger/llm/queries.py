@@ -5,9 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from playledger.llm import exact_dedup, host_rules, packing, setsketch, suffixes, tokens
-from playledger.llm.common import documents
+from playledger.llm import exact_dedup, host_rules, langid, packing, setsketch, suffixes, tokens
+from playledger.llm.common import documents, fold
+
+
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = fold(F.col("doc_id"), 5) == 0
+    found = langid.identify(docs, langid.fit_model(langid.training_rows(docs, held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def op2_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +43,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": op1_langid,
     "op2_setsketch": op2_setsketch,
     "op5_bpe_transducer": op5_bpe_transducer,
     "op7_host_rules": op7_host_rules,
