@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playledger.llm import exact_dedup, host_rules, langid, packing, setsketch, suffixes, tokens
+from playledger.llm import context_tree, exact_dedup, host_rules, langid, packing, setsketch, suffixes, tokens
 from playledger.llm.common import documents, fold
 
 
@@ -22,6 +22,10 @@ def op2_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(documents(spark, sf_dir))
 
 
+def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(documents(spark, sf_dir), fold(F.col("doc_id"), 7) == 2)
+
+
 def op5_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digests(documents(spark, sf_dir))
 
@@ -45,6 +49,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_setsketch": op2_setsketch,
+    "op4_context_tree": op4_context_tree,
     "op5_bpe_transducer": op5_bpe_transducer,
     "op7_host_rules": op7_host_rules,
     "op8_exact_dedup": op8_exact_dedup,
