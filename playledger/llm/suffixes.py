@@ -327,7 +327,7 @@ def repeats(docs: DataFrame, passage: Passage | None = None) -> DataFrame:
     p = passage or Passage()
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marks = stored(_marks(texts, p), "minimisers")
-    again = marks.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    again = stored(marks.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
     spots = marks.join(again, "gram", "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("spots"))
     contexts = stored(_contexts(texts, spots, p), "suffixes")
     found = None
