@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playledger.llm import context_tree, exact_dedup, host_rules, langid, packing, setsketch, suffixes, tokens
-from playledger.llm.common import documents, fold
+from playledger.llm import context_tree, exact_dedup, host_rules, langid, packing, setsketch, suffixes, tokens, toxicity
+from playledger.llm.common import documents, fold, labels
 
 
 def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +30,13 @@ def op5_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digests(documents(spark, sf_dir))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = fold(F.col("doc_id"), 4) == 2
+    learn = docs.where(~held_out).join(labels(spark, sf_dir), "doc_id").select("doc_id", "text", "toxic")
+    return toxicity.toxicity(docs, toxicity.fit_model(learn), held_out)
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(documents(spark, sf_dir))
 
@@ -51,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_setsketch": op2_setsketch,
     "op4_context_tree": op4_context_tree,
     "op5_bpe_transducer": op5_bpe_transducer,
+    "op6_toxicity": op6_toxicity,
     "op7_host_rules": op7_host_rules,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sparse_suffixes": op9_sparse_suffixes,
