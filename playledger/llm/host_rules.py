@@ -176,6 +176,8 @@ def judge(docs: DataFrame, limits: Limits | None = None) -> DataFrame:
     checks = rules()
     measured = stored(measures(docs), "measures")
     verdicts = host_verdicts(measured, limits)
+    # Written, so that its true size decides how it is joined.
+    verdicts = stored(verdicts, "host_verdicts") if verdicts is not None else None
     base = checks["few_words"] | checks["repeats"]
     if verdicts is None:
         lost = F.lit(False)
