@@ -39,6 +39,9 @@ class Net:
     sample: int = 1500
     sample_windows: int = 40
     epochs: int = 8
+    #: Least steps of training; a small sample gets more epochs, up to ``most_epochs``.
+    steps: int = 600
+    most_epochs: int = 40
     rate: float = 0.01
     batch: int = 128
     threshold: float = 0.3
@@ -229,7 +232,8 @@ def train(texts: list[list[bytes]], toxic: np.ndarray, net: Net, seed: int = 5)
     logits = np.maximum(hint[data.all], 0.0).sum(axis=1)
     moment: dict[str, list[np.ndarray]] = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in weights.p.items()}
     step = 0
-    for _ in range(net.epochs):
+    per_epoch = max(1, 2 * int(fitted.sum()) // net.batch)
+    for _ in range(min(net.most_epochs, max(net.epochs, net.steps // per_epoch))):
         best = data.best(logits)
         chance = rng.integers(0, len(data.all), len(best))
         chance = chance[(toxic[data.owner[chance]] == 0) & fitted[data.owner[chance]]]
