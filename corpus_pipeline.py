@@ -9,20 +9,55 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from playledger.llm import exact_dedup
-from playledger.llm.common import documents, stored
+from playledger.llm import exact_dedup, langid, packing, setsketch, suffixes
+from playledger.llm.common import documents, free_name, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter go; so do those of which no language has at least half the probability.
+
+    The model learns from the labelled documents of the input.
+    """
+    key = free_name(docs, "langid_doc_id")
+    found = langid.identify(docs, langid.fit_model(langid.training_rows(docs, F.lit(False))))
+    good = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= 0.5)).select(F.col("doc_id").alias(key))
+    good = stored(good.distinct(), "language_kept")
+    return docs.join(good, docs["doc_id"].cast("long").eqNullSafe(good[key]), "left_semi")
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest id stays."""
     return exact_dedup.unique_documents(docs, exact_dedup.new_index(spark))
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more), the document with the least id stays."""
+    key = free_name(docs, "near_doc_id")
+    found = setsketch.near_duplicates(docs, setsketch.Near(num=80, den=100, shingle=5, bands=36))
+    kept = stored(found.where("kept").select(F.col("doc_id").alias(key)).distinct(), "near_kept")
+    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept[key]), "left_semi")
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that an earlier document has, too, are cut."""
+    return suffixes.without_duplicates(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, as pieces of training sequences."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language", language),
     ("exact_dedup", exact),
+    ("near_dedup", near),
+    ("passages", passages),
+    ("packing", pack),
 ]
 
 #: A trained model, sketches and tokens are not expressed in SQL; tests compare with brute force.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playledger.llm import context_tree, exact_dedup, host_rules, langid, packing, setsketch, suffixes, tokens, toxicity
+from playledger.llm import context_tree, cotraining, exact_dedup, host_rules, langid, packing, setsketch, suffixes, tokens, toxicity
 from playledger.llm.common import documents, fold, labels
 
 
@@ -22,6 +22,14 @@ def op2_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(documents(spark, sf_dir))
 
 
+def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = fold(F.col("doc_id"), 5) == 0
+    known = labels(spark, sf_dir).select("doc_id", "quality")
+    model = cotraining.fit_model(docs.where(~held_out).join(known, "doc_id", "left"))
+    return cotraining.quality(docs, model).withColumn("held_out", held_out)
+
+
 def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score(documents(spark, sf_dir), fold(F.col("doc_id"), 7) == 2)
 
@@ -56,6 +64,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_setsketch": op2_setsketch,
+    "op3_cotraining": op3_cotraining,
     "op4_context_tree": op4_context_tree,
     "op5_bpe_transducer": op5_bpe_transducer,
     "op6_toxicity": op6_toxicity,
