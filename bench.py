@@ -62,6 +62,7 @@ def main() -> None:
     settings = SETTINGS | {
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": cpus,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": cpus,
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
     }
     for key, value in settings.items():

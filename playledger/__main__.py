@@ -11,7 +11,14 @@ from playledger.functions import moment
 from playledger.operators.report import final_report
 from playledger.plans import recap_table, report_bodies
 from playledger.session import build_session
-from playledger.sources import FolderTopics, FolderWarehouse, JdbcWarehouse, KafkaTopics
+from playledger.schemas import FACT_TABLE, TABLES
+from playledger.sources import (
+    REJECTS_TABLE,
+    FolderTopics,
+    FolderWarehouse,
+    JdbcWarehouse,
+    KafkaTopics,
+)
 from playledger.sources import stream_pages
 from playledger.streaming import dispatch, ingest, run_until_stopped
 
@@ -22,14 +29,16 @@ def _options(pairs: Sequence[str]) -> dict[str, str]:
 
 def _warehouse(args: argparse.Namespace) -> FolderWarehouse | JdbcWarehouse:
     if args.jdbc:
-        return JdbcWarehouse(_options(args.jdbc))
-    return FolderWarehouse(args.warehouse)
+        reads = {table: _options(pairs) for table, *pairs in args.jdbc_read or ()}
+        return JdbcWarehouse(_options(args.jdbc), reads, args.idempotent)
+    return FolderWarehouse(args.warehouse, args.idempotent)
 
 
 def _topics(args: argparse.Namespace) -> FolderTopics | KafkaTopics:
     if args.servers:
-        return KafkaTopics(args.servers, starting_offsets=args.starting_offsets)
-    return FolderTopics(args.topics, args.max_files)
+        return KafkaTopics(args.servers, starting_offsets=args.starting_offsets,
+                           extra=_options(args.kafka or ()), max_offsets=args.max_offsets)
+    return FolderTopics(args.topics, args.max_files, args.max_bytes)
 
 
 def _trigger(args: argparse.Namespace) -> dict[str, object]:
@@ -37,7 +46,7 @@ def _trigger(args: argparse.Namespace) -> dict[str, object]:
 
 
 def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    pages = stream_pages(spark, args.pages, args.max_files)
+    pages = stream_pages(spark, args.pages, args.max_files, args.max_bytes, args.archive)
     run_until_stopped(
         ingest(pages, _warehouse(args), args.entities, _topics(args), args.checkpoint,
                _trigger(args))
@@ -47,10 +56,16 @@ def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 def _dispatch(spark: SparkSession, args: argparse.Namespace) -> None:
     run_until_stopped(
         dispatch(_topics(args).read_stream(spark), _warehouse(args), args.checkpoint,
-                 _trigger(args), unique_dims=not args.as_is, keep_rejects=not args.as_is)
+                 _trigger(args), unique_dims=not args.as_is, keep_rejects=not args.as_is,
+                 compact_every=args.compact_every)
     )
 
 
+def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    for table in (*TABLES, REJECTS_TABLE):
+        _warehouse(args).compact(spark, table)
+
+
 def _recap(spark: SparkSession, args: argparse.Namespace) -> None:
     table = recap_table(_warehouse(args).star(spark), args.as_of)
     table.write.mode("overwrite").parquet(args.out)
@@ -73,12 +88,19 @@ def main(argv: Sequence[str] | None = None) -> None:
     store.add_argument("--warehouse", help="root folder of the warehouse tables")
     store.add_argument("--jdbc", nargs="+", metavar="KEY=VALUE",
                        help="options of the JDBC source, for a warehouse in a database")
+    store.add_argument("--jdbc-read", nargs="+", action="append", metavar=("TABLE", "KEY=VALUE"),
+                       help="options for a parallel read of one table of the database")
+    store.add_argument("--idempotent", action="store_true",
+                       help="append a play only if no equal one is stored")
 
     stream = argparse.ArgumentParser(add_help=False)
     stream.add_argument("--servers", help="broker addresses")
     stream.add_argument("--starting-offsets", default="latest")
+    stream.add_argument("--kafka", nargs="+", metavar="KEY=VALUE", help="broker client settings")
+    stream.add_argument("--max-offsets", type=int, help="records per batch, from a broker")
     stream.add_argument("--topics", help="folder of topic records, in place of a broker")
     stream.add_argument("--max-files", type=int, help="files per batch")
+    stream.add_argument("--max-bytes", type=int, help="bytes of files per batch")
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--every", type=int, default=60, help="seconds between batches")
     stream.add_argument("--once", action="store_true", help="take what is there, then end")
@@ -86,13 +108,20 @@ def main(argv: Sequence[str] | None = None) -> None:
     job = jobs.add_parser("ingest", parents=[store, stream], help="history pages to topics")
     job.add_argument("--pages", required=True, help="folder of history pages")
     job.add_argument("--entities", required=True, help="root folder of entity details")
+    job.add_argument("--archive", help="folder to which pages move once they are published")
     job.set_defaults(run=_ingest)
 
     job = jobs.add_parser("dispatch", parents=[store, stream], help="topics to warehouse")
     job.add_argument("--as-is", action="store_true",
                      help="append every row: keep copies of dimension keys and rows without key")
+    job.add_argument("--compact-every", type=int, default=0, metavar="N",
+                     help="merge the stored batches before every Nth batch")
     job.set_defaults(run=_dispatch)
 
+    job = jobs.add_parser("compact", parents=[store],
+                          help="merge the stored batches, while no dispatch runs")
+    job.set_defaults(run=_compact)
+
     for name, run in (("recap", _recap), ("report", _report)):
         job = jobs.add_parser(name, parents=[store], help=f"write the {name} of one week")
         job.add_argument("--as-of", help="date in the week; default: today, UTC")
@@ -105,6 +134,9 @@ def main(argv: Sequence[str] | None = None) -> None:
         parser.error("give --warehouse or --jdbc")
     if "servers" in args and not (args.servers or args.topics):
         parser.error("give --servers or --topics")
+    reads = {table for table, *_ in args.jdbc_read or ()}
+    if args.jdbc and args.job in ("recap", "report") and FACT_TABLE not in reads:
+        parser.error(f"give --jdbc-read {FACT_TABLE} with a partitionColumn, bounds and numPartitions")
     args.run(build_session(f"playledger {args.job}"), args)
 
 

@@ -1,6 +1,6 @@
 """Operators over songs, albums and artists: which are new, and their details.
 
-Landing tables hold one JSON text per entity: ``(<key>, payload)``.
+Landing tables hold one JSON text per fetch of an entity: ``(<key>, payload, fetched_at)``.
 """
 
 from __future__ import annotations
@@ -17,43 +17,38 @@ from playledger.schemas import (
 )
 
 
-#: Row count up to which a batch counts as few: its ids then fit a broadcast (about 12 MB).
-FEW_ROWS = 200_000
-
-
-def without_known(rows: DataFrame, known: DataFrame, key: str, few: bool = False) -> DataFrame:
+def without_known(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not among the known ones.
 
-    ``few`` says that the caller has counted ``rows``, and found at most ``FEW_ROWS``. The known
-    keys are then first cut down to those of the rows by a broadcast, so that a large table is
-    scanned in place, and not shuffled for every small batch. Otherwise both sides are shuffled.
+    The known keys are first cut down to those of the rows. If the rows are a persisted batch, Spark
+    knows their size: a small batch is broadcast and the known keys are scanned in place; otherwise
+    they are shuffled, once.
     """
-    known = known.select(key)
-    if few:
-        known = known.join(F.broadcast(rows.select(key)), key, "left_semi")
-    return rows.join(known, key, "left_anti")
+    ours = known.select(key).join(rows.select(key), key, "left_semi")
+    return rows.join(ours, key, "left_anti")
 
 
-def new_keys(plays: DataFrame, dim: DataFrame, key: str, few: bool = False) -> DataFrame:
+def new_keys(plays: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Distinct non-null keys of the plays that the dimension does not hold yet.
 
     The keys are made distinct map-side before they are shuffled, so a key that most plays share
-    costs one row per task. ``few`` as in ``without_known``.
+    costs one row per task.
     """
     keys = plays.select(key).filter(F.col(key).isNotNull()).dropDuplicates([key])
-    return without_known(keys, dim, key, few)
+    return without_known(keys, dim, key)
 
 
-def enrich(keys: DataFrame, raw: DataFrame, key: str, few: bool = False) -> DataFrame:
-    """Landing rows of the given keys, one per key; keys without details give no row.
+def enrich(keys: DataFrame, raw: DataFrame, key: str) -> DataFrame:
+    """Landing rows of the given keys, ``<key>, payload``, one per key; keys without details give no
+    row.
 
-    Copies of one entity are merged (greatest text, so that the pick is the same on every run)
-    below the join: hot copies collapse before the shuffle. If the keys are ``few``, they are
-    broadcast, and Spark filters the landing rows by them before it merges.
+    Of several copies of one entity the one fetched last wins; equal or unknown times go by the
+    greater text, so that the pick is the same on every run. The landing rows are cut down to the
+    keys before the copies are merged, so that no payload of another entity is sorted.
     """
-    merged = raw.groupBy(key).agg(F.max("payload").alias("payload"))
-    keys = keys.select(key)
-    return merged.join(F.broadcast(keys) if few else keys, key, "left_semi")
+    wanted = raw.join(keys.select(key), key, "left_semi")
+    latest = F.max(F.struct("fetched_at", "payload")).alias("latest")
+    return wanted.groupBy(key).agg(latest).select(key, "latest.payload")
 
 
 def flatten_song(raw: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from playledger.functions import moment, monday_of, week_bounds, week_of
+from playledger.functions import moment, week_bounds, week_of
 from playledger.functions.clock import AsOf
 from playledger.star import DIM_KEYS, Star
 
@@ -33,27 +33,65 @@ def in_week(fact: DataFrame, as_of: AsOf = None) -> DataFrame:
     Both bounds fold to literals and reach the scan. A fact table partitioned by play date is also
     pruned to the days of the window.
     """
-    return _between(fact, *week_bounds(as_of))
+    return fact.filter(_window(fact, *week_bounds(as_of)))
 
 
-def _between(fact: DataFrame, start: Column, end: Column) -> DataFrame:
+def _window(fact: DataFrame, start: Column, end: Column) -> Column:
     played_at = F.col("played_at")
     window = (played_at >= start) & (played_at < end)
     if PLAY_DATE in fact.columns:
         window &= F.col(PLAY_DATE).between(start.cast("date"), end.cast("date"))
-    return fact.filter(window)
+    return window
 
 
 def in_weeks(fact: DataFrame, as_of: Sequence[AsOf]) -> DataFrame:
     """Plays inside the recap windows of several dates, with the Monday of their ``week``.
 
-    One scan for all dates: it is bounded by the first start and the last end.
+    One scan for all dates. Its filter is the union of the windows, so that of a fact table
+    partitioned by play date only the days of the weeks asked for are read.
     """
-    starts, ends = zip(*[week_bounds(date) for date in as_of])
-    first = F.least(*starts) if len(starts) > 1 else starts[0]
+    windows = [_window(fact, *week_bounds(date)) for date in as_of]
+    plays = fact.filter(reduce(Column.__or__, windows))
+    return plays.withColumn("week", week_of(F.col("played_at")))
+
+
+def played_by(fact: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """Plays up to the end of the day of ``as_of``, and those without a time."""
+    return _until(fact, day_after(as_of))
+
+
+def day_after(as_of: AsOf = None) -> Column:
+    """The midnight that ends the day of ``as_of``."""
+    return F.date_add(moment(as_of).cast("date"), 1).cast("timestamp_ntz")
+
+
+def _until(fact: DataFrame, end: Column) -> DataFrame:
+    before = F.col("played_at").isNull() | (F.col("played_at") < end)
+    if PLAY_DATE in fact.columns:
+        before &= F.col(PLAY_DATE).isNull() | (F.col(PLAY_DATE) < end.cast("date"))
+    return fact.filter(before)
+
+
+def last_play_by_dates(fact: DataFrame, as_of: Sequence[AsOf], *keys: str) -> DataFrame:
+    """Latest play per id combination as it was at the end of each of several days:
+    ``<keys>, as_of, last_played``, without the days before the first play. A combination with a play
+    without a time counts on all days, if need be without a last play. One scan for all."""
+    ends = [day_after(date) for date in as_of]
     last = F.greatest(*ends) if len(ends) > 1 else ends[0]
-    plays = _between(fact, first, last).withColumn("week", week_of(F.col("played_at")))
-    return plays.filter(F.col("week").isin([monday_of(moment(d).cast("date")) for d in as_of]))
+    played_at = F.col("played_at")
+    lasts = [F.max(F.when(played_at < end, played_at)).alias(f"last_{i}") for i, end in enumerate(ends)]
+    by_day = F.array_distinct(
+        F.array(
+            *[
+                F.struct(moment(d).cast("date").alias("as_of"), F.col(f"last_{i}").alias("last_played"))
+                for i, d in enumerate(as_of)
+            ]
+        )
+    )
+    timeless = F.bool_or(played_at.isNull()).alias("timeless")
+    found = _until(fact, last).groupBy(*keys).agg(timeless, *lasts)
+    rows = found.select(*keys, "timeless", F.inline(by_day))
+    return rows.filter(F.col("timeless") | F.col("last_played").isNotNull()).drop("timeless")
 
 
 def plays_by(fact: DataFrame, *keys: str) -> DataFrame:
@@ -106,15 +144,16 @@ def unresolved(fact: DataFrame, star: Star) -> DataFrame:
     """Ids of the plays that no dimension row resolves: ``dimension, key, plays``.
 
     These plays are not lost: the recaps join at query time, and so count them as soon as the
-    dimension row has arrived.
+    dimension row has arrived. The plays are scanned once for all three dimensions.
     """
 
-    def missing(key: str) -> DataFrame:
-        rows = plays_by(fact, key).join(star.dim(key).select(key), key, "left_anti")
-        return rows.select(
-            F.lit(key.removesuffix("_id")).alias("dimension"),
-            F.col(key).cast("string").alias("key"),
-            "plays",
-        )
+    ids = F.array(*[_named_key(key) for key in DIM_KEYS])
+    plays = fact.select(F.inline(ids)).groupBy("dimension", "key").agg(F.count("*").alias("plays"))
+    known = [star.dim(key).select(_named_key(key).alias("k")).select("k.*") for key in DIM_KEYS]
+    return plays.join(reduce(DataFrame.unionByName, known), ["dimension", "key"], "left_anti")
+
 
-    return reduce(DataFrame.unionByName, [missing(key) for key in DIM_KEYS])
+def _named_key(key: str) -> Column:
+    return F.struct(
+        F.lit(key.removesuffix("_id")).alias("dimension"), F.col(key).cast("string").alias("key")
+    )

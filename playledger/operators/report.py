@@ -94,9 +94,13 @@ def final_report(bodies: DataFrame, replies: DataFrame) -> DataFrame:
     """Report documents: ``as_of, is_valid, html``.
 
     Order: opening, weekly recap, mood recap, the recap sections, recommendations, closing. A
-    report without a readable reply keeps its sections, and is flagged as not valid.
+    report without a readable reply keeps its sections, and is flagged as not valid. Of several
+    replies for one date a complete one is used; among those, the one with the greatest texts.
     """
-    joined = bodies.join(reply_fields(replies), "as_of", "left")
+    fields = reply_fields(replies.select("as_of", "reply"))
+    texts = F.struct("is_valid", *REPLY.names)
+    chosen = fields.groupBy("as_of").agg(F.max(texts).alias("r")).select("as_of", "r.*")
+    joined = bodies.join(chosen, "as_of", "left")
 
     def paragraph(name: str) -> Column:
         return F.concat(F.lit("<p>"), _text(name), F.lit("</p>"))

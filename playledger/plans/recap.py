@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from playledger.functions import moment, monday_of
 from playledger.functions.clock import AsOf
@@ -14,7 +14,9 @@ from playledger.operators.listening import (
     in_week,
     in_weeks,
     last_play_by,
+    last_play_by_dates,
     minutes_by,
+    played_by,
     plays_by,
     resolve,
     top_k,
@@ -53,17 +55,25 @@ def top_albums(star: Star, as_of: AsOf = None, k: int = 5) -> DataFrame:
 
 
 def top_artists(star: Star, as_of: AsOf = None, k: int = 5) -> DataFrame:
-    """Artists with the most minutes listened in the week; albums need not be known."""
-    keys = ("song_id", "artist_id")
-    plays = resolve(plays_by(in_week(star.fact, as_of), *keys), star, *keys)
+    """Artists with the most minutes listened in the week; albums need not be known.
+
+    It starts from the same counts as the songs and albums, so that in the suite they are made once.
+    """
+    plays = resolve(_by_artist(_week_plays(star, as_of)), star, "song_id", "artist_id")
     return top_k(minutes_by(plays, "artist"), k, "total_minute_listened", "artist")
 
 
+def _by_artist(plays: DataFrame, *more: str) -> DataFrame:
+    """Counts of plays per id combination, without the album."""
+    return plays.groupBy(*more, "song_id", "artist_id").agg(F.sum("plays").alias("plays"))
+
+
 def forgotten_songs(star: Star, as_of: AsOf = None, k: int = 10) -> DataFrame:
-    """Songs whose last play lies furthest back, over all plays; artists need not be known."""
+    """Songs whose last play lies furthest back, over all plays up to the day of ``as_of``; artists
+    need not be known."""
     names = ("song_name", "album_art")
     keys = ("song_id", "album_id")
-    plays = resolve(last_play_by(star.fact, *keys), star, *keys)
+    plays = resolve(last_play_by(played_by(star.fact, as_of), *keys), star, *keys)
     last = plays.groupBy(*names).agg(F.max("last_played").alias("last_played"))
     days_ago = F.datediff(moment(as_of).cast("date"), F.col("last_played").cast("date"))
     return top_k(last.withColumn("days_ago", days_ago), k, "days_ago", *names)
@@ -131,38 +141,44 @@ def recap_table(star: Star, as_of: AsOf = None) -> DataFrame:
     return reduce(DataFrame.unionByName, [rows(section) for section in SECTIONS])
 
 
+def report_days(spark: SparkSession, as_of: Sequence[AsOf]) -> DataFrame:
+    """The different days of the dates given: ``as_of``."""
+    if not as_of:
+        raise ValueError("give at least one date")
+    days = F.array(*[moment(date).cast("date") for date in as_of])
+    return spark.range(1).select(F.explode(F.array_distinct(days)).alias("as_of"))
+
+
 def recap_tables(star: Star, as_of: Sequence[AsOf]) -> DataFrame:
     """The recap tables of several dates, each as ``recap_table`` gives it.
 
-    The plays are scanned for all dates together, not once per date. The top rows of each week are
-    taken by a ranking window; Spark cuts its input to k rows per week and task before the
-    shuffle. The longest unheard songs are the same for every date, and are found once.
+    A date that is given twice counts once, whether as text, date or time. The plays are scanned for
+    all dates together, not once per date. The top rows of each week or day are taken by a ranking
+    window; Spark cuts its input to k rows per week and task before the shuffle.
     """
     dates = list(as_of)
-    days = [moment(date).cast("date") for date in dates]
-    wanted = star.fact.sparkSession.range(1).select(
-        F.inline(
-            F.array(*[F.struct(d.alias("as_of"), monday_of(d).alias("week")) for d in days])
-        )
-    )
+    wanted = report_days(star.fact.sparkSession, dates).withColumn("week", monday_of(F.col("as_of")))
+    counts = plays_by(in_weeks(star.fact, dates), "week", *DIM_KEYS)
 
-    def of_weeks(section: Section, *keys: str) -> DataFrame:
-        plays = resolve(plays_by(in_weeks(star.fact, dates), "week", *keys), star, *keys)
+    def of_weeks(section: Section, counts: DataFrame, *keys: str) -> DataFrame:
+        plays = resolve(counts, star, *keys)
         minutes = minutes_by(plays, "week", *section.keys)
         ranked = minutes.withColumn("rank", _ranking(section, "week"))
         return _long(section, wanted.join(ranked.filter(F.col("rank") <= section.k), "week"))
 
     songs, albums, artists, forgotten = SECTIONS
-    last = forgotten_songs(star, dates[0], forgotten.k).drop("days_ago")
-    unheard = last.select("*", F.explode(F.array(*days)).alias("as_of")).withColumn(
+    pairs = last_play_by_dates(star.fact, dates, "song_id", "album_id")
+    last = resolve(pairs, star, "song_id", "album_id").groupBy("as_of", *forgotten.keys)
+    unheard = last.agg(F.max("last_played").alias("last_played")).withColumn(
         "days_ago", F.datediff("as_of", F.col("last_played").cast("date"))
     )
+    unheard = unheard.withColumn("rank", _ranking(forgotten, "as_of"))
     return reduce(
         DataFrame.unionByName,
         [
-            of_weeks(songs, *DIM_KEYS),
-            of_weeks(albums, *DIM_KEYS),
-            of_weeks(artists, "song_id", "artist_id"),
-            _long(forgotten, unheard.withColumn("rank", _ranking(forgotten, "as_of"))),
+            of_weeks(songs, counts, *DIM_KEYS),
+            of_weeks(albums, counts, *DIM_KEYS),
+            of_weeks(artists, _by_artist(counts, "week"), "song_id", "artist_id"),
+            _long(forgotten, unheard.filter(F.col("rank") <= forgotten.k)),
         ],
     )

@@ -4,22 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from playledger.functions import moment
 from playledger.functions.clock import AsOf
 from playledger.operators.report import body, cards, sections
-from playledger.plans.recap import recap_tables
+from playledger.plans.recap import recap_tables, report_days
 from playledger.star import Star
 
 
 def report_sections(star: Star, as_of: Sequence[AsOf]) -> DataFrame:
-    """Section texts of one report per date."""
+    """Section texts of one report per day; a day that is given twice has one."""
     dates = list(as_of)
     recaps = recap_tables(star, dates)
-    days = F.array(*[moment(date).cast("date") for date in dates])
-    reports = recaps.sparkSession.range(1).select(F.explode(days).alias("as_of"))
-    return sections(cards(recaps), reports)
+    return sections(cards(recaps), report_days(recaps.sparkSession, dates))
 
 
 def report_bodies(star: Star, as_of: Sequence[AsOf]) -> DataFrame:

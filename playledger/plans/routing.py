@@ -18,7 +18,7 @@ from playledger.operators.messages import to_messages
 from playledger.operators.plays import fact_rows
 from playledger.schemas import ALBUM_TOPIC, ARTIST_TOPIC, ITEM_TOPIC, SONG_TOPIC
 from playledger.sources.landing import Entities
-from playledger.star import Star
+from playledger.star import Dimensions, Star
 
 _DETAILS = (
     ("song_id", SONG_TOPIC, flatten_song),
@@ -27,16 +27,16 @@ _DETAILS = (
 )
 
 
-def route(plays: DataFrame, known: Star, entities: Entities, few: bool = False) -> DataFrame:
+def route(plays: DataFrame, known: Dimensions | Star, entities: Entities) -> DataFrame:
     """Topic records of a batch of plays: details of each key not known yet, and every play.
 
-    ``plays`` is read once per topic; persist it if it is expensive to compute. ``few`` says that
-    there are at most ``FEW_ROWS`` of them.
+    ``plays`` is read once per topic; persist it if it is expensive to compute. Of
+    ``known`` only the dimensions are read.
     """
 
     def details(key: str, topic: str, flatten: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        keys = new_keys(plays, known.dim(key), key, few)
-        return to_messages(flatten(enrich(keys, entities.raw(key), key, few)), topic)
+        keys = new_keys(plays, known.dim(key), key)
+        return to_messages(flatten(enrich(keys, entities.raw(key), key)), topic)
 
     items = to_messages(fact_rows(plays), ITEM_TOPIC)
     return reduce(DataFrame.unionByName, [*[details(*d) for d in _DETAILS], items])

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 #: Adaptive execution picks join strategies and partition counts from run-time sizes, and splits
-#: skewed join partitions. Shuffle partitions start high and are coalesced.
+#: skewed join partitions. A shuffle starts with many partitions, and
+#: those that turn out small are merged.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.metricsEnabled": "true",
 }

@@ -7,6 +7,7 @@ from playledger.sources.warehouse import (
     REJECTS_TABLE,
     FolderWarehouse,
     JdbcWarehouse,
+    MissingTable,
     unseen_plays,
 )
 
@@ -15,6 +16,7 @@ __all__ = [
     "FolderTopics",
     "FolderWarehouse",
     "JdbcWarehouse",
+    "MissingTable",
     "KafkaTopics",
     "REJECTS_TABLE",
     "kafka_options",

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -13,17 +16,19 @@ _SETTING = "spark.checkpoint.dir"
 
 @functools.cache
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="playledger-")
+    root = tempfile.mkdtemp(prefix="playledger-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the one that the cluster sets in ``spark.checkpoint.dir``.
 
-    Only a local session may lack the setting; it then gets a temporary folder.
+    Only a local session may lack the setting; it then gets a temporary folder, which goes when Python ends.
     """
     root = spark.conf.get(_SETTING, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError(f"{_SETTING} must name a folder that all executors share")
         root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

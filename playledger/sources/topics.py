@@ -9,6 +9,7 @@ import pyspark
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playledger.schemas import TOPIC_RECORD, TOPICS
+from playledger.sources.landing import bounded
 
 
 def kafka_package() -> str:
@@ -28,21 +29,34 @@ def kafka_options(servers: str, topics: Iterable[str] = TOPICS,
 
 @dataclass(frozen=True)
 class KafkaTopics:
-    """Topics on a broker. ``extra`` goes to the reader and the writer as is (security, ...)."""
+    """Topics on a broker.
+
+    ``extra`` are client settings (security, ...); those named ``kafka.*`` go to the reader and the
+    writer, all others to the reader. ``max_offsets`` bounds the records of a batch; the rest comes
+    in the next batches.
+    """
 
     servers: str
     topics: tuple[str, ...] = tuple(TOPICS)
     starting_offsets: str = "latest"
     extra: dict[str, str] = field(default_factory=dict)
+    max_offsets: int | None = None
+
+    def read_options(self) -> dict[str, str]:
+        bound = {"maxOffsetsPerTrigger": str(self.max_offsets)} if self.max_offsets else {}
+        return kafka_options(self.servers, self.topics, self.starting_offsets) | bound | self.extra
+
+    def write_options(self) -> dict[str, str]:
+        client = {k: v for k, v in self.extra.items() if k.startswith("kafka.")}
+        return {"kafka.bootstrap.servers": self.servers} | client
 
     def read_stream(self, spark: SparkSession) -> DataFrame:
-        options = kafka_options(self.servers, self.topics, self.starting_offsets) | self.extra
+        options = self.read_options()
         return spark.readStream.format("kafka").options(**options).load().select("value", "topic")
 
     def append(self, records: DataFrame, batch: str) -> None:
         """Publish the records, without keys. Delivery is at least once."""
-        options = {"kafka.bootstrap.servers": self.servers} | self.extra
-        records.write.format("kafka").options(**options).save()
+        records.write.format("kafka").options(**self.write_options()).save()
 
 
 @dataclass(frozen=True)
@@ -55,11 +69,10 @@ class FolderTopics:
 
     root: str
     max_files: int | None = None
+    max_bytes: int | None = None
 
     def read_stream(self, spark: SparkSession) -> DataFrame:
-        reader = spark.readStream.schema(TOPIC_RECORD)
-        if self.max_files:
-            reader = reader.option("maxFilesPerTrigger", self.max_files)
+        reader = bounded(spark.readStream.schema(TOPIC_RECORD), self.max_files, self.max_bytes)
         return reader.option("pathGlobFilter", "*.parquet").parquet(f"{self.root}/batch=*")
 
     def read(self, spark: SparkSession) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from playledger.operators.entities import FEW_ROWS, without_known
+from playledger.operators.entities import without_known
 from playledger.operators.messages import (
     accepted,
     all_rows,
@@ -24,7 +24,7 @@ from playledger.streaming.batches import batch_tag
 METRICS = "records"
 
 
-def new_rows(rows: DataFrame, key: str, known: DataFrame, few: bool = False) -> DataFrame:
+def new_rows(rows: DataFrame, key: str, known: DataFrame) -> DataFrame:
     """One dimension row for each key that is not stored yet.
 
     Of several rows with one key the greatest wins, so that the pick is the same on a replay; NULLs
@@ -32,7 +32,7 @@ def new_rows(rows: DataFrame, key: str, known: DataFrame, few: bool = False) ->
     """
     rest = F.struct(*[c for c in rows.columns if c != key])
     single = rows.groupBy(key).agg(F.max(rest).alias("rest")).select(key, "rest.*")
-    return without_known(single, known, key, few)
+    return without_known(single, known, key)
 
 
 def dispatch(
@@ -42,6 +42,7 @@ def dispatch(
     trigger: dict[str, Any] | None = None,
     unique_dims: bool = True,
     keep_rejects: bool = True,
+    compact_every: int = 0,
 ) -> StreamingQuery:
     """Start the stream that parses topic records and appends them to their tables.
 
@@ -49,10 +50,14 @@ def dispatch(
     at query time. Topics without records in the batch are not written. ``unique_dims`` keeps one
     row per key, since a key published twice would count its plays twice. ``keep_rejects`` sends
     records without their key to the table ``rejects``. With both off every parsed row is appended
-    as it is.
+    as it is. ``compact_every`` merges the stored batches of a folder warehouse before each batch
+    whose number it divides, in the thread that writes, so that no write runs beside it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            for table in (*[t.table for t in TOPICS.values()], REJECTS_TABLE):
+                warehouse.compact(batch.sparkSession, table)
         parsed = parse_records(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             _write_batch(parsed, batch_tag(batch, batch_id), warehouse, unique_dims, keep_rejects)
@@ -91,9 +96,8 @@ def _write_batch(
             continue
         rows = rows_of(parsed, topic.name)
         if unique_dims and not topic.is_fact:
-            few = found[topic.name]["n_records"] <= FEW_ROWS
             known = warehouse.known_keys(spark, topic.table, tag)
-            rows = new_rows(rows, topic.key, known, few)
+            rows = new_rows(rows, topic.key, known)
         warehouse.append(rows, topic.table, tag)
     if keep_rejects and any(row["n_rejects"] for row in found.values()):
         warehouse.append(rejected(parsed), REJECTS_TABLE, tag)

@@ -8,7 +8,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from playledger.operators.entities import FEW_ROWS
 from playledger.operators.plays import explode_plays
 from playledger.plans.routing import route
 from playledger.sources.landing import read_entities
@@ -27,7 +26,7 @@ def ingest(
 ) -> StreamingQuery:
     """Start the stream that turns history pages into topic records.
 
-    The warehouse and the entity landing tables are read anew for each batch. Pages count as read
+    Of the warehouse only the dimensions are opened; one that does not exist yet is empty. They and the entity landing tables are read anew for each batch. Pages count as read
     only when their batch is committed, so a failed batch is repeated, not lost.
     """
 
@@ -35,11 +34,10 @@ def ingest(
         spark = batch.sparkSession
         plays = explode_plays(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            n_plays = plays.count()
-            if not n_plays:
+            if not plays.count():
                 return
-            known, entities = warehouse.star(spark), read_entities(spark, entity_root)
-            records = route(plays, known, entities, few=n_plays <= FEW_ROWS)
+            known, entities = warehouse.dimensions(spark), read_entities(spark, entity_root)
+            records = route(plays, known, entities)
             topics.append(records, batch_tag(batch, batch_id))
         finally:
             plays.unpersist()

@@ -7,6 +7,7 @@ from playledger.testbed.views import (
     EVENTS_END,
     EVENTS_WEEK,
     LINEITEM_END,
+    LINEITEM_PAST,
     LINEITEM_WEEK,
 )
 from playledger.testbed.queries import CURSOR_MS, LATE_CURSOR_MS, REPORT_DATES
@@ -80,6 +81,7 @@ def _forgotten(fact: str, as_of: str, album: str = ALBUM) -> str:
     return f"""SELECT song_name, album_art, max(f.played_at) AS last_played,
         CAST(datediff('day', CAST(max(f.played_at) AS DATE), DATE '{as_of}') AS INTEGER) AS days_ago
         FROM {fact} f {JOIN_SONG} JOIN {album} a ON f.album_id = a.album_id
+        WHERE CAST(f.played_at AS DATE) <= DATE '{as_of}'
         GROUP BY song_name, album_art
         ORDER BY days_ago DESC NULLS LAST, song_name NULLS FIRST, album_art NULLS FIRST LIMIT 10"""
 
@@ -330,6 +332,7 @@ ORACLE: dict[str, str] = {
     "recap_top_albums": _albums(LINEITEM_FACT, LINEITEM_WEEK),
     "recap_top_artists": _artists(LINEITEM_FACT, LINEITEM_WEEK),
     "recap_forgotten_songs": _forgotten(LINEITEM_FACT, LINEITEM_END),
+    "recap_forgotten_songs_past": _forgotten(LINEITEM_FACT, LINEITEM_PAST),
     "recap_top_songs_events": _songs(EVENTS_FACT, EVENTS_WEEK),
     "recap_top_albums_events": _albums(EVENTS_FACT, EVENTS_WEEK),
     "recap_top_artists_events": _artists(EVENTS_FACT, EVENTS_WEEK),
@@ -366,6 +369,7 @@ ORACLE: dict[str, str] = {
     "rejected_records": REJECTED,
     "stream_dispatch": _counts(1, broken=True),
     "warehouse_roundtrip": _counts(2, broken=False),
+    "compaction_roundtrip": _counts(6, broken=False),
     "pipeline_roundtrip": _suite_text(PAYLOAD_FACT, EVENTS_END, PAYLOAD_ALBUM),
     "explode_plays": PLAYS,
     "event_id_shape": f"""SELECT count(*) AS n_plays, count(*) AS n_ids, count(*) AS n_hex

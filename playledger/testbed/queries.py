@@ -82,6 +82,12 @@ def recap_forgotten_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.forgotten_songs(v.lineitem_star(spark, sf_dir), v.LINEITEM_END)
 
 
+@query
+def recap_forgotten_songs_past(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As it was on a date before most plays."""
+    return plans.forgotten_songs(v.lineitem_star(spark, sf_dir), v.LINEITEM_PAST)
+
+
 @query
 def recap_top_songs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.top_songs(v.events_star(spark, sf_dir), v.EVENTS_WEEK)
@@ -110,8 +116,8 @@ def recap_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def recap_suite_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The suite for several dates, from one scan of the plays."""
-    recap = plans.recap_tables(v.events_star(spark, sf_dir), REPORT_DATES)
+    """The suite for several dates, from one scan of the plays; one date is given twice."""
+    recap = plans.recap_tables(v.events_star(spark, sf_dir), [*REPORT_DATES, REPORT_DATES[0]])
     return _as_text(recap, "as_of", "total_minute_listened", "days_ago")
 
 
@@ -291,6 +297,21 @@ def warehouse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table_counts(spark, warehouse)
 
 
+@query
+def compaction_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of two streams, merged twice, with replays of the newest in between."""
+    warehouse = FolderWarehouse(shared_folder(spark, "compaction"))
+    for topic, table in ((SONG_TOPIC, SONG_TABLE), (ALBUM_TOPIC, ALBUM_TABLE),
+                         (ARTIST_TOPIC, ARTIST_TABLE), (ITEM_TOPIC, FACT_TABLE)):
+        rows = msg.parse_topic(msg.decode(_messages(spark, sf_dir, topic)), topic)
+        for batches in (("a.0", "a.1", "a.2", "b.0"), ("a.2", "a.3", "b.0", "b.1"), ("a.3",)):
+            for batch in batches:
+                warehouse.append(rows, table, batch)
+            warehouse.compact(spark, table)
+    warehouse.append(rejected_records(spark, sf_dir), REJECTS_TABLE, "a.0")
+    return _table_counts(spark, warehouse)
+
+
 @query
 def pipeline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History pages to recaps through both streams."""
@@ -360,7 +381,8 @@ def preview_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def route_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = v.star_of_text_ids(v.known_star(spark, sf_dir))
-    records = msg.decode(plans.route(_plays(spark, sf_dir), known, v.entities(spark, sf_dir)))
+    plays = _plays(spark, sf_dir).persist()
+    records = msg.decode(plans.route(plays, known, v.entities(spark, sf_dir)))
     key = F.coalesce(*[F.get_json_object("json_value", f"$.{k}")
                        for k in ("song_id", "album_id", "artist_id")])
     return records.groupBy("topic").agg(
@@ -392,12 +414,19 @@ def new_keys_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def enrich_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Details of the new albums; each has two copies in the landing table."""
+    """Details of the new albums. The landing table has three copies of each: an old one whose text is
+    the greatest, the newest, and one without a time."""
     keys = _new_keys(spark, sf_dir, "album_id").withColumn(
         "album_id", F.col("album_id").cast("string")
     )
     raw = v.entities(spark, sf_dir).album
-    return ent.flatten_album(ent.enrich(keys, raw.unionAll(raw), "album_id")).select(
+    stale = F.concat(F.lit('{"popularity":-1,"name":"~old~ '), F.col("album_id"), F.lit('"}'))
+    old = raw.withColumn("payload", stale).withColumn(
+        "fetched_at", F.lit("2023-06-01 00:00:00").cast("timestamp_ntz")
+    )
+    unknown = old.withColumn("fetched_at", F.lit(None).cast("timestamp_ntz"))
+    copies = old.unionByName(raw).unionByName(unknown)
+    return ent.flatten_album(ent.enrich(keys, copies, "album_id")).select(
         "album_id", "title", "total_tracks", "release_date", "popularity"
     )
 

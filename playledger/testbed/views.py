@@ -20,6 +20,9 @@ LINEITEM_END = "2001-12-01"
 EVENTS_WEEK = "2024-01-10"
 EVENTS_END = "2024-01-31"
 EMPTY_WEEK = "2024-02-14"
+#: A date in the middle of the plays of ``lineitem``.
+LINEITEM_PAST = "1996-05-08"
+FETCHED_AT = "2024-01-01 00:00:00"
 
 
 #: Given, so that opening a table does not start a job that reads its footer.
@@ -175,7 +178,9 @@ def entities(spark: SparkSession, sf_dir: str) -> Entities:
 
     def landing(name: str, key: str, kind: str, payload: Column) -> DataFrame:
         return table(spark, sf_dir, name).select(
-            F.col(key).cast("string").alias(f"{kind}_id"), payload.alias("payload")
+            F.col(key).cast("string").alias(f"{kind}_id"),
+            payload.alias("payload"),
+            F.lit(FETCHED_AT).cast("timestamp_ntz").alias("fetched_at"),
         )
 
     return Entities(

@@ -1,4 +1,5 @@
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,29 +118,50 @@ def test_flatten_album_and_artist(spark, images, wanted):
     assert rows(flatten_artist(raw)) == [("r1", "n", "u", 7, wanted, 4)]
 
 
-@pytest.mark.parametrize("few", [False, True])
-def test_new_keys_are_distinct_unknown_and_not_null(spark, few):
+def test_new_keys_are_distinct_unknown_and_not_null(spark):
     plays = spark.createDataFrame([("s1",), ("s1",), ("s2",), (None,), ("s3",)], "song_id string")
     dim = spark.createDataFrame([("s2",), ("s2",), ("s9",), (None,)], "song_id string")
-    assert bag(new_keys(plays, dim, "song_id", few)) == {("s1",): 1, ("s3",): 1}
+    assert bag(new_keys(plays, dim, "song_id")) == {("s1",): 1, ("s3",): 1}
 
 
-def test_few_rows_do_not_shuffle_the_known_side(spark, no_broadcast):
+def test_a_small_persisted_batch_is_broadcast_to_the_known_keys(spark, tmp_path):
+    plays = spark.createDataFrame([("s1",)], "song_id string").persist()
+    plays.count()
+    spark.range(2_000_000).selectExpr("repeat(cast(id as string), 3) AS song_id").write.parquet(str(tmp_path / "known"))
+    text = plan(without_known(plays, spark.read.parquet(str(tmp_path / "known")), "song_id"))
+    plays.unpersist()
+    assert "BroadcastHashJoin" in next(line for line in text.splitlines() if "LeftSemi" in line)
+
+
+def test_without_broadcast_the_known_keys_are_shuffled_once(spark, no_broadcast):
     plays = spark.createDataFrame([("s1",)], "song_id string")
     known = spark.createDataFrame([("s1",), ("s2",)], "song_id string")
-    text = plan(without_known(plays, known, "song_id", few=True))
-    assert "BroadcastHashJoin" in text and "LeftSemi" in text
     text = plan(without_known(plays, known, "song_id"))
-    assert "BroadcastHashJoin" not in text and "LeftAnti" in text
+    assert "BroadcastHashJoin" not in text and "LeftAnti" in text and "LeftSemi" in text
+    # Rows, known keys, and the rows again for the semi-join.
+    assert text.count("Exchange hashpartitioning") <= 3
+
 
+RAW = "song_id string, payload string, fetched_at timestamp_ntz"
+OLD, NEW = datetime(2024, 7, 1), datetime(2024, 7, 2)
 
-@pytest.mark.parametrize("few", [False, True])
-def test_enrich_merges_copies(spark, few):
-    keys = spark.createDataFrame([("s1",), ("s3",)], "song_id string")
+
+def test_enrich_takes_the_copy_fetched_last(spark):
+    keys = spark.createDataFrame([("s1",), ("s3",), ("s4",), ("s5",)], "song_id string")
     raw = spark.createDataFrame(
-        [("s1", "x"), ("s1", "y"), ("s1", "x"), ("s2", "z")], "song_id string, payload string"
+        [("s1", "z old", OLD), ("s1", "a new", NEW), ("s1", "zz", None), ("s2", "z", OLD),
+         ("s4", "x", OLD), ("s4", "y", OLD), ("s5", "p", None), ("s5", "q", None)],
+        RAW,
     )
-    assert rows(enrich(keys, raw, "song_id", few)) == [("s1", "y")]
+    assert bag(enrich(keys, raw, "song_id")) == {("s1", "a new"): 1, ("s4", "y"): 1, ("s5", "q"): 1}
+
+
+def test_enrich_joins_before_it_merges(spark, no_broadcast):
+    keys = spark.createDataFrame([("s1",)], "song_id string")
+    lines = plan(enrich(keys, spark.createDataFrame([], RAW), "song_id")).splitlines()
+    join = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
+    assert any("max(" in line for line in lines[:join])
+    assert not any("max(" in line for line in lines[join:])
 
 
 def test_messages_keep_nulls_and_unicode(spark):
@@ -149,8 +171,7 @@ def test_messages_keep_nulls_and_unicode(spark):
     assert json.loads(bytes(value).decode("utf-8")) == {"song_id": "é☃", "title": None}
 
 
-@pytest.mark.parametrize("few", [False, True])
-def test_route(spark, few):
+def test_route(spark):
     plays = explode_plays(
         pages(spark, [play(T1, "s1"), play(T2, "s1"), play(T2, "s2", "a2", ("r2",))],
               [play(T2, "s4", "a1", ())])
@@ -164,12 +185,13 @@ def test_route(spark, few):
 
     def raw(key, *ids):
         return spark.createDataFrame(
-            [(i, json.dumps({"name": f"name {i}"})) for i in ids], f"{key} string, payload string"
+            [(i, json.dumps({"name": f"name {i}"}), OLD) for i in ids],
+            f"{key} string, payload string, fetched_at timestamp_ntz",
         )
 
     entities = Entities(raw("song_id", "s1", "s2", "s3"), raw("album_id", "a1", "a2"),
                         raw("artist_id", "r1"))
-    records = route(plays, star, entities, few)
+    records = route(plays, star, entities)
     found = {
         topic: bag(parse_topic(decode(records), topic).select(spec.message.names[0]))
         for topic, spec in TOPICS.items()

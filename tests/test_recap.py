@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -195,7 +195,8 @@ def test_recaps_match_plain_python(spark, request, seed, joins):
         [(*names, minutes(p)) for names, p in groups.items()], 5
     )
     groups = grouped(fact, dict(song=song, album=album), lambda r: (r["song"][1], r["album"][2]))
-    last = {n: max((at for _, at in p if at), default=None) for n, p in groups.items()}
+    seen = {n: [at for _, at in p if at is None or at.date() <= date(2024, 7, 3)] for n, p in groups.items()}
+    last = {n: max((at for at in p if at), default=None) for n, p in seen.items() if p}
     wanted = first_k(
         [(*n, at and (date(2024, 7, 3) - at.date()).days) for n, at in last.items()], 10
     )
@@ -302,3 +303,46 @@ def test_partition_column_prunes_days(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(play_date" in plan(week)
     assert bag(week.drop("play_date")) == bag(in_week(star.fact, AS_OF))
     assert bag(plays_by(week, "song_id")) == bag(plays_by(in_week(star.fact, AS_OF), "song_id"))
+
+
+def test_forgotten_songs_as_they_were_on_a_past_day(spark):
+    star = make_star(
+        spark,
+        [("s1", "a", "r", datetime(2024, 7, 1)), ("s1", "a", "r", datetime(2024, 7, 9)),
+         ("s2", "a", "r", datetime(2024, 7, 3, 23, 59)), ("s3", "a", "r", datetime(2024, 7, 4))],
+        [("s1", "Early", 1), ("s2", "Same day", 1), ("s3", "Later", 1)],
+    )
+    wanted = [("Early", "art", datetime(2024, 7, 1), 2), ("Same day", "art", datetime(2024, 7, 3, 23, 59), 0)]
+    assert rows(forgotten_songs(star, AS_OF)) == wanted
+    found = recap_tables(star, ["2024-07-03", "2024-07-20"]).filter("section_no = 4")
+    found = bag(found.selectExpr("cast(as_of as string)", "song_name", "days_ago"))
+    assert found == {
+        ("2024-07-03", "Early", 2): 1, ("2024-07-03", "Same day", 0): 1,
+        ("2024-07-20", "Early", 11): 1, ("2024-07-20", "Same day", 17): 1, ("2024-07-20", "Later", 16): 1,
+    }
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_several_dates_are_the_union_of_single_ones(spark, seed):
+    star = make_star(spark, *random_tables(seed))
+    dates = ["2024-06-28", "2024-07-02", "2024-07-09", "2024-08-01"]
+    wanted = sum((bag(recap_table(star, d)) for d in dates), Counter())
+    assert bag(recap_tables(star, dates)) == wanted
+    assert all(r.days_ago is None or r.days_ago >= 0 for r in recap_tables(star, dates).collect())
+
+
+def test_a_date_counts_once_in_whatever_form(spark):
+    star = make_star(spark, *random_tables(3))
+    forms = ["2024-07-03", date(2024, 7, 3), datetime(2024, 7, 3, 12)]
+    assert bag(recap_tables(star, forms)) == bag(recap_tables(star, forms[:1]))
+    with pytest.raises(ValueError, match="at least one date"):
+        recap_tables(star, [])
+
+
+def test_far_weeks_leave_out_the_years_between(spark, tmp_path):
+    star = make_star(spark, *random_tables(3))
+    fact = star.fact.withColumn("play_date", star.fact["played_at"].cast("date"))
+    fact.write.partitionBy("play_date").parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    filters = plan(in_weeks(fact, ["1992-07-03", "2001-07-03"])).split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "OR" in filters.upper() and "1992-07-04" in filters and "2001-07-01" in filters

@@ -2,21 +2,114 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import DataFrameWriter
+from pyspark.sql.classic.dataframe import DataFrame
 
 from playledger.schemas import FACT_TABLE, SONG_TABLE, TABLES
-from playledger.sources import FolderWarehouse, JdbcWarehouse, shared_folder, unseen_plays
-from tests.util import bag
+from playledger.sources import (
+    FolderWarehouse,
+    JdbcWarehouse,
+    MissingTable,
+    shared_folder,
+    unseen_plays,
+)
+from tests.util import bag, plan
 
 PLAY = "song_id string, album_id string, artist_id string, played_at timestamp_ntz"
 T1, T2, T3 = (datetime(2024, 7, d) for d in (1, 2, 3))
 
 
-def test_missing_tables_are_empty(spark, tmp_path):
+def test_missing_tables_are_empty_if_that_is_asked_for(spark, tmp_path):
     warehouse = FolderWarehouse(str(tmp_path / "none"))
     for name, topic in TABLES.items():
-        stored = warehouse.read(spark, name).drop("play_date")
+        stored = warehouse.read(spark, name, missing_ok=True).drop("play_date")
         assert stored.schema == topic.row
         assert stored.count() == 0
+    assert warehouse.known_keys(spark, SONG_TABLE, "q.0").count() == 0
+    assert warehouse.dimensions(spark).artist.count() == 0
+
+
+def test_a_star_without_plays_is_an_error(spark, tmp_path):
+    with pytest.raises(MissingTable, match="fact_history.*none"):
+        FolderWarehouse(str(tmp_path / "none")).star(spark)
+
+
+def test_dimensions_do_not_open_the_plays(spark, tmp_path):
+    warehouse = FolderWarehouse(str(tmp_path))
+    rows = spark.createDataFrame([("s1",) + (None,) * 7], TABLES[SONG_TABLE].row)
+    warehouse.append(rows, SONG_TABLE, "q.0")
+    dims = warehouse.dimensions(spark)
+    assert dims.song.count() == 1
+    assert "fact_history" not in plan(dims.song)
+
+
+def _songs(spark, *ids):
+    return spark.createDataFrame([(i,) + (None,) * 7 for i in ids], TABLES[SONG_TABLE].row)
+
+
+def _ids(spark, warehouse):
+    return bag(warehouse.read(spark, SONG_TABLE).select("song_id"))
+
+
+def test_compaction_keeps_rows_once_and_the_newest_batch_replayable(spark, tmp_path):
+    warehouse = FolderWarehouse(str(tmp_path), merged_folders=1)
+    wanted = {}
+    for n in range(6):
+        warehouse.append(_songs(spark, f"s{n}", f"s{n}"), SONG_TABLE, f"q.{n}")
+        wanted[(f"s{n}",)] = 2
+        if n % 2:
+            warehouse.compact(spark, SONG_TABLE)
+            warehouse.append(_songs(spark, f"s{n}", f"s{n}"), SONG_TABLE, f"q.{n}")
+        assert _ids(spark, warehouse) == wanted
+    assert ("s5",) not in bag(warehouse.known_keys(spark, SONG_TABLE, "q.5"))
+
+
+def test_a_compaction_that_ends_early_changes_nothing(spark, tmp_path, monkeypatch):
+    warehouse = FolderWarehouse(str(tmp_path))
+    for n in range(4):
+        warehouse.append(_songs(spark, f"s{n}"), SONG_TABLE, f"q.{n}")
+    before = _ids(spark, warehouse)
+    with monkeypatch.context() as m:
+        m.setattr(DataFrame, "coalesce", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            warehouse.compact(spark, SONG_TABLE)
+    assert _ids(spark, warehouse) == before
+    warehouse.compact(spark, SONG_TABLE)
+    assert _ids(spark, warehouse) == before
+
+
+def test_compacted_plays_keep_their_dates(spark, tmp_path):
+    warehouse = FolderWarehouse(str(tmp_path))
+    for n, when in enumerate((T1, T2, None, T3)):
+        warehouse.append(spark.createDataFrame([("s", "a", "r", when)], PLAY), FACT_TABLE, f"q.{n}")
+    before = bag(warehouse.read(spark, FACT_TABLE))
+    warehouse.compact(spark, FACT_TABLE)
+    after = warehouse.read(spark, FACT_TABLE)
+    assert bag(after) == before
+    assert "play_date" in plan(after.where("play_date = DATE'2024-07-02'")).split("PartitionFilters")[1]
+
+
+@pytest.mark.parametrize("idempotent, wanted", [(False, 4), (True, 2)])
+def test_both_sinks_follow_one_rule(spark, tmp_path, monkeypatch, idempotent, wanted):
+    """Equal plays in one batch and in the next one; of the database, what would be written."""
+    folder = FolderWarehouse(str(tmp_path), idempotent)
+    database = JdbcWarehouse({"url": "jdbc:x"}, idempotent=idempotent)
+    written = spark.createDataFrame([], PLAY)
+    batches = [[("s", "a", "r", T1)] * 2, [("s", "a", "r", T1), ("s", "a", "r", T2)]]
+    for n, batch in enumerate(batches):
+        rows, saved = spark.createDataFrame(batch, PLAY), []
+        folder.append(rows, FACT_TABLE, f"q.{n}")
+        with monkeypatch.context() as m:
+            m.setattr(JdbcWarehouse, "read", lambda self, spark, table, stored=written: stored)
+            m.setattr(DataFrameWriter, "save", lambda self: saved.append(self._df))
+            database.append(rows, FACT_TABLE, f"q.{n}")
+        written = written.union(saved[0])
+    assert bag(folder.read(spark, FACT_TABLE).drop("play_date")) == bag(written)
+    assert written.count() == wanted
+
+
+def test_plays_in_a_database_need_a_parallel_read(spark):
+    with pytest.raises(ValueError, match="partitionColumn"):
+        JdbcWarehouse({"url": "jdbc:x"}).read(spark, FACT_TABLE)
 
 
 def test_known_keys_leave_out_the_batch_itself(spark, tmp_path):
