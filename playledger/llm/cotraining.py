@@ -18,6 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playledger.llm.common import stored
+
 _SPACE_BYTES = np.frombuffer(b" \t\n\x0b\x0c\r", np.uint8)
 
 
@@ -185,22 +187,26 @@ def _views(docs: DataFrame, fit: Fit) -> DataFrame:
     return docs.select("text", F.col("lang").cast("string"), F.col("source").cast("string"), F.col("quality").cast("int")).mapInArrow(run, _VIEWS)
 
 
-def fit_model(docs: DataFrame, fit: Fit | None = None) -> Model | None:
-    """Fits to ``doc_id, text, lang, source, quality`` (null where unlabelled); None unless both labels occur.
+def fit_model(docs: DataFrame, known: DataFrame, fit: Fit | None = None) -> Model | None:
+    """Fits to ``docs`` (``doc_id, text, lang, source``) and the labels ``known`` (``doc_id, quality``); None unless both labels
+    occur. Documents without a label are the pool.
 
-    About ``fit.sample`` labelled and as many unlabelled documents are chosen by a hash of the id. Their features, of a fixed
+    The ids are chosen first, so that the texts of all other documents stay where they are. About ``fit.sample`` labelled and as many unlabelled documents are chosen by a hash of the id. Their features, of a fixed
     size, come to the driver, so the bound does not grow with the data.
     """
     fit = fit or Fit()
     kind = F.coalesce(F.col("quality"), F.lit(-1))
-    counts = {r["kind"]: r["n"] for r in docs.groupBy(kind.alias("kind")).agg(F.count("*").alias("n")).collect()}
+    ids = docs.select("doc_id").join(known.select("doc_id", "quality"), "doc_id", "left")
+    counts = {r["kind"]: r["n"] for r in ids.groupBy(kind.alias("kind")).agg(F.count("*").alias("n")).collect()}
     with_label = counts.get(0, 0) + counts.get(1, 0)
     if not (counts.get(0) and counts.get(1)):
         return None
     million = 1_000_000
     limits = [min(million, -(-fit.sample * million // max(1, n))) for n in (with_label, counts.get(-1, 0))]
     bound = F.when(kind.isin(0, 1), limits[0]).when(kind == -1, limits[1]).otherwise(0)
-    rows = _views(docs.where(F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(million)) < bound), fit).toPandas()
+    chosen = stored(ids.where(F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(million)) < bound).distinct(), "quality_sample")
+    texts = docs.select("doc_id", "text", "lang", "source").join(F.broadcast(chosen), "doc_id")
+    rows = _views(texts, fit).toPandas()
     # Sorted, so that the fit does not depend on the order in which tasks end.
     rows = rows.sort_values(["text_view", "meta_view"], kind="stable").reset_index(drop=True)
     text, meta = (np.stack([np.frombuffer(x, np.float32) for x in rows[c]]) for c in ("text_view", "meta_view"))

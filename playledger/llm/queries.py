@@ -25,8 +25,7 @@ def op2_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = fold(F.col("doc_id"), 5) == 0
-    known = labels(spark, sf_dir).select("doc_id", "quality")
-    model = cotraining.fit_model(docs.where(~held_out).join(known, "doc_id", "left"))
+    model = cotraining.fit_model(docs.where(~held_out), labels(spark, sf_dir).where(~held_out))
     return cotraining.quality(docs, model).withColumn("held_out", held_out)
 
 
@@ -41,8 +40,8 @@ def op5_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = fold(F.col("doc_id"), 4) == 2
-    learn = docs.where(~held_out).join(labels(spark, sf_dir), "doc_id").select("doc_id", "text", "toxic")
-    return toxicity.toxicity(docs, toxicity.fit_model(learn), held_out)
+    known = labels(spark, sf_dir).where(~held_out)
+    return toxicity.toxicity(docs, toxicity.fit_model(docs, known), held_out)
 
 
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

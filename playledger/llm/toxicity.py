@@ -18,6 +18,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playledger.llm.common import stored
+
 #: Distinct words whose input a worker remembers before it starts anew, and their bytes in all.
 CACHE_WORDS = 200_000
 CACHE_BYTES = 1 << 24
@@ -295,20 +297,24 @@ def _solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return work[:, -1]
 
 
-def fit_model(labelled: DataFrame, net: Net | None = None) -> Weights | None:
-    """Fits the network to ``doc_id, text, toxic``; None unless both labels occur.
+def fit_model(docs: DataFrame, known: DataFrame, net: Net | None = None) -> Weights | None:
+    """Fits the network to the texts of ``docs`` with the labels ``known`` (``doc_id, toxic``); None unless both labels occur.
 
-    Of each class about ``net.sample`` documents come to the driver, chosen by a hash of the id; the bound does not grow with the data.
+    Of each label about ``net.sample`` documents come to the driver, chosen by a hash of the id; the bound does not grow with the
+    data. The ids are chosen first, so that the texts of all others stay where they are.
     """
     net = net or Net()
-    labelled = labelled.where("toxic IN (0, 1)")
+    labelled = known.where("toxic IN (0, 1)").select("doc_id", "toxic")
     counts = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if set(counts) != {0, 1}:
         return None
     million = 1_000_000
     limit = {k: min(million, -(-net.sample * million // n)) for k, n in counts.items()}
     bound = F.when(F.col("toxic") == 1, limit[1]).otherwise(limit[0])
-    rows = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(million)) < bound).select("doc_id", "text", "toxic").collect()
+    chosen = stored(labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(million)) < bound), "toxicity_sample")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").collect()
+    if len({r["toxic"] for r in rows}) < 2:
+        return None
     rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
     return train([words_of(r["text"]) for r in rows], np.array([r["toxic"] for r in rows]), net)
 
