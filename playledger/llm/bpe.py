@@ -20,13 +20,14 @@ import re
 import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import public_tokenizers
 import regex
 
+from playledger.llm.common import process_cache
+
 TOKENIZER = "word_bpe_49k.json"
 #: White space as the tokenizer has it. Python's own ``\s`` also takes the separators 0x1C to 0x1F.
 _SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -268,7 +269,6 @@ class TextDecoder:
         return self.utf8.decode(b"", True)
 
 
-@lru_cache(maxsize=2)
 def tokenizer(name: str = TOKENIZER) -> WordBpe:
     """The tokenizer of a public file, read once per process."""
-    return WordBpe(public_tokenizers.path(name))
+    return process_cache(f"tokenizer {name}", lambda: WordBpe(public_tokenizers.path(name)))

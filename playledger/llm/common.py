@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +50,22 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[str, Any] = {}
+
+
+def process_cache(owner: str, make: Callable[[], Any]) -> Any:
+    """What ``owner`` remembers in this process, made on first use.
+
+    Spark's Python workers go on from task to task and from stage to stage. What one operator has remembered goes
+    when another one asks, so that a worker never holds the memory of several.
+    """
+    if owner not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        _HELD[owner] = make()
+    return _HELD[owner]
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}

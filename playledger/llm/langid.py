@@ -21,7 +21,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playledger.llm.common import stored
+from playledger.llm.common import process_cache, stored
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 UNKNOWN = "und"
@@ -281,6 +281,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         return docs.select(F.col("doc_id").cast("long"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        process_cache("languages", dict)
         scorer = Scorer(model)
         for batch in batches:
             texts, names, values, start, size = batch.column(1).to_pylist(), [], [], 0, 0

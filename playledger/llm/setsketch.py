@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playledger.llm.common import stored
+from playledger.llm.common import process_cache, stored
 from playledger.llm.components import components
 
 
@@ -120,6 +120,7 @@ def sketches(docs: DataFrame, near: Near) -> DataFrame:
     """``doc_id``, size of the set, digest of the set (equal sets, equal digests) and registers, for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        process_cache("sketches", dict)
         for batch in batches:
             sizes, digests, regs = [], [], []
             for text in batch.column(1):

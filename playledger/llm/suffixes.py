@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playledger.llm.common import SPACE_CHARS, free_name, stored
+from playledger.llm.common import SPACE_CHARS, free_name, process_cache, stored
 
 _WORD = re.compile(f"[^{SPACE_CHARS}]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -64,6 +64,7 @@ def _marks(docs: DataFrame, p: Passage) -> DataFrame:
     """``gram, doc_id, pos`` of all minimisers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        process_cache("passages", dict)
         for batch in batches:
             found = [minimisers(word_hashes(t.as_py()), p) for t in batch.column(1)]
             ids = pa.array(batch.column(0)).take(pa.array(np.repeat(np.arange(len(found)), [len(a) for a, _ in found])))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playledger.llm.common import stored
+from playledger.llm.common import process_cache, stored
 
 #: Distinct words whose input a worker remembers before it starts anew, and their bytes in all.
 CACHE_WORDS = 200_000
@@ -376,6 +376,7 @@ def toxicity(docs: DataFrame, weights: Weights | None, held_out: Column | None =
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        process_cache("toxicity", dict)
         scorer = Scorer(shared.value)
         for batch in batches:
             scores, held, size = [], [], 0
