@@ -10,7 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from playledger.functions import escape_markup, strip_fences
-from playledger.schemas import NO_DATA, REPLY, SECTION_NAMES
+from playledger.schemas import (
+    BY_ARTIST,
+    DAYS_AGO,
+    MINUTES_LISTENED,
+    NO_DATA,
+    RECAPS_HEADING,
+    RECOMMENDATIONS_HEADING,
+    REPLY,
+    SECTION_NAMES,
+    WAS_PLAYED,
+)
 
 
 def _text(name: str) -> Column:
@@ -29,9 +39,9 @@ def _card(cover: Column | None, title: str, *lines: Column) -> Column:
 def cards(recap: DataFrame) -> DataFrame:
     """A recap table with one card text per row: ``as_of, section_no, rank, card``."""
     cover = _text("album_art")
-    by_artist = F.concat(F.lit("by "), _text("artist"))
-    listened = F.concat(_text("total_minute_listened"), F.lit("m listened"))
-    last = F.concat(F.lit("was played "), _text("days_ago"), F.lit(" days ago"))
+    by_artist = F.concat(F.lit(BY_ARTIST), _text("artist"))
+    listened = F.concat(_text("total_minute_listened"), F.lit(MINUTES_LISTENED))
+    last = F.concat(F.lit(WAS_PLAYED), _text("days_ago"), F.lit(DAYS_AGO))
     number = F.col("section_no")
     card = (
         F.when(number == 1, _card(cover, "song_name", by_artist, listened))
@@ -109,11 +119,11 @@ def final_report(bodies: DataFrame, replies: DataFrame) -> DataFrame:
         "\n",
         F.lit("<html><body>"),
         paragraph("opening_statement"),
-        F.lit("<h2>Recaps</h2>"),
+        F.lit(f"<h2>{RECAPS_HEADING}</h2>"),
         paragraph("weekly_recap"),
         paragraph("mood_recap"),
         F.col("body"),
-        F.lit("<h2>Recommendations</h2>"),
+        F.lit(f"<h2>{RECOMMENDATIONS_HEADING}</h2>"),
         paragraph("recommendations"),
         paragraph("closing_statement"),
         F.lit("</body></html>"),

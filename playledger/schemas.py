@@ -33,7 +33,11 @@ SECTION_NAMES = {
     3: "Top 5 Artists",
     4: "Songs you haven't listened to in a while",
 }
-PLAYED_AT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+#: Texts of the cards and headings of a report.
+BY_ARTIST = "by "
+MINUTES_LISTENED = "m listened"
+WAS_PLAYED, DAYS_AGO = "was played ", " days ago"
+RECAPS_HEADING, RECOMMENDATIONS_HEADING = "Recaps", "Recommendations"
 # ------------------------------------------------------------------------------------------------
 
 STRING, INT, BOOLEAN = T.StringType(), T.IntegerType(), T.BooleanType()

@@ -1,6 +1,6 @@
 """Where records, payloads and tables come from and go to."""
 
-from playledger.sources.landing import Entities, read_entities, read_pages, stream_pages
+from playledger.sources.landing import Entities, read_entities, stream_pages
 from playledger.sources.scratch import shared_folder
 from playledger.sources.topics import FolderTopics, KafkaTopics, kafka_options, kafka_package
 from playledger.sources.warehouse import (
@@ -22,7 +22,6 @@ __all__ = [
     "kafka_options",
     "kafka_package",
     "read_entities",
-    "read_pages",
     "shared_folder",
     "stream_pages",
     "unseen_plays",

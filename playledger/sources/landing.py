@@ -33,11 +33,6 @@ def read_entities(spark: SparkSession, root: str) -> Entities:
     return Entities(table("song"), table("album"), table("artist"))
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Raw history pages, one JSON document per line."""
-    return spark.read.schema(HISTORY_PAYLOAD).json(path)
-
-
 def bounded(
     reader: DataStreamReader, max_files: int | None, max_bytes: int | None
 ) -> DataStreamReader:

@@ -4,6 +4,7 @@ import pytest
 
 from playledger.__main__ import main
 from playledger.schemas import REPLY
+from playledger.sources import MissingTable, shared_folder
 from tests.test_ingest import play
 
 
@@ -40,7 +41,27 @@ def test_jobs_from_pages_to_report(spark, tmp_path):
 
 
 @pytest.mark.parametrize("args", [["recap", "--out", "x"],
-                                  ["dispatch", "--warehouse", "w", "--checkpoint", "c"]])
+                                  ["dispatch", "--warehouse", "w", "--checkpoint", "c"],
+                                  ["recap", "--jdbc", "url=x", "--out", "x"]])
 def test_missing_arguments(args):
     with pytest.raises(SystemExit):
         main(args)
+
+
+def test_a_wrong_warehouse_is_an_error(spark, tmp_path):
+    with pytest.raises(MissingTable, match="fact_history"):
+        main(["recap", "--warehouse", str(tmp_path / "none"), "--as-of", "2024-07-03", "--out", str(tmp_path / "o")])
+
+
+def test_only_a_local_session_gets_a_local_scratch_folder(spark):
+    class Fake:
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:
+            master = "local-cluster[2,1,1024]"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Fake, "x")
+    Fake.sparkContext.master = "local[4]"
+    assert "/x-" in shared_folder(Fake, "x")

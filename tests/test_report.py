@@ -9,7 +9,7 @@ from playledger.operators.report import body, cards, final_report, reply_fields,
 from playledger.plans import report_bodies
 from playledger.schemas import REPLY, SECTION_NAMES
 from tests.test_recap import make_star, played
-from tests.util import rows
+from tests.util import bag, rows
 
 D1, D2 = date(2024, 7, 3), date(2024, 7, 10)
 RECAP = (
@@ -127,3 +127,20 @@ def test_final_report(spark):
     assert sorted(parts, key=html.index) == parts
     assert found[D1].is_valid and not found[D2].is_valid
     assert "BODY2" in found[D2].html
+
+
+def test_one_reply_per_report(spark):
+    bodies = spark.createDataFrame([(D1, "BODY")], "as_of date, body string")
+    whole = [json.dumps(FIELDS | {"mood_recap": text}) for text in ("one", "two")]
+    replies = spark.createDataFrame(
+        [(D1, "not json"), (D1, whole[0]), (D1, whole[1]), (D1, '{"mood_recap": "z"}')],
+        "as_of date, reply string",
+    )
+    (report,) = final_report(bodies, replies).collect()
+    assert report.is_valid and "two" in report.html and "one" not in report.html
+
+
+def test_a_day_given_in_several_forms_has_one_report(spark):
+    star = make_star(spark, played("s1"), [("s1", "Song", 60_000)])
+    forms = [str(D1), D1, datetime(D1.year, D1.month, D1.day, 9)]
+    assert bag(report_bodies(star, forms)) == bag(report_bodies(star, [D1]))

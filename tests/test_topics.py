@@ -110,3 +110,26 @@ def test_folder_topics_replace_a_repeated_batch(spark, tmp_path):
     topics.append(messages(spark, "3", topic=SONG_TOPIC), "q.1")
     topics.append(messages(spark, "4", topic=SONG_TOPIC), "q.0")
     assert sorted(bytes(r.value) for r in topics.read(spark).collect()) == [b"3", b"4"]
+
+
+def test_broker_settings_and_bound():
+    topics = KafkaTopics("h:1", extra={"kafka.security.protocol": "SSL", "failOnDataLoss": "false"}, max_offsets=7)
+    read, write = topics.read_options(), topics.write_options()
+    assert read["maxOffsetsPerTrigger"] == "7" and read["failOnDataLoss"] == "false"
+    assert read["kafka.security.protocol"] == write["kafka.security.protocol"] == "SSL"
+    assert set(write) == {"kafka.bootstrap.servers", "kafka.security.protocol"}
+    assert "maxOffsetsPerTrigger" not in KafkaTopics("h:1").read_options()
+
+
+@pytest.mark.parametrize("bound", [{"max_files": 1}, {"max_bytes": 1}])
+def test_a_bounded_folder_is_read_in_several_batches_to_its_end(spark, tmp_path, bound):
+    for n in range(3):
+        FolderTopics(str(tmp_path / "t")).append(messages(spark, f"{n}", topic=SONG_TOPIC), str(n))
+    sizes = []
+    stream = FolderTopics(str(tmp_path / "t"), **bound).read_stream(spark)
+    query = (
+        stream.writeStream.foreachBatch(lambda df, _: sizes.append(df.count()))
+        .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert sum(sizes) == 3 and len(sizes) >= 3
