@@ -64,6 +64,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM r LEFT JOIN verdict ON source = host
 """
 
+OP2 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+both_have AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM both_have JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+side AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, side.b FROM reach JOIN side ON reach.b = side.a)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN n USING (doc_id)
+"""
+
 OP8 = """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -71,6 +92,7 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 ORACLE: dict[str, str] = {
+    "op2_setsketch": OP2,
     "op7_host_rules": OP7,
     "op8_exact_dedup": OP8,
 }
