@@ -17,6 +17,13 @@ from playledger.llm.common import documents, free_name, stored
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _without(docs: DataFrame, ids: DataFrame, key: str, purpose: str) -> DataFrame:
+    """``docs`` without the rows whose id is listed. The list is written first: Spark then knows its size, and if it is
+    small the texts stay where they are."""
+    ids = stored(ids.distinct(), purpose)
+    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids[key]), "left_anti")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter go; so do those of which no language has at least half the probability.
 
@@ -24,9 +31,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     key = free_name(docs, "langid_doc_id")
     found = langid.identify(docs, langid.fit_model(langid.training_rows(docs, F.lit(False))))
-    good = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= 0.5)).select(F.col("doc_id").alias(key))
-    good = stored(good.distinct(), "language_kept")
-    return docs.join(good, docs["doc_id"].cast("long").eqNullSafe(good[key]), "left_semi")
+    bad = found.where((F.col("lang_pred") == langid.UNKNOWN) | (F.col("score") < 0.5)).select(F.col("doc_id").alias(key))
+    return _without(docs, bad, key, "language_rejected")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +44,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more), the document with the least id stays."""
     key = free_name(docs, "near_doc_id")
     found = setsketch.near_duplicates(docs, setsketch.Near(num=80, den=100, shingle=5, bands=36))
-    kept = stored(found.where("kept").select(F.col("doc_id").alias(key)).distinct(), "near_kept")
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept[key]), "left_semi")
+    return _without(docs, found.where("NOT kept").select(F.col("doc_id").alias(key)), key, "near_dropped")
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

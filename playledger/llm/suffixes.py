@@ -302,8 +302,9 @@ def _spans(matches: DataFrame, p: Passage) -> DataFrame:
                 for df in (member, core)
             )
     core = core.groupBy("segment").agg(F.min("core_first").alias("before"), F.min("core_last").alias("after"))
-    least = (
-        member.where("segment IS NOT NULL").groupBy("segment").agg(F.min(F.struct("doc_id", "pos")).alias("least")).join(core, "segment")
+    least = stored(
+        member.where("segment IS NOT NULL").groupBy("segment").agg(F.min(F.struct("doc_id", "pos")).alias("least")).join(core, "segment"),
+        "segments",
     )
     later = (
         member.where("segment IS NOT NULL")
@@ -371,7 +372,12 @@ def without_duplicates(docs: DataFrame, passage: Passage | None = None) -> DataF
         ),
         "cuts",
     )
-    joined = docs.join(per_doc, docs["doc_id"].cast("long") == per_doc[key], "left").drop(key)
+    # The ids alone are a small table, so documents without a cut need not move; the others meet their cuts.
+    ids = stored(per_doc.select(key), "cut_ids")
+    touched = docs["doc_id"].cast("long") == ids[key]
+    whole = docs.join(ids, touched, "left_anti")
+    part = docs.join(ids, touched, "left_semi")
+    joined = part.join(per_doc, part["doc_id"].cast("long") == per_doc[key]).select(*docs.columns, name)
     texts = joined.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,6 +392,7 @@ def without_duplicates(docs: DataFrame, passage: Passage | None = None) -> DataF
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1]).filter(pa.array(keep, pa.bool_()))
 
     out = joined.mapInArrow(run, docs.schema)
+    out = whole.union(out)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
