@@ -2,12 +2,12 @@
 
 Of all suffixes of all texts, only those are kept that start at a minimiser: the gram of words with the least hash among
 ``min_words - gram + 1`` consecutive ones. The choice depends on the content alone, so every passage of ``min_words`` words
-that occurs twice holds a minimiser at the same place in both. The suffixes whose first gram occurs again are sorted, and
-neighbours are compared: their matches are extended to the right from the start of the suffix, and to the left before it.
-This is done in two orders, by what follows and by what precedes, so that a suffix meets both its best continuations.
+that occurs twice holds a minimiser at the same place in both: the one that owns it. Of the minimisers whose gram occurs again,
+every passage that they own is written once, under its hash, and equal passages meet in one group. So a passage is
+found whatever else stands between its copies in the order of suffixes.
 
-Words are compared in lower case (A-Z), by 32-bit hashes, so the white space between them plays no part. A match
-looks ``min_words`` words to each side. Minimisers within a longer passage are closer than that, so their matches cover it.
+Words are compared in lower case (A-Z), so the white space between them plays no part. A passage is known by two 64-bit
+hashes, of the gram of its owner and of all its words.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,274 +45,128 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def minimisers(words: np.ndarray, p: Passage) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the minimisers of a text, and the hashes of their grams; none in a text shorter than a passage."""
-    if len(words) < p.min_words:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+def _grams(words: np.ndarray, p: Passage) -> np.ndarray:
     count = len(words) - p.gram + 1
     grams = np.zeros(count, np.uint64)
     for k in range(p.gram):
         grams = (grams ^ words[k : k + count]) * _MIX
         grams ^= grams >> np.uint64(29)
+    return grams
+
+
+def _owners(grams: np.ndarray, p: Passage) -> np.ndarray:
+    """For each passage of a text, by its start, the position of the minimiser that owns it."""
     views = np.lib.stride_tricks.sliding_window_view(grams, p.window)
-    at = np.unique(views.argmin(axis=1) + np.arange(len(views)))
+    return views.argmin(axis=1) + np.arange(len(views))
+
+
+def minimisers(words: np.ndarray, p: Passage) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the minimisers of a text, and the hashes of their grams; none in a text shorter than a passage."""
+    if len(words) < p.min_words:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    grams = _grams(words, p)
+    at = np.unique(_owners(grams, p))
     return at, grams[at]
 
 
-def _marks(docs: DataFrame, p: Passage) -> DataFrame:
-    """``gram, doc_id, pos`` of all minimisers."""
+def owned(words: np.ndarray, spots: list[int], p: Passage) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the passages that the minimisers at ``spots`` own: gram of the owner, hash, start, and whether the text has it earlier."""
+    if len(words) < p.min_words:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool)
+    grams = _grams(words, p)
+    owners = _owners(grams, p)
+    at = np.flatnonzero(np.isin(owners, spots))
+    hashes = np.zeros(len(at), np.uint64)
+    # Grams side by side, the last one at the end, cover each word of the passage.
+    for k in [*range(0, p.min_words - p.gram, p.gram), p.min_words - p.gram]:
+        hashes = (hashes ^ grams[at + k]) * _MIX
+        hashes ^= hashes >> np.uint64(32)
+    again = np.ones(len(at), bool)
+    again[np.unique(hashes, return_index=True)[1]] = False
+    return grams[owners[at]], hashes, at, again
+
+
+def _marks(texts: DataFrame, p: Passage) -> DataFrame:
+    """``gram, doc_id, row, pos`` of all minimisers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         process_cache("passages", dict)
         for batch in batches:
-            found = [minimisers(word_hashes(t.as_py()), p) for t in batch.column(1)]
-            ids = pa.array(batch.column(0)).take(pa.array(np.repeat(np.arange(len(found)), [len(a) for a, _ in found])))
+            found = [minimisers(word_hashes(t.as_py()), p) for t in batch.column(2)]
+            of = pa.array(np.repeat(np.arange(len(found)), [len(a) for a, _ in found]))
             pos = np.concatenate([a for a, _ in found]) if found else np.empty(0, np.int64)
             grams = np.concatenate([g for _, g in found]) if found else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams.view(np.int64)), ids, pa.array(pos.astype(np.int32))], names=["gram", "doc_id", "pos"]
-            )
-
-    return docs.mapInArrow(run, "gram long, doc_id long, pos int")
-
-
-def _contexts(docs: DataFrame, spots: DataFrame, p: Passage) -> DataFrame:
-    """``gram, doc_id, pos, after, before``: hashes of the words from each spot on, and of those before it, nearest first."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grams, ids, places, after, before = [], [], [], [], []
-            for doc_id, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
-                words = word_hashes(text)
-                short = (words >> np.uint64(32)).astype(">u4")
-                at, hashes = minimisers(words, p)
-                mine = np.isin(at, wanted)
-                for pos, gram in zip(at[mine].tolist(), hashes[mine].view(np.int64).tolist()):
-                    grams.append(gram)
-                    ids.append(doc_id)
-                    places.append(pos)
-                    after.append(short[pos : pos + p.min_words].tobytes())
-                    before.append(short[max(0, pos - p.min_words) : pos][::-1].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(grams, pa.int64()),
-                    pa.array(ids, pa.int64()),
-                    pa.array(places, pa.int32()),
-                    pa.array(after, pa.binary()),
-                    pa.array(before, pa.binary()),
-                ],
-                names=["gram", "doc_id", "pos", "after", "before"],
+                [pa.array(grams.view(np.int64)), batch.column(0).take(of), batch.column(1).take(of), pa.array(pos.astype(np.int32))],
+                names=["gram", "doc_id", "row", "pos"],
             )
 
-    joined = docs.join(spots, "doc_id").select("doc_id", "text", "spots")
-    return joined.mapInArrow(run, "gram long, doc_id long, pos int, after binary, before binary")
+    return texts.mapInArrow(run, "gram long, doc_id long, row long, pos int")
 
 
-def _shared(x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """Equal leading words of each pair of rows, at most ``most``."""
-    differ = x != y
-    first = np.where(differ.any(axis=1), differ.argmax(axis=1), x.shape[1])
-    return np.minimum(first, most)
+#: Texts whose passages are written at once.
+_TEXTS = 64
 
 
-_MATCH = "segment long, doc_id long, pos int, first long, last long, core_first long, core_last long, edge binary, gram long"
-_MATCH_ARROW = pa.schema(
-    [("segment", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32())]
-    + [(n, pa.int64()) for n in ("first", "last", "core_first", "core_last")]
-    + [("edge", pa.binary()), ("gram", pa.int64())]
-)
-
-
-class _Neighbours:
-    """Compares the sorted suffixes of one task, a batch at a time.
-
-    Suffixes that match in turn form a segment as long as they all share a core of ``min_words`` words. A suffix at which the core
-    would get too short ends its segment and starts the next one. Rows that come out: one for each
-    matched suffix and segment, with the span of its own match; one for each segment, with its core and no position; and the first and last suffix of the
-    task, with what surrounds them.
-    """
-
-    def __init__(self, words: int, task: int) -> None:
-        self.words = words
-        self.segment = task << 32
-        self.core: tuple[int, int] | None = None
-        self.members = 0
-        self.last: tuple | None = None
-        self.first_segment: tuple | None = None
-        self.out: list[tuple] = []
-
-    def close(self) -> None:
-        if self.members > 1:
-            self.out.append((self.segment, None, None, None, None, *self.core, None, None))
-        self.segment += 1
-        self.members, self.core = 0, None
-
-    def pairs(self, batch: pa.RecordBatch) -> Iterator[tuple]:
-        """Rows with how many words each shares with its predecessor, before and after."""
-        gram, ids, pos, after, before = batch.columns
-        rows = list(zip(gram.to_pylist(), ids.to_pylist(), pos.to_pylist(), after.to_pylist(), before.to_pylist()))
-        if self.last is not None:
-            rows.insert(0, self.last)
-        n = self.words
-        sides = []
-        for side in (4, 3):
-            lengths = np.array([len(r[side]) // 4 for r in rows])
-            matrix = np.frombuffer(b"".join(r[side].ljust(4 * n, b"\0") for r in rows), ">u4").reshape(-1, n)
-            sides.append(_shared(matrix[1:], matrix[:-1], np.minimum(lengths[1:], lengths[:-1])))
-        same = np.array([r[0] for r in rows])
-        same = same[1:] == same[:-1]
-        shared = zip(np.where(same, sides[0], 0).tolist(), np.where(same, sides[1], 0).tolist())
-        if self.last is None:
-            yield None, rows[0], 0, 0
-        for k, (left, right) in enumerate(shared):
-            yield rows[k], rows[k + 1], left, right
-        self.last = rows[-1]
-
-    def take(self, batch: pa.RecordBatch) -> None:
-        for earlier, row, left, right in self.pairs(batch):
-            if earlier is None:
-                self.edge(row)
-                self.members = 1
-                continue
-            if left + right < self.words:
-                self.close()
-                self.members = 1
-                continue
-            core = (left, right) if self.core is None else (min(left, self.core[0]), min(right, self.core[1]))
-            if sum(core) < self.words:
-                self.close()
-                core = (left, right)
-            if self.core is None:
-                self.row(earlier, left, right)
-                self.members = 1
-            self.core = core
-            self.members += 1
-            self.row(row, left, right)
-            self.row(earlier, left, right, None)
-
-    def row(self, row: tuple, left: int, right: int, segment: int | None = -1) -> None:
-        segment = self.segment if segment == -1 else segment
-        self.out.append((segment, row[1], row[2], row[2] - left, row[2] + right, None, None, None, None))
-
-    def edge(self, row: tuple) -> None:
-        """The first or last suffix of the task: its surroundings, its segment, and the core that this has so far."""
-        core = self.core or (None, None)
-        around = len(row[3]).to_bytes(4, "big") + row[3] + row[4]
-        self.out.append((self.segment, row[1], row[2], None, None, *core, around, row[0]))
-
-
-def _matches(contexts: DataFrame, by: str, p: Passage) -> DataFrame:
-    """Rows of ``_Neighbours`` over the suffixes sorted by ``by`` ("after" or "before")."""
+def _passages(texts: DataFrame, spots: DataFrame, p: Passage) -> DataFrame:
+    """``gram, passage, doc_id, row, pos, again``: the passages that the minimisers at ``spots`` own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _Neighbours(p.min_words, TaskContext.get().partitionId())
-        for batch in batches:
-            if batch.num_rows:
-                found.take(batch)
-                yield from drain(found)
-        if found.last is not None:
-            found.edge(found.last)
-            found.close()
-            yield from drain(found)
-
-    def drain(found: _Neighbours) -> Iterator[pa.RecordBatch]:
-        if found.out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found.out), _MATCH_ARROW.types)], schema=_MATCH_ARROW)
-            found.out = []
-
-    keys = ["gram", by, "doc_id", "pos"]
-    parts = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = contexts.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    return stored(ordered.mapInArrow(run, _MATCH), f"matches_{by}")
-
-
-def _seams(matches: DataFrame, p: Passage) -> list[tuple]:
-    """What the cuts between tasks separate: ``(rows of new segments, pairs of segments that are one)``.
-
-    Two rows per task come to the driver. The last suffix of a task is compared with the first of the next one.
-    """
-    spark_rows = matches.where("edge IS NOT NULL").collect()
-    cores = {
-        r["segment"]: (r["core_first"], r["core_last"])
-        for r in matches.where("doc_id IS NULL AND edge IS NULL AND core_first IS NOT NULL")
-        .join(matches.where("edge IS NOT NULL").select("segment").distinct(), "segment", "left_semi")
-        .select("segment", "core_first", "core_last")
-        .collect()
-    }
-    tasks: dict[int, list] = {}
-    for r in sorted(spark_rows, key=lambda r: r["segment"]):
-        tasks.setdefault(r["segment"] >> 32, []).append(r)
-    order = [tasks[t] for t in sorted(tasks)]
-
-    def sides(row) -> tuple[np.ndarray, np.ndarray]:
-        n = int.from_bytes(row["edge"][:4], "big")
-        return np.frombuffer(row["edge"][4 + n :], ">u4"), np.frombuffer(row["edge"][4 : 4 + n], ">u4")
-
-    def equal(x: np.ndarray, y: np.ndarray) -> int:
-        n = min(len(x), len(y))
-        differ = np.flatnonzero(x[:n] != y[:n])
-        return int(differ[0]) if len(differ) else n
-
-    rows, same = [], []
-    for one, two in zip(order, order[1:]):
-        last, first = one[-1], two[0]
-        if last["gram"] != first["gram"]:
-            continue
-        left, right = (equal(x, y) for x, y in zip(sides(last), sides(first)))
-        if left + right < p.min_words:
-            continue
-        for r in (last, first):
-            rows.append((None, r["doc_id"], r["pos"], r["pos"] - left, r["pos"] + right))
-        known = [cores[s] for s in (last["segment"], first["segment"]) if s in cores]
-        core = (min([left, *(c[0] for c in known)]), min([right, *(c[1] for c in known)]))
-        if sum(core) >= p.min_words:
-            a, b = last["segment"], first["segment"]
-            cores[a] = cores[b] = core
-            same.append((a, b, *core))
-            for r in (last, first):
-                rows.append((r["segment"], r["doc_id"], r["pos"], r["pos"] - left, r["pos"] + right))
-        else:
-            new = -1 - last["segment"]
-            same.append((new, new, left, right))
-            for r in (last, first):
-                rows.append((new, r["doc_id"], r["pos"], r["pos"] - left, r["pos"] + right))
-    return rows, same
-
-
-def _spans(matches: DataFrame, p: Passage) -> DataFrame:
-    """``doc_id, first, last, duplicate``: matched spans, and the cores of all but the least suffix of each segment."""
-    spark = matches.sparkSession
-    rows, same = _seams(matches, p)
-    member = matches.where("first IS NOT NULL").select("segment", "doc_id", "pos", "first", "last")
-    core = matches.where("doc_id IS NULL AND edge IS NULL").select("segment", "core_first", "core_last")
-    if rows:
-        member = member.union(spark.createDataFrame(rows, "segment long, doc_id long, pos int, first long, last long"))
-        # Chains of segments that are one take the name of the first.
-        names: dict[int, int] = {}
-        for a, b, *_ in same:
-            names[b] = names.get(a, a)
-        cores = [(names.get(a, a), x, y) for a, _, x, y in same]
-        core = core.union(spark.createDataFrame(cores, "segment long, core_first long, core_last long"))
-        renamed = [(a, b) for a, b in names.items() if a != b]
-        if renamed:
-            new = spark.createDataFrame(renamed, "segment long, name long")
-            member, core = (
-                df.join(new, "segment", "left").withColumn("segment", F.coalesce("name", "segment")).drop("name")
-                for df in (member, core)
-            )
-    core = core.groupBy("segment").agg(F.min("core_first").alias("before"), F.min("core_last").alias("after"))
-    least = stored(
-        member.where("segment IS NOT NULL").groupBy("segment").agg(F.min(F.struct("doc_id", "pos")).alias("least")).join(core, "segment"),
-        "segments",
+        for whole in batches:
+            for batch in (whole.slice(k, _TEXTS) for k in range(0, whole.num_rows, _TEXTS)):
+                found = [owned(word_hashes(t.as_py()), s.as_py(), p) for t, s in zip(batch.column(2), batch.column(3))]
+                of = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+                grams, hashes, pos, again = (np.concatenate(c) for c in zip(*found))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(grams.view(np.int64)),
+                        pa.array(hashes.view(np.int64)),
+                        batch.column(0).take(of),
+                        batch.column(1).take(of),
+                        pa.array(pos.astype(np.int32)),
+                        pa.array(again),
+                    ],
+                    names=["gram", "passage", "doc_id", "row", "pos", "again"],
+                )
+
+    joined = texts.join(spots, ["doc_id", "row"]).select("doc_id", "row", "text", "spots")
+    return joined.mapInArrow(run, "gram long, passage long, doc_id long, row long, pos int, again boolean")
+
+
+def _repeats(texts: DataFrame, p: Passage) -> DataFrame:
+    """``doc_id, row, start_word, end_word, duplicate`` of ``texts`` (``doc_id, row, text``); see ``repeats``."""
+    marks = stored(_marks(texts, p), "minimisers")
+    again = stored(marks.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
+    spots = marks.join(again, "gram", "left_semi").groupBy("doc_id", "row").agg(F.collect_set("pos").alias("spots"))
+    passages = stored(_passages(texts, spots, p), "passages")
+    key = ["gram", "passage"]
+    sides = [f(c).alias(f"{f.__name__}_{c}") for c in ("doc_id", "row", "pos") for f in (F.min, F.max)]
+    several = "min_doc_id < max_doc_id OR min_row < max_row OR min_pos < max_pos"
+    groups = stored(passages.groupBy(*key).agg(*sides).where(several).select(
+        *key, F.col("min_doc_id").alias("least"), F.expr("min_row < max_row").alias("mixed")
+    ), "repeated")
+    found = stored(
+        passages.join(groups, key).select(*key, "doc_id", "row", "pos", "mixed", (F.col("again") | (F.col("doc_id") > F.col("least"))).alias("later")),
+        "copies",
+    )
+    # What is in several rows of its least id stays in the least of them.
+    ties = stored(
+        found.where("mixed AND NOT later").groupBy(*key).agg(F.min("row").alias("least_row"), F.max("row").alias("most_row")).where("least_row < most_row"),
+        "ties",
     )
-    later = (
-        member.where("segment IS NOT NULL")
-        .select("segment", "doc_id", "pos")
-        .join(least, "segment")
-        .where(F.struct("doc_id", "pos") > F.col("least"))
-        .select("doc_id", (F.col("pos") - F.col("before")).alias("first"), (F.col("pos") + F.col("after")).alias("last"), F.lit(True))
+    found = found.join(ties, key, "left").withColumn("later", F.expr("later OR coalesce(row > least_row, false)"))
+    spans = found.select(
+        "doc_id", "row", F.col("pos").cast("long").alias("first"),
+        F.explode(F.when(F.col("later"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))).alias("duplicate"),
+    )
+    ends = Window.partitionBy("doc_id", "row", "duplicate").orderBy("first")
+    gap = F.col("first") - F.lag("first").over(ends)
+    islands = spans.withColumn("new", F.coalesce((gap > p.min_words).cast("int"), F.lit(1))).withColumn(
+        "island", F.sum("new").over(ends.rowsBetween(Window.unboundedPreceding, 0))
     )
-    return member.select("doc_id", "first", "last", F.lit(False).alias("duplicate")).union(later)
+    return islands.groupBy("doc_id", "row", "duplicate", "island").agg(
+        F.min("first").alias("start_word"), (F.max("first") + p.min_words).alias("end_word")
+    ).select("doc_id", "row", "start_word", "end_word", "duplicate")
 
 
 def repeats(docs: DataFrame, passage: Passage | None = None) -> DataFrame:
@@ -326,24 +179,8 @@ def repeats(docs: DataFrame, passage: Passage | None = None) -> DataFrame:
     Documents without a repeated passage, null, empty and short ones have no row. Null ids are left out. Rows that repeat
     an id count as one document. Other columns are ignored.
     """
-    p = passage or Passage()
-    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    marks = stored(_marks(texts, p), "minimisers")
-    again = stored(marks.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
-    spots = marks.join(again, "gram", "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("spots"))
-    contexts = stored(_contexts(texts, spots, p), "suffixes")
-    found = None
-    for by in ("after", "before"):
-        spans = _spans(_matches(contexts, by, p), p)
-        found = spans if found is None else found.union(spans)
-    ends = Window.partitionBy("doc_id", "duplicate").orderBy("first", "last")
-    reach = F.max("last").over(ends.rowsBetween(Window.unboundedPreceding, -1))
-    islands = found.withColumn("new", F.coalesce((F.col("first") > reach).cast("int"), F.lit(1))).withColumn(
-        "island", F.sum("new").over(ends.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    return islands.groupBy("doc_id", "duplicate", "island").agg(
-        F.min("first").alias("start_word"), F.max("last").alias("end_word")
-    ).select(
+    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("row"), "text")
+    return _repeats(texts, passage or Passage()).select(
         "doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "duplicate"
     )
 

@@ -149,6 +149,42 @@ def test_repeats_against_brute_force(spark, seed, parts):
     assert all(cut[i] == docs[i] for i in docs if not duplicate[i] and i in cut)
 
 
+def test_passages_among_fragments(spark):
+    """Texts that share 49 words with a text stand between it and the one with which it shares 50."""
+    rnd = random.Random(11)
+    docs, wanted = {}, defaultdict(set)
+
+    def words(k):
+        return [f"w{rnd.randrange(10**6)}" for _ in range(k)]
+
+    for group in range(30):
+        n = 100 * group
+        docs[n] = words(150)
+        docs[n + 1] = words(20) + docs[n][50:100] + words(20)
+        wanted[n].update(range(50, 100))
+        wanted[n + 1].update(range(20, 70))
+        for k in range(12):
+            at = rnd.randrange(102)
+            docs[n + 2 + k] = words(20) + docs[n][at : at + 49] + words(20)
+    found, duplicate = defaultdict(set), defaultdict(set)
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    for r in suffixes.repeats(df).collect():
+        (duplicate if r.duplicate else found)[r.doc_id].update(range(r.start_word, r.end_word))
+    # Fragments may share 50 words with each other, as the text's.
+    at = defaultdict(list)
+    for i, w in sorted(docs.items()):
+        for k in range(len(w) - 49):
+            at[tuple(w[k : k + 50])].append((i, k))
+    repeated, later = defaultdict(set), defaultdict(set)
+    for spots in at.values():
+        for n, (i, k) in enumerate(spots if len(spots) > 1 else []):
+            repeated[i].update(range(k, k + 50))
+            if n:
+                later[i].update(range(k, k + 50))
+    assert all(repeated[i] >= w for i, w in wanted.items())
+    assert found == {i: w for i, w in repeated.items() if w} and duplicate == {i: w for i, w in later.items() if w}
+
+
 def test_passage_edges(spark, edges, nothing):
     rows = suffixes.repeats(edges).collect()
     assert {r.doc_id for r in rows} == {4, 10}
