@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playledger.llm.common import process_cache, stored
@@ -265,12 +265,13 @@ def _rest_links(buckets: DataFrame, found: DataFrame, sets: DataFrame, near: Nea
     return tasks.join(sets, "rep").groupBy("key", "lo", "hi").applyInPandas(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, near: Near | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, near: Near | None = None, named: Column | None = None) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
     ``component_id`` is the least id that can be reached by links; ``kept``: it is the document's own.
     Documents without words are linked with nothing. Null ids take part in nothing but equal sets: beside documents with
     an id they go, else they stay. Rows that repeat an id count as one document. Other columns are ignored.
+    ``named``: a condition on ``doc_id``; the ids for which it does not hold count as null, and their ``component_id`` is null if they stay.
 
     Equal sets are one class, whose least id stands for it. The classes of a bucket are compared with the one of
     them that shares most buckets with others ("star"), which finds nearly all links at a cost in proportion to the rows.
@@ -279,7 +280,7 @@ def near_duplicates(docs: DataFrame, near: Near | None = None) -> DataFrame:
     near = near or Near()
     sketched = stored(sketches(docs, near), "sketches")
     classes = stored(
-        sketched.where("n_shingles > 0").groupBy("digest", "sketch").agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL"),
+        sketched.where("n_shingles > 0").groupBy("digest", "sketch").agg(F.min(F.when(named, F.col("doc_id")) if named is not None else "doc_id").alias("rep")).where("rep IS NOT NULL"),
         "classes",
     )
     bands = _bands(classes, near)

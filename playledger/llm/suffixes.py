@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playledger.llm.common import SPACE_CHARS, free_name, process_cache, stored
@@ -199,22 +199,30 @@ def cut_text(text: str, spans: list[tuple[int, int]]) -> str:
 def without_duplicates(docs: DataFrame, passage: Passage | None = None) -> DataFrame:
     """``docs`` with the duplicate parts of repeated passages cut from ``text``, and ``n_chars``, if there, counted anew.
 
-    Documents of which no word is left go; all others stay, those without a duplicate unchanged.
+    Documents of which no word is left go; all others stay, those without a duplicate unchanged. Texts that share an id
+    are documents of their own, in the order of a hash; those without an id are left as they are.
     """
-    spans = repeats(docs, passage).where("duplicate")
-    name, key = free_name(docs, "spans"), free_name(docs, "span_id")
+    row = F.xxhash64("text")
+    named = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"), "text")
+    spans = _repeats(named, passage or Passage()).where("duplicate")
+    name, key, row_key = (free_name(docs, n) for n in ("spans", "span_id", "span_row"))
     per_doc = stored(
-        spans.groupBy(F.col("doc_id").alias(key)).agg(
+        spans.groupBy(F.col("doc_id").alias(key), F.col("row").alias(row_key)).agg(
             F.collect_list(F.struct("start_word", "end_word")).alias(name)
         ),
         "cuts",
     )
     # The ids alone are a small table, so documents without a cut need not move; the others meet their cuts.
-    ids = stored(per_doc.select(key), "cut_ids")
-    touched = docs["doc_id"].cast("long") == ids[key]
-    whole = docs.join(ids, touched, "left_anti")
-    part = docs.join(ids, touched, "left_semi")
-    joined = part.join(per_doc, part["doc_id"].cast("long") == per_doc[key]).select(*docs.columns, name)
+    ids = stored(per_doc.select(key, row_key), "cut_ids")
+    own = free_name(docs, "own_row")
+    owned_rows = docs.withColumn(own, row)
+
+    def same(df: DataFrame, other: DataFrame) -> Column:
+        return (df["doc_id"].cast("long") == other[key]) & (df[own] == other[row_key])
+
+    whole = owned_rows.join(ids, same(owned_rows, ids), "left_anti").select(*docs.columns)
+    part = owned_rows.join(ids, same(owned_rows, ids), "left_semi")
+    joined = part.join(per_doc, same(part, per_doc)).select(*docs.columns, name)
     texts = joined.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 """The stages of the pipeline, each on what the one before kept."""
 
+import random
 from collections import defaultdict
 
 from tokenizers import Tokenizer
@@ -51,3 +52,39 @@ def test_edges(spark, edges):
     for name, stage in corpus_pipeline.STAGES:
         before, docs = docs, stored(stage(spark, docs, SF_DIR), name)
         assert name == "packing" or docs.columns == before.columns
+
+
+def test_clean_rows_with_a_null_or_repeated_id_survive(spark):
+    """What happens to one row of an id, or of none, does not happen to the others."""
+    rnd = random.Random(3)
+    base = [r.text for r in documents(spark, SF_DIR).where("lang = 'en' AND length(text) > 200").orderBy("doc_id").limit(40).collect()]
+    pool = sorted({w for t in base for w in t.split()})
+
+    def words(k):
+        return " ".join(rnd.choice(pool) for _ in range(k))
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+
+    def frame(rows):
+        return spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema)
+
+    def kept(stage, rows):
+        return {(r.doc_id, r.text) for r in stage(spark, frame(rows), SF_DIR).collect()}
+
+    learn = [(100 + k, t) for k, t in enumerate(base)]
+    bad = [(None, "12 34 !"), (100, "... 5")]
+    clean = [(None, base[1]), (None, base[2])]
+    assert kept(corpus_pipeline.language, learn + clean + bad) >= {*clean, learn[0]}
+    assert not kept(corpus_pipeline.language, learn + clean + bad) & {*bad}
+    a, b, c, d, e = (words(60) for _ in range(5))
+    rows = [(1, a), (None, a.upper()), (None, b), (None, c), (2, d), (3, d + " more"), (3, e), (2, e + " more")]
+    assert kept(corpus_pipeline.near, rows) == {(1, a), (None, b), (None, c), (2, d), (2, e + " more")}
+    assert kept(corpus_pipeline.exact, [(1, a), (None, a), (None, b), (2, a), (2, c)]) == {(None, b), (2, a), (2, c)}
+    one, two, other = f"{words(30)} {a} {words(30)}", f"{words(20)} {a} {words(20)}", words(200)
+    rows = [(1, one), (2, two), (2, other), (None, b), (None, c)]
+    found = kept(corpus_pipeline.passages, rows)
+    cut = " ".join(two.split()[:20] + two.split()[80:])
+    assert found == {(1, one), (2, cut), (2, other), (None, b), (None, c)}
+    # Two texts of one id that share a passage: one of them keeps it.
+    found = kept(corpus_pipeline.passages, [(1, one), (1, two)])
+    assert len(found) == 2 and sum(a in t for _, t in found) == 1
