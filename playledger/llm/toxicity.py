@@ -29,7 +29,7 @@ BLOCK_WORDS = 1 << 17
 
 @dataclass(frozen=True)
 class Net:
-    """Sizes and training. ``sample``: expected labelled documents of each class that are fitted; ``sample_windows``: windows of each of them that are tried."""
+    """Sizes and training. ``sample``: expected labelled documents of each class that are fitted."""
 
     window: int = 24
     stride: int = 16
@@ -39,7 +39,6 @@ class Net:
     hidden: int = 8
     attention: int = 8
     sample: int = 1500
-    sample_windows: int = 40
     epochs: int = 8
     #: Least steps of training; a small sample gets more epochs, up to ``most_epochs``.
     steps: int = 600
@@ -178,34 +177,41 @@ class Weights:
         return float(loss), g, d_x
 
 
+def _windows(texts: list[np.ndarray], net: Net) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The word numbers of all texts in a row, short ones filled up by -1; where each window begins there; and the windows of each text."""
+    at = [starts(len(ids), net) for ids in texts]
+    padded = [np.append(ids, np.full(max(0, net.window - len(ids)), -1, np.int64)) for ids in texts]
+    ends = np.cumsum([len(p) for p in padded])
+    begin = np.concatenate([a + end - len(p) for a, p, end in zip(at, padded, ends)])
+    return np.concatenate(padded), begin, np.array([len(a) for a in at])
+
+
 class _Sample:
-    """Labelled texts as windows over one list of distinct words."""
+    """Labelled texts, and all their windows, over one list of distinct words. A window is made when it is read."""
 
-    def __init__(self, texts: list[list[bytes]], net: Net, rng: np.random.Generator) -> None:
+    def __init__(self, texts: list[list[bytes]], net: Net) -> None:
         self.net = net
         number: dict[bytes, int] = {}
-        self.windows: list[np.ndarray] = []
-        self.counts = []
-        for words in texts:
-            ids = np.array([number.setdefault(w, len(number)) for w in words], np.int64)
-            at = starts(len(ids), net)
-            self.counts.append(len(at))
-            if len(at) > net.sample_windows:
-                at = np.sort(rng.choice(at, net.sample_windows, replace=False))
-            padded = np.append(ids, np.full(max(0, net.window - len(ids)), -1))
-            self.windows.append(np.stack([padded[a : a + net.window] for a in at]))
+        self.texts = [np.array([number.setdefault(w, len(number)) for w in words], np.int64) for words in texts]
+        self.flat, self.at, self.counts = _windows(self.texts, net)
         self.words = list(number)
         self.features = features(self.words, net)
-        self.owner = np.repeat(np.arange(len(self.windows)), [len(w) for w in self.windows])
-        self.all = np.concatenate(self.windows)
+        self.owner = np.repeat(np.arange(len(texts)), self.counts)
+
+    def windows(self, which: np.ndarray | slice) -> np.ndarray:
+        return self.flat[self.at[which][:, None] + np.arange(self.net.window)]
+
+    def blocks(self) -> Iterator[np.ndarray]:
+        for i in range(0, len(self.at), 2048):
+            yield self.windows(slice(i, i + 2048))
 
     def logits(self, weights: Weights) -> np.ndarray:
         x = np.vstack([weights.inputs(*self.features), np.zeros((1, self.net.inputs), np.float32)])
         projected = weights.project(x)
         out = []
-        for i in range(0, len(self.all), 4096):
-            ids = self.all[i : i + 4096]
-            out.append(weights.run({d: projected[d][ids] for d in "fb"}, (ids >= 0).astype(np.float32))[0])
+        for ids in self.blocks():
+            mask = (ids >= 0).astype(np.float32)
+            out.append(weights.run({d: projected[d][ids] for d in "fb"}, None if mask.all() else mask)[0])
         return np.concatenate(out)
 
     def best(self, logits: np.ndarray) -> np.ndarray:
@@ -219,30 +225,30 @@ def train(texts: list[list[bytes]], toxic: np.ndarray, net: Net, seed: int = 5)
     """Fits the network to word lists and labels of 0 and 1, by Adam, and calibrates it on a quarter that it was not fitted to."""
     rng = np.random.default_rng(seed)
     weights = Weights.new(net, seed)
-    data = _Sample(texts, net, rng)
+    data = _Sample(texts, net)
     fitted = rng.random(len(texts)) < 0.75
     # The first input of a word starts from how much more often toxic documents have it.
     rows, _, _ = data.features
     df = np.zeros((2, net.word_rows))
-    for i, w in enumerate(data.windows):
+    for i, ids in enumerate(data.texts):
         if fitted[i]:
-            df[int(toxic[i]), np.unique(rows[w[w >= 0]])] += 1
+            df[int(toxic[i]), np.unique(rows[ids])] += 1
     size = np.array([max(1, (fitted & (toxic == k)).sum()) for k in (0, 1)])
     odds = np.log((df[1] + 0.3) / (size[1] + 0.6)) - np.log((df[0] + 0.3) / (size[0] + 0.6))
     weights.p["word"][:, 0] = np.where(df.sum(axis=0) > 2, np.clip(odds, -3, 3), 0.0)
     hint = np.append(weights.p["word"][rows, 0], 0.0)
-    logits = np.maximum(hint[data.all], 0.0).sum(axis=1)
+    logits = np.concatenate([np.maximum(hint[ids], 0.0).sum(axis=1) for ids in data.blocks()])
     moment: dict[str, list[np.ndarray]] = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in weights.p.items()}
     step = 0
     per_epoch = max(1, 2 * int(fitted.sum()) // net.batch)
     for _ in range(min(net.most_epochs, max(net.epochs, net.steps // per_epoch))):
         best = data.best(logits)
-        chance = rng.integers(0, len(data.all), len(best))
+        chance = rng.integers(0, len(data.at), len(best))
         chance = chance[(toxic[data.owner[chance]] == 0) & fitted[data.owner[chance]]]
         chosen = np.concatenate([best[fitted[data.owner[best]]], chance])
         for at in np.array_split(rng.permutation(chosen), max(1, len(chosen) // net.batch)):
             step += 1
-            ids = data.all[at]
+            ids = data.windows(at)
             mask = (ids >= 0).astype(np.float32)
             used, place = np.unique(ids[ids >= 0], return_inverse=True)
             rows, grams, owner = features([data.words[i] for i in used], net)
@@ -346,16 +352,16 @@ class Scorer:
             fresh = self.weights.project(self.weights.inputs(*features(new, net)))
             self.inputs = {d: np.vstack([self.inputs[d], fresh[d]]) for d in "fb"}
         ids = [np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)) for words in texts]
-        best, counts = np.full(len(texts), -np.inf), np.array([len(starts(len(i), net)) for i in ids])
-        long = [(k, i[starts(len(i), net)[:, None] + np.arange(net.window)]) for k, i in enumerate(ids) if len(i) >= net.window]
-        short = [(k, np.append(i, np.full(net.window - len(i), -1))[None, :]) for k, i in enumerate(ids) if len(i) < net.window]
+        best, counts = np.full(len(texts), -np.inf), np.zeros(len(texts), np.int64)
+        long = [k for k, i in enumerate(ids) if len(i) >= net.window]
+        short = [k for k, i in enumerate(ids) if len(i) < net.window]
         for group, masked in ((long, False), (short, True)):
             if not group:
                 continue
-            owner = np.repeat([k for k, _ in group], [len(w) for _, w in group])
-            windows = np.concatenate([w for _, w in group])
-            for a in range(0, len(windows), 2048):
-                part = windows[a : a + 2048]
+            flat, at, counts[group] = _windows([ids[k] for k in group], net)
+            owner = np.repeat(group, counts[group])
+            for a in range(0, len(at), 2048):
+                part = flat[at[a : a + 2048][:, None] + np.arange(net.window)]
                 mask = (part >= 0).astype(np.float32) if masked else None
                 # A word that is not there reads the last row; the mask keeps it out.
                 projected = {d: (x[part] if len(x) else np.zeros((*part.shape, x.shape[1]), np.float32)) for d, x in self.inputs.items()}

@@ -214,6 +214,20 @@ def test_toxic_documents_are_found():
     assert ((scores >= 0.3) == truth[400:]).mean() > 0.95
 
 
+def test_all_windows_of_the_sample_are_tried():
+    """A document is trained and calibrated by the windows by which it is scored."""
+    net = toxicity.Net()
+    rnd = random.Random(6)
+    texts = [[b"w%d" % rnd.randrange(300) for _ in range(n)] for n in (0, 5, 24, 700, 5000)]
+    data = toxicity._Sample(texts, net)
+    assert data.counts.tolist() == [len(toxicity.starts(len(t), net)) for t in texts] == np.bincount(data.owner).tolist()
+    weights = toxicity.Weights.new(net)
+    weights.calibration = np.array([1.0, 0.0, 0.0])
+    logits = data.logits(weights)
+    scores = toxicity._sigmoid(logits[data.best(logits)])
+    assert np.allclose(scores, toxicity.Scorer(weights)(texts), atol=1e-6)
+
+
 def test_toxicity_edges(spark, edges, nothing):
     assert toxicity.fit_model(edges, labels(spark, SF_DIR).limit(0)) is None
     weights = toxicity.train([[b"a", b"b"], [b"c"]] * 20, np.array([1, 0] * 20), toxicity.Net(epochs=1, steps=1))
