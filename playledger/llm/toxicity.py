@@ -9,7 +9,9 @@ the label of the whole is known: after each epoch the best-scoring window stands
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,7 +34,7 @@ class Net:
     """Sizes and training. ``sample``: expected labelled documents of each class that are fitted."""
 
     window: int = 24
-    stride: int = 16
+    stride: int = 1
     word_rows: int = 1 << 15
     char_rows: int = 1 << 13
     inputs: int = 12
@@ -136,6 +138,34 @@ class Weights:
         logits = pool @ self.p["out"] + self.p["bias"][0]
         return (logits, (states, hidden, weight, pool, kept)) if keep else (logits,)
 
+    def full(self, tables: dict[str, np.ndarray], ids: np.ndarray) -> np.ndarray:
+        """The logits of ``run`` for windows without a gap, by the rows ``ids[window, place]`` of the projected inputs."""
+        h_size, (n, length) = self.net.hidden, ids.shape
+        states = np.empty((length, n, 2 * h_size), np.float32)
+        places = np.ascontiguousarray(ids.T)
+        for d, order in (("f", range(length)), ("b", range(length - 1, -1, -1))):
+            h, recur = np.zeros((n, h_size), np.float32), self.p[f"rec_{d}"]
+            column = slice(0, h_size) if d == "f" else slice(h_size, None)
+            for t in order:
+                x, u = tables[d].take(places[t], axis=0), h @ recur
+                gates = x[:, : 2 * h_size] + u[:, : 2 * h_size]
+                gates *= 0.5
+                np.tanh(gates, out=gates)
+                gates *= 0.5
+                gates += 0.5
+                new = gates[:, h_size:] * u[:, 2 * h_size :]
+                new += x[:, 2 * h_size :]
+                np.tanh(new, out=new)
+                h -= new
+                h *= gates[:, :h_size]
+                h += new
+                states[t, :, column] = h
+        flat = states.reshape(-1, 2 * h_size)
+        energy = (np.tanh(flat @ self.p["attend"]) @ self.p["attend_v"]).reshape(length, n)
+        weight = np.exp(energy - energy.max(axis=0))
+        # The pool is a weighted mean of states, so its product with ``out`` is the mean of theirs.
+        return (weight * (flat @ self.p["out"]).reshape(length, n)).sum(axis=0) / weight.sum(axis=0) + self.p["bias"][0]
+
     def project(self, x: np.ndarray) -> dict[str, np.ndarray]:
         return {d: x @ self.p[f"in_{d}"] + self.p[f"bias_{d}"] for d in "fb"}
 
@@ -208,11 +238,14 @@ class _Sample:
     def logits(self, weights: Weights) -> np.ndarray:
         x = np.vstack([weights.inputs(*self.features), np.zeros((1, self.net.inputs), np.float32)])
         projected = weights.project(x)
-        out = []
-        for ids in self.blocks():
+
+        def block(first: int) -> np.ndarray:
+            ids = self.windows(slice(first, first + 2048))
             mask = (ids >= 0).astype(np.float32)
-            out.append(weights.run({d: projected[d][ids] for d in "fb"}, None if mask.all() else mask)[0])
-        return np.concatenate(out)
+            return weights.full(projected, ids) if mask.all() else weights.run({d: projected[d][ids] for d in "fb"}, mask)[0]
+
+        with ThreadPoolExecutor(os.cpu_count()) as pool:
+            return np.concatenate(list(pool.map(block, range(0, len(self.at), 2048))))
 
     def best(self, logits: np.ndarray) -> np.ndarray:
         """The window of each text with the greatest logit."""
@@ -362,7 +395,10 @@ class Scorer:
             owner = np.repeat(group, counts[group])
             for a in range(0, len(at), 2048):
                 part = flat[at[a : a + 2048][:, None] + np.arange(net.window)]
-                mask = (part >= 0).astype(np.float32) if masked else None
+                if not masked:
+                    np.maximum.at(best, owner[a : a + 2048], self.weights.full(self.inputs, part))
+                    continue
+                mask = (part >= 0).astype(np.float32)
                 # A word that is not there reads the last row; the mask keeps it out.
                 projected = {d: (x[part] if len(x) else np.zeros((*part.shape, x.shape[1]), np.float32)) for d, x in self.inputs.items()}
                 np.maximum.at(best, owner[a : a + 2048], self.weights.run(projected, mask)[0])

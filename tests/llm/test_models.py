@@ -228,6 +228,17 @@ def test_all_windows_of_the_sample_are_tried():
     assert np.allclose(scores, toxicity.Scorer(weights)(texts), atol=1e-6)
 
 
+def test_each_window_start_is_scored():
+    """Words before a text do not change which of its passages are seen whole."""
+    net = toxicity.Net()
+    assert all(toxicity.starts(n, net).tolist() == list(range(max(1, n - net.window + 1))) for n in (0, 23, 24, 25, 200))
+    weights = toxicity.Weights.new(net)
+    x = np.random.default_rng(2).standard_normal((50, net.inputs)).astype(np.float32)
+    ids = np.random.default_rng(3).integers(0, 50, (30, net.window))
+    tables = weights.project(x)
+    assert np.allclose(weights.full(tables, ids), weights.run({d: tables[d][ids] for d in "fb"}, None)[0], atol=1e-5)
+
+
 def test_toxicity_edges(spark, edges, nothing):
     assert toxicity.fit_model(edges, labels(spark, SF_DIR).limit(0)) is None
     weights = toxicity.train([[b"a", b"b"], [b"c"]] * 20, np.array([1, 0] * 20), toxicity.Net(epochs=1, steps=1))
