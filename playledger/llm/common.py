@@ -25,6 +25,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all else as it is."""
     return F.translate(text, _UPPER, _UPPER.lower())

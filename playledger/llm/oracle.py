@@ -91,8 +91,100 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
+OP11 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT *, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v),
+link AS MATERIALIZED (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.label = y.label AND x.vec_id < y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_dot_product(x.e, y.e) / (x.norm * y.norm) >= 0.93),
+side AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, side.b FROM reach JOIN side ON reach.b = side.a),
+n AS (SELECT a, count(*) AS n FROM side GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN n ON n.a = vec_id
+"""
+
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (
+  SELECT doc, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+c AS (SELECT lang, term, source, count(*) AS n, count(DISTINCT doc) AS docs FROM t GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::BIGINT AS n FROM c GROUP BY ALL HAVING sum(docs) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+big AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+cell AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, kept.n AS n_lang
+  FROM g JOIN kept ON kept.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+p AS MATERIALIZED (
+  SELECT cell.*, (1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER (PARTITION BY lang, source) + v))::BIGINT AS p,
+         (1 + (1000000000::HUGEINT * (n_lang + 1)) // (total + v))::BIGINT AS q
+  FROM cell JOIN big USING (lang)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p)::BIGINT AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(pair.value, 0) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN pair ON pair.lang = x.lang AND pair.source = x.source AND pair.item = y.source),
+every AS (
+  SELECT * FROM pairs UNION ALL
+  SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT * FROM (
+  SELECT lang, source, part, item, value,
+         (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)))::INTEGER AS rank FROM every)
+WHERE part = 'pair' OR rank <= 200
+"""
+
+
+def _op13() -> str:
+    """Six rounds written out, each a few tables."""
+    down = "(({s} - ((({s} % {c}) + {c}) % {c})) // {c})"
+    part = "list_slice(x, {i} * len(x) // 8 + 1, ({i} + 1) * len(x) // 8)"
+    ctes = [
+        "v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, "
+        "list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS x FROM embeddings "
+        "WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        "y AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT r, {i} AS part, {part.format(i=i)} AS x FROM v" for i in range(8)) + ")",
+        "book0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x AS e FROM y WHERE r <= 16)",
+    ]
+    for k in range(7):
+        distance = "list_sum(list_transform(list_zip(x, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+        ctes.append(
+            f"near{k} AS MATERIALIZED (SELECT r, part, x, entry, d FROM (SELECT r, part, x, entry, {distance} AS d "
+            f"FROM y JOIN book{k} USING (part)) QUALIFY row_number() OVER (PARTITION BY r, part ORDER BY d, entry) = 1)"
+        )
+        if k < 6:
+            mean = down.format(s="sum(c)::BIGINT", c="count(*)")
+            ctes.append(
+                f"mean{k} AS MATERIALIZED (SELECT part, entry, list(m ORDER BY i) AS e FROM (SELECT part, entry, i, {mean} AS m FROM "
+                f"(SELECT part, entry, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM near{k}) GROUP BY part, entry, i) GROUP BY part, entry)"
+            )
+            ctes.append(
+                f"book{k + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.e, b.e) AS e FROM book{k} b "
+                f"LEFT JOIN mean{k} m ON m.part = b.part AND m.entry = b.entry)"
+            )
+    ctes.append(
+        "coded AS MATERIALIZED (SELECT r, string_agg(lpad(to_hex(entry), 2, '0'), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM near6 GROUP BY r)"
+    )
+    ctes.append("sha AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) AS s FROM book6)")
+    return (
+        f"WITH {', '.join(ctes)} SELECT vec_id, lower(code) AS code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, "
+        "s AS codebooks_sha256 FROM coded JOIN v USING (r), sha"
+    )
+
+
 ORACLE: dict[str, str] = {
     "op2_setsketch": OP2,
     "op7_host_rules": OP7,
     "op8_exact_dedup": OP8,
+    "op11_cap_filters": OP11,
+    "op12_source_divergence": OP12,
+    "op13_pivot_codes": _op13(),
 }

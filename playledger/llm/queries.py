@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playledger.llm import context_tree, cotraining, exact_dedup, host_rules, langid, packing, setsketch, suffixes, tokens, toxicity
-from playledger.llm.common import documents, fold, labels
+from playledger.llm import (
+    capfilters,
+    context_tree,
+    cotraining,
+    divergence,
+    exact_dedup,
+    host_rules,
+    langid,
+    packing,
+    pivotcodes,
+    setsketch,
+    suffixes,
+    tokens,
+    toxicity,
+)
+from playledger.llm.common import documents, embeddings, fold, labels
 
 
 def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +74,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op11_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capfilters.near_vectors(embeddings(spark, sf_dir))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op13_pivot_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivotcodes.compress(embeddings(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_setsketch": op2_setsketch,
@@ -71,4 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sparse_suffixes": op9_sparse_suffixes,
     "op10_packing": op10_packing,
+    "op11_cap_filters": op11_cap_filters,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_pivot_codes": op13_pivot_codes,
 }
