@@ -13,176 +13,229 @@ how many terms it has of each count, plus a correction for each term that both h
 from __future__ import annotations
 
 import heapq
-import re
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playledger.llm.common import stored
 
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: Bytes of UTF-8 that belong to terms: letters of ASCII, of which A-Z become a-z, and all beyond ASCII. Others become spaces.
+_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 #: Documents that a kept term has at least, and the ranks reported of the terms of a group.
 LEAST_DOCS, RANKS = 3, 200
 SCALE = 1_000_000_000
-#: Bytes of postings that a task holds, by estimate; rows of a chunk; bytes of text that are split into terms at once.
-BLOCK_BYTES, CHUNK, SLICE = 96_000_000, 4096, 1 << 16
-_ENTRY_BYTES = 130
+#: Bytes of postings that a task holds, by estimate; terms of a chunk; bytes of text that are split into terms at once.
+BLOCK_BYTES, CHUNK, SLICE = 128_000_000, 4096, 1 << 16
+_ENTRY_BYTES = 300
+#: Sources of a term that are merged at once.
+SOURCES = 10_000
 #: Parts into which the terms of one language are dealt where all its sources meet them.
 SALTS = 16
 
-_RUN = "shard int, first binary, chunk array<struct<lang:string,term:string,source:string,count:bigint,docs:bigint>>"
-
-
-def terms_of(text: str) -> Counter:
-    """Occurrences of each term of a text. Long texts are read in slices that end between terms."""
-    if len(text) <= SLICE:
-        return Counter(TERM.findall(text.translate(_LOWER)))
-    found: Counter = Counter()
-    part: list[str] = []
-    for match in TERM.finditer(text):
-        part.append(match.group())
-        if len(part) >= SLICE // 8:
-            found.update(x.translate(_LOWER) for x in part)
-            part = []
-    found.update(x.translate(_LOWER) for x in part)
-    return found
-
-
-def _key(lang: str, term: str, source: str) -> bytes:
-    """Sorts as language, term, source; no UTF-8 text holds the byte between them."""
-    return b"\xff".join(x.encode() for x in (lang, term, source))
-
-
-def _shard(lang: str, term: str, shards: int) -> int:
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(f"{lang}\x00{term}") % shards
-
+_RUN = (
+    "shard int, lang binary, first binary, terms array<binary>, buckets array<int>, sizes array<int>, "
+    "sources array<binary>, counts array<bigint>, docs array<bigint>"
+)
+
+
+def terms_of(text: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text in UTF-8, in parts; long texts are cut between terms."""
+    text = text.translate(_TABLE)
+    at = 0
+    while at < len(text):
+        end = text.find(b" ", at + SLICE)
+        end = len(text) if end < 0 else end
+        yield text[at:end].split()
+        at = end
+
+
+def _first(term: bytes, bucket: int) -> bytes:
+    """Sorts as the term and then the bucket; no term holds a byte as low as the one between them."""
+    return term + b"\x00" + bucket.to_bytes(4, "big")
+
+
+def _run(lang: bytes, groups: dict[bytes, tuple[Counter, Counter]], shards: int, buckets: int, chunk_rows: int) -> pa.RecordBatch:
+    """The postings of one language as a run: sorted by shard, term, bucket and source, a row for each chunk."""
+    names = sorted(groups)
+    terms, counts, docs = [], [], []
+    for name in names:
+        count, documents = groups[name]
+        terms += count
+        counts += count.values()
+        docs += map(documents.__getitem__, count)
+    of_source = np.repeat(np.arange(len(names)), [len(groups[name][0]) for name in names])
+    coded = pa.array(terms, pa.binary()).dictionary_encode()
+    words = coded.dictionary
+    by_word = pc.sort_indices(words).to_numpy()
+    rank = np.empty(len(words), np.int64)
+    rank[by_word] = np.arange(len(words))
+    shard = np.array([crc32(w, crc32(lang)) % shards for w in words.to_pylist()])
+    code = coded.indices.to_numpy()
+    bucket = np.array([crc32(name) % buckets for name in names])[of_source]
+    order = np.lexsort((of_source, bucket, rank[code], shard[code]))
+    code, bucket, of_source = code[order], bucket[order], of_source[order]
+    starts = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (bucket[1:] != bucket[:-1])])
+    key_shard, key_code = shard[code[starts]], code[starts]
+    # A chunk begins with each shard, and after so many terms.
+    within = np.arange(len(starts)) - np.searchsorted(key_shard, key_shard)
+    chunks = np.flatnonzero(within % chunk_rows == 0)
+    key_offsets = pa.array(np.append(chunks, len(starts)), pa.int32())
+    row_offsets = pa.array(np.append(starts[chunks], len(code)), pa.int32())
+    key_terms = words.take(pa.array(key_code))
+    first = [_first(key_terms[int(i)].as_py(), int(bucket[starts[i]])) for i in chunks]
+
+    def listed(offsets: pa.Array, values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(offsets, values)
+
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(key_shard[chunks], pa.int32()),
+            pa.array([lang] * len(chunks), pa.binary()),
+            pa.array(first, pa.binary()),
+            listed(key_offsets, key_terms),
+            listed(key_offsets, pa.array(bucket[starts], pa.int32())),
+            listed(key_offsets, pa.array(np.diff(np.append(starts, len(code))), pa.int32())),
+            listed(row_offsets, pa.array(names, pa.binary()).take(pa.array(of_source))),
+            listed(row_offsets, pa.array(np.array(counts, np.int64)[order])),
+            listed(row_offsets, pa.array(np.array(docs, np.int64)[order])),
+        ],
+        names=["shard", "lang", "first", "terms", "buckets", "sizes", "sources", "counts", "docs"],
+    )
 
-def runs(docs: DataFrame, shards: int, block_bytes: int = BLOCK_BYTES, chunk_rows: int = CHUNK) -> DataFrame:
-    """Chunks of term-sorted runs: ``shard, first, chunk``. ``first`` is the sort key of the first row of the chunk."""
-    kind = pa.list_(pa.struct([("lang", pa.string()), ("term", pa.string()), ("source", pa.string()), ("count", pa.int64()), ("docs", pa.int64())]))
 
-    def spill(postings: dict) -> Iterator[pa.RecordBatch]:
-        by_shard: list[list] = [[] for _ in range(shards)]
-        for (lang, source), terms in postings.items():
-            for term, (count, documents) in terms.items():
-                by_shard[_shard(lang, term, shards)].append((_key(lang, term, source), lang, term, source, count, documents))
-        for shard, rows in enumerate(by_shard):
-            rows.sort()
-            for start in range(0, len(rows), chunk_rows):
-                part = rows[start : start + chunk_rows]
-                chunk = [dict(zip(("lang", "term", "source", "count", "docs"), row[1:])) for row in part]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard], pa.int32()), pa.array([part[0][0]], pa.binary()), pa.array([chunk], kind)],
-                    names=["shard", "first", "chunk"],
-                )
+def runs(docs: DataFrame, shards: int, buckets: int, block_bytes: int = BLOCK_BYTES, chunk_rows: int = CHUNK) -> DataFrame:
+    """Chunks of term-sorted runs. ``first`` is the sort key of the first term of a chunk, beside its language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        postings: dict = {}
+        postings: dict[bytes, dict[bytes, tuple[Counter, Counter]]] = {}
         held = 0
+
+        def spill() -> Iterator[pa.RecordBatch]:
+            for lang in list(postings):
+                groups = {name: found for name, found in postings.pop(lang).items() if found[0]}
+                made = _run(lang, groups, shards, buckets, chunk_rows) if groups else ()
+                for at in range(0, len(made), 64):
+                    yield made.slice(at, 64)
+
         for batch in batches:
-            for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                terms = postings.setdefault((lang, source), {})
-                for term, count in terms_of(text).items():
-                    entry = terms.get(term)
-                    if entry is None:
-                        terms[term] = [count, 1]
-                        held += _ENTRY_BYTES + 2 * len(term)
-                    else:
-                        entry[0] += count
-                        entry[1] += 1
+            for lang, source, text in zip(*(batch.column(i).cast(pa.binary()) for i in range(3))):
+                text = text.as_py()
+                if not text:
+                    continue
+                counts, documents = postings.setdefault(lang.as_py(), {}).setdefault(source.as_py(), (Counter(), Counter()))
+                before, once = len(counts), set()
+                for part in terms_of(text):
+                    counts.update(part)
+                    once.update(part)
+                documents.update(once)
+                held += (len(counts) - before) * _ENTRY_BYTES
                 if held > block_bytes:
-                    yield from spill(postings)
-                    postings, held = {}, 0
-        yield from spill(postings)
+                    yield from spill()
+                    held = 0
+        yield from spill()
 
     return docs.select("lang", "source", "text").mapInArrow(run, _RUN)
 
 
-def merge(chunks: Iterator[tuple[int, bytes, list[dict]]]) -> Iterator[tuple[str, str, str | None, int]]:
-    """``lang, term, source, count`` of kept terms, and the total of each as the row without a source.
+Chunk = tuple[int, bytes, bytes, list[bytes], list[int], list[int], list[bytes], list[int], list[int]]
+Merged = tuple[bytes, bytes, list, list[int]]
 
-    The chunks come by shard and first key, so a row can leave the heap once no later chunk begins before it.
-    Three sources suffice to keep a term, so no more than that are held back.
+
+def merge(chunks: Iterator[Chunk]) -> Iterator[Merged]:
+    """``lang, term, sources, counts`` of kept terms, and in the end the total of each as that of no source.
+
+    The chunks come by shard, language and first term, so a term can leave the heap once no later chunk begins before it.
+    Every source of a term has a document with it, so less than three are held back until it is known that the term is kept.
     """
     heap: list = []
-    number = 0
-    term: tuple[str, str] | None = None
-    pending: list = []
-    source: str | None = None
-    count = docs = total = 0
-
-    def of_source() -> Iterator[tuple[str, str, str | None, int]]:
-        nonlocal pending
-        if source is not None:
-            pending.append((*term, source, count))
-            if docs >= LEAST_DOCS:
-                yield from pending
-                pending = []
-
-    def of_term() -> Iterator[tuple[str, str, str | None, int]]:
-        if term is not None:
-            yield from of_source()
-            if docs >= LEAST_DOCS:
-                yield (*term, None, total)
-
-    def out(limit: tuple[int, bytes] | None) -> Iterator[tuple[str, str, str | None, int]]:
-        nonlocal term, pending, source, count, docs, total
+    term: tuple | None = None
+    bucket: tuple | None = None
+    sums: dict[bytes, int] = {}
+    pending: dict[bytes, int] = {}
+    docs = total = 0
+
+    def of_bucket() -> Iterator[Merged]:
+        nonlocal sums, pending, total
+        total += sum(sums.values())
+        if docs < LEAST_DOCS:
+            pending |= sums
+        elif sums:
+            found = pending | sums
+            yield term[1], term[2], list(found), list(found.values())
+            pending = {}
+        sums = {}
+
+    def of_term() -> Iterator[Merged]:
+        nonlocal pending, docs, total
+        yield from of_bucket()
+        if docs >= LEAST_DOCS:
+            yield term[1], term[2], [None], [total]
+        pending, docs, total = {}, 0, 0
+
+    def out(limit: tuple | None) -> Iterator[Merged]:
+        nonlocal term, bucket, docs, sums
         while heap and (limit is None or heap[0][0] < limit):
-            key, _, at, keys, rows = heap[0]
-            row = rows[at]
-            if at + 1 < len(rows):
-                heapq.heapreplace(heap, ((key[0], keys[at + 1]), heap[0][1], at + 1, keys, rows))
+            key, number, at, row, chunk = heap[0]
+            size = chunk[5][at]
+            if at + 1 < len(chunk[3]):
+                following = (*key[:2], chunk[3][at + 1], chunk[4][at + 1])
+                heapq.heapreplace(heap, (following, number, at + 1, row + size, chunk))
             else:
                 heapq.heappop(heap)
-            now = (row["lang"], row["term"])
-            if now != term:
-                yield from of_term()
-                term, pending, source, count, docs, total = now, [], None, 0, 0, 0
-            if row["source"] != source:
-                yield from of_source()
-                source, count = row["source"], 0
-            count += row["count"]
-            docs += row["docs"]
-            total += row["count"]
-
-    for shard, first, rows in chunks:
-        yield from out((shard, first))
-        keys = [_key(r["lang"], r["term"], r["source"]) for r in rows]
-        number += 1
-        heapq.heappush(heap, ((shard, first), number, 0, keys, rows))
+            if key != bucket:
+                if key[:3] != term:
+                    if term:
+                        yield from of_term()
+                    term = key[:3]
+                else:
+                    yield from of_bucket()
+                bucket = key
+            docs += sum(chunk[8][row : row + size])
+            if sums:
+                for source, count in zip(chunk[6][row : row + size], chunk[7][row : row + size]):
+                    sums[source] = sums.get(source, 0) + count
+            else:
+                sums = dict(zip(chunk[6][row : row + size], chunk[7][row : row + size]))
+
+    for number, chunk in enumerate(chunks):
+        first = (chunk[0], chunk[1], chunk[3][0], chunk[4][0])
+        yield from out(first)
+        heapq.heappush(heap, (first, number, 0, 0, chunk))
     yield from out(None)
-    yield from of_term()
+    if term:
+        yield from of_term()
 
 
 def frequencies(chunks: DataFrame, shards: int) -> DataFrame:
     """``lang, term, source, count`` of the terms that are kept; without a source, their total in the language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((s, f, c) for b in batches for s, f, c in zip(*(b.column(i).to_pylist() for i in range(3))))
-        part: list = []
-        for row in merge(rows):
-            part.append(row)
-            if len(part) >= 10_000:
-                yield _rows(part)
-                part = []
-        if part:
-            yield _rows(part)
-
-    sorted_runs = chunks.repartition(shards, "shard").sortWithinPartitions("shard", "first")
+        rows = (tuple(x.as_py() for x in row) for b in batches for row in zip(*b.columns))
+        columns: list[list] = [[], [], [], []]
+        for lang, term, sources, counts in merge(rows):
+            columns[0] += [lang] * len(sources)
+            columns[1] += [term] * len(sources)
+            columns[2] += sources
+            columns[3] += counts
+            if len(columns[0]) >= 20_000:
+                yield _rows(columns)
+                columns = [[], [], [], []]
+        if columns[0]:
+            yield _rows(columns)
+
+    sorted_runs = chunks.repartition(shards, "shard").sortWithinPartitions("shard", "lang", "first")
     return sorted_runs.mapInArrow(run, "lang string, term string, source string, count long")
 
 
-def _rows(part: list) -> pa.RecordBatch:
-    lang, term, source, count = zip(*part)
-    kinds = (pa.string(), pa.string(), pa.string(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((lang, term, source, count), kinds)], names=["lang", "term", "source", "count"])
+def _rows(columns: list[list]) -> pa.RecordBatch:
+    texts = [pa.array(c, pa.binary()).cast(pa.string()) for c in columns[:3]]
+    return pa.RecordBatch.from_arrays([*texts, pa.array(columns[3], pa.int64())], names=["lang", "term", "source", "count"])
 
 
 def share(count: Column, n: Column, v: Column) -> Column:
@@ -200,74 +253,102 @@ def _value(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // q
 
 
+def _pairs(who: np.ndarray, p: np.ndarray, p0: np.ndarray, first: np.ndarray, sums: np.ndarray, slice_rows: int = 1 << 18) -> None:
+    """Adds to ``sums[source, other]`` what each term that both have changes. ``first``: where each term begins."""
+    size = np.diff(np.append(first, len(who)))
+    mine = np.repeat(size, size)
+    start = np.repeat(first, size)
+    ends = np.cumsum(mine)
+    at = 0
+    while at < len(who):
+        done = int(ends[at] - mine[at])
+        until = max(at + 1, int(np.searchsorted(ends, done + slice_rows)))
+        x = np.repeat(np.arange(at, until), mine[at:until])
+        y = np.arange(len(x)) - np.repeat(ends[at:until] - mine[at:until] - done, mine[at:until]) + np.repeat(start[at:until], mine[at:until])
+        a, b, a0, b0 = p[x], p[y], p0[x], p0[y]
+        np.add.at(sums, (who[x], who[y]), _value(a, b) - _value(a, b0) - _value(a0, b) + _value(a0, b0))
+        at = until
+
+
 def corrections(rows: DataFrame) -> DataFrame:
     """``lang, source, item, part``: what the terms that both sources have change in the sum of their pair.
 
-    ``rows``: ``lang, term, source, p, p0``, one task having all rows of a term. A task adds up in memory and passes on one row for
-    each pair whenever it holds very many. The pairs of a term are made in slices.
+    ``rows``: ``lang, term, source, p, p0``, one task having all rows of a term. A task adds up the pairs of the sources that it meets in some
+    ten thousand rows, and passes on one row for each pair of these whenever they become too many to hold. The pairs of a term are made in slices.
     """
-    held_pairs, slice_rows = 200_000, 1 << 18
+    held_sources = 512
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[str, str, str], int] = {}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if sums:
-                lang, source, item = zip(*sums)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lang), pa.array(source), pa.array(item), pa.array(sums.values(), pa.int64())], names=["lang", "source", "item", "part"]
-                )
-                sums.clear()
-
-        def terms() -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-            """Rows of whole terms of one language, many terms at a time: names, term numbers, p and p0."""
-            rest: list = []
+        lang: str | None = None
+        place: dict[str, int] = {}
+        sums = np.zeros((held_sources, held_sources), np.int64)
+
+        def flush(names: list[str], found: np.ndarray) -> Iterator[pa.RecordBatch]:
+            np.fill_diagonal(found, 0)
+            for start in range(0, len(names), 64):
+                x, y = np.nonzero(found[start : start + 64])
+                if len(x):
+                    each = pa.array(names, pa.string())
+                    columns = [pa.array([lang] * len(x)), each.take(pa.array(x + start)), each.take(pa.array(y)), pa.array(found[start + x, y])]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "item", "part"])
+
+        def whole_terms() -> Iterator[pa.RecordBatch]:
+            rest = None
             for batch in batches:
-                rows = rest + list(zip(*(batch.column(i).to_pylist() for i in range(5))))
-                cut = len(rows)
-                while cut and rows[cut - 1][:2] == rows[-1][:2]:
-                    cut -= 1
-                rest = rows[cut:]
-                yield rows[:cut]
-            yield rest
-
-        for rows in terms():
-            start = 0
-            while start < len(rows):
-                end = start
-                while end < len(rows) and rows[end][0] == rows[start][0]:
-                    end += 1
-                part = rows[start:end]
-                lang = part[0][0]
-                names = sorted({r[2] for r in part})
-                place = {name: i for i, name in enumerate(names)}
-                who = np.array([place[r[2]] for r in part])
-                p, p0 = (np.array([r[i] for r in part], np.int64) for i in (3, 4))
-                change = np.array([True, *(a[1] != b[1] for a, b in zip(part[1:], part))])
-                first = np.flatnonzero(change)
-                size = np.diff(np.append(first, len(part)))
-                of = np.cumsum(change) - 1
-                # Each row beside all rows of its term.
-                ends = np.cumsum(size[of])
-                at = 0
-                while at < len(part):
-                    until = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + slice_rows)))
-                    x = np.repeat(np.arange(at, until), size[of[at:until]])
-                    y = np.arange(len(x)) - np.repeat(ends[at:until] - size[of[at:until]] - (ends[at - 1] if at else 0), size[of[at:until]]) + first[of[x]]
-                    differ = who[x] != who[y]
-                    x, y = x[differ], y[differ]
-                    both = _value(p[x], p[y]) - _value(p[x], p0[y]) - _value(p0[x], p[y]) + _value(p0[x], p0[y])
-                    pair, where = np.unique(who[x] * len(names) + who[y], return_inverse=True)
-                    total = np.zeros(len(pair), np.int64)
-                    np.add.at(total, where, both)
-                    for code, amount in zip(pair.tolist(), total.tolist()):
-                        key = (lang, names[code // len(names)], names[code % len(names)])
-                        sums[key] = sums.get(key, 0) + amount
-                    at = until
-                    if len(sums) > held_pairs:
-                        yield from flush()
-                start = end
-        yield from flush()
+                both = batch if rest is None else pa.concat_batches([rest, batch])
+                last = both.slice(len(both) - 1)
+                same = pc.and_(pc.equal(both.column(0), last.column(0)[0]), pc.equal(both.column(1), last.column(1)[0]))
+                cut = int(pc.index(same, True).as_py())
+                rest = both.slice(cut)
+                if cut:
+                    yield both.slice(0, cut)
+            if rest is not None:
+                yield rest
+
+        for part in whole_terms():
+            langs = part.column(0).to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero(np.r_[True, langs[1:] != langs[:-1], True])
+            for start, end in zip(edges[:-1], edges[1:]):
+                some = part.slice(start, end - start)
+                coded = some.column(2).dictionary_encode()
+                names = coded.dictionary.to_pylist()
+                if langs[start] != lang or len(place) + len(names) > held_sources:
+                    yield from flush(list(place), sums)
+                    sums[:], lang, place = 0, langs[start], {}
+                terms = some.column(1)
+                first = np.flatnonzero(np.r_[True, pc.not_equal(terms.slice(1), terms.slice(0, len(terms) - 1)).to_numpy(zero_copy_only=False)])
+                p, p0 = (some.column(i).to_numpy() for i in (3, 4))
+                codes = coded.indices.to_numpy()
+                if len(names) <= held_sources:
+                    where = np.array([place.setdefault(name, len(place)) for name in names])
+                    _pairs(where[codes], p, p0, first, sums)
+                    continue
+                # More sources than are held: block beside block.
+                for low in range(0, len(names), held_sources // 2):
+                    for high in range(0, len(names), held_sources // 2):
+                        rows_of = [(codes >= x) & (codes < x + held_sources // 2) for x in (low, high)]
+                        yield from flush_block(names, codes, p, p0, first, rows_of, (low, high), flush)
+        yield from flush(list(place), sums)
+
+    def flush_block(names, codes, p, p0, first, rows_of, at, flush):
+        """The pairs of two blocks of sources; of one block with itself once."""
+        low, high = at
+        if high < low:
+            return
+        keep = rows_of[0] | rows_of[1]
+        term = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(codes))))[keep]
+        if not len(term):
+            return
+        half = held_sources // 2
+        code = codes[keep]
+        local = np.where((code >= low) & (code < low + half), code - low, code - high + half)
+        sums = np.zeros((held_sources, held_sources), np.int64)
+        _pairs(local, p[keep], p0[keep], np.flatnonzero(np.r_[True, term[1:] != term[:-1]]), sums)
+        if low != high:  # those within a block have their own turn
+            sums[:half, :half] = 0
+            sums[half:, half:] = 0
+        mine = names[low : low + half]
+        yield from flush(mine + [""] * (half - len(mine)) + names[high : high + half], sums)
 
     dealt = rows.select("lang", "term", "source", "p", "p0").repartition("lang", "term").sortWithinPartitions("lang", "term")
     return dealt.mapInArrow(run, "lang string, source string, item string, part long")
@@ -287,25 +368,25 @@ def audit(docs: DataFrame, shards: int | None = None, block_bytes: int = BLOCK_B
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     blank = F.lit("")
     texts = docs.select(*[F.coalesce(F.col(c).cast("string"), blank).alias(c) for c in ("lang", "source", "text")])
-    kept = stored(frequencies(runs(texts, shards, block_bytes, chunk_rows), shards), "term_frequencies")
+    occurring = stored(texts.select("lang", "source").distinct(), "term_sources")
+    most = occurring.groupBy("lang").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    made = runs(texts, shards, 1 + most // SOURCES, block_bytes, chunk_rows)
+    kept = stored(frequencies(made, shards), "term_frequencies")
     of_lang = kept.where("source IS NULL").groupBy("lang").agg(F.count("*").alias("v"), F.sum("count").alias("n_lang"))
     of_source = kept.where("source IS NOT NULL").groupBy("lang", "source").agg(F.sum("count").alias("n"))
     groups = (
-        texts.select("lang", "source").distinct()
-        .join(of_source, ["lang", "source"], "left")
+        occurring.join(of_source, ["lang", "source"], "left")
         .join(of_lang, "lang", "left")
         .select("lang", "source", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "v", "n_lang")])
-    )
+    )
     nothing = F.lit(0).cast("long")
     # Without kept terms there is nothing to share out.
     groups = stored(groups.withColumn("p0", F.when(F.col("v") > 0, share(nothing, F.col("n"), F.col("v")))), "term_groups")
 
-    totals = kept.where("source IS NULL").select("lang", "term", F.col("count").alias("in_lang"))
+    in_lang = F.sum("count").over(Window.partitionBy("lang", "term")).alias("in_lang")
+    found = kept.where("source IS NOT NULL").join(groups, ["lang", "source"])
     rows = stored(
-        kept.where("source IS NOT NULL")
-        .join(totals, ["lang", "term"])
-        .join(groups, ["lang", "source"])
-        .select(
+        found.select("lang", "term", "source", "count", "n", "v", "n_lang", "p0", in_lang).select(
             "lang", "term", "source", "count", "p0",
             share(F.col("count"), F.col("n"), F.col("v")).alias("p"), share(F.col("in_lang"), F.col("n_lang"), F.col("v")).alias("q"),
         ),

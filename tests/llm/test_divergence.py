@@ -74,8 +74,17 @@ def test_audit_edges(spark, edges, nothing):
 
 def test_terms_of_long_texts():
     text = "Ab-cd\x7féÉ Z" * 9_000
-    whole = Counter(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text.translate(divergence._LOWER)))
-    assert divergence.terms_of(text) == whole
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    parts = list(divergence.terms_of(text.encode()))
+    assert len(parts) > 1
+    assert [t.decode() for part in parts for t in part] == re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lower)
+
+
+def test_more_sources_than_a_task_holds(spark, monkeypatch):
+    """Also where the sources of a term are merged in several parts."""
+    monkeypatch.setattr(divergence, "SOURCES", 100)
+    rows = [(f"alpha {'beta ' * (i % 4)} {'gamma' if i % 9 else ''} w{chr(97 + i % 26)}", "en", f"s{i}") for i in range(700)]
+    assert bag(divergence.audit(_docs(spark, rows), 3, 4_000)) == Counter(_audit(rows))
 
 
 def test_shares_are_exact_at_any_count(spark):
