@@ -143,86 +143,101 @@ def runs(docs: DataFrame, shards: int, buckets: int, block_bytes: int = BLOCK_BY
     return docs.select("lang", "source", "text").mapInArrow(run, _RUN)
 
 
-Chunk = tuple[int, bytes, bytes, list[bytes], list[int], list[int], list[bytes], list[int], list[int]]
-Merged = tuple[bytes, bytes, list, list[int]]
+class Chunk:
+    """A chunk of a run as lists, with the place that the merge has reached."""
 
+    def __init__(self, shard: int, lang: bytes, terms: list, buckets: list, sizes: list, sources: list, counts: list, docs: list) -> None:
+        self.keys = [(shard, lang, term, bucket) for term, bucket in zip(terms, buckets)]
+        self.sizes, self.sources, self.counts, self.docs = sizes, sources, counts, docs
+        self.at = self.row = 0
 
-def merge(chunks: Iterator[Chunk]) -> Iterator[Merged]:
+
+def merge(chunks: Iterator[Chunk]) -> Iterator[list[tuple[bytes, bytes, list, list[int]]]]:
     """``lang, term, sources, counts`` of kept terms, and in the end the total of each as that of no source.
 
     The chunks come by shard, language and first term, so a term can leave the heap once no later chunk begins before it.
     Every source of a term has a document with it, so less than three are held back until it is known that the term is kept.
     """
     heap: list = []
-    term: tuple | None = None
-    bucket: tuple | None = None
+    key: tuple | None = None
     sums: dict[bytes, int] = {}
     pending: dict[bytes, int] = {}
-    docs = total = 0
-
-    def of_bucket() -> Iterator[Merged]:
-        nonlocal sums, pending, total
-        total += sum(sums.values())
-        if docs < LEAST_DOCS:
-            pending |= sums
-        elif sums:
-            found = pending | sums
-            yield term[1], term[2], list(found), list(found.values())
-            pending = {}
-        sums = {}
-
-    def of_term() -> Iterator[Merged]:
-        nonlocal pending, docs, total
-        yield from of_bucket()
-        if docs >= LEAST_DOCS:
-            yield term[1], term[2], [None], [total]
-        pending, docs, total = {}, 0, 0
-
-    def out(limit: tuple | None) -> Iterator[Merged]:
-        nonlocal term, bucket, docs, sums
+    docs = total = number = 0
+    found: list = []
+    chunk = next(chunks, None)
+    while chunk or heap:
+        limit = chunk.keys[0] if chunk else None
         while heap and (limit is None or heap[0][0] < limit):
-            key, number, at, row, chunk = heap[0]
-            size = chunk[5][at]
-            if at + 1 < len(chunk[3]):
-                following = (*key[:2], chunk[3][at + 1], chunk[4][at + 1])
-                heapq.heapreplace(heap, (following, number, at + 1, row + size, chunk))
+            now, order, own = heap[0]
+            at, row = own.at, own.row
+            end = row + own.sizes[at]
+            if at + 1 < len(own.keys):
+                own.at, own.row = at + 1, end
+                heapq.heapreplace(heap, (own.keys[at + 1], order, own))
             else:
                 heapq.heappop(heap)
-            if key != bucket:
-                if key[:3] != term:
-                    if term:
-                        yield from of_term()
-                    term = key[:3]
-                else:
-                    yield from of_bucket()
-                bucket = key
-            docs += sum(chunk[8][row : row + size])
-            if sums:
-                for source, count in zip(chunk[6][row : row + size], chunk[7][row : row + size]):
-                    sums[source] = sums.get(source, 0) + count
+            if now != key:
+                if sums:
+                    if docs >= LEAST_DOCS:
+                        total += sum(sums.values())
+                        pending.update(sums)
+                        found.append((key[1], key[2], list(pending), list(pending.values())))
+                        pending = {}
+                    else:
+                        total += sum(sums.values())
+                        pending.update(sums)
+                    sums = {}
+                if key and now[:3] != key[:3]:
+                    if docs >= LEAST_DOCS:
+                        found.append((key[1], key[2], [None], [total]))
+                    pending, docs, total = {}, 0, 0
+                key = now
+            if end == row + 1:
+                docs += own.docs[row]
+                source = own.sources[row]
+                sums[source] = sums.get(source, 0) + own.counts[row]
             else:
-                sums = dict(zip(chunk[6][row : row + size], chunk[7][row : row + size]))
+                docs += sum(own.docs[row:end])
+                if sums:
+                    for source, count in zip(own.sources[row:end], own.counts[row:end]):
+                        sums[source] = sums.get(source, 0) + count
+                else:
+                    sums = dict(zip(own.sources[row:end], own.counts[row:end]))
+        if chunk:
+            number += 1
+            heapq.heappush(heap, (limit, number, chunk))
+            chunk = next(chunks, None)
+        yield found
+        found = []
+    if key and docs >= LEAST_DOCS:
+        total += sum(sums.values())
+        pending.update(sums)
+        yield [(key[1], key[2], list(pending), list(pending.values())), (key[1], key[2], [None], [total])]
+
 
-    for number, chunk in enumerate(chunks):
-        first = (chunk[0], chunk[1], chunk[3][0], chunk[4][0])
-        yield from out(first)
-        heapq.heappush(heap, (first, number, 0, 0, chunk))
-    yield from out(None)
-    if term:
-        yield from of_term()
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
+    for batch in batches:
+        column = {name: batch.column(name) for name in batch.schema.names}
+        for i in range(len(batch)):
+            numbers = [column[name][i].values.to_numpy().tolist() for name in ("buckets", "sizes", "counts", "docs")]
+            coded = column["sources"][i].values.dictionary_encode()
+            names = coded.dictionary.to_pylist()
+            sources = list(map(names.__getitem__, coded.indices.to_numpy().tolist()))
+            shard, lang, terms = (column[name][i].as_py() for name in ("shard", "lang", "terms"))
+            yield Chunk(shard, lang, terms, numbers[0], numbers[1], sources, numbers[2], numbers[3])
 
 
 def frequencies(chunks: DataFrame, shards: int) -> DataFrame:
     """``lang, term, source, count`` of the terms that are kept; without a source, their total in the language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (tuple(x.as_py() for x in row) for b in batches for row in zip(*b.columns))
         columns: list[list] = [[], [], [], []]
-        for lang, term, sources, counts in merge(rows):
-            columns[0] += [lang] * len(sources)
-            columns[1] += [term] * len(sources)
-            columns[2] += sources
-            columns[3] += counts
+        for found in merge(_chunks(batches)):
+            for lang, term, sources, counts in found:
+                columns[0] += [lang] * len(sources)
+                columns[1] += [term] * len(sources)
+                columns[2] += sources
+                columns[3] += counts
             if len(columns[0]) >= 20_000:
                 yield _rows(columns)
                 columns = [[], [], [], []]
