@@ -7,6 +7,7 @@ from playledger.functions.clock import (
     monday_of,
     parse_played_at,
     parse_release_date,
+    played_ms,
     utc_now,
     week_bounds,
     week_of,
@@ -24,6 +25,7 @@ __all__ = [
     "monday_of",
     "parse_played_at",
     "parse_release_date",
+    "played_ms",
     "strip_fences",
     "utc_now",
     "week_bounds",

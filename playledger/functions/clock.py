@@ -71,6 +71,11 @@ def parse_played_at(text: Column) -> Column:
     return F.when(text.rlike(_PLAYED_AT), F.left(text, F.lit(23)).try_cast("timestamp_ntz"))
 
 
+def played_ms(text: Column) -> Column:
+    """Play time text to epoch milliseconds; other texts give NULL."""
+    return F.unix_millis(F.to_timestamp_ltz(F.when(parse_played_at(text).isNotNull(), text)))
+
+
 def format_played_at(ts: Column) -> Column:
     """A UTC wall-clock timestamp as play time text, cut to milliseconds."""
     text = ts.cast("timestamp_ntz").cast("string")

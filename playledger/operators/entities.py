@@ -28,14 +28,15 @@ def without_known(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return rows.join(ours, key, "left_anti")
 
 
-def new_keys(plays: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+def new_keys(plays: DataFrame, dim: DataFrame, key: str, persisted: bool = False) -> DataFrame:
     """Distinct non-null keys of the plays that the dimension does not hold yet.
 
     The keys are made distinct map-side before they are shuffled, so a key that most plays share
-    costs one row per task.
+    costs one row per task. Plays and dimension are scanned once. ``persisted``: the plays are a batch that is held, so that it
+    costs little to cut the known keys down to its own first.
     """
     keys = plays.select(key).filter(F.col(key).isNotNull()).dropDuplicates([key])
-    return without_known(keys, dim, key)
+    return without_known(keys, dim, key) if persisted else keys.join(dim.select(key), key, "left_anti")
 
 
 def enrich(keys: DataFrame, raw: DataFrame, key: str) -> DataFrame:

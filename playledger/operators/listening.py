@@ -12,12 +12,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from playledger.functions import moment, week_bounds, week_of
+from playledger.functions import moment, monday_of, week_bounds, week_of
 from playledger.functions.clock import AsOf
 from playledger.star import DIM_KEYS, Star
 
 #: Partition column of file-based fact tables.
 PLAY_DATE = "play_date"
+#: Column of a play's time in epoch milliseconds, where the time is also kept as text.
+PLAY_MS = "played_ms"
+#: Columns that only counted plays have: the Monday of their week, and how many plays a row stands for.
+WEEK, PLAYS = "week", "plays"
 
 # What a recap needs of each dimension.
 _NAMES = {
@@ -31,14 +35,17 @@ def in_week(fact: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Plays inside the recap window of ``as_of``.
 
     Both bounds fold to literals and reach the scan. A fact table partitioned by play date is also
-    pruned to the days of the window.
+    pruned to the days of the window. Counted plays (``count_plays``) know their week.
     """
-    return fact.filter(_window(fact, *week_bounds(as_of)))
+    return fact.filter(_window(fact, as_of))
 
 
-def _window(fact: DataFrame, start: Column, end: Column) -> Column:
+def _window(fact: DataFrame, as_of: AsOf) -> Column:
+    start, end = week_bounds(as_of)
     played_at = F.col("played_at")
     window = (played_at >= start) & (played_at < end)
+    if WEEK in fact.columns:
+        window = F.col(WEEK) == monday_of(moment(as_of).cast("date"))
     if PLAY_DATE in fact.columns:
         window &= F.col(PLAY_DATE).between(start.cast("date"), end.cast("date"))
     return window
@@ -50,9 +57,19 @@ def in_weeks(fact: DataFrame, as_of: Sequence[AsOf]) -> DataFrame:
     One scan for all dates. Its filter is the union of the windows, so that of a fact table
     partitioned by play date only the days of the weeks asked for are read.
     """
-    windows = [_window(fact, *week_bounds(date)) for date in as_of]
-    plays = fact.filter(reduce(Column.__or__, windows))
-    return plays.withColumn("week", week_of(F.col("played_at")))
+    plays = fact.filter(reduce(Column.__or__, [_window(fact, date) for date in as_of]))
+    return plays if WEEK in fact.columns else plays.withColumn(WEEK, week_of(F.col("played_at")))
+
+
+def count_plays(fact: DataFrame) -> DataFrame:
+    """Plays counted by day, week and ids: ``play_date, week, <ids>, plays, played_at``, the last being that of the last play.
+
+    Such rows can stand for the plays in every recap, and counts of parts of the plays may simply be put together:
+    sums and maxima do the rest. The day is needed besides the week, as a recap of a past date only counts plays up to it.
+    """
+    day = F.col("played_at").cast("date").alias(PLAY_DATE)
+    counts = fact.groupBy(day, week_of(F.col("played_at")).alias(WEEK), *DIM_KEYS)
+    return counts.agg(F.count("*").alias(PLAYS), F.max("played_at").alias("played_at"))
 
 
 def played_by(fact: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -96,7 +113,8 @@ def last_play_by_dates(fact: DataFrame, as_of: Sequence[AsOf], *keys: str) -> Da
 
 def plays_by(fact: DataFrame, *keys: str) -> DataFrame:
     """Number of plays per id combination."""
-    return fact.groupBy(*keys).agg(F.count("*").alias("plays"))
+    number = F.sum(PLAYS) if PLAYS in fact.columns else F.count("*")
+    return fact.groupBy(*keys).agg(number.alias(PLAYS))
 
 
 def last_play_by(fact: DataFrame, *keys: str) -> DataFrame:
@@ -144,11 +162,12 @@ def unresolved(fact: DataFrame, star: Star) -> DataFrame:
     """Ids of the plays that no dimension row resolves: ``dimension, key, plays``.
 
     These plays are not lost: the recaps join at query time, and so count them as soon as the
-    dimension row has arrived. The plays are scanned once for all three dimensions.
+    dimension row has arrived. The plays are scanned once, and counted before they become a row for each dimension.
     """
 
     ids = F.array(*[_named_key(key) for key in DIM_KEYS])
-    plays = fact.select(F.inline(ids)).groupBy("dimension", "key").agg(F.count("*").alias("plays"))
+    counts = plays_by(fact, *DIM_KEYS).select(PLAYS, F.inline(ids))
+    plays = counts.groupBy("dimension", "key").agg(F.sum(PLAYS).alias(PLAYS))
     known = [star.dim(key).select(_named_key(key).alias("k")).select("k.*") for key in DIM_KEYS]
     return plays.join(reduce(DataFrame.unionByName, known), ["dimension", "key"], "left_anti")
 

@@ -35,7 +35,7 @@ def route(plays: DataFrame, known: Dimensions | Star, entities: Entities) -> Dat
     """
 
     def details(key: str, topic: str, flatten: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        keys = new_keys(plays, known.dim(key), key)
+        keys = new_keys(plays, known.dim(key), key, persisted=plays.is_cached)
         return to_messages(flatten(enrich(keys, entities.raw(key), key)), topic)
 
     items = to_messages(fact_rows(plays), ITEM_TOPIC)

@@ -1,9 +1,11 @@
 """Where records, payloads and tables come from and go to."""
 
+from playledger.sources.history import HistorySource, HistoryService, stream_history
 from playledger.sources.landing import Entities, read_entities, stream_pages
 from playledger.sources.scratch import shared_folder
 from playledger.sources.topics import FolderTopics, KafkaTopics, kafka_options, kafka_package
 from playledger.sources.warehouse import (
+    COUNTS_TABLE,
     REJECTS_TABLE,
     FolderWarehouse,
     JdbcWarehouse,
@@ -13,8 +15,11 @@ from playledger.sources.warehouse import (
 
 __all__ = [
     "Entities",
+    "COUNTS_TABLE",
     "FolderTopics",
     "FolderWarehouse",
+    "HistoryService",
+    "HistorySource",
     "JdbcWarehouse",
     "MissingTable",
     "KafkaTopics",
@@ -23,6 +28,7 @@ __all__ = [
     "kafka_package",
     "read_entities",
     "shared_folder",
+    "stream_history",
     "stream_pages",
     "unseen_plays",
 ]

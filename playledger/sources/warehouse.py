@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from playledger.operators.listening import PLAY_DATE
+from playledger.operators.listening import PLAY_DATE, PLAYS, WEEK, count_plays
 from playledger.schemas import (
     ALBUM_TABLE,
     ARTIST_TABLE,
@@ -28,6 +28,8 @@ from playledger.schemas import (
 from playledger.star import Dimensions, Star
 
 REJECTS_TABLE = "rejects"
+#: Plays counted by day, week and ids, as a folder warehouse can keep them beside the plays.
+COUNTS_TABLE = "play_counts"
 _REJECTS = struct(topic=STRING, json_value=STRING)
 
 
@@ -82,6 +84,8 @@ class FolderWarehouse(_Warehouse):
     idempotent: bool = False
     #: Folders of merged rows that are merged again once there are more of them.
     merged_folders: int = 8
+    #: Each batch of plays is also counted, in a partition of its own; ``counted_star`` then answers recaps without the plays.
+    keep_counts: bool = False
 
     def _manifest(self, spark: SparkSession, table: str) -> tuple[int, list[str], str]:
         """Version, folders of merged rows, live folder."""
@@ -142,6 +146,35 @@ class FolderWarehouse(_Warehouse):
         )
         live = self._manifest(spark, table)[2]
         self._write(rows.withColumn("batch", F.lit(batch)), table, live)
+        if self.keep_counts and table == FACT_TABLE:
+            self._count(spark, live, batch)
+
+    def _count(self, spark: SparkSession, live: str, batch: str) -> None:
+        """Counts what the batch has written, in place of the counts of an earlier run of it."""
+        written = self._folder(spark, FACT_TABLE, live)
+        assert written is not None
+        counts = count_plays(written.filter(F.col("batch") == batch)).withColumn("batch", F.lit(batch))
+        (
+            counts.hint("rebalance", PLAY_DATE)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(PLAY_DATE, "batch")
+            .parquet(f"{self.root}/{COUNTS_TABLE}")
+        )
+
+    def counted_star(self, spark: SparkSession) -> Star:
+        """The star with counted plays in place of the plays: the recaps are the same, and read days and counts only."""
+        fact = T.StructType([f for f in table_schema(FACT_TABLE) if f.name != "played_at"])
+        schema = fact.add(WEEK, T.DateType()).add(PLAYS, T.LongType()).add("played_at", T.TimestampNTZType())
+        schema = schema.add(PLAY_DATE, T.DateType()).add("batch", T.StringType())
+        try:
+            counts = spark.read.schema(schema).parquet(f"{self.root}/{COUNTS_TABLE}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            raise MissingTable(f"there is no table {COUNTS_TABLE!r} below {self.root!r}") from None
+        dims = self.dimensions(spark)
+        return Star(counts.drop("batch"), dims.song, dims.album, dims.artist)
 
     def _write(self, rows: DataFrame, table: str, folder: str) -> None:
         """Plays are rebalanced by date: few files, and a date with many plays is split over several

@@ -339,6 +339,7 @@ ORACLE: dict[str, str] = {
     "recap_forgotten_songs_events": _forgotten(EVENTS_FACT, EVENTS_END),
     "recap_suite": _suite_text(EVENTS_FACT, EVENTS_END),
     "recap_suite_dates": " UNION ALL ".join(_suite_text(EVENTS_FACT, d) for d in REPORT_DATES),
+    "recap_suite_from_counts": " UNION ALL ".join(_suite_text(EVENTS_FACT, d) for d in REPORT_DATES),
     "join_fact_song": """SELECT l_partkey AS song_id, p_name AS song_name, count(*) AS plays,
         CAST(sum(p_size * 10000) AS BIGINT) AS ms
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""",
@@ -372,6 +373,7 @@ ORACLE: dict[str, str] = {
     "compaction_roundtrip": _counts(6, broken=False),
     "pipeline_roundtrip": _suite_text(PAYLOAD_FACT, EVENTS_END, PAYLOAD_ALBUM),
     "explode_plays": PLAYS,
+    "history_source": PLAYS,
     "event_id_shape": f"""SELECT count(*) AS n_plays, count(*) AS n_ids, count(*) AS n_hex
         FROM {PAGE_PLAYS} p""",
     "flatten_song": SONG_ROWS,
