@@ -2,6 +2,7 @@
 
 from playledger.functions.clock import (
     epoch_ms,
+    event_time,
     format_played_at,
     moment,
     monday_of,
@@ -19,6 +20,7 @@ __all__ = [
     "default_if_absent",
     "epoch_ms",
     "escape_markup",
+    "event_time",
     "first_field",
     "format_played_at",
     "moment",

@@ -71,6 +71,11 @@ def parse_played_at(text: Column) -> Column:
     return F.when(text.rlike(_PLAYED_AT), F.left(text, F.lit(23)).try_cast("timestamp_ntz"))
 
 
+def event_time(ts: Column) -> Column:
+    """A UTC wall-clock timestamp as a point in time, which watermarks need; in any session time zone."""
+    return F.concat(ts.cast("timestamp_ntz").cast("string"), F.lit("Z")).cast("timestamp")
+
+
 def played_ms(text: Column) -> Column:
     """Play time text to epoch milliseconds; other texts give NULL."""
     return F.unix_millis(F.to_timestamp_ltz(F.when(parse_played_at(text).isNotNull(), text)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
 from typing import Any
 
 from pyspark import StorageLevel
@@ -19,9 +21,12 @@ from playledger.operators.messages import (
 from playledger.schemas import TOPICS
 from playledger.sources.warehouse import REJECTS_TABLE, FolderWarehouse, JdbcWarehouse
 from playledger.streaming.batches import batch_tag
+from playledger.streaming.redelivery import Redelivery
 
 #: Name under which the per-batch record counts appear in ``query.lastProgress``.
 METRICS = "records"
+#: Ending of the names of those that count records without their key.
+REJECTED = "_rejected"
 
 
 def new_rows(rows: DataFrame, key: str, known: DataFrame) -> DataFrame:
@@ -43,6 +48,7 @@ def dispatch(
     unique_dims: bool = True,
     keep_rejects: bool = True,
     compact_every: int = 0,
+    redelivery: Redelivery | None = None,
 ) -> StreamingQuery:
     """Start the stream that parses topic records and appends them to their tables.
 
@@ -51,24 +57,28 @@ def dispatch(
     row per key, since a key published twice would count its plays twice. ``keep_rejects`` sends
     records without their key to the table ``rejects``. With both off every parsed row is appended
     as it is. ``compact_every`` merges the stored batches of a folder warehouse before each batch
-    whose number it divides, in the thread that writes, so that no write runs beside it.
+    whose number it divides, in the thread that writes, so that no write runs beside it. ``redelivery``: plays are
+    screened and staged, and its ``settle`` appends each of them once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if compact_every and batch_id and batch_id % compact_every == 0:
             for table in (*[t.table for t in TOPICS.values()], REJECTS_TABLE):
                 warehouse.compact(batch.sparkSession, table)
-        parsed = parse_records(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            _write_batch(parsed, batch_tag(batch, batch_id), warehouse, unique_dims, keep_rejects)
+            screen = redelivery and (lambda rows, tag: redelivery.screen(rows, batch_id, tag))
+            _write_batch(parsed, batch_tag(batch, batch_id), warehouse, unique_dims, keep_rejects, screen)
         finally:
             parsed.unpersist()
 
-    counts = [F.count_if(F.col("topic") == name).alias(name) for name in TOPICS]
+    # Parsed ahead of the counts, once for both.
+    parsed = parse_records(decode(records).filter(F.col("topic").isin(*TOPICS)))
+    of_topic = {name: F.col("topic") == name for name in TOPICS}
+    counts = [F.count_if(own).alias(name) for name, own in of_topic.items()]
+    counts += [F.count_if(own & F.col("json_value").isNotNull()).alias(name + REJECTED) for name, own in of_topic.items()]
     query = (
-        decode(records)
-        .filter(F.col("topic").isin(*TOPICS))
-        .observe(METRICS, *counts)
+        parsed.observe(METRICS, *counts)
         .writeStream.queryName("dispatch")
         .foreachBatch(write)
         .outputMode("append")
@@ -83,6 +93,7 @@ def _write_batch(
     warehouse: FolderWarehouse | JdbcWarehouse,
     unique_dims: bool,
     keep_rejects: bool,
+    screen: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> None:
     spark = parsed.sparkSession
     # At most four rows; also the check for an empty batch.
@@ -91,6 +102,7 @@ def _write_batch(
     )
     found = {row["topic"]: row for row in counts.collect()}
     rows_of = accepted if keep_rejects else all_rows
+    rejects = [rejected(parsed)] if keep_rejects and any(row["n_rejects"] for row in found.values()) else []
     for topic in TOPICS.values():
         if topic.name not in found:
             continue
@@ -98,6 +110,9 @@ def _write_batch(
         if unique_dims and not topic.is_fact:
             known = warehouse.known_keys(spark, topic.table, tag)
             rows = new_rows(rows, topic.key, known)
-        warehouse.append(rows, topic.table, tag)
-    if keep_rejects and any(row["n_rejects"] for row in found.values()):
-        warehouse.append(rejected(parsed), REJECTS_TABLE, tag)
+        if topic.is_fact and screen:
+            rejects.append(screen(rows, tag))
+        else:
+            warehouse.append(rows, topic.table, tag)
+    if rejects:
+        warehouse.append(reduce(DataFrame.unionByName, rejects), REJECTS_TABLE, tag)

@@ -10,7 +10,7 @@ from playledger.testbed.views import (
     LINEITEM_PAST,
     LINEITEM_WEEK,
 )
-from playledger.testbed.queries import CURSOR_MS, LATE_CURSOR_MS, REPORT_DATES
+from playledger.testbed.queries import BEFORE, CURSOR_MS, CUTS, DELAY, LATE_CURSOR_MS, REPORT_DATES, WAIT
 
 SONG_ID = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 
@@ -327,6 +327,28 @@ BOUNDS = f"""SELECT DISTINCT CAST(CAST(played_at AS DATE) AS VARCHAR) AS day,
             + INTERVAL '59' MINUTE AS week_end
     FROM (SELECT l_shipdate AS played_at FROM lineitem UNION ALL SELECT ts FROM events) p"""
 
+def _interval(text: str) -> str:
+    number, unit = text.split()
+    return f"INTERVAL '{number}' {unit.rstrip('s').upper()}"
+
+
+_PLAYED = f"""(SELECT CAST({SONG_ID} AS VARCHAR) AS song_id, CAST(user_id AS VARCHAR) AS album_id,
+    CAST({SONG_ID} % 10 AS VARCHAR) AS artist_id, date_trunc('milliseconds', ts) AS played_at FROM events)"""
+# A batch rejects what lies too far behind the newest play of the batches before it, which hold all plays until the cut.
+REDELIVERED = f"""SELECT * FROM (SELECT DISTINCT false AS rejected, *, CAST(1 AS BIGINT) AS n FROM {_PLAYED} p UNION ALL
+    SELECT true, song_id, album_id, artist_id, NULL, count(*) FROM ({" UNION ALL ".join(
+        f"SELECT p.* FROM {_PLAYED} p WHERE played_at < TIMESTAMP '{end}' AND played_at < (SELECT max(played_at) FROM {_PLAYED} q "
+        f"WHERE played_at < TIMESTAMP '{cut}') - {_interval(DELAY)}" for cut, end in zip(CUTS, (*CUTS[1:], "2100-01-01")))}) late
+    GROUP BY song_id, album_id, artist_id)"""
+LATE_DETAILS = f"""SELECT f.*, arrived_at FROM {EVENTS_FACT} f LEFT JOIN (
+    SELECT p_partkey AS song_id, TIMESTAMP '2024-01-01' + to_hours(p_size * 16) AS arrived_at FROM part) a ON f.song_id = a.song_id
+    AND arrived_at BETWEEN played_at - {_interval(BEFORE)} AND played_at + {_interval(WAIT)}"""
+BATCH_METRICS = f"""SELECT CAST(batch AS BIGINT) AS batch_id, topic, count(*) AS n_records, count(*) FILTER (WHERE bad) AS n_rejects FROM (
+    SELECT 0 AS batch, 'song_topic' AS topic, false AS bad FROM part UNION ALL SELECT 1, 'song_topic', false FROM part
+    UNION ALL SELECT 0, 'album_topic', false FROM orders UNION ALL SELECT 0, 'artist_topic', false FROM supplier
+    UNION ALL SELECT 0, 'item_topic', false FROM {PAGE_PLAYS} p
+    UNION ALL SELECT 1, 'song_topic', event_type IN ('view', 'error') FROM events) r GROUP BY batch, topic"""
+
 ORACLE: dict[str, str] = {
     "recap_top_songs": _songs(LINEITEM_FACT, LINEITEM_WEEK),
     "recap_top_albums": _albums(LINEITEM_FACT, LINEITEM_WEEK),
@@ -370,6 +392,9 @@ ORACLE: dict[str, str] = {
     "rejected_records": REJECTED,
     "stream_dispatch": _counts(1, broken=True),
     "warehouse_roundtrip": _counts(2, broken=False),
+    "redelivered_plays": REDELIVERED,
+    "late_details": LATE_DETAILS,
+    "batch_metrics": BATCH_METRICS,
     "compaction_roundtrip": _counts(6, broken=False),
     "pipeline_roundtrip": _suite_text(PAYLOAD_FACT, EVENTS_END, PAYLOAD_ALBUM),
     "explode_plays": PLAYS,

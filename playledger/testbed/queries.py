@@ -34,7 +34,7 @@ from playledger.sources import (
     stream_pages,
 )
 from playledger.star import DIM_KEYS, Star
-from playledger.streaming import dispatch, ingest
+from playledger.streaming import BatchMetrics, Redelivery, dispatch, ingest, with_arrival
 from playledger.testbed import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -287,6 +287,78 @@ def stream_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table_counts(spark, warehouse)
 
 
+#: Ends of the first batches of plays, and what lies past all of them.
+CUTS = ("2024-01-08", "2024-01-16", "2024-01-24")
+HEARTBEAT = "2100-01-01"
+DELAY, WAIT, BEFORE = "36 hours", "3 days", "10 days"
+
+
+@query
+def redelivered_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays in batches that each hold all plays until a time, so that those of the batches before are delivered again."""
+    root = shared_folder(spark, "redelivered")
+    topics, warehouse = FolderTopics(f"{root}/topics"), FolderWarehouse(f"{root}/warehouse")
+    again = Redelivery(f"{root}/staged", DELAY)
+    plays = v.events_star(spark, sf_dir).fact
+    plays = plays.withColumn("played_at", format_played_at(F.col("played_at")))
+    for cut in (*CUTS, HEARTBEAT):
+        topics.append(msg.to_messages(plays.filter(F.col("played_at") < cut), ITEM_TOPIC), cut)
+        dispatch(topics.read_stream(spark), warehouse, f"{root}/dispatch", {"availableNow": True},
+                 redelivery=again).awaitTermination()
+        again.settle(spark, warehouse, f"{root}/settle", {"availableNow": True}).awaitTermination()
+    rejects = warehouse.read(spark, REJECTS_TABLE)
+    late = msg.parse_topic(rejects.select("json_value", "topic"), ITEM_TOPIC).drop("played_at")
+    late = late.withColumn("played_at", F.lit(None).cast("timestamp_ntz"))
+    found = warehouse.read(spark, FACT_TABLE).drop("play_date").withColumn("rejected", F.lit(False))
+    every = found.unionByName(late.withColumn("rejected", F.lit(True)))
+    return every.groupBy("rejected", "song_id", "album_id", "artist_id", "played_at").agg(F.count("*").alias("n"))
+
+
+@query
+def late_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays that wait for the arrival of their song's details, in batches by time; both streams end with a heartbeat."""
+    root = shared_folder(spark, "late")
+    plays = v.events_star(spark, sf_dir).fact
+    arrivals = v.song_arrivals(spark, sf_dir)
+    beat = F.lit(HEARTBEAT).cast("timestamp_ntz")
+    for rows, time, name in ((plays, "played_at", "plays"), (arrivals, "arrived_at", "arrivals")):
+        for start, end in zip(("1970-01-01", *CUTS), (*CUTS, HEARTBEAT)):
+            part = rows.filter((F.col(time) >= start) & (F.col(time) < end))
+            part.coalesce(1).write.mode("append").parquet(f"{root}/{name}")
+        nobody = [F.lit(-1).cast(f.dataType).alias(f.name) for f in rows.schema if f.name != time]
+        spark.range(1).select(*nobody, beat.alias(time)).coalesce(1).write.mode("append").parquet(f"{root}/{name}")
+    streams = [
+        spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/{name}")
+        for rows, name in ((plays, "plays"), (arrivals, "arrivals"))
+    ]
+    found = with_arrival(*streams, "song_id", WAIT, BEFORE)
+    sink = found.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+    sink.trigger(availableNow=True).start(f"{root}/found").awaitTermination()
+    settled = spark.read.schema(found.schema).parquet(f"{root}/found")
+    return settled.filter(F.col("played_at") < HEARTBEAT)
+
+
+@query
+def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records and rejects by batch and topic, out of what the streams have observed."""
+    root = shared_folder(spark, "metrics")
+    topics, warehouse = FolderTopics(f"{root}/topics"), FolderWarehouse(f"{root}/warehouse")
+    metrics = BatchMetrics(spark, f"{root}/metrics")
+    spark.streams.addListener(metrics)
+    try:
+        songs = _messages(spark, sf_dir, SONG_TOPIC)
+        others = [_messages(spark, sf_dir, name) for name in (ALBUM_TOPIC, ARTIST_TOPIC, ITEM_TOPIC)]
+        for name, records in (("first", [songs, *others]), ("second", [songs, v.broken_messages(spark, sf_dir)])):
+            topics.append(_union(records), name)
+            stream = dispatch(topics.read_stream(spark), warehouse, f"{root}/checkpoint", {"availableNow": True})
+            stream.awaitTermination()
+            if not metrics.wait(stream.runId):
+                raise TimeoutError("the listener has not seen the end of the query")
+    finally:
+        spark.streams.removeListener(metrics)
+    return metrics.read().select("batch_id", "topic", "n_records", "n_rejects")
+
+
 @query
 def warehouse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append, replay and read back every table."""

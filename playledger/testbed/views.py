@@ -86,6 +86,14 @@ def events_star(spark: SparkSession, sf_dir: str) -> Star:
     return Star(fact, *_dims(spark, sf_dir))
 
 
+def song_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When the details of each part arrive, as songs: by size, over the weeks of the events and one after."""
+    hours = F.make_dt_interval(hours=F.col("p_size") * 16)
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("song_id"), (F.lit("2024-01-01").cast("timestamp_ntz") + hours).alias("arrived_at")
+    )
+
+
 def star_of_text_ids(star: Star) -> Star:
     """The star with text ids, as plays and payloads carry them."""
     return Star(
