@@ -13,11 +13,10 @@ from playledger.functions.clock import (
     week_bounds,
     week_of,
 )
-from playledger.functions.payload import default_if_absent, first_field
+from playledger.functions.payload import first_field
 from playledger.functions.text import escape_markup, strip_fences
 
 __all__ = [
-    "default_if_absent",
     "epoch_ms",
     "escape_markup",
     "event_time",

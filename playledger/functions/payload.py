@@ -8,13 +8,3 @@ from pyspark.sql import Column, functions as F
 def first_field(items: Column, field: str) -> Column:
     """Field of the first array element; NULL if the array is empty or NULL."""
     return F.get(items, 0)[field]
-
-
-def default_if_absent(payload: Column, parsed: Column, key: str, default: str) -> Column:
-    """``parsed`` where the JSON text has ``key`` (a null stays null), else ``default``.
-
-    A typed parse cannot tell an absent key from a null one, hence the look at the keys. Text that
-    is no JSON object gives NULL.
-    """
-    keys = F.json_object_keys(payload)
-    return F.when(F.array_contains(keys, key), parsed).when(keys.isNotNull(), F.lit(default))

@@ -5,16 +5,9 @@ Landing tables hold one JSON text per fetch of an entity: ``(<key>, payload, fet
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from playledger.functions import default_if_absent, first_field
-from playledger.schemas import (
-    ALBUM_PAYLOAD,
-    ARTIST_PAYLOAD,
-    LINK_FIELD,
-    NO_PREVIEW,
-    SONG_PAYLOAD,
-)
+from playledger.schemas import BOOLEAN, INT, LINK_FIELD, NO_PREVIEW, STRING
 
 
 def without_known(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
@@ -52,46 +45,71 @@ def enrich(keys: DataFrame, raw: DataFrame, key: str) -> DataFrame:
     return wanted.groupBy(key).agg(latest).select(key, "latest.payload")
 
 
+def _read(raw: DataFrame, key: str, **fields: tuple[str, T.DataType] | Column) -> DataFrame:
+    """Landing rows as messages: the payload is parsed once, and each field read from it by path.
+
+    A number or truth value of another type than the field's gives NULL; any value but a null counts as text.
+    Text that is no JSON gives NULLs.
+    """
+
+    def value(path: str, kind: T.DataType) -> Column:
+        found = F.try_variant_get(_PARSED, path, kind.simpleString())
+        if isinstance(kind, T.StringType):
+            return found
+        return F.when(F.schema_of_variant(F.try_variant_get(_PARSED, path, "variant")) == _JSON_TYPES[type(kind)], found)
+
+    columns = [(f if isinstance(f, Column) else value(*f)).alias(name) for name, f in fields.items()]
+    return raw.select(key, F.try_parse_json("payload").alias("parsed")).select(key, *columns)
+
+
+_PARSED = "parsed"
+#: How the types of JSON values are called that fit a field.
+_JSON_TYPES = {T.IntegerType: "BIGINT", T.BooleanType: "BOOLEAN"}
+_LINK = f"$.external_urls.{LINK_FIELD}"
+
+
 def flatten_song(raw: DataFrame) -> DataFrame:
-    """Song landing rows as song messages."""
-    p = F.col("p")
-    return raw.select("song_id", "payload", F.from_json("payload", SONG_PAYLOAD).alias("p")).select(
+    """Song landing rows as song messages. A song without a preview key has the default; a null preview stays null."""
+    preview = F.try_variant_get(_PARSED, "$.preview_url", "variant")
+    is_object = F.schema_of_variant(_PARSED).startswith("OBJECT")
+    return _read(
+        raw,
         "song_id",
-        p["name"].alias("title"),
-        p["disc_number"].alias("disc_number"),
-        p["duration_ms"].alias("duration_ms"),
-        p["explicit"].alias("explicit"),
-        p["external_urls"][LINK_FIELD].alias("external_url"),
-        default_if_absent(F.col("payload"), p["preview_url"], "preview_url", NO_PREVIEW).alias(
-            "preview_url"
+        title=("$.name", STRING),
+        disc_number=("$.disc_number", INT),
+        duration_ms=("$.duration_ms", INT),
+        explicit=("$.explicit", BOOLEAN),
+        external_url=(_LINK, STRING),
+        preview_url=F.when(preview.isNull() & is_object, F.lit(NO_PREVIEW)).otherwise(
+            F.try_variant_get(_PARSED, "$.preview_url", "string")
         ),
-        p["popularity"].alias("popularity"),
+        popularity=("$.popularity", INT),
     )
 
 
 def flatten_album(raw: DataFrame) -> DataFrame:
     """Album landing rows as album messages."""
-    p = F.col("p")
-    return raw.select("album_id", F.from_json("payload", ALBUM_PAYLOAD).alias("p")).select(
+    return _read(
+        raw,
         "album_id",
-        p["name"].alias("title"),
-        p["total_tracks"].alias("total_tracks"),
-        p["release_date"].alias("release_date"),
-        p["external_urls"][LINK_FIELD].alias("external_url"),
-        first_field(p["images"], "url").alias("image_url"),
-        p["label"].alias("label"),
-        p["popularity"].alias("popularity"),
+        title=("$.name", STRING),
+        total_tracks=("$.total_tracks", INT),
+        release_date=("$.release_date", STRING),
+        external_url=(_LINK, STRING),
+        image_url=("$.images[0].url", STRING),
+        label=("$.label", STRING),
+        popularity=("$.popularity", INT),
     )
 
 
 def flatten_artist(raw: DataFrame) -> DataFrame:
     """Artist landing rows as artist messages."""
-    p = F.col("p")
-    return raw.select("artist_id", F.from_json("payload", ARTIST_PAYLOAD).alias("p")).select(
+    return _read(
+        raw,
         "artist_id",
-        p["name"].alias("name"),
-        p["external_urls"][LINK_FIELD].alias("external_url"),
-        p["followers"]["total"].alias("follower_count"),
-        first_field(p["images"], "url").alias("image_url"),
-        p["popularity"].alias("popularity"),
+        name=("$.name", STRING),
+        external_url=(_LINK, STRING),
+        follower_count=("$.followers.total", INT),
+        image_url=("$.images[0].url", STRING),
+        popularity=("$.popularity", INT),
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from playledger.functions import moment, monday_of, week_bounds, week_of
 from playledger.functions.clock import AsOf
-from playledger.star import DIM_KEYS, Star
+from playledger.star import DIM_KEYS, Dimensions, Star
 
 #: Partition column of file-based fact tables.
 PLAY_DATE = "play_date"
@@ -122,7 +122,7 @@ def last_play_by(fact: DataFrame, *keys: str) -> DataFrame:
     return fact.groupBy(*keys).agg(F.max("played_at").alias("last_played"))
 
 
-def resolve(rows: DataFrame, star: Star, *keys: str) -> DataFrame:
+def resolve(rows: DataFrame, star: Star | Dimensions, *keys: str) -> DataFrame:
     """Rows joined with the recap columns of the dimensions of ``keys``.
 
     Inner equi-joins: rows with a NULL or unknown id are dropped. No side is hinted; statistics and

@@ -18,8 +18,12 @@ def to_messages(rows: DataFrame, topic: str) -> DataFrame:
 
 
 def decode(records: DataFrame) -> DataFrame:
-    """Topic records with the value as text."""
-    return records.select(F.col("value").cast("string").alias("json_value"), "topic")
+    """Topic records with the value as text, and with their origin if they have one."""
+    return records.select(F.col("value").cast("string").alias("json_value"), "topic", *_origin(records))
+
+
+def _origin(records: DataFrame) -> list[str]:
+    return ["origin"] if "origin" in records.columns else []
 
 
 def _typed(rows: DataFrame, topic: str, parsed: Column) -> DataFrame:
@@ -54,7 +58,7 @@ def parse_records(decoded: DataFrame) -> DataFrame:
         for name, spec in TOPICS.items()
     ]
     key = F.coalesce(*[F.col(name)[spec.key] for name, spec in TOPICS.items()])
-    return decoded.select("topic", "json_value", *structs).withColumn(
+    return decoded.select("topic", "json_value", *_origin(decoded), *structs).withColumn(
         "json_value", F.when(key.isNull(), F.coalesce("json_value", F.lit("")))
     )
 
@@ -70,5 +74,5 @@ def accepted(parsed: DataFrame, topic: str) -> DataFrame:
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
-    """Records without their key, as they came: ``topic, json_value``."""
-    return parsed.filter(F.col("json_value").isNotNull()).select("topic", "json_value")
+    """Records without their key, as they came: ``topic, json_value``, and ``origin`` if they have one."""
+    return parsed.filter(F.col("json_value").isNotNull()).select("topic", "json_value", *_origin(parsed))

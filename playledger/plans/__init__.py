@@ -3,6 +3,7 @@
 from playledger.plans.recap import (
     SECTIONS,
     forgotten_songs,
+    forgotten_songs_at,
     recap_table,
     recap_tables,
     recaps,
@@ -16,6 +17,7 @@ from playledger.plans.routing import route
 __all__ = [
     "SECTIONS",
     "forgotten_songs",
+    "forgotten_songs_at",
     "recap_table",
     "recap_tables",
     "recaps",

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from playledger.functions import moment, monday_of
 from playledger.functions.clock import AsOf
+from playledger.operators.intervals import PAIR, last_plays_at
 from playledger.operators.listening import (
     in_week,
     in_weeks,
@@ -22,7 +23,7 @@ from playledger.operators.listening import (
     top_k,
 )
 from playledger.schemas import SECTION_NAMES
-from playledger.star import DIM_KEYS, Star
+from playledger.star import DIM_KEYS, Dimensions, Star
 
 # Output columns that a section lacks are NULL in the combined recap table.
 _COLUMNS = {
@@ -167,18 +168,27 @@ def recap_tables(star: Star, as_of: Sequence[AsOf]) -> DataFrame:
         return _long(section, wanted.join(ranked.filter(F.col("rank") <= section.k), "week"))
 
     songs, albums, artists, forgotten = SECTIONS
-    pairs = last_play_by_dates(star.fact, dates, "song_id", "album_id")
-    last = resolve(pairs, star, "song_id", "album_id").groupBy("as_of", *forgotten.keys)
-    unheard = last.agg(F.max("last_played").alias("last_played")).withColumn(
-        "days_ago", F.datediff("as_of", F.col("last_played").cast("date"))
-    )
-    unheard = unheard.withColumn("rank", _ranking(forgotten, "as_of"))
+    unheard = _unheard(last_play_by_dates(star.fact, dates, *PAIR), star)
     return reduce(
         DataFrame.unionByName,
         [
             of_weeks(songs, counts, *DIM_KEYS),
             of_weeks(albums, counts, *DIM_KEYS),
             of_weeks(artists, _by_artist(counts, "week"), "song_id", "artist_id"),
-            _long(forgotten, unheard.filter(F.col("rank") <= forgotten.k)),
+            _long(forgotten, unheard),
         ],
     )
+
+
+def _unheard(pairs: DataFrame, star: Star | Dimensions) -> DataFrame:
+    """Songs whose last play lies furthest back, ranked for each day of ``as_of``."""
+    section = SECTIONS[3]
+    last = resolve(pairs, star, *PAIR).groupBy("as_of", *section.keys)
+    days_ago = F.datediff("as_of", F.col("last_played").cast("date"))
+    ranked = last.agg(F.max("last_played").alias("last_played")).withColumn("days_ago", days_ago)
+    return ranked.withColumn("rank", _ranking(section, "as_of")).filter(F.col("rank") <= section.k)
+
+
+def forgotten_songs_at(intervals: DataFrame, dims: Star | Dimensions, as_of: Sequence[AsOf]) -> DataFrame:
+    """``forgotten_songs`` for several days, past ones too, out of the table of intervals: no play is read."""
+    return _long(SECTIONS[3], _unheard(last_plays_at(intervals, as_of), dims))

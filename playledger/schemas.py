@@ -91,32 +91,6 @@ HISTORY_PAYLOAD = struct(
         )
     )
 )
-#: Entity details as the service returns them, held as JSON text in the landing tables.
-SONG_PAYLOAD = struct(
-    name=STRING,
-    disc_number=INT,
-    duration_ms=INT,
-    explicit=BOOLEAN,
-    external_urls=struct(**{LINK_FIELD: STRING}),
-    preview_url=STRING,
-    popularity=INT,
-)
-ALBUM_PAYLOAD = struct(
-    name=STRING,
-    total_tracks=INT,
-    release_date=STRING,
-    external_urls=struct(**{LINK_FIELD: STRING}),
-    images=T.ArrayType(struct(url=STRING)),
-    label=STRING,
-    popularity=INT,
-)
-ARTIST_PAYLOAD = struct(
-    name=STRING,
-    external_urls=struct(**{LINK_FIELD: STRING}),
-    followers=struct(total=INT),
-    images=T.ArrayType(struct(url=STRING)),
-    popularity=INT,
-)
 #: The five texts a recap reply must carry.
 REPLY = struct(
     opening_statement=STRING,

@@ -6,6 +6,7 @@ from playledger.sources.scratch import shared_folder
 from playledger.sources.topics import FolderTopics, KafkaTopics, kafka_options, kafka_package
 from playledger.sources.warehouse import (
     COUNTS_TABLE,
+    MENDED_TABLE,
     REJECTS_TABLE,
     FolderWarehouse,
     JdbcWarehouse,
@@ -21,6 +22,7 @@ __all__ = [
     "HistoryService",
     "HistorySource",
     "JdbcWarehouse",
+    "MENDED_TABLE",
     "MissingTable",
     "KafkaTopics",
     "REJECTS_TABLE",

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from playledger.schemas import TOPIC_RECORD, TOPICS
 from playledger.sources.landing import bounded
 
+#: Where a record comes from: partition and offset, or file and row. A record that is read again has the same.
+ORIGIN = "origin"
+
 
 def kafka_package() -> str:
     """Maven coordinates of the broker connector that fits the running Spark version."""
@@ -52,7 +55,8 @@ class KafkaTopics:
 
     def read_stream(self, spark: SparkSession) -> DataFrame:
         options = self.read_options()
-        return spark.readStream.format("kafka").options(**options).load().select("value", "topic")
+        origin = F.concat_ws("/", "topic", "partition", "offset").alias(ORIGIN)
+        return spark.readStream.format("kafka").options(**options).load().select("value", "topic", origin)
 
     def append(self, records: DataFrame, batch: str) -> None:
         """Publish the records, without keys. Delivery is at least once."""
@@ -73,7 +77,9 @@ class FolderTopics:
 
     def read_stream(self, spark: SparkSession) -> DataFrame:
         reader = bounded(spark.readStream.schema(TOPIC_RECORD), self.max_files, self.max_bytes)
-        return reader.option("pathGlobFilter", "*.parquet").parquet(f"{self.root}/batch=*")
+        records = reader.option("pathGlobFilter", "*.parquet").parquet(f"{self.root}/batch=*")
+        origin = F.concat_ws("/", "_metadata.file_name", "_metadata.row_index").alias(ORIGIN)
+        return records.select("value", "topic", origin)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(TOPIC_RECORD).parquet(self.root)

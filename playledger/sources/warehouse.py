@@ -30,11 +30,14 @@ from playledger.star import Dimensions, Star
 REJECTS_TABLE = "rejects"
 #: Plays counted by day, week and ids, as a folder warehouse can keep them beside the plays.
 COUNTS_TABLE = "play_counts"
-_REJECTS = struct(topic=STRING, json_value=STRING)
+_REJECTS = struct(topic=STRING, json_value=STRING, origin=STRING)
+#: Origins of the rejects that were mended and taken in.
+MENDED_TABLE = "mended"
+_MENDED = struct(topic=STRING, origin=STRING)
 
 
 def table_schema(table: str) -> T.StructType:
-    return _REJECTS if table == REJECTS_TABLE else TABLES[table].row
+    return {REJECTS_TABLE: _REJECTS, MENDED_TABLE: _MENDED}.get(table) or TABLES[table].row
 
 
 class MissingTable(LookupError):
@@ -133,6 +136,10 @@ class FolderWarehouse(_Warehouse):
         """Rows of the table; the fact table also has its partition column ``play_date``."""
         return self._stored(spark, table, missing_ok).drop("batch")
 
+    def batches(self, spark: SparkSession, table: str) -> DataFrame:
+        """Rows of the table with the batch that wrote them."""
+        return self._stored(spark, table)
+
     def known_keys(self, spark: SparkSession, table: str, batch: str) -> DataFrame:
         """Keys in the table, but for those that an earlier run of the same batch wrote."""
         stored = self._stored(spark, table).filter(F.col("batch") != batch)

@@ -115,4 +115,5 @@ def _write_batch(
         else:
             warehouse.append(rows, topic.table, tag)
     if rejects:
-        warehouse.append(reduce(DataFrame.unionByName, rejects), REJECTS_TABLE, tag)
+        every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rejects)
+        warehouse.append(every, REJECTS_TABLE, tag)

@@ -24,7 +24,7 @@ def ingest(
     checkpoint: str,
     trigger: dict[str, Any] | None = None,
 ) -> StreamingQuery:
-    """Start the stream that turns history pages into topic records.
+    """Start the stream that turns history pages, or the plays of ``stream_history``, into topic records.
 
     Of the warehouse only the dimensions are opened; one that does not exist yet is empty. They and the entity landing tables are read anew for each batch. Pages count as read
     only when their batch is committed, so a failed batch is repeated, not lost.
@@ -32,7 +32,7 @@ def ingest(
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        plays = explode_plays(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        plays = (explode_plays(batch) if "items" in batch.columns else batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not plays.count():
                 return

@@ -46,7 +46,7 @@ class Redelivery:
         return row["newest"] if row else None
 
     def screen(self, plays: DataFrame, batch_id: int, tag: str) -> DataFrame:
-        """Stages the plays that are on time, and gives the others as rejects: ``topic, json_value``.
+        """Stages the plays that are on time, and gives the others as rejects: ``topic, json_value``, without an origin.
 
         Plays without a time cannot be told from copies of older ones, and are rejects, too.
         """

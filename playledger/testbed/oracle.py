@@ -6,6 +6,7 @@ from playledger.testbed.views import (
     EMPTY_WEEK,
     EVENTS_END,
     EVENTS_WEEK,
+    LINEITEM_DAYS,
     LINEITEM_END,
     LINEITEM_PAST,
     LINEITEM_WEEK,
@@ -343,6 +344,13 @@ REDELIVERED = f"""SELECT * FROM (SELECT DISTINCT false AS rejected, *, CAST(1 AS
 LATE_DETAILS = f"""SELECT f.*, arrived_at FROM {EVENTS_FACT} f LEFT JOIN (
     SELECT p_partkey AS song_id, TIMESTAMP '2024-01-01' + to_hours(p_size * 16) AS arrived_at FROM part) a ON f.song_id = a.song_id
     AND arrived_at BETWEEN played_at - {_interval(BEFORE)} AND played_at + {_interval(WAIT)}"""
+MENDED = """SELECT kind, value, title, count(*) AS n FROM (
+    SELECT 'song' AS kind, CAST(event_id AS VARCHAR) AS value,
+        CASE event_type WHEN 'purchase' THEN '["t"]' WHEN 'view' THEN 'cut off' END AS title FROM events WHERE event_type <> 'error'
+    UNION ALL SELECT DISTINCT 'song', 'user ' || user_id, 'mended' FROM events
+        WHERE event_type = 'error' AND length(CAST(user_id AS VARCHAR)) > 1
+    UNION ALL SELECT 'rejected', '{"title":' || user_id || ',"popularity":' || CAST(value AS DECIMAL(18, 2)) || '}', NULL FROM events
+        WHERE event_type = 'error' AND length(CAST(user_id AS VARCHAR)) = 1) r GROUP BY ALL"""
 BATCH_METRICS = f"""SELECT CAST(batch AS BIGINT) AS batch_id, topic, count(*) AS n_records, count(*) FILTER (WHERE bad) AS n_rejects FROM (
     SELECT 0 AS batch, 'song_topic' AS topic, false AS bad FROM part UNION ALL SELECT 1, 'song_topic', false FROM part
     UNION ALL SELECT 0, 'album_topic', false FROM orders UNION ALL SELECT 0, 'artist_topic', false FROM supplier
@@ -355,6 +363,10 @@ ORACLE: dict[str, str] = {
     "recap_top_artists": _artists(LINEITEM_FACT, LINEITEM_WEEK),
     "recap_forgotten_songs": _forgotten(LINEITEM_FACT, LINEITEM_END),
     "recap_forgotten_songs_past": _forgotten(LINEITEM_FACT, LINEITEM_PAST),
+    "recap_forgotten_songs_days": " UNION ALL ".join(
+        f"""SELECT '{day}' AS as_of, CAST(row_number() OVER (ORDER BY days_ago DESC NULLS LAST, song_name NULLS FIRST,
+            album_art NULLS FIRST) AS INTEGER) AS rank, song_name, album_art, last_played, CAST(days_ago AS VARCHAR) AS days_ago
+            FROM ({_forgotten(LINEITEM_FACT, day)}) f""" for day in LINEITEM_DAYS),
     "recap_top_songs_events": _songs(EVENTS_FACT, EVENTS_WEEK),
     "recap_top_albums_events": _albums(EVENTS_FACT, EVENTS_WEEK),
     "recap_top_artists_events": _artists(EVENTS_FACT, EVENTS_WEEK),
@@ -395,6 +407,7 @@ ORACLE: dict[str, str] = {
     "redelivered_plays": REDELIVERED,
     "late_details": LATE_DETAILS,
     "batch_metrics": BATCH_METRICS,
+    "mended_rejects": MENDED,
     "compaction_roundtrip": _counts(6, broken=False),
     "pipeline_roundtrip": _suite_text(PAYLOAD_FACT, EVENTS_END, PAYLOAD_ALBUM),
     "explode_plays": PLAYS,

@@ -14,6 +14,7 @@ from playledger.operators import listening as lis
 from playledger.operators import messages as msg
 from playledger.operators import plays as pl
 from playledger.operators import report as rep
+from playledger.operators.intervals import read_intervals, write_intervals
 from playledger.operators.listening import PLAY_MS
 from playledger.schemas import (
     ALBUM_TABLE,
@@ -34,7 +35,7 @@ from playledger.sources import (
     stream_pages,
 )
 from playledger.star import DIM_KEYS, Star
-from playledger.streaming import BatchMetrics, Redelivery, dispatch, ingest, with_arrival
+from playledger.streaming import BatchMetrics, Redelivery, dispatch, ingest, mend, with_arrival
 from playledger.testbed import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +125,16 @@ def recap_suite_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(recap, "as_of", "total_minute_listened", "days_ago")
 
 
+@query
+def recap_forgotten_songs_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As it was on several days, one before all plays and one after, from the table of intervals."""
+    star = v.lineitem_star(spark, sf_dir)
+    path = shared_folder(spark, "intervals")
+    write_intervals(star.fact, path)
+    found = plans.forgotten_songs_at(read_intervals(star.fact.schema, path, spark), star, v.LINEITEM_DAYS)
+    return _as_text(found.select("as_of", "rank", "song_name", "album_art", "last_played", "days_ago"), "as_of", "days_ago")
+
+
 @query
 def join_fact_song(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = v.lineitem_star(spark, sf_dir)
@@ -338,6 +349,29 @@ def late_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settled.filter(F.col("played_at") < HEARTBEAT)
 
 
+@query
+def mended_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken records, rejected with their origin; two runs mend them, the second all that the first did and more, and is run twice."""
+    root = shared_folder(spark, "mended")
+    topics, warehouse = FolderTopics(f"{root}/topics"), FolderWarehouse(f"{root}/warehouse")
+    topics.append(v.broken_messages(spark, sf_dir), "first")
+    dispatch(topics.read_stream(spark), warehouse, f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
+    rejects = warehouse.read(spark, REJECTS_TABLE)
+    cut_off = F.col("json_value").contains("cut off")
+    title = F.get_json_object("json_value", "$.title")
+    closed = F.concat(F.col("json_value"), F.lit('"}'))
+    named = F.concat(F.lit('{"song_id":"user '), title, F.lit('","title":"mended"}'))
+    first = rejects.filter(cut_off).select("origin", closed.alias("json_value"))
+    second = first.withColumn("json_value", F.lit('{"song_id":"too late"}'))
+    # Those of the users are mended to one key each, of which one row stays.
+    second = second.union(rejects.filter(~cut_off & (F.length(title) > 1)).select("origin", named))
+    for run, records in (("m.0", first), ("m.1", second), ("m.1", second)):
+        rest = mend(spark, warehouse, records, run)
+    songs = warehouse.read(spark, SONG_TABLE).select(F.lit("song").alias("kind"), F.col("song_id").alias("value"), "title")
+    still = rest.select(F.lit("rejected").alias("kind"), F.col("json_value").alias("value"), F.lit(None).cast("string").alias("title"))
+    return songs.union(still).groupBy("kind", "value", "title").agg(F.count("*").alias("n"))
+
+
 @query
 def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records and rejects by batch and topic, out of what the streams have observed."""

@@ -22,6 +22,8 @@ EVENTS_END = "2024-01-31"
 EMPTY_WEEK = "2024-02-14"
 #: A date in the middle of the plays of ``lineitem``.
 LINEITEM_PAST = "1996-05-08"
+#: Days from before the first play of ``lineitem`` to after the last.
+LINEITEM_DAYS = ("1980-01-01", "1995-02-28", LINEITEM_PAST, LINEITEM_WEEK, LINEITEM_END, "2030-01-01")
 FETCHED_AT = "2024-01-01 00:00:00"
 
 

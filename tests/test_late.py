@@ -8,7 +8,7 @@ import pytest
 from playledger.functions import event_time
 from playledger.schemas import FACT_TABLE, ITEM_TOPIC, SONG_TABLE, SONG_TOPIC
 from playledger.sources import REJECTS_TABLE, FolderTopics, FolderWarehouse
-from playledger.streaming import BatchMetrics, Redelivery, dispatch, with_arrival
+from playledger.streaming import BatchMetrics, Redelivery, dispatch, mend, open_rejects, with_arrival
 from playledger.streaming.metrics import totals
 from tests.util import bag, messages, rows
 
@@ -166,3 +166,51 @@ def test_counts_outlive_the_query(spark, tmp_path, metrics):
     assert {r["query"] for r in found.collect()} == {str(query.id)}
     assert bag(totals(found)) == {(SONG_TOPIC, 5, 2): 1, (ITEM_TOPIC, 1, 0): 1}
     assert warehouse.read(spark, SONG_TABLE).count() == 2
+
+
+# --- mended rejects -----------------------------------------------------------------------------
+
+
+def rejected(spark, tmp_path):
+    """A warehouse with four rejects and one song, and the rejects by text."""
+    topics, warehouse = FolderTopics(f"{tmp_path}/topics"), FolderWarehouse(f"{tmp_path}/warehouse")
+    texts = ['{"song_id":"s1","title":"One"}', '{"title":"two"}', '{"title":"two"}', "{bad"]
+    topics.append(messages(spark, *texts, topic=SONG_TOPIC), "1")
+    topics.append(messages(spark, '{"played_at":"2024-07-01T10:00:00.000Z"}', topic=ITEM_TOPIC), "2")
+    dispatch(topics.read_stream(spark), warehouse, f"{tmp_path}/checkpoint", ONCE).awaitTermination()
+    found = {}
+    for r in warehouse.read(spark, REJECTS_TABLE).collect():
+        found.setdefault(r["json_value"], []).append(r["origin"])
+    return warehouse, found
+
+
+def test_rejects_have_an_origin_of_their_own(spark, tmp_path):
+    warehouse, found = rejected(spark, tmp_path)
+    origins = [o for some in found.values() for o in some]
+    assert len(origins) == len(set(origins)) == 4 and all("/" in o for o in origins)
+    assert len(found['{"title":"two"}']) == 2
+    assert open_rejects(spark, warehouse).count() == 4
+
+
+@pytest.mark.parametrize("order", [("a", "b"), ("b", "a")])
+def test_a_mended_reject_is_taken_in_once_whichever_run_comes_first(spark, tmp_path, order):
+    warehouse, found = rejected(spark, tmp_path)
+    two, bad, play = found['{"title":"two"}'], found["{bad"][0], found['{"played_at":"2024-07-01T10:00:00.000Z"}'][0]
+    runs = {
+        "a": [(two[0], '{"song_id":"s2","title":"a"}'), (bad, "{still bad"), ("unknown/1", '{"song_id":"x"}'), (None, '{"song_id":"x"}')],
+        "b": [(two[0], '{"song_id":"s3","title":"b"}'), (two[1], '{"song_id":"s1","title":"known"}'), (play, item("s2", "01T10:00"))],
+    }
+    for run in (order[0], order[0], order[1], order[1], order[0]):  # repeated, too
+        rest = mend(spark, warehouse, spark.createDataFrame(runs[run], "origin string, json_value string"), run)
+    songs = {r["song_id"]: r["title"] for r in warehouse.read(spark, SONG_TABLE).collect()}
+    assert songs == {"s1": "One"} | ({"s2": "a"} if order[0] == "a" else {"s3": "b"})
+    assert warehouse.read(spark, FACT_TABLE).count() == 1
+    assert [r["json_value"] for r in rest.collect()] == ["{bad"]
+
+
+def test_late_plays_are_rejects_that_stay(spark, tmp_path):
+    job = Job(spark, str(tmp_path))
+    job.deliver("1", item("s1", "03T10:00"), "{bad")
+    job.deliver("2", item("s1", "01T10:00"))
+    assert sum(job.rejects().values()) == 2
+    assert [r["json_value"] for r in open_rejects(spark, job.warehouse).collect()] == ["{bad"]
