@@ -30,7 +30,7 @@ from playledger.star import Dimensions, Star
 REJECTS_TABLE = "rejects"
 #: Plays counted by day, week and ids, as a folder warehouse can keep them beside the plays.
 COUNTS_TABLE = "play_counts"
-_REJECTS = struct(topic=STRING, json_value=STRING, origin=STRING)
+_REJECTS = struct(topic=STRING, json_value=STRING)
 #: Origins of the rejects that were mended and taken in.
 MENDED_TABLE = "mended"
 _MENDED = struct(topic=STRING, origin=STRING)
@@ -40,6 +40,16 @@ def table_schema(table: str) -> T.StructType:
     return {REJECTS_TABLE: _REJECTS, MENDED_TABLE: _MENDED}.get(table) or TABLES[table].row
 
 
+def _stored_schema(table: str) -> T.StructType:
+    """Schema of the files of a folder: rejects also keep where they come from, plays their day, and all their batch."""
+    schema = T.StructType(list(table_schema(table)))
+    if table == REJECTS_TABLE:
+        schema = schema.add("origin", STRING)
+    if table == FACT_TABLE:
+        schema = schema.add(PLAY_DATE, T.DateType())
+    return schema.add("batch", STRING)
+
+
 class MissingTable(LookupError):
     """The warehouse does not hold a table that has to be there."""
 
@@ -108,12 +118,8 @@ class FolderWarehouse(_Warehouse):
 
     def _folder(self, spark: SparkSession, table: str, folder: str) -> DataFrame | None:
         """Rows of one folder with their ``batch``, or None if it does not exist."""
-        schema = T.StructType(list(table_schema(table)))
-        if table == FACT_TABLE:
-            schema = schema.add(PLAY_DATE, T.DateType())
-        schema = schema.add("batch", T.StringType())
         try:
-            return spark.read.schema(schema).parquet(f"{self.root}/{folder}")
+            return spark.read.schema(_stored_schema(table)).parquet(f"{self.root}/{folder}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -127,17 +133,15 @@ class FolderWarehouse(_Warehouse):
             return reduce(DataFrame.unionByName, parts)
         if not missing_ok:
             raise MissingTable(f"there is no table {table!r} below {self.root!r}")
-        schema = T.StructType(list(table_schema(table)))
-        if table == FACT_TABLE:
-            schema = schema.add(PLAY_DATE, T.DateType())
-        return spark.createDataFrame([], schema.add("batch", T.StringType()))
+        return spark.createDataFrame([], _stored_schema(table))
 
     def read(self, spark: SparkSession, table: str, missing_ok: bool = False) -> DataFrame:
         """Rows of the table; the fact table also has its partition column ``play_date``."""
-        return self._stored(spark, table, missing_ok).drop("batch")
+        more = [PLAY_DATE] if table == FACT_TABLE else []
+        return self._stored(spark, table, missing_ok).select(*table_schema(table).names, *more)
 
     def batches(self, spark: SparkSession, table: str) -> DataFrame:
-        """Rows of the table with the batch that wrote them."""
+        """Rows of the table with the batch that wrote them, rejects also with their ``origin``."""
         return self._stored(spark, table)
 
     def known_keys(self, spark: SparkSession, table: str, batch: str) -> DataFrame:
@@ -276,6 +280,8 @@ class JdbcWarehouse(_Warehouse):
         return self.read(spark, table).select(TABLES[table].key)
 
     def append(self, rows: DataFrame, table: str, batch: str) -> None:
+        if table == REJECTS_TABLE:  # its table has no column for the origin
+            rows = rows.select(*_REJECTS.names)
         rows = self._to_append(rows, lambda: self.read(rows.sparkSession, table), table)
         rows.write.format("jdbc").options(**self.table_options(table)).mode("append").save()
 

@@ -25,8 +25,8 @@ from playledger.streaming.redelivery import Redelivery
 
 #: Name under which the per-batch record counts appear in ``query.lastProgress``.
 METRICS = "records"
-#: Ending of the names of those that count records without their key.
-REJECTED = "_rejected"
+#: The same for the records without their key.
+REJECTS_METRICS = "rejects"
 
 
 def new_rows(rows: DataFrame, key: str, known: DataFrame) -> DataFrame:
@@ -76,9 +76,10 @@ def dispatch(
     parsed = parse_records(decode(records).filter(F.col("topic").isin(*TOPICS)))
     of_topic = {name: F.col("topic") == name for name in TOPICS}
     counts = [F.count_if(own).alias(name) for name, own in of_topic.items()]
-    counts += [F.count_if(own & F.col("json_value").isNotNull()).alias(name + REJECTED) for name, own in of_topic.items()]
+    rejects = [F.count_if(own & F.col("json_value").isNotNull()).alias(name) for name, own in of_topic.items()]
     query = (
         parsed.observe(METRICS, *counts)
+        .observe(REJECTS_METRICS, *rejects)
         .writeStream.queryName("dispatch")
         .foreachBatch(write)
         .outputMode("append")

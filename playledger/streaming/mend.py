@@ -16,7 +16,7 @@ def open_rejects(spark: SparkSession, warehouse: FolderWarehouse) -> DataFrame:
 
     One that was read by two runs of a stream has the same origin. Rejects without an origin are late plays, which cannot be mended.
     """
-    rejects = warehouse.read(spark, REJECTS_TABLE, missing_ok=True).filter("origin IS NOT NULL").distinct()
+    rejects = warehouse.batches(spark, REJECTS_TABLE).filter("origin IS NOT NULL").drop("batch").distinct()
     return rejects.join(warehouse.read(spark, MENDED_TABLE, missing_ok=True), ["topic", "origin"], "left_anti")
 
 
@@ -27,7 +27,7 @@ def mend(spark: SparkSession, warehouse: FolderWarehouse, mended: DataFrame, run
     never rejected. Of several texts for one origin in a run the greatest counts. ``run`` names the run: given again, it replaces what it wrote, so a
     run that failed half way is simply repeated. The origins count as taken in last, after all rows. Two runs must not overlap in time.
     """
-    rejects = warehouse.read(spark, REJECTS_TABLE, missing_ok=True).filter("origin IS NOT NULL").select("topic", "origin").distinct()
+    rejects = warehouse.batches(spark, REJECTS_TABLE).filter("origin IS NOT NULL").select("topic", "origin").distinct()
     taken = warehouse.batches(spark, MENDED_TABLE).filter(F.col("batch") != run).select("topic", "origin")
     texts = mended.groupBy("origin").agg(F.max("json_value").alias("json_value"))
     records = rejects.join(taken, ["topic", "origin"], "left_anti").join(texts, "origin")

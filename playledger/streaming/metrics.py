@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.listener import QueryProgressEvent, QueryStartedEvent, QueryTerminatedEvent
 
 from playledger.schemas import TOPICS
-from playledger.streaming.dispatch import METRICS, REJECTED
+from playledger.streaming.dispatch import METRICS, REJECTS_METRICS
 
 _SCHEMA = "query STRING, batch_id BIGINT, topic STRING, n_records BIGINT, n_rejects BIGINT, started_at STRING, seconds DOUBLE"
 
@@ -36,13 +36,13 @@ class BatchMetrics(StreamingQueryListener):
 
     def onQueryProgress(self, event: QueryProgressEvent) -> None:
         progress = event.progress
-        found = progress.observedMetrics.get(METRICS)
-        if found is None:
+        found = [progress.observedMetrics.get(name) for name in (METRICS, REJECTS_METRICS)]
+        if None in found:
             return
-        counts = found.asDict()
+        counts, rejects = (row.asDict() for row in found)
         seconds = progress.batchDuration / 1000
         rows = [
-            (str(progress.id), progress.batchId, name, counts[name], counts[name + REJECTED], progress.timestamp, seconds)
+            (str(progress.id), progress.batchId, name, counts[name], rejects[name], progress.timestamp, seconds)
             for name in TOPICS
             if counts.get(name)
         ]

@@ -356,7 +356,7 @@ def mended_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics, warehouse = FolderTopics(f"{root}/topics"), FolderWarehouse(f"{root}/warehouse")
     topics.append(v.broken_messages(spark, sf_dir), "first")
     dispatch(topics.read_stream(spark), warehouse, f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
-    rejects = warehouse.read(spark, REJECTS_TABLE)
+    rejects = warehouse.batches(spark, REJECTS_TABLE).drop("batch")
     cut_off = F.col("json_value").contains("cut off")
     title = F.get_json_object("json_value", "$.title")
     closed = F.concat(F.col("json_value"), F.lit('"}'))

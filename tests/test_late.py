@@ -179,7 +179,7 @@ def rejected(spark, tmp_path):
     topics.append(messages(spark, '{"played_at":"2024-07-01T10:00:00.000Z"}', topic=ITEM_TOPIC), "2")
     dispatch(topics.read_stream(spark), warehouse, f"{tmp_path}/checkpoint", ONCE).awaitTermination()
     found = {}
-    for r in warehouse.read(spark, REJECTS_TABLE).collect():
+    for r in warehouse.batches(spark, REJECTS_TABLE).collect():
         found.setdefault(r["json_value"], []).append(r["origin"])
     return warehouse, found
 
