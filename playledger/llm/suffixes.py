@@ -2,12 +2,19 @@
 
 Of all suffixes of all texts, only those are kept that start at a minimiser: the gram of words with the least hash among
 ``min_words - gram + 1`` consecutive ones. The choice depends on the content alone, so every passage of ``min_words`` words
-that occurs twice holds a minimiser at the same place in both: the one that owns it. Of the minimisers whose gram occurs again,
-every passage that they own is written once, under its hash, and equal passages meet in one group. So a passage is
-found whatever else stands between its copies in the order of suffixes.
-
-Words are compared in lower case (A-Z), so the white space between them plays no part. A passage is known by two 64-bit
-hashes, of the gram of its owner and of all its words.
+that occurs twice holds a minimiser at the same place in both: the one that owns it. All passages that a minimiser owns make up
+one stretch of text around it, its span.
+
+* Minimisers with equal spans are one class, of which one stands for all.
+* A passage has ``(min_words - gram) / 2`` more words at one side of its gram at least, so a class is compared with others only if
+  the gram with that many words to its right, or to its left, stands in another class.
+* The suffixes of these classes are sorted, and neighbours compared: to the right from the gram, and to the left before it. For
+  each offset of a passage from its gram, neighbours that agree far enough to the right make up a run. If they all agree to the left, too, or
+  none does, the run is settled. Else other suffixes may stand between equal passages; those passages are sorted
+  once more by themselves.
+
+Words are compared in lower case (A-Z), so the white space between them plays no part. Spans and passages are known by a
+64-bit hash beside that of their gram; words of neighbours are compared by 32 bits each.
 """
 
 from __future__ import annotations
@@ -26,6 +33,8 @@ from playledger.llm.common import SPACE_CHARS, free_name, process_cache, stored
 
 _WORD = re.compile(f"[^{SPACE_CHARS}]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Suffixes that a task compares at once. What goes on beyond them is sorted once more.
+_BLOCK = 4096
 
 
 @dataclass(frozen=True)
@@ -39,6 +48,11 @@ class Passage:
     def window(self) -> int:
         return self.min_words - self.gram + 1
 
+    @property
+    def half(self) -> int:
+        """Words that every passage has at one side of its gram at least."""
+        return (self.min_words - self.gram) // 2
+
 
 def word_hashes(text: str | None) -> np.ndarray:
     words = (text or "").encode().lower().split()
@@ -54,119 +68,271 @@ def _grams(words: np.ndarray, p: Passage) -> np.ndarray:
     return grams
 
 
-def _owners(grams: np.ndarray, p: Passage) -> np.ndarray:
-    """For each passage of a text, by its start, the position of the minimiser that owns it."""
-    views = np.lib.stride_tricks.sliding_window_view(grams, p.window)
-    return views.argmin(axis=1) + np.arange(len(views))
+@dataclass(frozen=True)
+class Marks:
+    """The minimisers of a text: position, gram, and the passages that they own, from ``pos - left`` to ``pos - right``."""
+
+    pos: np.ndarray
+    gram: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
 
 
-def minimisers(words: np.ndarray, p: Passage) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the minimisers of a text, and the hashes of their grams; none in a text shorter than a passage."""
+def minimisers(words: np.ndarray, p: Passage) -> Marks:
+    """None in a text shorter than a passage."""
     if len(words) < p.min_words:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return Marks(*(np.empty(0, t) for t in (np.int64, np.uint64, np.int64, np.int64)))
     grams = _grams(words, p)
-    at = np.unique(_owners(grams, p))
-    return at, grams[at]
+    views = np.lib.stride_tricks.sliding_window_view(grams, p.window)
+    owners = views.argmin(axis=1) + np.arange(len(views))
+    pos, first, n = np.unique(owners, return_index=True, return_counts=True)
+    return Marks(pos, grams[pos], pos - first, pos - first - n + 1)
 
 
-def owned(words: np.ndarray, spots: list[int], p: Passage) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the passages that the minimisers at ``spots`` own: gram of the owner, hash, start, and whether the text has it earlier."""
-    if len(words) < p.min_words:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool)
-    grams = _grams(words, p)
-    owners = _owners(grams, p)
-    at = np.flatnonzero(np.isin(owners, spots))
-    hashes = np.zeros(len(at), np.uint64)
-    # Grams side by side, the last one at the end, cover each word of the passage.
-    for k in [*range(0, p.min_words - p.gram, p.gram), p.min_words - p.gram]:
-        hashes = (hashes ^ grams[at + k]) * _MIX
-        hashes ^= hashes >> np.uint64(32)
-    again = np.ones(len(at), bool)
-    again[np.unique(hashes, return_index=True)[1]] = False
-    return grams[owners[at]], hashes, at, again
+_MARK = {"gram": "long", "span": "long", "before": "long", "after": "long", "doc": "long", "row": "long", "pos": "int", "left": "int", "right": "int"}
 
 
 def _marks(texts: DataFrame, p: Passage) -> DataFrame:
-    """``gram, doc_id, row, pos`` of all minimisers."""
+    """All minimisers: the hash of each one's span, and of its gram with ``half`` words before, and after; null if no passage it owns has them."""
+
+    def of_text(text: str | None) -> tuple[np.ndarray, ...]:
+        words = word_hashes(text)
+        m = minimisers(words, p)
+        raw = words.tobytes()
+        digest = xxhash.xxh3_64_intdigest
+        span, before, after = (np.zeros(len(m.pos), np.uint64) for _ in range(3))
+        for i, (pos, left, right) in enumerate(zip(m.pos.tolist(), m.left.tolist(), m.right.tolist())):
+            span[i] = digest(raw[8 * (pos - left) : 8 * (pos - right + p.min_words)], left)
+            if left >= p.half:
+                before[i] = digest(raw[8 * (pos - p.half) : 8 * (pos + p.gram)], 1)
+            if right <= p.min_words - p.gram - p.half:
+                after[i] = digest(raw[8 * pos : 8 * (pos + p.gram + p.half)], 2)
+        return m.gram.view(np.int64), span.view(np.int64), before.view(np.int64), after.view(np.int64), m.pos, m.left, m.right
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         process_cache("passages", dict)
         for batch in batches:
-            found = [minimisers(word_hashes(t.as_py()), p) for t in batch.column(2)]
-            of = pa.array(np.repeat(np.arange(len(found)), [len(a) for a, _ in found]))
-            pos = np.concatenate([a for a, _ in found]) if found else np.empty(0, np.int64)
-            grams = np.concatenate([g for _, g in found]) if found else np.empty(0, np.uint64)
+            found = [of_text(t.as_py()) for t in batch.column(2)]
+            if not found:
+                continue
+            of = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+            gram, span, before, after, pos, left, right = (np.concatenate(c) for c in zip(*found))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams.view(np.int64)), batch.column(0).take(of), batch.column(1).take(of), pa.array(pos.astype(np.int32))],
-                names=["gram", "doc_id", "row", "pos"],
+                [
+                    pa.array(gram),
+                    pa.array(span),
+                    pa.array(before, mask=before == 0),
+                    pa.array(after, mask=after == 0),
+                    batch.column(0).take(of),
+                    batch.column(1).take(of),
+                    *(pa.array(x.astype(np.int32)) for x in (pos, left, right)),
+                ],
+                names=list(_MARK),
             )
 
-    return texts.mapInArrow(run, "gram long, doc_id long, row long, pos int")
+    return texts.mapInArrow(run, ", ".join(f"{n} {t}" for n, t in _MARK.items()))
 
 
-#: Texts whose passages are written at once.
-_TEXTS = 64
+_CONTEXT = "gram long, span long, after binary, before binary, doc long, row long, pos int, several boolean"
 
 
-def _passages(texts: DataFrame, spots: DataFrame, p: Passage) -> DataFrame:
-    """``gram, passage, doc_id, row, pos, again``: the passages that the minimisers at ``spots`` own."""
+def _contexts(texts: DataFrame, classes: DataFrame, p: Passage) -> DataFrame:
+    """The words of each class's span, from its gram on, and those before it, nearest first."""
+    spots = classes.select(
+        F.col("least.*"), F.struct("least.pos", "gram", "span", "left", "right", "several").alias("spot")
+    ).groupBy("doc", "row").agg(F.collect_list("spot").alias("spots"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in (whole.slice(k, 64) for k in range(0, whole.num_rows, 64)):
+                rows = []
+                for doc, row, text, spots in zip(*(c.to_pylist() for c in batch.columns)):
+                    short = (word_hashes(text) >> np.uint64(32)).astype(">u4")
+                    for s in spots:
+                        pos = s["pos"]
+                        after = short[pos : pos - s["right"] + p.min_words].tobytes()
+                        before = short[pos - s["left"] : pos][::-1].tobytes()
+                        rows.append((s["gram"], s["span"], after, before, doc, row, pos, s["several"]))
+                if rows:
+                    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+                    names = [n.split()[0] for n in _CONTEXT.split(", ")]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+    # Rows that repeat id and text are one document.
+    joined = texts.join(spots, ["doc", "row"]).dropDuplicates(["doc", "row"]).select("doc", "row", "text", "spots")
+    return joined.mapInArrow(run, _CONTEXT)
+
+
+def _agree(x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Equal leading words of each pair of rows, at most ``most``."""
+    differ = x != y
+    first = np.where(differ.any(axis=1), differ.argmax(axis=1), x.shape[1])
+    return np.minimum(first, most)
+
+
+def _matrix(column: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    words = np.frombuffer(b"".join(c.ljust(4 * width, b"\0") for c in column), ">u4").reshape(-1, width)
+    return words, np.array([len(c) // 4 for c in column])
+
+
+def compare(gram: np.ndarray, after: list[bytes], before: list[bytes], place: np.ndarray, several: np.ndarray, p: Passage) -> list[tuple]:
+    """What neighbours among sorted suffixes share: ``(suffix, least, most, first of the run, repeated, passage)``.
+
+    ``least`` to ``most`` are offsets of passages from the gram. The first of the run, by ``place``, is the least suffix with
+    the same passage. Where a run is not settled, the hash of the passage is given, and runs are to be joined by it.
+    """
+    n = len(gram)
+    right, right_words = _matrix(after, p.min_words)
+    left, left_words = _matrix(before, p.min_words)
+    same = gram[1:] == gram[:-1]
+    to_right = np.where(same, _agree(right[1:], right[:-1], np.minimum(right_words[1:], right_words[:-1])), 0)
+    to_left = np.where(same, _agree(left[1:], left[:-1], np.minimum(left_words[1:], left_words[:-1])), 0)
+    out: list[tuple] = []
+    # Of each suffix, the offsets that have the same outcome so far.
+    held: dict[int, tuple] = {}
+    for d in range(p.window):
+        owns = np.flatnonzero((right_words >= p.min_words - d) & (left_words >= d))
+        if not len(owns):
+            continue
+        near = to_right >= p.min_words - d
+        run = np.concatenate([[0], np.cumsum(~near)])
+        part = np.concatenate([[0], np.cumsum(~(near & (to_left >= d)))])
+        mine, inverse, size = np.unique(part[owns], return_inverse=True, return_counts=True)
+        first = np.full(len(mine), n, np.int64)
+        np.minimum.at(first, inverse, place[owns])
+        some = np.zeros(len(mine), bool)
+        np.logical_or.at(some, inverse, several[owns])
+        run_of = np.zeros(len(mine), np.int64)
+        run_of[inverse] = run[owns]
+        parts = np.bincount(run_of, minlength=run[-1] + 1)
+        # What touches an end may go on beyond it.
+        settled = (parts[run_of] == 1) & (run_of != 0) & (run_of != run[-1])
+        again = (size > 1) | some
+        for i, k in zip(owns.tolist(), inverse.tolist()):
+            if settled[k]:
+                if again[k]:
+                    now = (int(first[k]), True)
+                    old = held.get(i)
+                    if old and old[1] == d - 1 and old[2] == now[0]:
+                        held[i] = (old[0], d, now[0])
+                    else:
+                        if old:
+                            out.append((i, *old, True, None))
+                        held[i] = (d, d, now[0])
+            else:
+                key = xxhash.xxh3_64_intdigest(before[i][: 4 * d] + after[i][: 4 * (p.min_words - d)], d)
+                out.append((i, d, d, int(first[k]), bool(again[k]), key - (1 << 64) if key >> 63 else key))
+    out += [(i, *old, True, None) for i, old in held.items()]
+    return out
+
+
+_FOUND = "gram long, span long, least_offset int, most_offset int, doc long, row long, pos int, several boolean, passage long"
+_FOUND_ARROW = pa.schema(
+    [("gram", pa.int64()), ("span", pa.int64()), ("least_offset", pa.int32()), ("most_offset", pa.int32())]
+    + [("doc", pa.int64()), ("row", pa.int64()), ("pos", pa.int32()), ("several", pa.bool_()), ("passage", pa.int64())]
+)
+
+
+def _neighbours(contexts: DataFrame, p: Passage) -> DataFrame:
+    """``compare`` over the sorted suffixes of each task, a block at a time; with the place of the first of the run."""
+
+    def block(table: pa.Table) -> pa.RecordBatch:
+        gram, span, after, before, doc, row, pos, several = (c.combine_chunks() for c in table.columns)
+        doc, row, pos = (x.to_numpy() for x in (doc, row, pos))
+        order = np.lexsort((pos, row, doc))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        several = several.to_numpy(zero_copy_only=False)
+        rows = compare(gram.to_numpy(), after.to_pylist(), before.to_pylist(), place, several, p)
+        at, least, most, first, again, key = zip(*rows) if rows else [()] * 6
+        first = order[np.array(first, np.int64)]
+        at = pa.array(at, pa.int64())
+        columns = [gram.take(at), span.take(at), pa.array(least, pa.int32()), pa.array(most, pa.int32())]
+        columns += [pa.array(doc[first], pa.int64()), pa.array(row[first], pa.int64()), pa.array(pos[first].astype(np.int32))]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(again, pa.bool_()), pa.array(key, pa.int64())], schema=_FOUND_ARROW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
         for whole in batches:
-            for batch in (whole.slice(k, _TEXTS) for k in range(0, whole.num_rows, _TEXTS)):
-                found = [owned(word_hashes(t.as_py()), s.as_py(), p) for t, s in zip(batch.column(2), batch.column(3))]
-                of = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
-                grams, hashes, pos, again = (np.concatenate(c) for c in zip(*found))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(grams.view(np.int64)),
-                        pa.array(hashes.view(np.int64)),
-                        batch.column(0).take(of),
-                        batch.column(1).take(of),
-                        pa.array(pos.astype(np.int32)),
-                        pa.array(again),
-                    ],
-                    names=["gram", "passage", "doc_id", "row", "pos", "again"],
-                )
-
-    joined = texts.join(spots, ["doc_id", "row"]).select("doc_id", "row", "text", "spots")
-    return joined.mapInArrow(run, "gram long, passage long, doc_id long, row long, pos int, again boolean")
+            for batch in (whole.slice(k, _BLOCK) for k in range(0, whole.num_rows, _BLOCK)):
+                waiting.append(batch)
+                if sum(b.num_rows for b in waiting) >= _BLOCK:
+                    yield block(pa.Table.from_batches(waiting))
+                    waiting = []
+        if waiting:
+            yield block(pa.Table.from_batches(waiting))
+
+    keys = ["gram", "after", "before"]
+    parts = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return contexts.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).mapInArrow(run, _FOUND)
 
 
 def _repeats(texts: DataFrame, p: Passage) -> DataFrame:
-    """``doc_id, row, start_word, end_word, duplicate`` of ``texts`` (``doc_id, row, text``); see ``repeats``."""
+    """``doc, row, start_word, end_word, duplicate`` of ``texts`` (``doc, row, text``); see ``repeats``."""
     marks = stored(_marks(texts, p), "minimisers")
-    again = stored(marks.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
-    spots = marks.join(again, "gram", "left_semi").groupBy("doc_id", "row").agg(F.collect_set("pos").alias("spots"))
-    passages = stored(_passages(texts, spots, p), "passages")
-    key = ["gram", "passage"]
-    sides = [f(c).alias(f"{f.__name__}_{c}") for c in ("doc_id", "row", "pos") for f in (F.min, F.max)]
-    several = "min_doc_id < max_doc_id OR min_row < max_row OR min_pos < max_pos"
-    groups = stored(passages.groupBy(*key).agg(*sides).where(several).select(
-        *key, F.col("min_doc_id").alias("least"), F.expr("min_row < max_row").alias("mixed")
-    ), "repeated")
-    found = stored(
-        passages.join(groups, key).select(*key, "doc_id", "row", "pos", "mixed", (F.col("again") | (F.col("doc_id") > F.col("least"))).alias("later")),
-        "copies",
+    place = F.struct("doc", "row", "pos")
+    classes = stored(
+        marks.groupBy("gram", "span")
+        .agg(*(F.min(c).alias(c) for c in ("before", "after", "left", "right")), F.min(place).alias("least"), F.max(place).alias("most"))
+        .withColumn("several", F.expr("least < most"))
+        .drop("most"),
+        "classes",
+    )
+    sides = classes.select("gram", "span", F.explode(F.array("before", "after")).alias("side")).where("side IS NOT NULL")
+    shared = sides.groupBy("side").agg(F.min(F.struct("gram", "span")).alias("a"), F.max(F.struct("gram", "span")).alias("b"))
+    shared = stored(shared.where("a < b").select("side"), "sides")
+    to_sort = stored(sides.join(shared, "side", "left_semi").select("gram", "span").distinct(), "compared")
+    compared = classes.join(to_sort, ["gram", "span"], "left_semi")
+    alone = classes.where("several").join(to_sort, ["gram", "span"], "left_anti")
+    contexts = stored(_contexts(texts, compared, p), "suffixes")
+    found = stored(_neighbours(contexts, p), "neighbours")
+    first = F.struct("doc", "row", "pos")
+    unsettled = found.where("passage IS NOT NULL")
+    joined = unsettled.groupBy("gram", "passage").agg(
+        F.min(first).alias("least"),
+        (F.max("several") | (F.min(F.struct("doc", "row", "pos")) < F.max(first))).alias("again"),
     )
-    # What is in several rows of its least id stays in the least of them.
-    ties = stored(
-        found.where("mixed AND NOT later").groupBy(*key).agg(F.min("row").alias("least_row"), F.max("row").alias("most_row")).where("least_row < most_row"),
-        "ties",
+    joined = stored(joined.where("again").drop("again"), "rejoined")
+    offsets = ["gram", "span", "least_offset", "most_offset", "least"]
+    ranges = (
+        found.where("passage IS NULL").withColumn("least", first).select(offsets)
+        .union(unsettled.join(joined, ["gram", "passage"]).select(offsets))
+        .union(alone.select("gram", "span", F.col("right").alias("least_offset"), F.col("left").alias("most_offset"), "least"))
+    )
+    of_class = stored(
+        ranges.groupBy("gram", "span").agg(F.collect_list(F.struct("least_offset", "most_offset", "least")).alias("ranges")), "ranges"
     )
-    found = found.join(ties, key, "left").withColumn("later", F.expr("later OR coalesce(row > least_row, false)"))
-    spans = found.select(
-        "doc_id", "row", F.col("pos").cast("long").alias("first"),
+    hits = marks.select("gram", "span", "doc", "row", "pos").join(of_class, ["gram", "span"])
+    hits = hits.select("doc", "row", "pos", F.inline("ranges")).withColumn("later", place > F.col("least"))
+    spans = hits.select(
+        "doc", "row",
+        (F.col("pos") - F.col("most_offset")).cast("long").alias("first"),
+        (F.col("pos") - F.col("least_offset") + p.min_words).cast("long").alias("last"),
         F.explode(F.when(F.col("later"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))).alias("duplicate"),
     )
-    ends = Window.partitionBy("doc_id", "row", "duplicate").orderBy("first")
-    gap = F.col("first") - F.lag("first").over(ends)
-    islands = spans.withColumn("new", F.coalesce((gap > p.min_words).cast("int"), F.lit(1))).withColumn(
+    ends = Window.partitionBy("doc", "row", "duplicate").orderBy("first", "last")
+    reach = F.max("last").over(ends.rowsBetween(Window.unboundedPreceding, -1))
+    islands = spans.withColumn("new", F.coalesce((F.col("first") > reach).cast("int"), F.lit(1))).withColumn(
         "island", F.sum("new").over(ends.rowsBetween(Window.unboundedPreceding, 0))
     )
-    return islands.groupBy("doc_id", "row", "duplicate", "island").agg(
-        F.min("first").alias("start_word"), (F.max("first") + p.min_words).alias("end_word")
-    ).select("doc_id", "row", "start_word", "end_word", "duplicate")
+    return islands.groupBy("doc", "row", "duplicate", "island").agg(
+        F.min("first").alias("start_word"), F.max("last").alias("end_word")
+    ).select("doc", "row", "start_word", "end_word", "duplicate")
+
+
+#: In place of a null id, so that such rows come after all others.
+_NO_ID = (1 << 63) - 1
+
+
+def _row(docs: DataFrame) -> tuple[Column, Column]:
+    """The key of a row: its id, and a hash of its text with the last bit set where the id is null."""
+    doc_id = docs["doc_id"].cast("long")
+    return F.coalesce(doc_id, F.lit(_NO_ID)), F.shiftleft(F.xxhash64(docs["text"]), 1).bitwiseOR(doc_id.isNull().cast("long"))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    doc, row = _row(docs)
+    return docs.select(doc.alias("doc"), row.alias("row"), "text")
 
 
 def repeats(docs: DataFrame, passage: Passage | None = None) -> DataFrame:
@@ -176,13 +342,14 @@ def repeats(docs: DataFrame, passage: Passage | None = None) -> DataFrame:
     occur elsewhere, in this or another document; every occurrence has its row. With ``duplicate`` true: the parts of these
     that also stand at a lower ``(doc_id, position)`` and can be cut without losing a text.
 
-    Documents without a repeated passage, null, empty and short ones have no row. Null ids are left out. Rows that repeat
-    an id count as one document. Other columns are ignored.
+    Documents without a repeated passage, null, empty and short ones have no row. Very long texts are read whole, each by one task. Rows
+    with a null id are compared like all others and come last in the order. Different texts under one id are documents of their own, in the
+    order of a hash; rows that repeat id and text count as one. Other columns are ignored.
     """
-    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("row"), "text")
-    return _repeats(texts, passage or Passage()).select(
-        "doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "duplicate"
-    )
+    n_words = F.col("end_word") - F.col("start_word")
+    doc_id = F.when(F.col("row").bitwiseAND(F.lit(1)) == 0, F.col("doc"))
+    found = _repeats(_keyed(docs), passage or Passage())
+    return found.select(doc_id.alias("doc_id"), "start_word", "end_word", n_words.alias("n_words"), "duplicate")
 
 
 def cut_text(text: str, spans: list[tuple[int, int]]) -> str:
@@ -199,29 +366,25 @@ def cut_text(text: str, spans: list[tuple[int, int]]) -> str:
 def without_duplicates(docs: DataFrame, passage: Passage | None = None) -> DataFrame:
     """``docs`` with the duplicate parts of repeated passages cut from ``text``, and ``n_chars``, if there, counted anew.
 
-    Documents of which no word is left go; all others stay, those without a duplicate unchanged. Texts that share an id
-    are documents of their own, in the order of a hash; those without an id are left as they are.
+    Documents of which no word is left go; all others stay, those without a duplicate unchanged. Rows are told apart as in
+    ``repeats``, those without an id too. An empty table gives an empty one.
     """
-    row = F.xxhash64("text")
-    named = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"), "text")
-    spans = _repeats(named, passage or Passage()).where("duplicate")
+    spans = _repeats(_keyed(docs), passage or Passage()).where("duplicate")
     name, key, row_key = (free_name(docs, n) for n in ("spans", "span_id", "span_row"))
     per_doc = stored(
-        spans.groupBy(F.col("doc_id").alias(key), F.col("row").alias(row_key)).agg(
+        spans.groupBy(F.col("doc").alias(key), F.col("row").alias(row_key)).agg(
             F.collect_list(F.struct("start_word", "end_word")).alias(name)
         ),
         "cuts",
     )
     # The ids alone are a small table, so documents without a cut need not move; the others meet their cuts.
     ids = stored(per_doc.select(key, row_key), "cut_ids")
-    own = free_name(docs, "own_row")
-    owned_rows = docs.withColumn(own, row)
-
     def same(df: DataFrame, other: DataFrame) -> Column:
-        return (df["doc_id"].cast("long") == other[key]) & (df[own] == other[row_key])
+        doc, row = _row(df)
+        return (doc == other[key]) & (row == other[row_key])
 
-    whole = owned_rows.join(ids, same(owned_rows, ids), "left_anti").select(*docs.columns)
-    part = owned_rows.join(ids, same(owned_rows, ids), "left_semi")
+    whole = docs.join(ids, same(docs, ids), "left_anti")
+    part = docs.join(ids, same(docs, ids), "left_semi")
     joined = part.join(per_doc, same(part, per_doc)).select(*docs.columns, name)
     texts = joined.columns.index("text")
 
