@@ -33,20 +33,19 @@ def segmentations(word, longest):
 
 
 def test_forward_sums_all_segmentations_and_counts_match():
-    pieces = langid.pieces(langid.VOCABULARY, 4)
+    pieces = langid.pieces(langid.VOCABULARY)
     rng = np.random.default_rng(1)
     probs = np.vstack([rng.random((pieces.size, 2)) / 50, np.zeros((1, 2))])
-    words = [b" the", b" a", b"xqzjv", "été".encode(), b"in"]
-    number = {}
-    for n in range(1, 5):
-        number |= {int(k).to_bytes(n, "big"): int(i) for k, i in zip(pieces.keys[n], pieces.ids[n])}
+    words = [b" the", b" a", b"xqzjv", "été".encode(), b" information"]
+    number = {name: i for i, name in enumerate(pieces.names)}
+    assert pieces.size == len(number) >= 50_000 and b" information" in number
     found, lengths = pieces.lookup(words)
     logs = langid.forward(found, lengths, probs)
     langs, weights = np.array([0, 1, 0, 1, 0]), np.arange(1.0, 6.0)
     counts = langid.expected_counts(found, lengths, weights, langs, probs, pieces.size)
     wanted = np.zeros_like(counts)
     for w, word in enumerate(words):
-        ways = [s for s in segmentations(word, 4) if all(p in number for p in s)]
+        ways = [s for s in segmentations(word, 12) if all(p in number for p in s)]
         for lang in (0, 1):
             total = sum(math.prod(probs[number[p], lang] for p in s) for s in ways)
             assert math.isclose(math.exp(logs[w, lang]), total, rel_tol=1e-9)
@@ -77,6 +76,39 @@ def test_language_edges(spark, edges, nothing):
     assert {r.lang_pred for r in langid.identify(edges, None).collect()} == {"und"}
 
 
+def test_long_words_have_the_counts_of_their_parts():
+    """A word of many bytes is neither lost nor out of range: its expected pieces cover each of its bytes once."""
+    pieces = langid.pieces(langid.VOCABULARY)
+    words = [("語言模型" * 300).encode(), b" " + b"internationalisation" * 100]
+    probs = np.vstack([np.full((pieces.size, 1), 1e-6), np.zeros((1, 1))])
+    found, lengths = pieces.lookup(words)
+    assert np.isfinite(langid.forward(found, lengths, probs)).all()
+    for w, word in enumerate(words):
+        part, size = pieces.lookup([word])
+        counts = langid.expected_counts(part, size, np.ones(1), np.zeros(1, np.int64), probs, pieces.size)
+        covered = sum(n * len(pieces.names[i]) for i, n in enumerate(counts[:, 0]) if n)
+        assert math.isclose(covered, len(word), rel_tol=1e-9)
+
+
+def test_languages_without_spaces(spark):
+    phrases = {
+        "ja": ["私は学校へ行きます", "今日はとても寒いです", "電車が遅れています", "本を読んでいる", "明日また来てください", "東京の大学で勉強した"],
+        "zh": ["我去学校读书", "今天天气非常冷", "火车已经晚点了", "他正在看一本书", "请你明天再来", "我们在北京大学学习"],
+        "th": ["ฉันไปโรงเรียน", "วันนี้อากาศหนาวมาก", "รถไฟมาสาย", "เขากำลังอ่านหนังสือ", "พรุ่งนี้มาใหม่นะ", "เราเรียนที่กรุงเทพ"],
+    }
+    rng = np.random.default_rng(5)
+    rows = [
+        (k, "".join(rng.choice(phrases[lang], 12)), lang)
+        for k, lang in enumerate(np.repeat(["ja", "zh", "th"], [60, 40, 20]).tolist())
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.identify(df, langid.fit_model(df.where("doc_id % 2 = 0"))).collect()
+    wanted = {k: lang for k, _, lang in rows}
+    assert all(r.lang_pred == wanted[r.doc_id] and r.score > 0.9 for r in found)
+    signs = spark.createDataFrame([(1, "½ ² Ⅷ"), (2, "")], "doc_id long, text string")
+    assert {r.lang_pred for r in langid.identify(signs, langid.fit_model(df)).collect()} == {"und"}
+
+
 # --- context tree -------------------------------------------------------------------------------
 
 
