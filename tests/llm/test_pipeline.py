@@ -88,3 +88,10 @@ def test_clean_rows_with_a_null_or_repeated_id_survive(spark):
     # Two texts of one id that share a passage: one of them keeps it.
     found = kept(corpus_pipeline.passages, [(1, one), (1, two)])
     assert len(found) == 2 and sum(a in t for _, t in found) == 1
+
+
+def test_every_stage_takes_an_empty_table(spark, nothing):
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, nothing, "")
+        assert out.count() == 0, name
+        assert name == "packing" or out.columns == nothing.columns, name
