@@ -4,7 +4,7 @@ The input of a word is the sum of an embedding of the word and the mean of embed
 gated recurrent network reads a window of words in both directions, attention pools its states, and a logistic unit scores the
 pool. A document is scored by all its overlapping windows: the greatest window logit, calibrated together with
 the number of windows. The network is trained in numpy on a bounded sample of labelled documents, of which only
-the label of the whole is known: after each epoch the best-scoring window stands for a document.
+the label of the whole is known: after each round the best-scoring window stands for a document.
 """
 
 from __future__ import annotations
@@ -27,24 +27,28 @@ CACHE_WORDS = 200_000
 CACHE_BYTES = 1 << 24
 #: Words of documents that are scored at once.
 BLOCK_WORDS = 1 << 17
+#: Windows whose states are held at once: few enough for a processor's cache.
+BLOCK_WINDOWS = 2048
+#: Threads that score the sample on the driver.
+THREADS = min(4, os.cpu_count() or 1)
 
 
 @dataclass(frozen=True)
 class Net:
     """Sizes and training. ``sample``: expected labelled documents of each class that are fitted."""
 
-    window: int = 24
-    stride: int = 1
+    window: int = 6
     word_rows: int = 1 << 15
     char_rows: int = 1 << 13
     inputs: int = 12
-    hidden: int = 8
-    attention: int = 8
+    hidden: int = 4
+    attention: int = 4
     sample: int = 1500
+    #: Rounds of training, after each of which the best windows are chosen anew, and the least steps of them all; a small
+    #: sample is gone through several times in a round, up to ``most_passes``.
     epochs: int = 8
-    #: Least steps of training; a small sample gets more epochs, up to ``most_epochs``.
     steps: int = 600
-    most_epochs: int = 40
+    most_passes: int = 5
     rate: float = 0.01
     batch: int = 128
     threshold: float = 0.3
@@ -70,11 +74,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def starts(n: int, net: Net) -> np.ndarray:
-    """First words of the windows of a text of ``n`` words: each ``stride``, and one that ends with the text."""
-    if n <= net.window:
-        return np.zeros(1, np.int64)
-    at = np.arange(0, n - net.window + 1, net.stride)
-    return at if at[-1] == n - net.window else np.append(at, n - net.window)
+    """First words of the windows of a text of ``n`` words: all that begin a whole window, or the first word."""
+    return np.arange(max(1, n - net.window + 1))
 
 
 @dataclass
@@ -138,33 +139,70 @@ class Weights:
         logits = pool @ self.p["out"] + self.p["bias"][0]
         return (logits, (states, hidden, weight, pool, kept)) if keep else (logits,)
 
-    def full(self, tables: dict[str, np.ndarray], ids: np.ndarray) -> np.ndarray:
-        """The logits of ``run`` for windows without a gap, by the rows ``ids[window, place]`` of the projected inputs."""
-        h_size, (n, length) = self.net.hidden, ids.shape
-        states = np.empty((length, n, 2 * h_size), np.float32)
-        places = np.ascontiguousarray(ids.T)
+    def slide(self, tables: dict[str, np.ndarray]) -> np.ndarray:
+        """The logits of ``run`` for the windows from each of consecutive words, by ``tables[direction][4 * hidden, word]`` of ``halved``.
+
+        Windows lie one word apart, so the words at one place of all windows are a slice: nothing is copied for a window.
+        """
+        h_size, length = self.net.hidden, self.net.window
+        n = tables["f"].shape[1] - length + 1
+        states = np.empty((length, 2 * h_size, n), np.float32)
         for d, order in (("f", range(length)), ("b", range(length - 1, -1, -1))):
-            h, recur = np.zeros((n, h_size), np.float32), self.p[f"rec_{d}"]
-            column = slice(0, h_size) if d == "f" else slice(h_size, None)
-            for t in order:
-                x, u = tables[d].take(places[t], axis=0), h @ recur
-                gates = x[:, : 2 * h_size] + u[:, : 2 * h_size]
-                gates *= 0.5
+            recur, x = 0.5 * self.p[f"rec_{d}"].T, tables[d]
+            rows = slice(0, h_size) if d == "f" else slice(h_size, None)
+            h = x[3 * h_size :, order[0] : order[0] + n].copy()
+            states[order[0], rows] = h
+            for t in order[1:]:
+                u = recur @ h
+                # A gate is (1 + tanh(x / 2)) / 2; the halves are in the tables and in ``recur``.
+                gates = u[: 2 * h_size]
+                gates += x[: 2 * h_size, t : t + n]
                 np.tanh(gates, out=gates)
-                gates *= 0.5
-                gates += 0.5
-                new = gates[:, h_size:] * u[:, 2 * h_size :]
-                new += x[:, 2 * h_size :]
+                gates += 1.0
+                new = u[2 * h_size :]
+                new *= gates[h_size:]
+                new += x[2 * h_size : 3 * h_size, t : t + n]
                 np.tanh(new, out=new)
                 h -= new
-                h *= gates[:, :h_size]
+                h *= gates[:h_size]
+                h *= 0.5
                 h += new
-                states[t, :, column] = h
-        flat = states.reshape(-1, 2 * h_size)
-        energy = (np.tanh(flat @ self.p["attend"]) @ self.p["attend_v"]).reshape(length, n)
+                states[t, rows] = h
+        energy = self.p["attend_v"] @ np.tanh(self.p["attend"].T @ states)
         weight = np.exp(energy - energy.max(axis=0))
         # The pool is a weighted mean of states, so its product with ``out`` is the mean of theirs.
-        return (weight * (flat @ self.p["out"]).reshape(length, n)).sum(axis=0) / weight.sum(axis=0) + self.p["bias"][0]
+        return (weight * (self.p["out"] @ states)).sum(axis=0) / weight.sum(axis=0) + self.p["bias"][0]
+
+    def halved(self, projected: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        """Projected inputs as ``slide`` needs them: halved for gates, and with the state after a first word."""
+        h_size, out = self.net.hidden, {}
+        for d, x in projected.items():
+            gates, new = 0.5 * x[:, : 2 * h_size], x[:, 2 * h_size :]
+            first = 0.5 * (1.0 - np.tanh(gates[:, :h_size])) * np.tanh(new)
+            out[d] = np.hstack([gates, new, first]).astype(np.float32)
+        return out
+
+    def projected(self, tables: dict[str, np.ndarray], ids: np.ndarray) -> dict[str, np.ndarray]:
+        """The projected inputs of the words ``ids`` from ``halved`` ones."""
+        h_size = self.net.hidden
+        twice = np.repeat(np.array([2.0, 1.0], np.float32), [2 * h_size, h_size])
+        return {d: x[ids][..., : 3 * h_size] * twice for d, x in tables.items()}
+
+    def from_each_word(self, tables: dict[str, np.ndarray], ids: np.ndarray, threads: int = 1) -> np.ndarray:
+        """The logits of the windows from each of the words ``ids``, rows of ``tables``, as far as whole windows go."""
+        n, more = len(ids) - self.net.window + 1, self.net.window - 1
+
+        def block(first: int) -> np.ndarray:
+            part = ids[first : min(first + BLOCK_WINDOWS, n) + more]
+            return self.slide({d: np.ascontiguousarray(tables[d].take(part, axis=0).T) for d in "fb"})
+
+        firsts = range(0, n, BLOCK_WINDOWS)
+        if threads == 1:
+            found = [block(k) for k in firsts]
+        else:
+            with ThreadPoolExecutor(threads) as pool:
+                found = list(pool.map(block, firsts))
+        return np.concatenate(found) if found else np.zeros(0, np.float32)
 
     def project(self, x: np.ndarray) -> dict[str, np.ndarray]:
         return {d: x @ self.p[f"in_{d}"] + self.p[f"bias_{d}"] for d in "fb"}
@@ -231,21 +269,21 @@ class _Sample:
     def windows(self, which: np.ndarray | slice) -> np.ndarray:
         return self.flat[self.at[which][:, None] + np.arange(self.net.window)]
 
-    def blocks(self) -> Iterator[np.ndarray]:
-        for i in range(0, len(self.at), 2048):
-            yield self.windows(slice(i, i + 2048))
+    def sums(self, value: np.ndarray) -> np.ndarray:
+        """The sum over each window of a value of each distinct word; the last value is that of no word."""
+        total = np.append(0.0, np.cumsum(value[self.flat]))
+        return total[self.at + self.net.window] - total[self.at]
 
     def logits(self, weights: Weights) -> np.ndarray:
         x = np.vstack([weights.inputs(*self.features), np.zeros((1, self.net.inputs), np.float32)])
-        projected = weights.project(x)
-
-        def block(first: int) -> np.ndarray:
-            ids = self.windows(slice(first, first + 2048))
-            mask = (ids >= 0).astype(np.float32)
-            return weights.full(projected, ids) if mask.all() else weights.run({d: projected[d][ids] for d in "fb"}, mask)[0]
-
-        with ThreadPoolExecutor(os.cpu_count()) as pool:
-            return np.concatenate(list(pool.map(block, range(0, len(self.at), 2048))))
+        tables = weights.halved(weights.project(x))
+        out = weights.from_each_word(tables, self.flat, THREADS)[self.at]
+        # A text shorter than a window has one, with a gap.
+        short = np.flatnonzero(self.flat[self.at + self.net.window - 1] < 0)
+        for part in np.array_split(short, 1 + len(short) // 2048):
+            ids = self.windows(part)
+            out[part] = weights.run(weights.projected(tables, ids), (ids >= 0).astype(np.float32))[0]
+        return out
 
     def best(self, logits: np.ndarray) -> np.ndarray:
         """The window of each text with the greatest logit."""
@@ -270,16 +308,23 @@ def train(texts: list[list[bytes]], toxic: np.ndarray, net: Net, seed: int = 5)
     odds = np.log((df[1] + 0.3) / (size[1] + 0.6)) - np.log((df[0] + 0.3) / (size[0] + 0.6))
     weights.p["word"][:, 0] = np.where(df.sum(axis=0) > 2, np.clip(odds, -3, 3), 0.0)
     hint = np.append(weights.p["word"][rows, 0], 0.0)
-    logits = np.concatenate([np.maximum(hint[ids], 0.0).sum(axis=1) for ids in data.blocks()])
+    logits = data.sums(np.maximum(hint, 0.0))
     moment: dict[str, list[np.ndarray]] = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in weights.p.items()}
     step = 0
     per_epoch = max(1, 2 * int(fitted.sum()) // net.batch)
-    for _ in range(min(net.most_epochs, max(net.epochs, net.steps // per_epoch))):
+    passes = min(net.most_passes, max(1, -(-net.steps // (net.epochs * per_epoch))))
+
+    def batches() -> Iterator[np.ndarray]:
+        """The best windows of all fitted texts, and others of texts that are not toxic, by chance."""
         best = data.best(logits)
-        chance = rng.integers(0, len(data.at), len(best))
-        chance = chance[(toxic[data.owner[chance]] == 0) & fitted[data.owner[chance]]]
-        chosen = np.concatenate([best[fitted[data.owner[best]]], chance])
-        for at in np.array_split(rng.permutation(chosen), max(1, len(chosen) // net.batch)):
+        for _ in range(passes):
+            chance = rng.integers(0, len(data.at), len(best))
+            chance = chance[(toxic[data.owner[chance]] == 0) & fitted[data.owner[chance]]]
+            chosen = np.concatenate([best[fitted[data.owner[best]]], chance])
+            yield from np.array_split(rng.permutation(chosen), max(1, len(chosen) // net.batch))
+
+    for _ in range(net.epochs):
+        for at in batches():
             step += 1
             ids = data.windows(at)
             mask = (ids >= 0).astype(np.float32)
@@ -340,10 +385,11 @@ def fit_model(docs: DataFrame, known: DataFrame, net: Net | None = None) -> Weig
     """Fits the network to the texts of ``docs`` with the labels ``known`` (``doc_id, toxic``); None unless both labels occur.
 
     Of each label about ``net.sample`` documents come to the driver, chosen by a hash of the id; the bound does not grow with the
-    data. The ids are chosen first, so that the texts of all others stay where they are.
+    data. The ids are chosen first, so that the texts of all others stay where they are. An id that stands in several rows is one document, with
+    the greatest of its texts and labels.
     """
     net = net or Net()
-    labelled = known.where("toxic IN (0, 1)").select("doc_id", "toxic")
+    labelled = known.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if set(counts) != {0, 1}:
         return None
@@ -351,10 +397,11 @@ def fit_model(docs: DataFrame, known: DataFrame, net: Net | None = None) -> Weig
     limit = {k: min(million, -(-net.sample * million // n)) for k, n in counts.items()}
     bound = F.when(F.col("toxic") == 1, limit[1]).otherwise(limit[0])
     chosen = stored(labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(million)) < bound), "toxicity_sample")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").collect()
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = texts.groupBy("doc_id").agg(F.max("text").alias("text"), F.first("toxic").alias("toxic")).collect()
     if len({r["toxic"] for r in rows}) < 2:
         return None
-    rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
+    rows.sort(key=lambda r: r["doc_id"])
     return train([words_of(r["text"]) for r in rows], np.array([r["toxic"] for r in rows]), net)
 
 
@@ -366,7 +413,7 @@ class Scorer:
         self.clear()
 
     def clear(self) -> None:
-        width = 3 * self.weights.net.hidden
+        width = 4 * self.weights.net.hidden
         self.known: dict[bytes, int] = {}
         self.held = 0
         self.inputs = {d: np.zeros((0, width), np.float32) for d in "fb"}
@@ -382,26 +429,22 @@ class Scorer:
         for i, w in enumerate(new, len(self.known)):
             self.known[w] = i
         if new:
-            fresh = self.weights.project(self.weights.inputs(*features(new, net)))
+            fresh = self.weights.halved(self.weights.project(self.weights.inputs(*features(new, net))))
             self.inputs = {d: np.vstack([self.inputs[d], fresh[d]]) for d in "fb"}
         ids = [np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)) for words in texts]
         best, counts = np.full(len(texts), -np.inf), np.zeros(len(texts), np.int64)
         long = [k for k, i in enumerate(ids) if len(i) >= net.window]
         short = [k for k, i in enumerate(ids) if len(i) < net.window]
-        for group, masked in ((long, False), (short, True)):
-            if not group:
-                continue
+        if long:
+            flat, at, counts[long] = _windows([ids[k] for k in long], net)
+            logits = self.weights.from_each_word(self.inputs, flat)[at]
+            best[long] = np.maximum.reduceat(logits, np.cumsum(counts[long]) - counts[long])
+        for group in (short[k : k + 2048] for k in range(0, len(short), 2048)):
             flat, at, counts[group] = _windows([ids[k] for k in group], net)
-            owner = np.repeat(group, counts[group])
-            for a in range(0, len(at), 2048):
-                part = flat[at[a : a + 2048][:, None] + np.arange(net.window)]
-                if not masked:
-                    np.maximum.at(best, owner[a : a + 2048], self.weights.full(self.inputs, part))
-                    continue
-                mask = (part >= 0).astype(np.float32)
-                # A word that is not there reads the last row; the mask keeps it out.
-                projected = {d: (x[part] if len(x) else np.zeros((*part.shape, x.shape[1]), np.float32)) for d, x in self.inputs.items()}
-                np.maximum.at(best, owner[a : a + 2048], self.weights.run(projected, mask)[0])
+            part = flat[at[:, None] + np.arange(net.window)]
+            # A word that is not there reads the last row; the mask keeps it out.
+            tables = {d: (x if len(x) else np.zeros((1, x.shape[1]), np.float32)) for d, x in self.inputs.items()}
+            best[group] = self.weights.run(self.weights.projected(tables, part), (part >= 0).astype(np.float32))[0]
         return _sigmoid(np.stack([best, np.log(counts), np.ones(len(best))], axis=1) @ self.weights.calibration)
 
 

@@ -266,9 +266,51 @@ def test_each_window_start_is_scored():
     assert all(toxicity.starts(n, net).tolist() == list(range(max(1, n - net.window + 1))) for n in (0, 23, 24, 25, 200))
     weights = toxicity.Weights.new(net)
     x = np.random.default_rng(2).standard_normal((50, net.inputs)).astype(np.float32)
-    ids = np.random.default_rng(3).integers(0, 50, (30, net.window))
-    tables = weights.project(x)
-    assert np.allclose(weights.full(tables, ids), weights.run({d: tables[d][ids] for d in "fb"}, None)[0], atol=1e-5)
+    ids = np.random.default_rng(3).integers(0, 50, 5000)
+    projected = weights.project(x)
+    windows = np.lib.stride_tricks.sliding_window_view(ids, net.window)
+    each = weights.run({d: projected[d][windows] for d in "fb"}, None)[0]
+    for threads in (1, 2):
+        assert np.allclose(weights.from_each_word(weights.halved(projected), ids, threads), each, atol=1e-5)
+
+
+def slow_logit(weights, words):
+    """A window by the equations of the network, a number at a time."""
+    p, h_size = {k: v.astype(float) for k, v in weights.p.items()}, weights.net.hidden
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+
+    def inputs(word):
+        row, grams, _ = toxicity.features([word], weights.net)
+        return p["word"][row[0]] + sum(p["char"][g] for g in grams) / len(grams)
+
+    states = [[None, None] for _ in words]
+    for way, (d, order) in enumerate((("f", range(len(words))), ("b", range(len(words) - 1, -1, -1)))):
+        h = [0.0] * h_size
+        for t in order:
+            x = inputs(words[t]) @ p[f"in_{d}"] + p[f"bias_{d}"]
+            u = [sum(h[i] * p[f"rec_{d}"][i, j] for i in range(h_size)) for j in range(3 * h_size)]
+            z = [sigmoid(x[j] + u[j]) for j in range(h_size)]
+            r = [sigmoid(x[j] + u[j]) for j in range(h_size, 2 * h_size)]
+            new = [math.tanh(x[2 * h_size + j] + r[j] * u[2 * h_size + j]) for j in range(h_size)]
+            h = [(1 - z[j]) * new[j] + z[j] * h[j] for j in range(h_size)]
+            states[t][way] = h
+    both = [np.array(f + b) for f, b in states]
+    weight = [math.exp(sum(math.tanh(s @ p["attend"][:, k]) * p["attend_v"][k] for k in range(weights.net.attention))) for s in both]
+    pool = sum(w * s for w, s in zip(weight, both)) / sum(weight)
+    return pool @ p["out"] + p["bias"][0]
+
+
+def test_scores_against_a_slow_reference():
+    """A document's score is that of its greatest window, calibrated with the number of its windows."""
+    net = toxicity.Net()
+    weights, rnd = toxicity.Weights.new(net), random.Random(8)
+    weights.calibration = np.array([0.7, -0.2, 0.1])
+    texts = [" ".join(rnd.choice(["Oak", "elm", "\u00c9b\u00e9ne", "yew-tree", "fir,"]) for _ in range(n)) for n in (1, 3, net.window, net.window + 1, 40)]
+    for text, score in zip(texts, toxicity.Scorer(weights)([toxicity.words_of(t) for t in texts])):
+        words = toxicity.words_of(text)
+        n = max(1, len(words) - net.window + 1)
+        best = max(slow_logit(weights, words[k : k + net.window]) for k in range(n))
+        assert math.isclose(score, 1 / (1 + math.exp(-(0.7 * best - 0.2 * math.log(n) + 0.1))), abs_tol=1e-5)
 
 
 def test_toxicity_edges(spark, edges, nothing):
