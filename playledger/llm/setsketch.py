@@ -155,13 +155,13 @@ def _arrays(column, dtype: str) -> list[np.ndarray]:
     return [np.frombuffer(x, dtype) for x in column]
 
 
-def _likely(x: np.ndarray, others: np.ndarray, n: int, sizes: np.ndarray, near: Near) -> np.ndarray:
-    """Which of the ``others`` may be near ``x``, by size and by the joint estimate."""
+def _likely(x: np.ndarray, others: np.ndarray, n: int | np.ndarray, sizes: np.ndarray, near: Near) -> np.ndarray:
+    """Which of the ``others`` may be near ``x``, one or one for each, by size and by the joint estimate."""
     fits = near.den * np.minimum(n, sizes) >= near.num * np.maximum(n, sizes)
     at = np.flatnonzero(fits)
     if len(at):
-        rest = others[at]
-        values = estimate((x > rest).sum(1), (x < rest).sum(1), np.full(len(at), n), sizes[at], near)
+        rest, x = others[at], x[at] if x.ndim == 2 else x
+        values = estimate((x > rest).sum(1), (x < rest).sum(1), np.broadcast_to(n, len(fits))[at], sizes[at], near)
         fits[at] = values >= _deviations_below(near)
     return fits
 
@@ -177,45 +177,72 @@ def _bands(classes: DataFrame, near: Near) -> DataFrame:
 
 
 def _sets(docs: DataFrame, reps: DataFrame, near: Near) -> DataFrame:
-    """``rep, sketch, hashes``: sketches and full sets of the documents ``reps``."""
+    """``rep, hashes``: full sets of the documents ``reps``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(t.as_py(), near.shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([registers(h, near).astype("<u2").tobytes() for h in found], pa.binary()),
-                    pa.array([h.tobytes() for h in found], pa.binary()),
-                ],
-                names=["rep", "sketch", "hashes"],
-            )
+            found = [shingles(t.as_py(), near.shingle).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["rep", "hashes"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(reps, "rep", "left_semi")
-    return texts.mapInArrow(run, "rep long, sketch binary, hashes binary")
+    return texts.mapInArrow(run, "rep long, hashes binary")
+
+
+def _likely_pairs(pairs: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
+    """``a, b`` of the pairs that are likely by their sketches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.array(_arrays((v.as_py() for v in batch.column(i)), "<u2")).reshape(-1, near.registers) for i in (2, 4))
+            n, m = (batch.column(i).to_numpy() for i in (3, 5))
+            yield batch.select([0, 1]).filter(pa.array(_likely(x, y, n, m, near), pa.bool_()))
+
+    one, other = (classes.select("rep", "sketch", "size").toDF(k, f"s{k}", f"n{k}") for k in "ab")
+    joined = pairs.join(one, "a").join(other, "b").select("a", "b", "sa", "na", "sb", "nb")
+    return joined.mapInArrow(run, "a long, b long").distinct()
 
 
 def _star_links(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
-    """``a, b`` of the pairs that are near: likely by their sketches, confirmed on their sets."""
+    """``a, b`` of the pairs that are near, by their sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for sa, sb, ha, hb in zip(*(batch.column(i) for i in range(2, 6))):
-                x, y = (np.frombuffer(s.as_py(), "<u2") for s in (sa, sb))
+            for ha, hb in zip(batch.column(2), batch.column(3)):
                 p, q = (np.frombuffer(h.as_py(), np.uint64) for h in (ha, hb))
-                keep.append(bool(_likely(x, y[None, :], len(p), np.array([len(q)]), near)[0]) and _confirmed(p, q, near))
+                keep.append(_confirmed(p, q, near))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    joined = pairs.join(sets.toDF("a", "sa", "ha"), "a").join(sets.toDF("b", "sb", "hb"), "b")
-    return joined.select("a", "b", "sa", "sb", "ha", "hb").mapInArrow(run, "a long, b long")
+    joined = pairs.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b")
+    return joined.select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long")
+
+
+def _open_pairs(pdf, near: Near) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of two blocks of a bucket, those after it that are likely near it, in another component, and share no band before this one."""
+    sketch = np.array(_arrays(pdf["sketch"], "<u2"))
+    size, block, band = pdf["size"].to_numpy(), pdf["block"].to_numpy(), int(pdf["band"].iloc[0])
+    component = pdf["component"].to_numpy()
+    split = pdf["lo"].iloc[0] != pdf["hi"].iloc[0]
+    for i in range(len(pdf)):
+        may = np.arange(len(pdf)) > i
+        if split:
+            may &= block != block[i]
+        at = np.flatnonzero(may & (component != component[i]))
+        if len(at):
+            at = at[_likely(sketch[i], sketch[at], size[i], size[at], near)]
+        if len(at):
+            same = (sketch[at].reshape(len(at), near.bands, near.rows) == sketch[i].reshape(1, near.bands, near.rows)).all(2)
+            yield i, at[same.argmax(1) == band]
+
+
+_BLOCK_ROW = "key long, band int, lo int, hi int, rep long, component long, block int, sketch binary, size long"
 
 
-def _rest_links(buckets: DataFrame, found: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
-    """``a, b``: links between documents that share a bucket and have not been joined yet.
+def _in_doubt(buckets: DataFrame, found: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
+    """Rows of the blocks of buckets that have a likely partner in another component, by sketches alone.
 
     Buckets whose documents are in one component are done. Of the others, each pair of two components is tried, in the
-    first band that it shares, by blocks of documents, so that no task holds a whole large bucket; only links come out.
+    first band that it shares, by blocks of documents, so that no task holds a whole large bucket; at most the rows of a block come out.
     """
     labelled = buckets.join(found.toDF("rep", "component"), "rep", "left").select(
         "key", "band", "rep", F.coalesce("component", "rep").alias("component")
@@ -233,36 +260,36 @@ def _rest_links(buckets: DataFrame, found: DataFrame, sets: DataFrame, near: Nea
         "key", "band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rep", "component", "block"
     )
 
+    def run(pdf):
+        doubt = np.zeros(len(pdf), bool)
+        for i, at in _open_pairs(pdf, near):
+            doubt[at] = True
+            doubt[i] |= len(at) > 0
+        return pdf[doubt]
+
+    names = [n.split()[0] for n in _BLOCK_ROW.split(", ")]
+    joined = tasks.join(classes.select("rep", "sketch", "size"), "rep").select(names)
+    return joined.groupBy("key", "lo", "hi").applyInPandas(run, _BLOCK_ROW)
+
+
+def _rest_links(doubtful: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """``a, b``: links between the doubtful rows of each pair of blocks, confirmed on their sets; those that join nothing new are left out."""
+
     def run(pdf):
         import pandas as pd
 
-        sketch = np.array(_arrays(pdf["sketch"], "<u2"))
-        sets = _arrays(pdf["hashes"], "<u8")
-        sizes = np.array([len(s) for s in sets])
-        rep, block, band = pdf["rep"].to_numpy(), pdf["block"].to_numpy(), int(pdf["band"].iloc[0])
-        names = {}
-        component = np.array([names.setdefault(c, len(names)) for c in pdf["component"]])
-        split = pdf["lo"].iloc[0] != pdf["hi"].iloc[0]
+        sets, rep = _arrays(pdf["hashes"], "<u8"), pdf["rep"].to_numpy()
+        component = pdf["component"].to_numpy().copy()
         a, b = [], []
-        for i in range(len(rep)):
-            may = np.arange(len(rep)) > i
-            if split:
-                may &= block != block[i]
-            at = np.flatnonzero(may & (component != component[i]))
-            if not len(at):
-                continue
-            at = at[_likely(sketch[i], sketch[at], sizes[i], sizes[at], near)]
-            if not len(at):
-                continue
-            same = (sketch[at].reshape(len(at), near.bands, near.rows) == sketch[i].reshape(1, near.bands, near.rows)).all(2)
-            for k in at[same.argmax(1) == band]:
+        for i, at in _open_pairs(pdf, near):
+            for k in at:
                 if component[k] != component[i] and _confirmed(sets[i], sets[k], near):
                     a.append(rep[i])
                     b.append(rep[k])
                     component[component == component[k]] = component[i]
         return pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
-    return tasks.join(sets, "rep").groupBy("key", "lo", "hi").applyInPandas(run, "a long, b long")
+    return doubtful.join(sets, "rep").groupBy("key", "lo", "hi").applyInPandas(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, near: Near | None = None, named: Column | None = None) -> DataFrame:
@@ -279,10 +306,9 @@ def near_duplicates(docs: DataFrame, near: Near | None = None, named: Column | N
     """
     near = near or Near()
     sketched = stored(sketches(docs, near), "sketches")
-    classes = stored(
-        sketched.where("n_shingles > 0").groupBy("digest", "sketch").agg(F.min(F.when(named, F.col("doc_id")) if named is not None else "doc_id").alias("rep")).where("rep IS NOT NULL"),
-        "classes",
-    )
+    own_id = F.min(F.when(named, F.col("doc_id")) if named is not None else "doc_id")
+    of_set = sketched.where("n_shingles > 0").groupBy("digest", "sketch")
+    classes = stored(of_set.agg(own_id.alias("rep"), F.min("n_shingles").alias("size")).where("rep IS NOT NULL"), "classes")
     bands = _bands(classes, near)
     shared = bands.groupBy("key").agg((F.count("*") - 1).alias("others")).where("others > 0")
     buckets = stored(bands.join(shared, "key"), "buckets")
@@ -294,10 +320,13 @@ def near_duplicates(docs: DataFrame, near: Near | None = None, named: Column | N
     pairs = buckets.join(centre, "key").where("rep <> centre").select(
         F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")
     )
-    sets = stored(_sets(docs, buckets.select("rep").distinct(), near), "sets")
-    links = stored(_star_links(pairs.distinct(), sets, near), "star_links")
+    likely = stored(_likely_pairs(pairs.distinct(), classes, near), "likely")
+    ends = likely.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    links = stored(_star_links(likely, stored(_sets(docs, ends, near), "sets"), near), "star_links")
     found = components(links)
-    rest = stored(_rest_links(buckets, found, sets, near), "rest_links")
+    doubtful = stored(_in_doubt(buckets, found, classes, near), "in_doubt")
+    sets = stored(_sets(docs, stored(doubtful.select("rep").distinct(), "doubtful"), near), "rest_sets")
+    rest = stored(_rest_links(doubtful, sets, near), "rest_links")
     joined = components(links.union(rest)) if rest.take(1) else found
     known = classes.join(joined.toDF("rep", "component"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component")
