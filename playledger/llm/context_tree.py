@@ -1,11 +1,10 @@
 """Language-model scores by context-tree weighting.
 
 A text is its words in lower case (A-Z), each closed by a space, and one end. Each byte is eight binary decisions.
-A decision is predicted in the contexts of 0 to ``DEPTH`` earlier bytes of the word by Krichevsky-Trofimov
+A decision is predicted in the contexts of 0 to ``DEPTH`` earlier bytes of the text by Krichevsky-Trofimov
 estimates, and the depths are mixed by the weights of context-tree weighting, which follow from the counts:
-``P_w = (P_kt + product of the children's P_w) / 2``. Contexts do not reach beyond a word, so the probability of a text
-is a product over its words, and the model is made and used on the table of distinct words:
-no part of it has to fit into one process.
+``P_w = (P_kt + product of the children's P_w) / 2``. Contexts reach over the words before. The model is made of the
+table of distinct grams (a byte and its longest context) and used by it: no part of it has to fit into one process.
 """
 
 from __future__ import annotations
@@ -16,7 +15,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from playledger.llm.common import stored
@@ -32,6 +32,12 @@ LEAST = 1e-7
 #: Words that are held in each process for scoring: those of at most so many bytes that make up this share of all training words
 #: or more, of which there are at most 1 / share. All others are joined.
 FREQUENT_SHARE, FREQUENT_BYTES = 1 / 2_000_000, 32
+#: Grams that are held in each process for scoring, the most frequent ones, at most so many. All others are joined.
+FREQUENT_GRAMS = 2_000_000
+#: Bytes of text that are handled at once, and distinct grams that a task counts before it hands them on.
+BLOCK, FLUSH = 2_000_000, 4_000_000
+#: Grams are dealt out in so many parts at least, and one for so many bytes of all texts.
+PARTS, PART_BYTES = 64, 16_000_000
 
 _SMALL = 4096
 _LG_HALF = np.array([math.lgamma(i + 0.5) for i in range(_SMALL)])
@@ -40,9 +46,12 @@ _LG_ONE = np.array([math.lgamma(i + 1.0) for i in range(_SMALL)])
 
 def _lgamma(n: np.ndarray, add: float, table: np.ndarray) -> np.ndarray:
     """``lgamma(n + add)`` for whole ``n``: a table, and Stirling's series above it."""
-    x = n + add
-    series = (x - 0.5) * np.log(np.maximum(x, 1.0)) - x + 0.5 * math.log(2 * math.pi) + 1.0 / (12.0 * np.maximum(x, 1.0))
-    return np.where(n < _SMALL, table[np.minimum(n, _SMALL - 1).astype(np.int64)], series)
+    out = table[np.minimum(n, _SMALL - 1).astype(np.int64)]
+    large = np.flatnonzero(n >= _SMALL)
+    if len(large):
+        x = n.flat[large] + add
+        out.flat[large] = (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + 1.0 / (12.0 * x)
+    return out
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -52,61 +61,83 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     )
 
 
-def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The grams of closed words, and to which word each belongs. Contexts before a word are zero bytes."""
-    units = [w + CLOSE if w else END for w in words]
-    lengths = np.array([len(u) for u in units])
-    data = np.frombuffer(b"".join(units), np.uint8).astype(np.uint64)
-    owner = np.repeat(np.arange(len(units)), lengths)
-    inside = np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    keys = data.copy()
-    for k in range(1, DEPTH + 1):
-        keys[k:] |= np.where(inside[k:] >= k, data[:-k] << np.uint64(8 * k), np.uint64(0)) if len(data) > k else np.uint64(0)
-    return keys, owner
+def closed(words: list[bytes]) -> list[bytes]:
+    """Words as units of their own."""
+    return [w + CLOSE if w else END for w in words]
+
+
+def grams(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of byte strings (whole texts, or words), and to which of them each belongs. Contexts before a string are zero bytes."""
+    keys, owner = _flipped_grams(units)
+    return keys.byteswap(), owner
 
 
-def _context_mask(depth: int) -> np.uint64:
-    return np.uint64((1 << (8 * (depth + 1))) - 1)
+def _flipped_grams(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The same with the last byte of each gram in the first place."""
+    pad = bytes(DEPTH)
+    lengths = np.array([len(u) for u in units])
+    data = np.frombuffer(b"".join([x for u in units for x in (pad, u)]), np.uint8)
+    # A window of eight bytes at every byte, but for those that end in the padding.
+    windows = np.lib.stride_tricks.as_strided(data[:8].view("<u8"), (len(data) - DEPTH,), (1,))
+    owner = np.repeat(np.arange(len(units)), lengths)
+    return windows[np.arange(len(owner)) + DEPTH * owner], owner
 
 
-def subtree(keys: np.ndarray, n: np.ndarray, top: int) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+def subtree(keys: np.ndarray, n: np.ndarray, top: int, mix: bool = True) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """The tree over distinct grams, from the longest contexts up to those of ``top`` bytes.
 
-    Gives for each gram and bit the mixed probability of a one, or NaN if not even the node at ``top`` was seen, and the nodes at ``top``: ``node, bit, zeros, ones, log_pw``.
+    Gives for each gram and bit the mixed probability of a one (none without ``mix``), or NaN if not even the node at ``top`` was seen, and the nodes at ``top``: ``node, bit, zeros, ones, log_pw``.
     A context that was never seen predicts as the longest one that was.
+
+    With the last byte first and the nearest bytes of the context next, the grams of a node are neighbours at every depth once they are sorted.
     """
-    mixed = np.empty((len(keys), 8))
+    mixed = np.empty((len(keys) if mix else 0, 8))
     roots: dict[str, list[np.ndarray]] = {c: [] for c in ("node", "bit", "zeros", "ones", "log_pw")}
+    flipped = keys.byteswap()
     for bit in range(8):
         ones = ((keys >> np.uint64(7 - bit)) & np.uint64(1)).astype(bool)
-        cleared = keys & ~np.uint64((1 << (8 - bit)) - 1)
-        nodes, to_node = np.unique(cleared, return_inverse=True)
-        zero = np.bincount(to_node, np.where(ones, 0.0, n), len(nodes))
-        one = np.bincount(to_node, np.where(ones, n, 0.0), len(nodes))
+        cleared = flipped & ~np.uint64(((1 << (8 - bit)) - 1) << 56)
+        order = np.argsort(cleared)
+        nodes, up, first = _grouped(cleared[order])
+        zero = np.add.reduceat(np.where(ones, 0.0, n)[order], first)
+        one = np.add.reduceat(np.where(ones, n, 0.0)[order], first)
         log_pw = log_kt(zero, one)
         levels = []  # from deep to shallow: how to get from the node below, its estimate, its weight, and whether the one below was seen
         estimate, seen = (one + 0.5) / (zero + one + 1.0), zero + one > 0
-        deepest = estimate
+        deepest, to_node = estimate, up
         for depth in range(DEPTH - 1, top - 1, -1):
-            nodes, up = np.unique(nodes & _context_mask(depth), return_inverse=True)
-            below = np.bincount(up, log_pw, len(nodes))
-            zero, one = np.bincount(up, zero, len(nodes)), np.bincount(up, one, len(nodes))
+            nodes, up, first = _grouped(nodes & ~np.uint64((1 << (8 * (DEPTH - depth))) - 1))
+            zero, one, below = (np.add.reduceat(v, first) for v in (zero, one, log_pw))
             own = log_kt(zero, one)
             log_pw = np.logaddexp(own, below) - LN2
             levels.append((up, (one + 0.5) / (zero + one + 1.0), np.exp(own - LN2 - log_pw), seen))
             seen = zero + one > 0
-        at, p = to_node, deepest[to_node]
-        for up, estimate, weight, was_seen in levels:
-            known = was_seen[at]
-            at = up[at]
-            w = np.where(known, weight[at], 1.0)
-            p = w * estimate[at] + (1.0 - w) * p
-        mixed[:, bit] = np.where(seen[at], p, np.nan)
-        for c, v in zip(roots, (nodes, np.full(len(nodes), bit), zero, one, log_pw)):
+        if mix:
+            at, p = to_node, deepest[to_node]
+            for up, estimate, weight, was_seen in levels:
+                known = was_seen[at]
+                at = up[at]
+                w = np.where(known, weight[at], 1.0)
+                p = w * estimate[at] + (1.0 - w) * p
+            mixed[order, bit] = np.where(seen[at], p, np.nan)
+        for c, v in zip(roots, (nodes.byteswap(), np.full(len(nodes), bit), zero, one, log_pw)):
             roots[c].append(v)
     return mixed, {c: np.concatenate(v) for c, v in roots.items()}
 
 
+def _grouped(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct numbers of a sorted array, which of them each one is, and where they begin."""
+    first = _starts(ordered)
+    which = np.zeros(len(ordered), np.int64)
+    which[first[1:]] = 1
+    return ordered[first], np.cumsum(which), first
+
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where each distinct number begins."""
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+
+
 class Root:
     """The tree above ``TOP``: contexts of one byte and of none, from the sums of the nodes below. At most 2 ** 16 numbers of a kind."""
 
@@ -149,6 +180,101 @@ def _tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def _stream(tokens: list[bytes]) -> bytes:
+    """The bytes of a whole text: its words, each closed, and the end."""
+    return CLOSE.join([*tokens, END])
+
+
+def _blocks(streams: list[bytes]) -> Iterator[tuple[int, int]]:
+    """First and last (not included) of neighbouring texts that are handled at once."""
+    start = size = 0
+    for i, s in enumerate(streams):
+        if size and size + len(s) > BLOCK:
+            yield start, i
+            start, size = i, 0
+        size += len(s)
+    if start < len(streams):
+        yield start, len(streams)
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers as bytes by place, compressed: those of sorted grams are mostly equal in the first places."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data[8:], n * size, codec="zstd"), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(n)
+
+
+def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their numbers."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = _starts(keys)
+    return keys[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
+def _part(flipped: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each gram, by its last five bytes; here and in what is handed on, the last byte of a gram comes first."""
+    return (((flipped >> np.uint64(24)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(parts)
+
+
+def _dealt(flipped: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each part that occurs, and where its grams are, in their order."""
+    part = _part(flipped, parts).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    first = _starts(part[order])
+    for at in np.split(order, first[1:]) if len(first) else []:
+        yield int(part[at[0]]), at
+
+
+def _text_gram_counts(docs: DataFrame, held_out: Column, parts: int) -> DataFrame:
+    """``gram, n``: all distinct grams of ``docs`` with their counts in documents that are not held out.
+
+    Tasks count before they shuffle, up to ``FLUSH`` distinct grams at a time, and hand on compressed runs for each part.
+    """
+
+    def handed_on(pending: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        keys, n = _added(*(np.concatenate(c) for c in zip(*pending)))
+        for part, at in _dealt(keys, parts):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([_packed(keys[at])], pa.binary()), pa.array([_packed(n[at])], pa.binary())],
+                names=["part", "grams", "n"],
+            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            for held in (False, True):
+                streams = [_stream(_tokens(t.as_py())) for t, h in zip(batch.column(0), batch.column(1).to_pylist()) if bool(h) == held]
+                for start, end in _blocks(streams):
+                    keys = _flipped_grams(streams[start:end])[0]
+                    keys.sort()
+                    first = _starts(keys)
+                    times = np.zeros(len(first), np.int64) if held else np.diff(np.append(first, len(keys)))
+                    pending.append((keys[first], times))
+                    if sum(len(k) for k, _ in pending) >= FLUSH:
+                        pending = [_added(*(np.concatenate(c) for c in zip(*pending)))]
+                        if len(pending[0][0]) >= FLUSH // 2:
+                            yield from handed_on(pending)
+                            pending = []
+        if pending:
+            yield from handed_on(pending)
+
+    def together(table: pa.Table) -> pa.Table:
+        keys, n = _added(
+            np.concatenate([_unpacked(b, np.uint64) for b in table.column("grams").to_pylist()]),
+            np.concatenate([_unpacked(b, np.int64) for b in table.column("n").to_pylist()]),
+        )
+        return pa.table({"gram": pa.array(keys.byteswap().view(np.int64)), "n": pa.array(n.astype(float))})
+
+    runs = docs.select("text", held_out.alias("held")).mapInArrow(run, "part int, grams binary, n binary")
+    return runs.groupBy("part").applyInArrow(together, "gram long, n double")
+
+
 _WORDS = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 
 
@@ -180,7 +306,7 @@ def _gram_counts(words: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                keys, owner = grams(batch.column(0).to_pylist())
+                keys, owner = grams(closed(batch.column(0).to_pylist()))
                 found, inverse = np.unique(keys, return_inverse=True)
                 n = np.bincount(inverse, batch.column(1).to_numpy()[owner].astype(float))
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["gram", "n"])
@@ -188,54 +314,47 @@ def _gram_counts(words: DataFrame) -> DataFrame:
     return words.mapInArrow(run, "gram long, n double").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _subtrees(counts: DataFrame) -> DataFrame:
-    """The tree below ``TOP``, a group of grams with the same nearest context bytes at a time.
+def _subtrees(counts: DataFrame) -> GroupedData:
+    """The tree below ``TOP``, a group of grams with the same nearest context bytes at a time."""
+    return counts.groupBy(F.shiftrightunsigned("gram", 8).bitwiseAND(F.lit((1 << (8 * TOP)) - 1)).alias("near"))
 
-    Rows of two kinds: ``gram, mixed`` for each gram, and ``node, bit, zeros, ones, log_pw`` for each node at ``TOP``.
-    """
 
-    def run(table: pa.Table) -> pa.Table:
-        keys = table.column("gram").to_numpy().view(np.uint64)
-        mixed, roots = subtree(keys, table.column("n").to_numpy(), TOP)
-        n, m = len(keys), len(roots["node"])
-        raw = mixed.astype(np.float32)
-        columns = [
-            pa.array([*keys.view(np.int64).tolist(), *[None] * m], pa.int64()),
-            pa.array([*(r.tobytes() for r in raw), *[None] * m], pa.binary()),
-            pa.array([*[None] * n, *roots["node"].view(np.int64).tolist()], pa.int64()),
-            *(pa.array([*[None] * n, *roots[c].tolist()], t) for c, t in (("bit", pa.int32()), ("zeros", pa.float64()), ("ones", pa.float64()), ("log_pw", pa.float64()))),
-        ]
-        return pa.Table.from_arrays(columns, names=["gram", "mixed", "node", "bit", "zeros", "ones", "log_pw"])
-
-    near = F.shiftrightunsigned("gram", 8).bitwiseAND(F.lit((1 << (8 * TOP)) - 1))
-    return (
-        counts.groupBy(near.alias("near"))
-        .applyInArrow(run, "gram long, mixed binary, node long, bit int, zeros double, ones double, log_pw double")
-    )
+def _root(counts: DataFrame) -> Root:
+    """The tree above ``TOP``, from the sums of the nodes there."""
 
+    def run(table: pa.Table) -> pa.Table:
+        roots = subtree(table.column("gram").to_numpy().view(np.uint64), table.column("n").to_numpy(), TOP, mix=False)[1]
+        return pa.table({"node": pa.array(roots["node"].view(np.int64)), **{c: pa.array(roots[c].astype(t)) for c, t in _NODE.items()}})
 
-def _gram_scores(counts: DataFrame) -> DataFrame:
-    """``gram, log10``: the log probability of each gram's last byte in its context."""
-    parts = stored(_subtrees(counts), "subtrees")
     nodes = (
-        parts.where("node IS NOT NULL")
+        _subtrees(counts).applyInArrow(run, "node long, bit int, zeros double, ones double, log_pw double")
         .groupBy(F.col("node").bitwiseAND(F.lit(0xFFFF)).alias("node"), "bit")
         .agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("log_pw").alias("log_pw"))
         .toPandas()
     )
-    root = Root(*(nodes[c].to_numpy(np.int64) for c in ("node", "bit")), *(nodes[c].to_numpy(float) for c in ("zeros", "ones", "log_pw")))
+    return Root(*(nodes[c].to_numpy(np.int64) for c in ("node", "bit")), *(nodes[c].to_numpy(float) for c in ("zeros", "ones", "log_pw")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column(0).to_numpy().view(np.uint64)
-            mixed = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float32).reshape(-1, 8).astype(float)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(root.log10(keys, mixed))], names=["gram", "log10"])
 
-    return parts.where("gram IS NOT NULL").select("gram", "mixed").mapInArrow(run, "gram long, log10 double")
+_NODE = {"bit": np.int32, "zeros": float, "ones": float, "log_pw": float}
+
+
+def _gram_scores(counts: DataFrame) -> DataFrame:
+    """``gram, level, log10``: the log probability of each gram's last byte in its context.
+
+    ``level``: eight times the binary logarithm of the gram's count, in whole numbers; -1 if it has none.
+    """
+    root = _root(counts)
+
+    def run(table: pa.Table) -> pa.Table:
+        keys, n = table.column("gram").to_numpy().view(np.uint64), table.column("n").to_numpy()
+        level = np.where(n > 0, np.floor(8 * np.log2(np.maximum(n, 1))), -1).astype(np.int32)
+        return pa.table({"gram": table.column("gram"), "level": pa.array(level), "log10": pa.array(root.log10(keys, subtree(keys, n, TOP)[0]))})
+
+    return _subtrees(counts).applyInArrow(run, "gram long, level int, log10 double")
 
 
 def word_scores(words: DataFrame) -> DataFrame:
-    """``word, n, score``: each distinct word (``word, n``) with its log10 probability by the tree.
+    """``word, n, score``: each distinct word (``word, n``) with its log10 probability by the tree of such words, as texts of their own.
 
     A word meets its grams under a 64-bit hash, as a very long one would else be repeated for each of them.
     """
@@ -244,7 +363,7 @@ def word_scores(words: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                keys, owner = grams(batch.column(0).to_pylist())
+                keys, owner = grams(closed(batch.column(0).to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(1).take(pa.array(owner)), pa.array(keys.view(np.int64))], names=["id", "gram"]
                 )
@@ -255,72 +374,188 @@ def word_scores(words: DataFrame) -> DataFrame:
     return named.join(sums, "id").select("word", "n", "score")
 
 
+def _frequent_grams(scores: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent grams, last byte first, with their log probabilities: whole levels, at most ``FREQUENT_GRAMS``."""
+    least, room = 0, FREQUENT_GRAMS
+    # At most 8 * 63 rows.
+    for row in sorted(scores.where("level >= 0").groupBy("level").agg(F.count("*").alias("n")).collect(), reverse=True):
+        room -= row["n"]
+        if room < 0:
+            least = row["level"] + 1
+            break
+    found = scores.where(F.col("level") >= least).select("gram", "log10").toArrow()
+    keys = found.column("gram").to_numpy().view(np.uint64).byteswap()
+    return keys, found.column("log10").to_numpy()
+
+
+class Held:
+    """Values of keys, found by a hash of the key."""
+
+    BITS = 22
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        place = self._place(keys)
+        order = np.argsort(place, kind="stable")
+        self.keys, self.values = np.append(keys[order], np.uint64(0)), np.append(values[order], 0.0)
+        self.first = np.searchsorted(place[order], np.arange((1 << self.BITS) + 1)).astype(np.int32)
+        self.deepest = int(np.diff(self.first).max())
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are held, and their values (0 without one)."""
+        place = self._place(keys)
+        at, end = self.first[place], self.first[place + 1]
+        hit, values = np.zeros(len(keys), bool), np.zeros(len(keys))
+        open_ = np.flatnonzero(at < end)
+        at, end, wanted = at[open_], end[open_], keys[open_]
+        for _ in range(self.deepest):
+            same = self.keys[at] == wanted
+            found = open_[same]
+            hit[found], values[found] = True, self.values[at[same]]
+            at += 1
+            more = np.flatnonzero(~same & (at < end))
+            if not len(more):
+                break
+            open_, at, end, wanted = open_[more], at[more], end[more], wanted[more]
+        return hit, values
+
+
+def _rest_scores(rest: DataFrame, scores: DataFrame, parts: int) -> DataFrame:
+    """``row, tree_rest``: sums of the log probabilities of the grams in ``rest`` (``part, chunk, grams, owners``), a part at a time."""
+
+    def with_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0).to_numpy().view(np.uint64).byteswap()
+            yield pa.RecordBatch.from_arrays([pa.array(_part(keys, parts).astype(np.int32)), *batch.columns], names=["part", "gram", "log10"])
+
+    def of_part(left: pa.Table, right: pa.Table) -> pa.Table:
+        known, values = right.column("gram").to_numpy().view(np.uint64).byteswap(), right.column("log10").to_numpy()
+        order = np.argsort(known)
+        known, values = known[order], values[order]
+        owners, sums = [], []
+        for keys, owner in zip(left.column("grams").to_pylist(), left.column("owners").to_pylist()):
+            owner = _unpacked(owner, np.uint32)
+            total = np.bincount(owner, values[np.searchsorted(known, _unpacked(keys, np.uint64))])
+            at = np.flatnonzero(total)
+            owners.append(_packed(at.astype(np.uint32)))
+            sums.append(_packed(total[at].astype(np.float32)))
+        return pa.table({"chunk": left.column("chunk"), "owners": pa.array(owners, pa.binary()), "sums": pa.array(sums, pa.binary())})
+
+    def of_chunk(table: pa.Table) -> pa.Table:
+        owner = np.concatenate([_unpacked(b, np.uint32) for b in table.column("owners").to_pylist()])
+        total = np.bincount(owner, np.concatenate([_unpacked(b, np.float32) for b in table.column("sums").to_pylist()]))
+        at = np.flatnonzero(total)
+        chunk = table.column("chunk")[0].as_py()
+        return pa.table({"row": pa.array((chunk << _ROW_BITS) + at), "tree_rest": pa.array(total[at])})
+
+    dealt = scores.select("gram", "log10").mapInArrow(with_part, "part int, gram long, log10 double")
+    sums = rest.groupBy("part").cogroup(dealt.groupBy("part")).applyInArrow(of_part, "chunk long, owners binary, sums binary")
+    return sums.groupBy("chunk").applyInArrow(of_chunk, "row long, tree_rest double")
+
+
+#: A row is known by the task, the Arrow batch in it (its chunk), and its place there.
+_BATCH_BITS, _ROW_BITS = 20, 24
+_SCORED = pa.schema([
+    ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("row", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64()),
+    ("known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()),
+    ("rest", pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))),
+    ("part", pa.int32()), ("chunk", pa.int64()), ("grams", pa.binary()), ("owners", pa.binary()),
+])
+
+
+def _scored(columns: dict[str, pa.Array], size: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type)) for f in _SCORED], schema=_SCORED)
+
+
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte``.
 
     ``score`` is the log10 probability of the text by the context tree, ``base_score`` that of add-one word frequencies, both from
     the documents that are not ``held_out``. Null and empty texts have one token, the end. Rows that repeat are counted and scored
     each; null ids pass through; other columns are ignored. With nothing to learn from, the tree predicts each bit with one half.
+
+    Each task scores its texts by the frequent grams and words, which it holds. The others are handed on, grams in compressed runs
+    for the part that has their scores.
     """
-    words = stored(word_scores(stored(word_counts(docs, held_out), "words")), "word_scores")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("n")).first()["n"]
+    parts = max(PARTS, size // PART_BYTES)
+    scores = stored(_gram_scores(stored(_text_gram_counts(docs, held_out, parts), "grams")), "gram_scores")
+    words = stored(word_counts(docs, held_out), "words")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum((F.col("n") > 0).cast("long")), F.lit(0)).alias("v")).first()
     total, room = sums["n"], float(sums["n"] + sums["v"] + 1)
     base = F.log10((F.col("n") + 1) / F.lit(room))
-    valued = words.select("word", (F.col("n") > 0).cast("long").alias("known"), base.alias("base"), "score")
+    valued = words.select("word", (F.col("n") > 0).cast("long").alias("known"), base.alias("base"))
     frequent = (
         words.where((F.octet_length("word") <= FREQUENT_BYTES) & (F.col("n") > 0) & (F.col("n") >= FREQUENT_SHARE * total))
-        .select("word", (F.col("n") > 0).cast("long"), base, "score").toPandas()
+        .select("word", (F.col("n") > 0).cast("long"), base).toPandas()
     )
     held_words = {bytes(w): v for w, *v in frequent.itertuples(index=False)}
-    shared = docs.sparkSession.sparkContext.broadcast(held_words)
+    context = docs.sparkSession.sparkContext
+    shared, shared_grams = context.broadcast(held_words), context.broadcast(_frequent_grams(scores))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values = {w: (int(k), float(b), float(s)) for w, (k, b, s) in shared.value.items()}
+        values = {w: (int(k), float(b)) for w, (k, b) in shared.value.items()}
         number = {w: i for i, w in enumerate(values)}
-        table = np.array([*values.values(), (0.0, 0.0, 0.0)])
-        none = len(values)
-        for batch in batches:
-            found, rest = [], []
+        table = np.array([*values.values(), (0.0, 0.0)])
+        held_grams = Held(*shared_grams.value)
+        none, task = len(values), TaskContext.get().partitionId()
+        for k, batch in enumerate(batches):
+            found, rest, streams = [], [], []
             for text in batch.column(2):
-                tokens = [*_tokens(text.as_py()), b""]
+                tokens = _tokens(text.as_py())
+                streams.append(_stream(tokens))
+                tokens.append(b"")
                 at = np.fromiter((number.get(t, none) for t in tokens), np.int64, len(tokens))
                 sums = table[at].sum(axis=0)
                 others = Counter([tokens[i] for i in np.flatnonzero(at == none)])
-                found.append((len(tokens), sum(map(len, tokens)) + len(tokens), *sums))
+                found.append((len(tokens), len(streams[-1]), *sums))
                 rest.append([{"word": w, "times": n} for w, n in others.items()])
-            n_tokens, n_bytes, known, base_sum, model = (np.array(c) for c in zip(*found))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:2],
-                    pa.array(n_tokens, pa.int64()),
-                    pa.array(n_bytes, pa.int64()),
-                    pa.array(known.astype(np.int64)),
-                    pa.array(base_sum),
-                    pa.array(model),
-                    pa.array(rest, pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))),
-                ],
-                names=["doc_id", "held_out", "n_tokens", "n_bytes", "known", "base", "model", "rest"],
-            )
-
-    rows = docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), "text").mapInArrow(
+            if not found:
+                continue
+            model, others = np.zeros(len(streams)), []
+            for start, end in _blocks(streams):
+                keys, owner = _flipped_grams(streams[start:end])
+                hit, value = held_grams.find(keys)
+                owner += start
+                model += np.bincount(owner, value, len(streams))
+                unknown = np.flatnonzero(~hit)
+                keys, owner = keys[unknown], owner[unknown].astype(np.uint32)
+                order = np.argsort(keys)
+                others.append((keys[order], owner[order]))
+            chunk = task << _BATCH_BITS | k
+            n_tokens, n_bytes, known, base_sum = (np.array(c) for c in zip(*found))
+            yield _scored({
+                "doc_id": batch.column(0), "held_out": batch.column(1), "row": pa.array((chunk << _ROW_BITS) + np.arange(len(streams))),
+                "n_tokens": pa.array(n_tokens, pa.int64()), "n_bytes": pa.array(n_bytes, pa.int64()), "known": pa.array(known.astype(np.int64)),
+                "base": pa.array(base_sum), "model": pa.array(model), "rest": pa.array(rest, _SCORED.field("rest").type),
+            }, len(streams))
+            keys, owner = (np.concatenate(c) for c in zip(*others))
+            for part, at in _dealt(keys, parts):
+                yield _scored({
+                    "part": pa.array([part], pa.int32()), "chunk": pa.array([chunk], pa.int64()),
+                    "grams": pa.array([_packed(keys[at])], pa.binary()), "owners": pa.array([_packed(owner[at])], pa.binary()),
+                }, 1)
+
+    found = docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), "text").mapInArrow(
         run,
-        "doc_id long, held_out boolean, n_tokens long, n_bytes long, known long, base double, model double, rest array<struct<word binary, times long>>",
+        "doc_id long, held_out boolean, row long, n_tokens long, n_bytes long, known long, base double, model double, "
+        "rest array<struct<word binary, times long>>, part int, chunk long, grams binary, owners binary",
     )
-    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "document_words")
+    found = stored(found, "document_grams")
+    rows = found.where("part IS NULL").select(*_SCORED.names[:9])
     rest = (
         rows.select("row", F.explode("rest").alias("x")).select("row", "x.word", "x.times").join(valued, "word")
         .groupBy("row")
-        .agg(
-            F.sum(F.col("times") * F.col("known")).alias("known_rest"),
-            F.sum(F.col("times") * F.col("base")).alias("base_rest"),
-            F.sum(F.col("times") * F.col("score")).alias("score_rest"),
-        )
+        .agg(F.sum(F.col("times") * F.col("known")).alias("known_rest"), F.sum(F.col("times") * F.col("base")).alias("base_rest"))
     )
+    grams_rest = _rest_scores(found.where("part IS NOT NULL").select("part", "chunk", "grams", "owners"), scores, parts)
 
     def plus(column: str, more: str) -> Column:
         return F.col(column) + F.coalesce(F.col(more), F.lit(0))
 
-    out = rows.drop("rest").join(rest, "row", "left")
+    out = rows.drop("rest").join(rest, "row", "left").join(grams_rest, "row", "left")
     return out.select(
         "doc_id",
         "held_out",
@@ -328,6 +563,6 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         plus("known", "known_rest").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         plus("base", "base_rest").alias("base_score"),
-        plus("model", "score_rest").alias("score"),
-        (-plus("model", "score_rest") * F.lit(math.log2(10)) / F.col("n_bytes")).alias("bits_per_byte"),
+        plus("model", "tree_rest").alias("score"),
+        (-plus("model", "tree_rest") * F.lit(math.log2(10)) / F.col("n_bytes")).alias("bits_per_byte"),
     )

@@ -170,6 +170,21 @@ def test_word_scores_against_the_definition(spark):
     assert np.allclose([found[w] for w, _ in words], wanted, rtol=1e-5)
 
 
+def test_score_of_a_text_predicts_across_its_words(spark, monkeypatch):
+    """Grams of whole texts against the definition; the same words in another order have another score."""
+    texts = ["the cat sat on the mat", "the mat sat on the cat", "the cat  SAT\ton the mat", "", None, "mat the on sat cat the", "a é"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = F.col("doc_id").isin(5, 6)
+    units = [b"".join(w + b" " for w in (t or "").encode().lower().split()) + b"\n" for t in texts]
+    wanted = tree_by_recursion(units, [0 if i in (5, 6) else 1 for i in range(len(units))], context_tree.DEPTH)
+    for frequent, block, flush in ((2_000_000, 2_000_000, 4_000_000), (5, 30, 20), (0, 1, 1)):
+        for name, value in (("FREQUENT_GRAMS", frequent), ("BLOCK", block), ("FLUSH", flush)):
+            monkeypatch.setattr(context_tree, name, value)
+        found = {r.doc_id: r.score for r in context_tree.score(docs, held).collect()}
+        assert np.allclose([found[i] for i in range(len(texts))], wanted, rtol=1e-5)
+    assert found[0] > found[5]
+
+
 def test_scores_of_documents(spark, edges, nothing):
     held = F.coalesce(F.col("doc_id") == 9, F.lit(False))
     rows = context_tree.score(edges, held).collect()
