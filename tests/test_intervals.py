@@ -52,6 +52,16 @@ def test_a_day_reads_one_bucket(spark, tmp_path):
     assert table.filter("bucket = 313").count() <= 3 * (BUCKET_DAYS // 7 + 2)
 
 
+def test_a_long_interval_is_written_twice_at_most(spark, tmp_path):
+    days = [*range(0, 40 * BUCKET_DAYS, 17), 0, 3, 700, 1400, 2500]
+    plays = spark.createDataFrame([(f"s{i}", "a", "r", T0 + timedelta(days=d)) for i, d in enumerate(days)] + [("x", "a", "r", None)], FACT)
+    write_intervals(plays, f"{tmp_path}/i")
+    table = read_intervals(None, f"{tmp_path}/i", spark)
+    assert table.count() <= 2 * last_play_intervals(plays).count()
+    found = last_plays_at(table, DATES)
+    assert bag(found) == bag(last_play_by_dates(plays, DATES, "song_id", "album_id"))
+
+
 def test_tables_without_plays_or_times(spark, tmp_path):
     for i, rest in enumerate(([], [("s1", "a", "r", None)])):
         plays = spark.createDataFrame(rest, FACT)
