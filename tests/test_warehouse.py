@@ -12,6 +12,7 @@ from playledger.sources import (
     shared_folder,
     unseen_plays,
 )
+from playledger.streaming.dispatch import new_rows
 from tests.util import bag, plan
 
 PLAY = "song_id string, album_id string, artist_id string, played_at timestamp_ntz"
@@ -28,6 +29,15 @@ def test_missing_tables_are_empty_if_that_is_asked_for(spark, tmp_path):
     assert warehouse.dimensions(spark).artist.count() == 0
 
 
+def test_rows_are_made_once_when_no_key_is_known(spark, tmp_path):
+    """The first batch of a table: the join with its known keys falls away, and the rows are not computed a second time for it."""
+    rows = spark.createDataFrame([("s1",) + (None,) * 7, ("s1",) + (None,) * 7, ("s2",) + (None,) * 7], TABLES[SONG_TABLE].row)
+    rows.write.parquet(str(tmp_path / "songs_in"))
+    found = new_rows(spark.read.parquet(str(tmp_path / "songs_in")), "song_id", FolderWarehouse(str(tmp_path / "none")).known_keys(spark, SONG_TABLE, "q.0"))
+    assert "Join" not in plan(found) and plan(found).count("songs_in") == 1
+    assert bag(found.select("song_id")) == {("s1",): 1, ("s2",): 1}
+
+
 def test_a_star_without_plays_is_an_error(spark, tmp_path):
     with pytest.raises(MissingTable, match="fact_history.*none"):
         FolderWarehouse(str(tmp_path / "none")).star(spark)
