@@ -32,7 +32,7 @@ def ingest(
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        plays = (explode_plays(batch) if "items" in batch.columns else batch).persist(StorageLevel.MEMORY_AND_DISK)
+        plays = (explode_plays(batch) if "items" in batch.columns else batch).persist(StorageLevel.DISK_ONLY)
         try:
             if not plays.count():
                 return

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playledger import plans
@@ -517,7 +518,8 @@ def preview_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def route_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = v.star_of_text_ids(v.known_star(spark, sf_dir))
-    plays = _plays(spark, sf_dir).persist()
+    # On disk: in memory a task would hold all plays of a file that cannot be split.
+    plays = _plays(spark, sf_dir).persist(StorageLevel.DISK_ONLY)
     records = msg.decode(plans.route(plays, known, v.entities(spark, sf_dir)))
     key = F.coalesce(*[F.get_json_object("json_value", f"$.{k}")
                        for k in ("song_id", "album_id", "artist_id")])
