@@ -413,11 +413,13 @@ def compaction_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = FolderWarehouse(shared_folder(spark, "compaction"))
     for topic, table in ((SONG_TOPIC, SONG_TABLE), (ALBUM_TOPIC, ALBUM_TABLE),
                          (ARTIST_TOPIC, ARTIST_TABLE), (ITEM_TOPIC, FACT_TABLE)):
-        rows = msg.parse_topic(msg.decode(_messages(spark, sf_dir, topic)), topic)
+        # Parsed once for all batches.
+        rows = msg.parse_topic(msg.decode(_messages(spark, sf_dir, topic)), topic).persist(StorageLevel.DISK_ONLY)
         for batches in (("a.0", "a.1", "a.2", "b.0"), ("a.2", "a.3", "b.0", "b.1"), ("a.3",)):
             for batch in batches:
                 warehouse.append(rows, table, batch)
             warehouse.compact(spark, table)
+        rows.unpersist()
     warehouse.append(rejected_records(spark, sf_dir), REJECTS_TABLE, "a.0")
     return _table_counts(spark, warehouse)
 

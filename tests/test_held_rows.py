@@ -11,3 +11,13 @@ def test_plays_that_are_routed_are_held_on_disk(spark):
     text = found._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("StorageLevel(disk, 1 replicas)") and "memory" not in text
     spark.catalog.clearCache()
+
+
+def test_batches_that_are_compacted_come_from_one_parse(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(FolderWarehouse, "append", lambda self, rows, table, batch: held.append((batch, rows.storageLevel)))
+    monkeypatch.setattr(FolderWarehouse, "compact", lambda self, spark, table: None)
+    monkeypatch.setattr(queries, "_table_counts", lambda *_: None)
+    queries.QUERIES["compaction_roundtrip"](spark, DATA)
+    assert len(held) == 4 * 9 + 1
+    assert all(level.useDisk and not level.useMemory for _, level in held[:-1])
