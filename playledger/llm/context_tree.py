@@ -374,8 +374,8 @@ def word_scores(words: DataFrame) -> DataFrame:
     return named.join(sums, "id").select("word", "n", "score")
 
 
-def _frequent_grams(scores: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent grams, last byte first, with their log probabilities: whole levels, at most ``FREQUENT_GRAMS``."""
+def _frequent_level(scores: DataFrame) -> int:
+    """The least level of the most frequent grams: whole levels, at most ``FREQUENT_GRAMS`` grams."""
     least, room = 0, FREQUENT_GRAMS
     # At most 8 * 63 rows.
     for row in sorted(scores.where("level >= 0").groupBy("level").agg(F.count("*").alias("n")).collect(), reverse=True):
@@ -383,9 +383,13 @@ def _frequent_grams(scores: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         if room < 0:
             least = row["level"] + 1
             break
+    return least
+
+
+def _frequent_grams(scores: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of this level and above, last byte first, with their log probabilities."""
     found = scores.where(F.col("level") >= least).select("gram", "log10").toArrow()
-    keys = found.column("gram").to_numpy().view(np.uint64).byteswap()
-    return keys, found.column("log10").to_numpy()
+    return found.column("gram").to_numpy().view(np.uint64).byteswap(), found.column("log10").to_numpy()
 
 
 class Held:
@@ -425,13 +429,27 @@ class Held:
 def _rest_scores(rest: DataFrame, scores: DataFrame, parts: int) -> DataFrame:
     """``row, tree_rest``: sums of the log probabilities of the grams in ``rest`` (``part, chunk, grams, owners``), a part at a time."""
 
+    def runs(pending: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, values = (np.concatenate(c) for c in zip(*pending))
+        found = [(part, _packed(keys[at]), _packed(values[at].astype(np.float32))) for part, at in _dealt(keys, parts)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*found), (pa.int32(), pa.binary(), pa.binary()))], names=["part", "keys", "log10"]
+        )
+
     def with_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            keys = batch.column(0).to_numpy().view(np.uint64).byteswap()
-            yield pa.RecordBatch.from_arrays([pa.array(_part(keys, parts).astype(np.int32)), *batch.columns], names=["part", "gram", "log10"])
+            if batch.num_rows:
+                pending.append((batch.column(0).to_numpy().view(np.uint64).byteswap(), batch.column(1).to_numpy()))
+            if sum(len(k) for k, _ in pending) >= FLUSH // 4:
+                yield runs(pending)
+                pending = []
+        if pending:
+            yield runs(pending)
 
     def of_part(left: pa.Table, right: pa.Table) -> pa.Table:
-        known, values = right.column("gram").to_numpy().view(np.uint64).byteswap(), right.column("log10").to_numpy()
+        known = np.concatenate([np.zeros(0, np.uint64), *(_unpacked(b, np.uint64) for b in right.column("keys").to_pylist())])
+        values = np.concatenate([np.zeros(0), *(_unpacked(b, np.float32) for b in right.column("log10").to_pylist())])
         order = np.argsort(known)
         known, values = known[order], values[order]
         owners, sums = [], []
@@ -450,7 +468,7 @@ def _rest_scores(rest: DataFrame, scores: DataFrame, parts: int) -> DataFrame:
         chunk = table.column("chunk")[0].as_py()
         return pa.table({"row": pa.array((chunk << _ROW_BITS) + at), "tree_rest": pa.array(total[at])})
 
-    dealt = scores.select("gram", "log10").mapInArrow(with_part, "part int, gram long, log10 double")
+    dealt = scores.select("gram", "log10").mapInArrow(with_part, "part int, keys binary, log10 binary")
     sums = rest.groupBy("part").cogroup(dealt.groupBy("part")).applyInArrow(of_part, "chunk long, owners binary, sums binary")
     return sums.groupBy("chunk").applyInArrow(of_chunk, "row long, tree_rest double")
 
@@ -482,6 +500,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("n")).first()["n"]
     parts = max(PARTS, size // PART_BYTES)
     scores = stored(_gram_scores(stored(_text_gram_counts(docs, held_out, parts), "grams")), "gram_scores")
+    least = _frequent_level(scores)
     words = stored(word_counts(docs, held_out), "words")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum((F.col("n") > 0).cast("long")), F.lit(0)).alias("v")).first()
     total, room = sums["n"], float(sums["n"] + sums["v"] + 1)
@@ -493,7 +512,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     )
     held_words = {bytes(w): v for w, *v in frequent.itertuples(index=False)}
     context = docs.sparkSession.sparkContext
-    shared, shared_grams = context.broadcast(held_words), context.broadcast(_frequent_grams(scores))
+    shared, shared_grams = context.broadcast(held_words), context.broadcast(_frequent_grams(scores, least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = {w: (int(k), float(b)) for w, (k, b) in shared.value.items()}
@@ -550,7 +569,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         .groupBy("row")
         .agg(F.sum(F.col("times") * F.col("known")).alias("known_rest"), F.sum(F.col("times") * F.col("base")).alias("base_rest"))
     )
-    grams_rest = _rest_scores(found.where("part IS NOT NULL").select("part", "chunk", "grams", "owners"), scores, parts)
+    grams_rest = _rest_scores(found.where("part IS NOT NULL").select("part", "chunk", "grams", "owners"), scores.where(F.col("level") < least), parts)
 
     def plus(column: str, more: str) -> Column:
         return F.col(column) + F.coalesce(F.col(more), F.lit(0))
