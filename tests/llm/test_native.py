@@ -23,7 +23,7 @@ def test_query_matches_its_sql(spark, name):
 
 def test_all_operators_are_registered():
     names = {n.split("_")[0] for n in repo.queries() if n.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in repo.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in repo.queries()
 
 
 def test_exact_dedup_edges(spark, edges, nothing):
