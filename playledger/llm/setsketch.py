@@ -10,7 +10,7 @@ joint estimate. Pairs that are not far below the threshold by it are confirmed o
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -136,8 +136,8 @@ def sketches(docs: DataFrame, near: Near) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _SKETCH)
 
 
-#: Documents of a bucket that one task compares with as many others.
-BLOCK = 1024
+#: Documents of a bucket that one task compares with as many others, and pairs that it looks at at once.
+BLOCK, PAIRS = 1024, 16_384
 
 
 def _deviations_below(near: Near) -> float:
@@ -155,17 +155,38 @@ def _arrays(column, dtype: str) -> list[np.ndarray]:
     return [np.frombuffer(x, dtype) for x in column]
 
 
-def _likely(x: np.ndarray, others: np.ndarray, n: int | np.ndarray, sizes: np.ndarray, near: Near) -> np.ndarray:
-    """Which of the ``others`` may be near ``x``, one or one for each, by size and by the joint estimate."""
-    fits = near.den * np.minimum(n, sizes) >= near.num * np.maximum(n, sizes)
+def _far(greater: np.ndarray, smaller: np.ndarray, n: np.ndarray, m: np.ndarray, near: Near) -> np.ndarray:
+    """Which pairs have an ``estimate`` that is clearly too low, without its grid.
+
+    As the base is close to one, a register is greater with probability ``u``, smaller with ``v`` and equal with ``j``, all linear in ``j``. The
+    likelihood is then concave: where it falls at a similarity, its maximum lies below. It is looked at 0.02 below the cut, so near cuts are left to the grid.
+    """
+    j = _deviations_below(near) - 0.02
+    if j <= 0:
+        return np.zeros(len(n), bool)
+    x, y = m / (n + m), n / (n + m)
+    equal = near.registers - greater - smaller
+    u, v = (np.maximum(1.0 - z * (1.0 + j), 1e-9) for z in (x, y))
+    return equal / j < greater * x / u + smaller * y / v
+
+
+def _likely(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, near: Near) -> np.ndarray:
+    """Which pairs of rows of ``x`` and ``y`` may be near, by size and by the joint estimate."""
+    fits = _sizes_fit(n, m, near)
     at = np.flatnonzero(fits)
+    greater, smaller = (x[at] > y[at]).sum(1), (x[at] < y[at]).sum(1)
+    far = _far(greater, smaller, n[at], m[at], near)
+    fits[at[far]] = False
+    at, greater, smaller = at[~far], greater[~far], smaller[~far]
     if len(at):
-        rest, x = others[at], x[at] if x.ndim == 2 else x
-        values = estimate((x > rest).sum(1), (x < rest).sum(1), np.broadcast_to(n, len(fits))[at], sizes[at], near)
-        fits[at] = values >= _deviations_below(near)
+        fits[at] = estimate(greater, smaller, n[at], m[at], near) >= _deviations_below(near)
     return fits
 
 
+def _sizes_fit(n: np.ndarray, m: np.ndarray, near: Near) -> np.ndarray:
+    return near.den * np.minimum(n, m) >= near.num * np.maximum(n, m)
+
+
 def _bands(classes: DataFrame, near: Near) -> DataFrame:
     """``key, band, rep``: a row for each band of each sketch."""
     width = 2 * near.rows
@@ -217,22 +238,62 @@ def _star_links(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
     return joined.select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long")
 
 
-def _open_pairs(pdf, near: Near) -> Iterator[tuple[int, np.ndarray]]:
-    """For each row of two blocks of a bucket, those after it that are likely near it, in another component, and share no band before this one."""
-    sketch = np.array(_arrays(pdf["sketch"], "<u2"))
-    size, block, band = pdf["size"].to_numpy(), pdf["block"].to_numpy(), int(pdf["band"].iloc[0])
-    component = pdf["component"].to_numpy()
-    split = pdf["lo"].iloc[0] != pdf["hi"].iloc[0]
-    for i in range(len(pdf)):
-        may = np.arange(len(pdf)) > i
-        if split:
-            may &= block != block[i]
-        at = np.flatnonzero(may & (component != component[i]))
-        if len(at):
-            at = at[_likely(sketch[i], sketch[at], size[i], size[at], near)]
-        if len(at):
-            same = (sketch[at].reshape(len(at), near.bands, near.rows) == sketch[i].reshape(1, near.bands, near.rows)).all(2)
-            yield i, at[same.argmax(1) == band]
+def _sketch_rows(column: pa.ChunkedArray, near: Near) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, near.registers)
+
+
+def _open_pairs(rows: pa.Table, first: np.ndarray, near: Near) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs of rows that are in two blocks of a bucket, likely near, in different components, and share no band before this one.
+
+    ``first``: where the groups of rows begin. Pairs of all groups are made together, some at a time, in the order of their first rows.
+    """
+    total = rows.num_rows
+    sketch = _sketch_rows(rows.column("sketch"), near)
+    size, block, band, component, lo, hi = (rows.column(c).to_numpy() for c in ("size", "block", "band", "component", "lo", "hi"))
+    lengths = np.diff(np.append(first, total))
+    later = np.repeat(first + lengths, lengths) - np.arange(total) - 1
+    until = np.cumsum(later)
+    start = 0
+    while start < total:
+        end = max(start + 1, int(np.searchsorted(until, until[start] - later[start] + PAIRS, "right")))
+        i = np.repeat(np.arange(start, end), later[start:end])
+        j = i + 1 + np.arange(len(i)) - np.repeat(until[start:end] - later[start:end] - until[start] + later[start], later[start:end])
+        start = end
+        may = (component[i] != component[j]) & ((lo[i] == hi[i]) | (block[i] != block[j])) & _sizes_fit(size[i], size[j], near)
+        i, j = i[may], j[may]
+        same = (sketch[i] == sketch[j]).reshape(len(i), near.bands, near.rows).all(2)
+        may = same.argmax(1) == band[i]
+        i, j = i[may], j[may]
+        may = _likely(sketch[i], sketch[j], size[i], size[j], near)
+        if may.any():
+            yield i[may], j[may]
+
+
+def _of_blocks(rows: DataFrame, run: Callable[[pa.Table, np.ndarray], pa.RecordBatch | pa.Table], schema: str) -> DataFrame:
+    """``run`` over whole groups of equal ``key, lo, hi``, many at a time as most are small, and where each begins."""
+    keys = ["key", "lo", "hi"]
+
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([*waiting, batch])
+            first = _first_rows(table)
+            # The last group may go on in the next batch.
+            if first[-1]:
+                yield from run(table.slice(0, first[-1]), first[:-1]).to_batches()
+            waiting = table.slice(first[-1]).to_batches()
+        if waiting:
+            table = pa.Table.from_batches(waiting)
+            yield from run(table, _first_rows(table)).to_batches()
+
+    def _first_rows(table: pa.Table) -> np.ndarray:
+        new = np.ones(table.num_rows, bool)
+        new[1:] = np.any([(c := table.column(k).to_numpy())[1:] != c[:-1] for k in keys], axis=0)
+        return np.flatnonzero(new)
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(of_task, schema)
 
 
 _BLOCK_ROW = "key long, band int, lo int, hi int, rep long, component long, block int, sketch binary, size long"
@@ -260,36 +321,35 @@ def _in_doubt(buckets: DataFrame, found: DataFrame, classes: DataFrame, near: Ne
         "key", "band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rep", "component", "block"
     )
 
-    def run(pdf):
-        doubt = np.zeros(len(pdf), bool)
-        for i, at in _open_pairs(pdf, near):
-            doubt[at] = True
-            doubt[i] |= len(at) > 0
-        return pdf[doubt]
+    def run(table: pa.Table, first: np.ndarray) -> pa.Table:
+        doubt = np.zeros(table.num_rows, bool)
+        for i, j in _open_pairs(table, first, near):
+            doubt[i] = doubt[j] = True
+        return table.filter(pa.array(doubt))
 
     names = [n.split()[0] for n in _BLOCK_ROW.split(", ")]
     joined = tasks.join(classes.select("rep", "sketch", "size"), "rep").select(names)
-    return joined.groupBy("key", "lo", "hi").applyInPandas(run, _BLOCK_ROW)
+    return _of_blocks(joined, run, _BLOCK_ROW)
 
 
 def _rest_links(doubtful: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
     """``a, b``: links between the doubtful rows of each pair of blocks, confirmed on their sets; those that join nothing new are left out."""
 
-    def run(pdf):
-        import pandas as pd
-
-        sets, rep = _arrays(pdf["hashes"], "<u8"), pdf["rep"].to_numpy()
-        component = pdf["component"].to_numpy().copy()
+    def run(table: pa.Table, first: np.ndarray) -> pa.Table:
+        sets, rep = _arrays((h.as_py() for h in table.column("hashes")), "<u8"), table.column("rep").to_numpy()
+        group = np.repeat(np.arange(len(first)), np.diff(np.append(first, table.num_rows)))
+        component = table.column("component").to_numpy().copy()
         a, b = [], []
-        for i, at in _open_pairs(pdf, near):
-            for k in at:
+        for rows, others in _open_pairs(table, first, near):
+            for i, k in zip(rows.tolist(), others.tolist()):
                 if component[k] != component[i] and _confirmed(sets[i], sets[k], near):
                     a.append(rep[i])
                     b.append(rep[k])
-                    component[component == component[k]] = component[i]
-        return pd.DataFrame({"a": a, "b": b}, dtype="int64")
+                    own = component[first[group[i]] : (first[group[i] + 1] if group[i] + 1 < len(first) else None)]
+                    own[own == component[k]] = component[i]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return doubtful.join(sets, "rep").groupBy("key", "lo", "hi").applyInPandas(run, "a long, b long")
+    return _of_blocks(doubtful.join(sets, "rep"), run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, near: Near | None = None, named: Column | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from playledger.llm import setsketch, suffixes
@@ -70,6 +71,36 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch):
     assert found == {i: (len(sets[i]), wanted[i], wanted[i] == i) for i in sets}
 
 
+def test_many_blocks_are_compared_at_once(monkeypatch):
+    """Pairs of several groups together are those of each group by itself, and the plain way to rule out a pair agrees with the grid."""
+    near = Near()
+    rng = np.random.default_rng(5)
+    rows = []
+    for key, count in enumerate((1, 2, 40, 1, 7)):
+        base = rng.integers(0, 50, near.registers)
+        for rep in range(count):
+            sketch = np.where(rng.random(near.registers) < rng.choice([0.1, 0.3, 0.5]), rng.integers(0, 50, near.registers), base)
+            sketch[: near.rows] = base[: near.rows]
+            rows.append((key, 0, 0, key % 2, 100 * key + rep, int(rng.integers(0, 6)), rep % 2, sketch.astype("<u2").tobytes(), int(rng.integers(90, 110))))
+    names = [n.split()[0] for n in setsketch._BLOCK_ROW.split(", ")]
+    table = pa.table(dict(zip(names, map(list, zip(*rows)))))
+    first = np.flatnonzero(np.diff(table.column("key").to_numpy(), prepend=-1))
+    sketches = [np.frombuffer(r[7], "<u2") for r in rows]
+    cut, wanted = setsketch._deviations_below(near), set()
+    for i, x in enumerate(rows):
+        for j in range(i + 1, len(rows)):
+            y = rows[j]
+            if x[0] == y[0] and x[5] != y[5] and (x[2] == x[3] or x[6] != y[6]) and 100 * min(x[8], y[8]) >= 85 * max(x[8], y[8]):
+                greater, smaller = ((a > b).sum() for a, b in ((sketches[i], sketches[j]), (sketches[j], sketches[i])))
+                if setsketch.estimate(*(np.array([v]) for v in (greater, smaller, x[8], y[8])), near)[0] >= cut:
+                    wanted.add((i, j))
+    assert len(wanted) > 50
+    for pairs in (1, 16, 10_000):
+        monkeypatch.setattr(setsketch, "PAIRS", pairs)
+        found = [(i, j) for at, to in setsketch._open_pairs(table, first, near) for i, j in zip(at.tolist(), to.tolist())]
+        assert len(found) == len(set(found)) and set(found) == wanted
+
+
 def test_registers_merge_and_estimate():
     near = Near(bands=64)
     rng = np.random.default_rng(3)
