@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ FREQUENT_SHARE, FREQUENT_BYTES = 1 / 2_000_000, 32
 FREQUENT_GRAMS = 2_000_000
 #: Bytes of text that are handled at once, and distinct grams that a task counts before it hands them on.
 BLOCK, FLUSH = 2_000_000, 4_000_000
+#: Bytes of text whose grams a task holds while it scores. Each hands on a run for each part, so much smaller ones would cost space.
+CHUNK = 4_000_000
 #: Grams are dealt out in so many parts at least, and one for so many bytes of all texts.
 PARTS, PART_BYTES = 64, 16_000_000
 
@@ -197,6 +200,18 @@ def _blocks(streams: list[bytes]) -> Iterator[tuple[int, int]]:
         yield start, len(streams)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Slices of batches with about ``CHUNK`` bytes in the column ``text`` and one row at least, so that what is made of a slice has the same size for any batch."""
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = size[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(size, before + CHUNK, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def _packed(values: np.ndarray) -> bytes:
     """Numbers as bytes by place, compressed: those of sorted grams are mostly equal in the first places."""
     planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
@@ -473,7 +488,7 @@ def _rest_scores(rest: DataFrame, scores: DataFrame, parts: int) -> DataFrame:
     return sums.groupBy("chunk").applyInArrow(of_chunk, "row long, tree_rest double")
 
 
-#: A row is known by the task, the Arrow batch in it (its chunk), and its place there.
+#: A row is known by the task, the slice of an Arrow batch in it (its chunk), and its place there.
 _BATCH_BITS, _ROW_BITS = 20, 24
 _SCORED = pa.schema([
     ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("row", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64()),
@@ -520,7 +535,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         table = np.array([*values.values(), (0.0, 0.0)])
         held_grams = Held(*shared_grams.value)
         none, task = len(values), TaskContext.get().partitionId()
-        for k, batch in enumerate(batches):
+        for k, batch in enumerate(_slices(batches, 2)):
             found, rest, streams = [], [], []
             for text in batch.column(2):
                 tokens = _tokens(text.as_py())

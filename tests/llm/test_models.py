@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,6 +186,22 @@ def test_score_of_a_text_predicts_across_its_words(spark, monkeypatch):
     assert found[0] > found[5]
 
 
+def test_texts_are_scored_in_slices_of_a_bounded_size(spark, monkeypatch):
+    """What a task holds follows from the bytes of a slice, not from the rows of a batch; the scores are the same."""
+    monkeypatch.setattr(context_tree, "CHUNK", 100)
+    texts = ["x" * 60, None, "y" * 50, "", "z" * 300, "z", "z" * 99]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    found = [b.column(0).to_pylist() for b in context_tree._slices(iter([batch, batch.slice(0, 0)]), 0)]
+    assert found == [["x" * 60, None], ["y" * 50, ""], ["z" * 300], ["z", "z" * 99]]
+    docs = spark.createDataFrame([(i, f"the cat {i % 7} sat on {i % 5} mats") for i in range(200)], "doc_id long, text string").coalesce(1)
+    held = F.col("doc_id") % 4 == 0
+    monkeypatch.setattr(context_tree, "FREQUENT_GRAMS", 5)
+    small = {r.doc_id: r.score for r in context_tree.score(docs, held).collect()}
+    monkeypatch.setattr(context_tree, "CHUNK", 1 << 30)
+    whole = {r.doc_id: r.score for r in context_tree.score(docs, held).collect()}
+    assert len(small) == 200 and np.allclose([small[i] for i in range(200)], [whole[i] for i in range(200)], rtol=1e-6)
+
+
 def test_scores_of_documents(spark, edges, nothing):
     held = F.coalesce(F.col("doc_id") == 9, F.lit(False))
     rows = context_tree.score(edges, held).collect()
