@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -377,30 +378,23 @@ def without_duplicates(docs: DataFrame, passage: Passage | None = None) -> DataF
         ),
         "cuts",
     )
-    # The ids alone are a small table, so documents without a cut need not move; the others meet their cuts.
-    ids = stored(per_doc.select(key, row_key), "cut_ids")
-    def same(df: DataFrame, other: DataFrame) -> Column:
-        doc, row = _row(df)
-        return (doc == other[key]) & (row == other[row_key])
-
-    whole = docs.join(ids, same(docs, ids), "left_anti")
-    part = docs.join(ids, same(docs, ids), "left_semi")
-    joined = part.join(per_doc, same(part, per_doc)).select(*docs.columns, name)
-    texts = joined.columns.index("text")
+    # One join, so that texts move once at most, however many documents have a cut; beside a small table of cuts they stay where they are.
+    doc, row = _row(docs)
+    joined = docs.join(per_doc, (doc == per_doc[key]) & (row == per_doc[row_key]), "left").select(*docs.columns, name)
+    columns, texts = docs.columns, joined.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts_out, keep = [], []
-            for text, cuts in zip(batch.column(texts).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
-                if cuts:
-                    text = cut_text(text, [(c["start_word"], c["end_word"]) for c in cuts])
-                texts_out.append(text)
-                keep.append(not cuts or bool(_WORD.search(text)))
-            columns = [pa.array(texts_out, batch.column(texts).type) if i == texts else c for i, c in enumerate(batch.columns[:-1])]
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1]).filter(pa.array(keep, pa.bool_()))
+            has = batch.column(batch.num_columns - 1).is_valid()
+            yield batch.filter(pc.invert(has)).select(columns)
+            batch = batch.filter(has)
+            found = zip(batch.column(texts).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())
+            cut = [cut_text(text, [(c["start_word"], c["end_word"]) for c in cuts]) for text, cuts in found]
+            out = [pa.array(cut, batch.column(texts).type) if i == texts else c for i, c in enumerate(batch.columns[:-1])]
+            keep = pa.array([bool(_WORD.search(text)) for text in cut], pa.bool_())
+            yield pa.RecordBatch.from_arrays(out, names=columns).filter(keep)
 
     out = joined.mapInArrow(run, docs.schema)
-    out = whole.union(out)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -244,3 +244,32 @@ def test_passage_edges(spark, edges, nothing):
     # Of document 10 no word is left: all of it stands in document 4.
     assert set(ids) == {1, 2, 3, 4, 5, 6, 7, 8, 9, None}
     assert suffixes.repeats(nothing).count() == 0 and suffixes.without_duplicates(nothing).count() == 0
+
+
+def test_texts_move_once_to_meet_their_cuts(spark):
+    """Where the cuts are too many to be broadcast, the texts are shuffled once for them, not once each for those with and without."""
+    passage = " ".join(f"p{k}" for k in range(60))
+    df = spark.createDataFrame([(1, f"a {passage}"), (2, f"b {passage} c"), (3, "d"), (4, passage), (None, passage), (5, None)], "doc_id long, text string")
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = suffixes.without_duplicates(df)
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("SortMergeJoin") == 1
+        assert sorted(out.collect(), key=str) == sorted([(1, f"a {passage}"), (2, "b c"), (3, "d"), (5, None)], key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+
+
+@pytest.mark.parametrize("slots", [1 << 15, 1 << 23])
+def test_texts_without_a_likely_partner_do_not_move(spark, monkeypatch, slots):
+    """Sets are made before the join, of those whose slot is taken, and are those of the wanted ids, however few slots there are."""
+    monkeypatch.setattr(setsketch, "SLOTS", slots)
+    docs = spark.range(3000).selectExpr("CASE WHEN id < 2990 THEN id - 5 END AS doc_id", "concat('a b c d ', id) AS text")
+    reps = spark.range(0, 3000, 3).selectExpr("id AS rep")
+    found = setsketch._sets(docs, reps, Near())
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftSemi") < plan.index("MapInArrow")
+    assert {r.rep: r.hashes for r in found.collect()} == {
+        k: bytearray(setsketch.shingles(f"a b c d {k + 5}", 3).tobytes()) for k in range(0, 2985, 3)
+    }
