@@ -6,6 +6,7 @@ import gc
 from collections.abc import Callable
 from typing import Any
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +55,33 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Slots of a table of bits that rules out rows before a join; one bit each.
+SLOTS = 1 << 23
+
+
+def slot(*keys: str | Column) -> Column:
+    """The slot of a row, by its keys."""
+    return F.pmod(F.xxhash64(*keys, F.lit(11)), F.lit(SLOTS))
+
+
+def taken_slots(slots: DataFrame) -> np.ndarray:
+    """A bit for each slot, set for those in ``slots`` (``slot``). Its size is fixed: the more keys, the more others share a slot, so a join is to decide.
+
+    Rows that it rules out need not move, even where the keys are too many to be broadcast.
+    """
+    # Spark's buckets count from 1, and have 32768 places each, so at most SLOTS / 32768 rows come back.
+    buckets = slots.select((F.col("slot") + 1).alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
+    table = np.zeros(SLOTS, np.uint8)
+    for row in buckets.agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect():
+        bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
+        table[(row["bucket"] - 1) * len(bits) :][: len(bits)] = bits
+    return np.packbits(table)
+
+
+def is_taken(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (table[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 == 1
+
+
 _HELD: dict[str, Any] = {}
 
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playledger.llm.common import process_cache, stored
+from playledger.llm.common import is_taken, process_cache, slot, stored, taken_slots
 from playledger.llm.components import components
 
 
@@ -197,34 +197,22 @@ def _bands(classes: DataFrame, near: Near) -> DataFrame:
     return classes.select("rep", F.explode(F.array(*parts)).alias("x")).select("x.key", "x.band", "rep")
 
 
-#: Slots of the table by which documents are passed over before their sets are made; one bit each.
-SLOTS = 1 << 23
-
-
 def _sets(docs: DataFrame, reps: DataFrame, near: Near) -> DataFrame:
     """``rep, hashes``: full sets of the documents ``reps``.
 
     A table of bits of a fixed size, one for each slot that an id of ``reps`` falls into, rules out most others where they stand, so that
     their texts need not move. The join then decides.
     """
-    of_slot = F.pmod(F.xxhash64("rep", F.lit(11)), F.lit(SLOTS))
-    # Spark's buckets count from 1, and have 32768 places each, so at most SLOTS / 32768 rows come back.
-    slots = reps.select((of_slot + 1).alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
-    table = np.zeros(SLOTS, np.uint8)
-    for row in slots.agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect():
-        bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
-        table[(row["bucket"] - 1) * len(bits) :][: len(bits)] = bits
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(table))
+    shared = docs.sparkSession.sparkContext.broadcast(taken_slots(reps.select(slot("rep").alias("slot"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        taken = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            batch = batch.filter(pa.array(taken[batch.column(2).to_numpy()], pa.bool_()))
+            batch = batch.filter(pa.array(is_taken(shared.value, batch.column(2).to_numpy()), pa.bool_()))
             found = [shingles(t.as_py(), near.shingle).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["rep", "hashes"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").where("rep IS NOT NULL")
-    return texts.withColumn("slot", of_slot).mapInArrow(run, "rep long, hashes binary").join(reps, "rep", "left_semi")
+    return texts.withColumn("slot", slot("rep")).mapInArrow(run, "rep long, hashes binary").join(reps, "rep", "left_semi")
 
 
 def _likely_pairs(pairs: DataFrame, classes: DataFrame, near: Near) -> DataFrame:

@@ -24,13 +24,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playledger.llm.common import SPACE_CHARS, free_name, process_cache, stored
+from playledger.llm.common import SPACE_CHARS, free_name, is_taken, process_cache, slot, stored, taken_slots
 
 _WORD = re.compile(f"[^{SPACE_CHARS}]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -378,9 +379,17 @@ def without_duplicates(docs: DataFrame, passage: Passage | None = None) -> DataF
         ),
         "cuts",
     )
-    # One join, so that texts move once at most, however many documents have a cut; beside a small table of cuts they stay where they are.
+    # Most texts without a cut are passed over by a table of bits and stay where they are; the others meet their cuts in one join.
+    shared = docs.sparkSession.sparkContext.broadcast(taken_slots(per_doc.select(slot(key, row_key).alias("slot"))))
+
+    @F.pandas_udf("boolean")
+    def taken(slots: pd.Series) -> pd.Series:
+        return pd.Series(is_taken(shared.value, slots.to_numpy()))
+
     doc, row = _row(docs)
-    joined = docs.join(per_doc, (doc == per_doc[key]) & (row == per_doc[row_key]), "left").select(*docs.columns, name)
+    whole, part = docs.where(~taken(slot(doc, row))), docs.where(taken(slot(doc, row)))
+    doc, row = _row(part)
+    joined = part.join(per_doc, (doc == per_doc[key]) & (row == per_doc[row_key]), "left").select(*docs.columns, name)
     columns, texts = docs.columns, joined.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -394,7 +403,7 @@ def without_duplicates(docs: DataFrame, passage: Passage | None = None) -> DataF
             keep = pa.array([bool(_WORD.search(text)) for text in cut], pa.bool_())
             yield pa.RecordBatch.from_arrays(out, names=columns).filter(keep)
 
-    out = joined.mapInArrow(run, docs.schema)
+    out = whole.union(joined.mapInArrow(run, docs.schema))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

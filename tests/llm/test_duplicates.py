@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from playledger.llm import setsketch, suffixes
+from playledger.llm import common, setsketch, suffixes
 from playledger.llm.components import components
 from playledger.llm.setsketch import Near, near_duplicates
 
@@ -264,7 +264,7 @@ def test_texts_move_once_to_meet_their_cuts(spark):
 @pytest.mark.parametrize("slots", [1 << 15, 1 << 23])
 def test_texts_without_a_likely_partner_do_not_move(spark, monkeypatch, slots):
     """Sets are made before the join, of those whose slot is taken, and are those of the wanted ids, however few slots there are."""
-    monkeypatch.setattr(setsketch, "SLOTS", slots)
+    monkeypatch.setattr(common, "SLOTS", slots)
     docs = spark.range(3000).selectExpr("CASE WHEN id < 2990 THEN id - 5 END AS doc_id", "concat('a b c d ', id) AS text")
     reps = spark.range(0, 3000, 3).selectExpr("id AS rep")
     found = setsketch._sets(docs, reps, Near())
