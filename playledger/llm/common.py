@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,6 +101,32 @@ def process_cache(owner: str, make: Callable[[], Any]) -> Any:
     return _HELD[owner]
 
 
+def hand_back() -> None:
+    """Memory that is free, but kept by the allocators of this process, goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim:
+        trim(0)
+
+
+def thrifty(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, which hands memory back at the end of its task.
+
+    Spark keeps Python workers that wait for a task, more of them than an executor has cores. What each has held for its
+    last task would else stand beside the memory of all steps that follow.
+    """
+
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            hand_back()
+
+    return task
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}

@@ -20,7 +20,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playledger.llm.common import process_cache, stored
+from playledger.llm.common import process_cache, stored, thrifty
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 UNKNOWN = "und"
@@ -229,7 +229,7 @@ def fit_model(labelled: DataFrame, fit: Fit | None = None) -> Model | None:
 
     words = stored(
         sample.select(F.coalesce("text", F.lit("")).alias("text"), "lang")
-        .mapInArrow(count, "lang string, word binary, n long")
+        .mapInArrow(thrifty(count), "lang string, word binary, n long")
         .groupBy("lang", "word")
         .agg(F.sum("n").alias("n")),
         "language_words",
@@ -255,7 +255,7 @@ def fit_model(labelled: DataFrame, fit: Fit | None = None) -> Model | None:
                 [pa.array(piece), pa.array(lang), pa.array(counts[piece, lang])], names=["piece", "lang", "n"]
             )
 
-        sums = words.mapInArrow(expect, "piece long, lang long, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n")).toPandas()
+        sums = words.mapInArrow(thrifty(expect), "piece long, lang long, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n")).toPandas()
         counts = np.full((size, len(langs)), fit.pseudo)
         counts[sums["piece"].to_numpy(np.int64), sums["lang"].to_numpy(np.int64)] += sums["n"].to_numpy(float)
         probs = np.vstack([counts / counts.sum(axis=0), np.zeros((1, len(langs)))])
@@ -333,7 +333,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                 names=["doc_id", "lang_pred", "score"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(thrifty(run), "doc_id long, lang_pred string, score double")
 
 
 def training_rows(docs: DataFrame, held_out: Column) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playledger.llm import bpe
-from playledger.llm.common import stored
+from playledger.llm.common import stored, thrifty
 
 #: The id that ends each document.
 END_ID = 1
@@ -75,7 +75,7 @@ def pieces(docs: DataFrame, shape: Shape, tokenizer: str = bpe.TOKENIZER, with_i
             ) if rows else pa.RecordBatch.from_pylist([], schema=_ARROW)
 
     return stored(
-        docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, _PIECE_SCHEMA), "pieces"
+        docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(thrifty(cut), _PIECE_SCHEMA), "pieces"
     )
 
 
@@ -236,7 +236,7 @@ def pack(
         *columns, "cls", (F.col("before") + F.col("nth")).alias("rank")
     )
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranked.schema)
-    placed = ranked.mapInArrow(place, f"{schema}, sequence_id long, turn long")
+    placed = ranked.mapInArrow(thrifty(place), f"{schema}, sequence_id long, turn long")
     earlier = Window.partitionBy("sequence_id").orderBy(F.desc("cls"), "turn").rowsBetween(Window.unboundedPreceding, -1)
     return placed.select(
         *columns[:5],

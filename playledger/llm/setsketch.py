@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playledger.llm.common import is_taken, process_cache, slot, stored, taken_slots
+from playledger.llm.common import is_taken, process_cache, slot, stored, taken_slots, thrifty
 from playledger.llm.components import components
 
 
@@ -133,7 +133,7 @@ def sketches(docs: DataFrame, near: Near) -> DataFrame:
                 names=["doc_id", "n_shingles", "digest", "sketch"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _SKETCH)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(thrifty(run), _SKETCH)
 
 
 #: Documents of a bucket that one task compares with as many others, and pairs that it looks at at once.
@@ -212,7 +212,7 @@ def _sets(docs: DataFrame, reps: DataFrame, near: Near) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["rep", "hashes"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").where("rep IS NOT NULL")
-    return texts.withColumn("slot", slot("rep")).mapInArrow(run, "rep long, hashes binary").join(reps, "rep", "left_semi")
+    return texts.withColumn("slot", slot("rep")).mapInArrow(thrifty(run), "rep long, hashes binary").join(reps, "rep", "left_semi")
 
 
 def _likely_pairs(pairs: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
@@ -226,7 +226,7 @@ def _likely_pairs(pairs: DataFrame, classes: DataFrame, near: Near) -> DataFrame
 
     one, other = (classes.select("rep", "sketch", "size").toDF(k, f"s{k}", f"n{k}") for k in "ab")
     joined = pairs.join(one, "a").join(other, "b").select("a", "b", "sa", "na", "sb", "nb")
-    return joined.mapInArrow(run, "a long, b long").distinct()
+    return joined.mapInArrow(thrifty(run), "a long, b long").distinct()
 
 
 def _star_links(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
@@ -241,7 +241,7 @@ def _star_links(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b")
-    return joined.select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "ha", "hb").mapInArrow(thrifty(run), "a long, b long")
 
 
 def _sketch_rows(column: pa.ChunkedArray, near: Near) -> np.ndarray:
@@ -299,7 +299,7 @@ def _of_blocks(rows: DataFrame, run: Callable[[pa.Table, np.ndarray], pa.RecordB
         new[1:] = np.any([(c := table.column(k).to_numpy())[1:] != c[:-1] for k in keys], axis=0)
         return np.flatnonzero(new)
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(of_task, schema)
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(thrifty(of_task), schema)
 
 
 _BLOCK_ROW = "key long, band int, lo int, hi int, rep long, component long, block int, sketch binary, size long"

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playledger.llm.common import SPACE_CHARS, free_name, is_taken, process_cache, slot, stored, taken_slots
+from playledger.llm.common import SPACE_CHARS, free_name, is_taken, process_cache, slot, stored, taken_slots, thrifty
 
 _WORD = re.compile(f"[^{SPACE_CHARS}]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -132,7 +132,7 @@ def _marks(texts: DataFrame, p: Passage) -> DataFrame:
                 names=list(_MARK),
             )
 
-    return texts.mapInArrow(run, ", ".join(f"{n} {t}" for n, t in _MARK.items()))
+    return texts.mapInArrow(thrifty(run), ", ".join(f"{n} {t}" for n, t in _MARK.items()))
 
 
 _CONTEXT = "gram long, span long, after binary, before binary, doc long, row long, pos int, several boolean"
@@ -162,7 +162,7 @@ def _contexts(texts: DataFrame, classes: DataFrame, p: Passage) -> DataFrame:
 
     # Rows that repeat id and text are one document.
     joined = texts.join(spots, ["doc", "row"]).dropDuplicates(["doc", "row"]).select("doc", "row", "text", "spots")
-    return joined.mapInArrow(run, _CONTEXT)
+    return joined.mapInArrow(thrifty(run), _CONTEXT)
 
 
 def _agree(x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -266,7 +266,7 @@ def _neighbours(contexts: DataFrame, p: Passage) -> DataFrame:
 
     keys = ["gram", "after", "before"]
     parts = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return contexts.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).mapInArrow(run, _FOUND)
+    return contexts.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).mapInArrow(thrifty(run), _FOUND)
 
 
 def _repeats(texts: DataFrame, p: Passage) -> DataFrame:
@@ -403,7 +403,7 @@ def without_duplicates(docs: DataFrame, passage: Passage | None = None) -> DataF
             keep = pa.array([bool(_WORD.search(text)) for text in cut], pa.bool_())
             yield pa.RecordBatch.from_arrays(out, names=columns).filter(keep)
 
-    out = whole.union(joined.mapInArrow(run, docs.schema))
+    out = whole.union(joined.mapInArrow(thrifty(run), docs.schema))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

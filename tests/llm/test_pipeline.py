@@ -1,13 +1,17 @@
 """The stages of the pipeline, each on what the one before kept."""
 
 import random
+import re
 from collections import defaultdict
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 import public_tokenizers
 
 import corpus_pipeline
-from playledger.llm import bpe
+from playledger.llm import bpe, langid, setsketch
 from playledger.llm.common import documents, stored
 from tests.llm.test_duplicates import forest, word_sets
 from tests.llm.test_tokens import check_packed
@@ -95,3 +99,38 @@ def test_every_stage_takes_an_empty_table(spark, nothing):
         out = stage(spark, nothing, "")
         assert out.count() == 0, name
         assert name == "packing" or out.columns == nothing.columns, name
+
+
+class Captured:
+    """In place of documents: gives the function that tasks run."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def held_mb() -> float:
+    return int(re.search(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+
+def test_workers_hand_back_what_a_task_held(spark):
+    """What a Python worker keeps after its task stands beside the memory of all later steps."""
+    model = langid.Model(["de", "en"], np.array([0.5, 0.5]), np.full((langid.pieces(langid.Fit().vocabulary).size + 1, 2), 1e-5), langid.Fit())
+
+    def batches():
+        for k in range(3):
+            texts = [f"{i} {k} " + "a few words again " * 400 for i in range(300)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+
+    for run in (setsketch.sketches(Captured(), setsketch.Near(bands=2)), langid.identify(Captured(), model)):
+        for first in (True, False):
+            before = held_mb()
+            rows = sum(out.num_rows for out in run(batches()))
+            if not first:  # the first time loads what stays
+                assert rows == 900 and held_mb() - before < 10
+        large = [pa.array(["x" * 1000] * 20_000) for _ in range(3)]
+        before = held_mb()
+        del large
+        assert sum(out.num_rows for out in run(iter([]))) == 0 and before - held_mb() > 40
