@@ -11,16 +11,16 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playledger.llm.common import stored
+from playledger.llm.common import stored, thrifty
 
 #: Bytes of the longest context. With the byte that it predicts they form a "gram", a 64-bit number.
 DEPTH = 7
@@ -41,6 +41,8 @@ BLOCK, FLUSH = 2_000_000, 4_000_000
 CHUNK = 4_000_000
 #: Grams are dealt out in so many parts at least, and one for so many bytes of all texts.
 PARTS, PART_BYTES = 64, 16_000_000
+#: Grams from which on a row of the table of counts is full.
+ROW = 250_000
 
 _SMALL = 4096
 _LG_HALF = np.array([math.lgamma(i + 0.5) for i in range(_SMALL)])
@@ -237,28 +239,63 @@ def _part(flipped: np.ndarray, parts: int) -> np.ndarray:
     return (((flipped >> np.uint64(24)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(parts)
 
 
-def _dealt(flipped: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+def _near(flipped: np.ndarray) -> np.ndarray:
+    """The nearest context bytes of each gram, by which the tree is dealt out."""
+    return (flipped >> np.uint64(56 - 8 * TOP)) & np.uint64((1 << (8 * TOP)) - 1)
+
+
+def _tree_part(flipped: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each gram, by its nearest context bytes, so that a part has whole groups."""
+    return ((_near(flipped) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(parts)
+
+
+def _dealt(flipped: np.ndarray, parts: int, deal: Callable[[np.ndarray, int], np.ndarray] = _part) -> Iterator[tuple[int, np.ndarray]]:
     """Each part that occurs, and where its grams are, in their order."""
-    part = _part(flipped, parts).astype(np.int32)
+    part = deal(flipped, parts).astype(np.int32)
     order = np.argsort(part, kind="stable")
     first = _starts(part[order])
     for at in np.split(order, first[1:]) if len(first) else []:
         yield int(part[at[0]]), at
 
 
+def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The numbers of all packed runs of a column."""
+    return np.concatenate([np.zeros(0, kind), *(_unpacked(b, kind) for b in column.to_pylist())])
+
+
+#: Grams with their counts, as packed runs; a row has all grams with the same nearest context bytes, or several such groups.
+_COUNTS = "grams binary, n binary"
+
+
+def _count_rows(flipped: np.ndarray, n: np.ndarray) -> pa.Table:
+    """Rows of whole groups of distinct grams, each of ``ROW`` grams or more but for the last."""
+    near = _near(flipped)
+    order = np.lexsort((flipped, near))
+    first = _starts(near[order])
+    row = np.zeros(len(first), np.int64)
+    for i in range(1, len(first)):
+        row[i] = first[i] if first[i] - row[i - 1] >= ROW else row[i - 1]
+    runs = [at[np.argsort(flipped[at])] for at in np.split(order, np.unique(row)[1:])] if len(first) else []
+    return pa.table({"grams": pa.array([_packed(flipped[at]) for at in runs], pa.binary()), "n": pa.array([_packed(n[at]) for at in runs], pa.binary())})
+
+
 def _text_gram_counts(docs: DataFrame, held_out: Column, parts: int) -> DataFrame:
-    """``gram, n``: all distinct grams of ``docs`` with their counts in documents that are not held out.
+    """``grams, n`` (``_COUNTS``): all distinct grams of ``docs`` with their counts in documents that are not held out.
 
-    Tasks count before they shuffle, up to ``FLUSH`` distinct grams at a time, and hand on compressed runs for each part.
+    Tasks count before they shuffle, up to ``FLUSH`` distinct grams at a time, and hand on compressed runs for each part. Parts by
+    five bytes add them up, as these spread frequent contexts; the sums move, as such runs, to the rest of their group in the tree.
     """
 
-    def handed_on(pending: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        keys, n = _added(*(np.concatenate(c) for c in zip(*pending)))
-        for part, at in _dealt(keys, parts):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([_packed(keys[at])], pa.binary()), pa.array([_packed(n[at])], pa.binary())],
-                names=["part", "grams", "n"],
-            )
+    def runs(keys: np.ndarray, n: np.ndarray, deal: Callable[[np.ndarray, int], np.ndarray]) -> pa.Table:
+        dealt = list(_dealt(keys, parts, deal))
+        return pa.table({
+            "part": pa.array([part for part, _ in dealt], pa.int32()),
+            "grams": pa.array([_packed(keys[at]) for _, at in dealt], pa.binary()),
+            "n": pa.array([_packed(n[at]) for _, at in dealt], pa.binary()),
+        })
+
+    def handed_on(pending: list[tuple[np.ndarray, np.ndarray]]) -> list[pa.RecordBatch]:
+        return runs(*_added(*(np.concatenate(c) for c in zip(*pending))), _part).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending: list[tuple[np.ndarray, np.ndarray]] = []
@@ -279,15 +316,15 @@ def _text_gram_counts(docs: DataFrame, held_out: Column, parts: int) -> DataFram
         if pending:
             yield from handed_on(pending)
 
+    def added(table: pa.Table) -> pa.Table:
+        return runs(*_added(_joined(table.column("grams"), np.uint64), _joined(table.column("n"), np.int64)), _tree_part)
+
     def together(table: pa.Table) -> pa.Table:
-        keys, n = _added(
-            np.concatenate([_unpacked(b, np.uint64) for b in table.column("grams").to_pylist()]),
-            np.concatenate([_unpacked(b, np.int64) for b in table.column("n").to_pylist()]),
-        )
-        return pa.table({"gram": pa.array(keys.byteswap().view(np.int64)), "n": pa.array(n.astype(float))})
+        return _count_rows(_joined(table.column("grams"), np.uint64), _joined(table.column("n"), np.int64))
 
-    runs = docs.select("text", held_out.alias("held")).mapInArrow(run, "part int, grams binary, n binary")
-    return runs.groupBy("part").applyInArrow(together, "gram long, n double")
+    schema = f"part int, {_COUNTS}"
+    counted = docs.select("text", held_out.alias("held")).mapInArrow(thrifty(run), schema)
+    return counted.groupBy("part").applyInArrow(added, schema).groupBy("part").applyInArrow(together, _COUNTS)
 
 
 _WORDS = pa.schema([("word", pa.binary()), ("n", pa.int64())])
@@ -311,12 +348,12 @@ def word_counts(docs: DataFrame, held_out: Column, flush: int = 200_000) -> Data
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], schema=_WORDS)
 
-    rows = docs.select("text", held_out.alias("held")).mapInArrow(run, "word binary, n long")
+    rows = docs.select("text", held_out.alias("held")).mapInArrow(thrifty(run), "word binary, n long")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _gram_counts(words: DataFrame) -> DataFrame:
-    """``gram, n`` of all grams of the distinct words, counted as often as the words."""
+    """``grams, n`` (``_COUNTS``) of all grams of the distinct words, counted as often as the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,23 +363,33 @@ def _gram_counts(words: DataFrame) -> DataFrame:
                 n = np.bincount(inverse, batch.column(1).to_numpy()[owner].astype(float))
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["gram", "n"])
 
-    return words.mapInArrow(run, "gram long, n double").groupBy("gram").agg(F.sum("n").alias("n"))
+    def together(table: pa.Table) -> pa.Table:
+        return _count_rows(table.column("gram").to_numpy().view(np.uint64).byteswap(), table.column("n").to_numpy().astype(np.int64))
+
+    counts = words.mapInArrow(thrifty(run), "gram long, n double").groupBy("gram").agg(F.sum("n").alias("n"))
+    near = F.shiftrightunsigned("gram", 8).bitwiseAND(F.lit((1 << (8 * TOP)) - 1))
+    return counts.groupBy(near.alias("near")).applyInArrow(together, _COUNTS)
 
 
-def _subtrees(counts: DataFrame) -> GroupedData:
-    """The tree below ``TOP``, a group of grams with the same nearest context bytes at a time."""
-    return counts.groupBy(F.shiftrightunsigned("gram", 8).bitwiseAND(F.lit((1 << (8 * TOP)) - 1)).alias("near"))
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The grams, last byte first, and counts of one row of a table of counts (``_COUNTS``) after the other."""
+    for batch in batches:
+        for keys, n in zip(batch.column(0), batch.column(1)):
+            yield _unpacked(keys.as_py(), np.uint64), _unpacked(n.as_py(), np.int64)
 
 
 def _root(counts: DataFrame) -> Root:
     """The tree above ``TOP``, from the sums of the nodes there."""
 
-    def run(table: pa.Table) -> pa.Table:
-        roots = subtree(table.column("gram").to_numpy().view(np.uint64), table.column("n").to_numpy(), TOP, mix=False)[1]
-        return pa.table({"node": pa.array(roots["node"].view(np.int64)), **{c: pa.array(roots[c].astype(t)) for c, t in _NODE.items()}})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, n in _rows_of(batches):
+            roots = subtree(keys.byteswap(), n.astype(float), TOP, mix=False)[1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(roots["node"].view(np.int64)), *(pa.array(roots[c].astype(t)) for c, t in _NODE.items())], names=["node", *_NODE]
+            )
 
     nodes = (
-        _subtrees(counts).applyInArrow(run, "node long, bit int, zeros double, ones double, log_pw double")
+        counts.mapInArrow(thrifty(run), "node long, bit int, zeros double, ones double, log_pw double")
         .groupBy(F.col("node").bitwiseAND(F.lit(0xFFFF)).alias("node"), "bit")
         .agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("log_pw").alias("log_pw"))
         .toPandas()
@@ -353,19 +400,59 @@ def _root(counts: DataFrame) -> Root:
 _NODE = {"bit": np.int32, "zeros": float, "ones": float, "log_pw": float}
 
 
+def _levels(n: np.ndarray) -> np.ndarray:
+    """Eight times the binary logarithm of counts, in whole numbers; -1 of none."""
+    return np.where(n > 0, np.floor(8 * np.log2(np.maximum(n, 1))), -1).astype(np.int32)
+
+
+def _log10(root: Root, flipped: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The log probability of each gram's last byte in its context; the grams are whole groups of the tree."""
+    keys = flipped.byteswap()
+    return root.log10(keys, subtree(keys, n.astype(float), TOP)[0])
+
+
 def _gram_scores(counts: DataFrame) -> DataFrame:
-    """``gram, level, log10``: the log probability of each gram's last byte in its context.
+    """``gram, log10``: the log probability of each gram's last byte in its context."""
+    root = _root(counts)
 
-    ``level``: eight times the binary logarithm of the gram's count, in whole numbers; -1 if it has none.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, n in _rows_of(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(keys.byteswap().view(np.int64)), pa.array(_log10(root, keys, n))], names=["gram", "log10"])
+
+    return counts.mapInArrow(thrifty(run), "gram long, log10 double")
+
+
+def _dealt_scores(counts: DataFrame, least: int, parts: int) -> DataFrame:
+    """``part, keys, log10``: log probabilities of the grams of this level and above, without a part; of the others, in packed runs for each part."""
     root = _root(counts)
 
-    def run(table: pa.Table) -> pa.Table:
-        keys, n = table.column("gram").to_numpy().view(np.uint64), table.column("n").to_numpy()
-        level = np.where(n > 0, np.floor(8 * np.log2(np.maximum(n, 1))), -1).astype(np.int32)
-        return pa.table({"gram": table.column("gram"), "level": pa.array(level), "log10": pa.array(root.log10(keys, subtree(keys, n, TOP)[0]))})
+    def runs(keys: np.ndarray, found: list[tuple[int | None, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        packed = [(part, _packed(keys[at]), _packed(values)) for part, at, values in found]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*packed), (pa.int32(), pa.binary(), pa.binary()))], names=["part", "keys", "log10"]
+        )
 
-    return _subtrees(counts).applyInArrow(run, "gram long, level int, log10 double")
+    def rest(pending: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, values = (np.concatenate(c) for c in zip(*pending))
+        order = np.argsort(keys)
+        keys, values = keys[order], values[order].astype(np.float32)
+        return runs(keys, [(part, at, values[at]) for part, at in _dealt(keys, parts)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: list[tuple[np.ndarray, np.ndarray]] = []
+        for keys, n in _rows_of(batches):
+            values, frequent = _log10(root, keys, n), _levels(n) >= least
+            if frequent.any():
+                yield runs(keys, [(None, frequent, values[frequent])])
+            if not frequent.all():
+                pending.append((keys[~frequent], values[~frequent]))
+            if sum(len(k) for k, _ in pending) >= FLUSH // 4:
+                yield rest(pending)
+                pending = []
+        if pending:
+            yield rest(pending)
+
+    return counts.mapInArrow(thrifty(run), "part int, keys binary, log10 binary")
 
 
 def word_scores(words: DataFrame) -> DataFrame:
@@ -384,16 +471,23 @@ def word_scores(words: DataFrame) -> DataFrame:
                 )
 
     named = words.withColumn("id", F.xxhash64("word"))
-    uses = named.select("word", "id").mapInArrow(run, "id long, gram long")
+    uses = named.select("word", "id").mapInArrow(thrifty(run), "id long, gram long")
     sums = uses.join(scores, "gram").groupBy("id").agg(F.sum("log10").alias("score"))
     return named.join(sums, "id").select("word", "n", "score")
 
 
-def _frequent_level(scores: DataFrame) -> int:
+def _frequent_level(counts: DataFrame) -> int:
     """The least level of the most frequent grams: whole levels, at most ``FREQUENT_GRAMS`` grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, n in _rows_of(batches):
+            levels, times = np.unique(_levels(n), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(levels), pa.array(times.astype(np.int64))], names=["level", "n"])
+
     least, room = 0, FREQUENT_GRAMS
     # At most 8 * 63 rows.
-    for row in sorted(scores.where("level >= 0").groupBy("level").agg(F.count("*").alias("n")).collect(), reverse=True):
+    levels = counts.mapInArrow(thrifty(run), "level int, n long").where("level >= 0").groupBy("level").agg(F.sum("n").alias("n"))
+    for row in sorted(levels.collect(), reverse=True):
         room -= row["n"]
         if room < 0:
             least = row["level"] + 1
@@ -401,10 +495,10 @@ def _frequent_level(scores: DataFrame) -> int:
     return least
 
 
-def _frequent_grams(scores: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """The grams of this level and above, last byte first, with their log probabilities."""
-    found = scores.where(F.col("level") >= least).select("gram", "log10").toArrow()
-    return found.column("gram").to_numpy().view(np.uint64).byteswap(), found.column("log10").to_numpy()
+def _frequent_grams(scores: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent grams, last byte first, with their log probabilities."""
+    found = scores.where("part IS NULL").select("keys", "log10").toArrow()
+    return _joined(found.column("keys"), np.uint64), _joined(found.column("log10"), float)
 
 
 class Held:
@@ -441,40 +535,35 @@ class Held:
         return hit, values
 
 
-def _rest_scores(rest: DataFrame, scores: DataFrame, parts: int) -> DataFrame:
-    """``row, tree_rest``: sums of the log probabilities of the grams in ``rest`` (``part, chunk, grams, owners``), a part at a time."""
+def _with_rest_sums(found: DataFrame, scores: DataFrame) -> DataFrame:
+    """Of ``found`` (``_SCORED``), the rows of documents as they are, and for each run of grams the sums of their log probabilities (``part, keys, log10``).
 
-    def runs(pending: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        keys, values = (np.concatenate(c) for c in zip(*pending))
-        found = [(part, _packed(keys[at]), _packed(values[at].astype(np.float32))) for part, at in _dealt(keys, parts)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*found), (pa.int32(), pa.binary(), pa.binary()))], names=["part", "keys", "log10"]
-        )
-
-    def with_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in batches:
-            if batch.num_rows:
-                pending.append((batch.column(0).to_numpy().view(np.uint64).byteswap(), batch.column(1).to_numpy()))
-            if sum(len(k) for k, _ in pending) >= FLUSH // 4:
-                yield runs(pending)
-                pending = []
-        if pending:
-            yield runs(pending)
+    A part at a time. All go through the one exchange, so that the runs, which are many times the sums, are not written besides.
+    """
 
     def of_part(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = np.concatenate([np.zeros(0, np.uint64), *(_unpacked(b, np.uint64) for b in right.column("keys").to_pylist())])
-        values = np.concatenate([np.zeros(0), *(_unpacked(b, np.float32) for b in right.column("log10").to_pylist())])
+        known, values = _joined(right.column("keys"), np.uint64), _joined(right.column("log10"), np.float32)
         order = np.argsort(known)
         known, values = known[order], values[order]
+        is_run = pc.is_valid(left.column("grams"))
+        runs, rows = left.filter(is_run), left.filter(pc.invert(is_run))
         owners, sums = [], []
-        for keys, owner in zip(left.column("grams").to_pylist(), left.column("owners").to_pylist()):
-            owner = _unpacked(owner, np.uint32)
-            total = np.bincount(owner, values[np.searchsorted(known, _unpacked(keys, np.uint64))])
+        for keys, owner in zip(runs.column("grams"), runs.column("owners")):
+            owner = _unpacked(owner.as_py(), np.uint32)
+            total = np.bincount(owner, values[np.searchsorted(known, _unpacked(keys.as_py(), np.uint64))])
             at = np.flatnonzero(total)
             owners.append(_packed(at.astype(np.uint32)))
             sums.append(_packed(total[at].astype(np.float32)))
-        return pa.table({"chunk": left.column("chunk"), "owners": pa.array(owners, pa.binary()), "sums": pa.array(sums, pa.binary())})
+        columns = {"chunk": runs.column("chunk"), "owners": pa.array(owners, pa.binary()), "sums": pa.array(sums, pa.binary())}
+        own = pa.table([columns.get(f.name, pa.nulls(len(owners), f.type)) for f in _SUMMED], schema=_SUMMED)
+        of_rows = pa.table([rows.column(f.name) if f.name in _DOCUMENT else pa.nulls(len(rows), f.type) for f in _SUMMED], schema=_SUMMED)
+        return pa.concat_tables([of_rows, own])
+
+    return found.groupBy("part").cogroup(scores.groupBy("part")).applyInArrow(of_part, f"{_DOCUMENT_SCHEMA}, chunk long, owners binary, sums binary")
+
+
+def _rest_scores(sums: DataFrame) -> DataFrame:
+    """``row, tree_rest``: the sums of the runs (``chunk, owners, sums``), added up."""
 
     def of_chunk(table: pa.Table) -> pa.Table:
         owner = np.concatenate([_unpacked(b, np.uint32) for b in table.column("owners").to_pylist()])
@@ -483,19 +572,24 @@ def _rest_scores(rest: DataFrame, scores: DataFrame, parts: int) -> DataFrame:
         chunk = table.column("chunk")[0].as_py()
         return pa.table({"row": pa.array((chunk << _ROW_BITS) + at), "tree_rest": pa.array(total[at])})
 
-    dealt = scores.select("gram", "log10").mapInArrow(with_part, "part int, keys binary, log10 binary")
-    sums = rest.groupBy("part").cogroup(dealt.groupBy("part")).applyInArrow(of_part, "chunk long, owners binary, sums binary")
     return sums.groupBy("chunk").applyInArrow(of_chunk, "row long, tree_rest double")
 
 
 #: A row is known by the task, the slice of an Arrow batch in it (its chunk), and its place there.
 _BATCH_BITS, _ROW_BITS = 20, 24
-_SCORED = pa.schema([
-    ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("row", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64()),
-    ("known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()),
-    ("rest", pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))),
-    ("part", pa.int32()), ("chunk", pa.int64()), ("grams", pa.binary()), ("owners", pa.binary()),
-])
+_DOCUMENT = {
+    "doc_id": pa.int64(), "held_out": pa.bool_(), "row": pa.int64(), "n_tokens": pa.int64(), "n_bytes": pa.int64(),
+    "known": pa.int64(), "base": pa.float64(), "model": pa.float64(),
+    "rest": pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])),
+}
+_DOCUMENT_SCHEMA = (
+    "doc_id long, held_out boolean, row long, n_tokens long, n_bytes long, known long, base double, model double, "
+    "rest array<struct<word binary, times long>>"
+)
+#: Rows of documents, and runs of grams that have ``grams``; each goes to a part.
+_SCORED = pa.schema([*_DOCUMENT.items(), ("part", pa.int32()), ("chunk", pa.int64()), ("grams", pa.binary()), ("owners", pa.binary())])
+#: Rows of documents, and sums of runs.
+_SUMMED = pa.schema([*_DOCUMENT.items(), ("chunk", pa.int64()), ("owners", pa.binary()), ("sums", pa.binary())])
 
 
 def _scored(columns: dict[str, pa.Array], size: int) -> pa.RecordBatch:
@@ -514,8 +608,8 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("n")).first()["n"]
     parts = max(PARTS, size // PART_BYTES)
-    scores = stored(_gram_scores(stored(_text_gram_counts(docs, held_out, parts), "grams")), "gram_scores")
-    least = _frequent_level(scores)
+    counts = stored(_text_gram_counts(docs, held_out, parts), "grams")
+    scores = stored(_dealt_scores(counts, _frequent_level(counts), parts), "gram_scores")
     words = stored(word_counts(docs, held_out), "words")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum((F.col("n") > 0).cast("long")), F.lit(0)).alias("v")).first()
     total, room = sums["n"], float(sums["n"] + sums["v"] + 1)
@@ -527,13 +621,13 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     )
     held_words = {bytes(w): v for w, *v in frequent.itertuples(index=False)}
     context = docs.sparkSession.sparkContext
-    shared, shared_grams = context.broadcast(held_words), context.broadcast(_frequent_grams(scores, least))
+    shared, shared_grams = context.broadcast(held_words), context.broadcast(Held(*_frequent_grams(scores)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = {w: (int(k), float(b)) for w, (k, b) in shared.value.items()}
         number = {w: i for i, w in enumerate(values)}
         table = np.array([*values.values(), (0.0, 0.0)])
-        held_grams = Held(*shared_grams.value)
+        held_grams = shared_grams.value
         none, task = len(values), TaskContext.get().partitionId()
         for k, batch in enumerate(_slices(batches, 2)):
             found, rest, streams = [], [], []
@@ -563,7 +657,8 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
             yield _scored({
                 "doc_id": batch.column(0), "held_out": batch.column(1), "row": pa.array((chunk << _ROW_BITS) + np.arange(len(streams))),
                 "n_tokens": pa.array(n_tokens, pa.int64()), "n_bytes": pa.array(n_bytes, pa.int64()), "known": pa.array(known.astype(np.int64)),
-                "base": pa.array(base_sum), "model": pa.array(model), "rest": pa.array(rest, _SCORED.field("rest").type),
+                "base": pa.array(base_sum), "model": pa.array(model), "rest": pa.array(rest, _DOCUMENT["rest"]),
+                "part": pa.array([(task + k) % parts] * len(streams), pa.int32()),
             }, len(streams))
             keys, owner = (np.concatenate(c) for c in zip(*others))
             for part, at in _dealt(keys, parts):
@@ -573,18 +668,17 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
                 }, 1)
 
     found = docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), "text").mapInArrow(
-        run,
-        "doc_id long, held_out boolean, row long, n_tokens long, n_bytes long, known long, base double, model double, "
-        "rest array<struct<word binary, times long>>, part int, chunk long, grams binary, owners binary",
+        thrifty(run),
+        f"{_DOCUMENT_SCHEMA}, part int, chunk long, grams binary, owners binary",
     )
-    found = stored(found, "document_grams")
-    rows = found.where("part IS NULL").select(*_SCORED.names[:9])
+    found = stored(_with_rest_sums(found, scores.where("part IS NOT NULL")), "document_sums")
+    rows = found.where("sums IS NULL").select(*_DOCUMENT)
     rest = (
         rows.select("row", F.explode("rest").alias("x")).select("row", "x.word", "x.times").join(valued, "word")
         .groupBy("row")
         .agg(F.sum(F.col("times") * F.col("known")).alias("known_rest"), F.sum(F.col("times") * F.col("base")).alias("base_rest"))
     )
-    grams_rest = _rest_scores(found.where("part IS NOT NULL").select("part", "chunk", "grams", "owners"), scores.where(F.col("level") < least), parts)
+    grams_rest = _rest_scores(found.where("sums IS NOT NULL").select("chunk", "owners", "sums"))
 
     def plus(column: str, more: str) -> Column:
         return F.col(column) + F.coalesce(F.col(more), F.lit(0))

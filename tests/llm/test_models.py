@@ -393,3 +393,24 @@ def test_quality_edges(spark, edges, nothing, with_model):
     assert len(rows) == edges.count() and all(0 <= r.score <= 1 for r in rows)
     assert cotraining.quality(nothing, model).count() == 0
     assert with_model or all(r.kept for r in rows)
+
+
+def test_grams_move_and_are_written_as_runs(spark, monkeypatch):
+    """The table of counts is rows of whole groups of the tree; the runs of texts' other grams are not written."""
+    flipped = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 5000, np.uint64) & np.uint64(0xFF03FFFFFFFFFFFF))
+    monkeypatch.setattr(context_tree, "ROW", 100)
+    table = context_tree._count_rows(flipped, np.arange(len(flipped)))
+    rows = list(context_tree._rows_of(iter(table.to_batches())))
+    nears = [set(context_tree._near(keys).tolist()) for keys, _ in rows]
+    assert len(rows) > 5 and sum(map(len, nears)) == len(set.union(*nears))
+    assert all(len(keys) >= 100 and (np.diff(keys.astype(float)) >= 0).all() for keys, _ in rows[:-1])
+    found = {k: n for keys, times in rows for k, n in zip(keys.tolist(), times.tolist())}
+    assert found == dict(zip(flipped.tolist(), range(len(flipped))))
+    written, store = {}, context_tree.stored
+    monkeypatch.setattr(context_tree, "stored", lambda df, purpose: written.setdefault(purpose, store(df, purpose)))
+    monkeypatch.setattr(context_tree, "FREQUENT_GRAMS", 5)
+    texts = [f"the cat {i} sat on {i % 5} mats" for i in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert context_tree.score(docs, F.col("doc_id") % 4 == 0).count() == 50
+    assert not any("gram" in df.columns or ("part" in df.columns and "owners" in df.columns) for df in written.values())
+    assert sum(df.count() for name, df in written.items() if name == "grams") < 50
