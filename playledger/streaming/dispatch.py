@@ -6,7 +6,6 @@ from collections.abc import Callable
 from functools import reduce
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,6 +18,7 @@ from playledger.operators.messages import (
     rejected,
 )
 from playledger.schemas import TOPICS
+from playledger.sources.scratch import drop_folder, held
 from playledger.sources.warehouse import REJECTS_TABLE, FolderWarehouse, JdbcWarehouse
 from playledger.streaming.batches import batch_tag
 from playledger.streaming.redelivery import Redelivery
@@ -59,21 +59,27 @@ def dispatch(
     as it is. ``compact_every`` merges the stored batches of a folder warehouse before each batch
     whose number it divides, in the thread that writes, so that no write runs beside it. ``redelivery``: plays are
     screened and staged, and its ``settle`` appends each of them once.
+
+    The parsed records of a batch are held as files beside the checkpoint until its tables are written, so that no task
+    has to keep its records in memory, however many a batch or a file has.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if compact_every and batch_id and batch_id % compact_every == 0:
             for table in (*[t.table for t in TOPICS.values()], REJECTS_TABLE):
                 warehouse.compact(batch.sparkSession, table)
-        parsed = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        folder = f"{checkpoint}/parsed"
         try:
+            parsed = held(batch, folder)
             screen = redelivery and (lambda rows, tag: redelivery.screen(rows, batch_id, tag))
             _write_batch(parsed, batch_tag(batch, batch_id), warehouse, unique_dims, keep_rejects, screen)
         finally:
-            parsed.unpersist()
+            drop_folder(batch.sparkSession, folder)
 
     # Parsed ahead of the counts, once for both.
     parsed = parse_records(decode(records).filter(F.col("topic").isin(*TOPICS)))
+    if "origin" in parsed.columns:  # of use for rejects only
+        parsed = parsed.withColumn("origin", F.when(F.col("json_value").isNotNull(), F.col("origin")))
     of_topic = {name: F.col("topic") == name for name in TOPICS}
     counts = [F.count_if(own).alias(name) for name, own in of_topic.items()]
     rejects = [F.count_if(own & F.col("json_value").isNotNull()).alias(name) for name, own in of_topic.items()]
