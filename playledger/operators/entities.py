@@ -10,14 +10,15 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from playledger.schemas import BOOLEAN, INT, LINK_FIELD, NO_PREVIEW, STRING
 
 
-def without_known(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+def without_known(rows: DataFrame, known: DataFrame, key: str, many: bool = False) -> DataFrame:
     """Rows whose key is not among the known ones.
 
     The known keys are first cut down to those of the rows. If the rows are a persisted batch, Spark
     knows their size: a small batch is broadcast and the known keys are scanned in place; otherwise
-    they are shuffled, once.
+    they are shuffled, once. ``many``: the keys of the rows are not to be broadcast, even if their files are small.
     """
-    ours = known.select(key).join(rows.select(key), key, "left_semi")
+    keys = rows.select(key)
+    ours = known.select(key).join(keys.hint("merge") if many else keys, key, "left_semi")
     return rows.join(ours, key, "left_anti")
 
 

@@ -27,9 +27,11 @@ from playledger.streaming.redelivery import Redelivery
 METRICS = "records"
 #: The same for the records without their key.
 REJECTS_METRICS = "rejects"
+#: Records of a dimension in a batch, beyond which their keys are not broadcast: held files are compressed, so that Spark takes them for fewer.
+MANY_RECORDS = 250_000
 
 
-def new_rows(rows: DataFrame, key: str, known: DataFrame) -> DataFrame:
+def new_rows(rows: DataFrame, key: str, known: DataFrame, many: bool = False) -> DataFrame:
     """One dimension row for each key that is not stored yet.
 
     Of several rows with one key the greatest wins, so that the pick is the same on a replay; NULLs
@@ -37,7 +39,7 @@ def new_rows(rows: DataFrame, key: str, known: DataFrame) -> DataFrame:
     """
     rest = F.struct(*[c for c in rows.columns if c != key])
     single = rows.groupBy(key).agg(F.max(rest).alias("rest")).select(key, "rest.*")
-    return without_known(single, known, key)
+    return without_known(single, known, key, many)
 
 
 def dispatch(
@@ -116,7 +118,7 @@ def _write_batch(
         rows = rows_of(parsed, topic.name)
         if unique_dims and not topic.is_fact:
             known = warehouse.known_keys(spark, topic.table, tag)
-            rows = new_rows(rows, topic.key, known)
+            rows = new_rows(rows, topic.key, known, found[topic.name]["n_records"] > MANY_RECORDS)
         if topic.is_fact and screen:
             rejects.append(screen(rows, tag))
         else:

@@ -1,5 +1,7 @@
 """Rows that are used more than once are held on disk, not in the memory of one task."""
 
+import importlib
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -79,3 +81,24 @@ def test_held_rows_are_the_rows(spark, tmp_path):
     drop_folder(spark, path)
     drop_folder(spark, path)
     assert not (tmp_path / "rows").exists()
+
+
+@pytest.mark.parametrize("most, joined", [(1, "SortMergeJoin"), (100, "BroadcastHashJoin")])
+def test_keys_of_many_records_are_not_broadcast(spark, tmp_path, monkeypatch, most, joined):
+    _dispatched(spark, tmp_path)
+    monkeypatch.setattr(importlib.import_module("playledger.streaming.dispatch"), "MANY_RECORDS", most)
+    warehouse, seen = FolderWarehouse(f"{tmp_path}/warehouse"), []
+    append = FolderWarehouse.append
+
+    def seen_append(self, rows, table, batch):
+        if table == SONG_TABLE:
+            seen.append(plan(rows))
+        append(self, rows, table, batch)
+
+    monkeypatch.setattr(FolderWarehouse, "append", seen_append)
+    topics = FolderTopics(f"{tmp_path}/topics")
+    topics.append(messages(spark, '{"song_id":"s1","title":"Zzz"}', '{"song_id":"s2"}', topic=SONG_TOPIC), "2")
+    dispatch(topics.read_stream(spark), warehouse, f"{tmp_path}/checkpoint", {"availableNow": True}).awaitTermination()
+    (text,) = seen
+    assert [line.split("+- ")[-1].split()[0] for line in text.splitlines() if "LeftSemi" in line] == [joined]
+    assert bag(warehouse.read(spark, SONG_TABLE).select("song_id", "title")) == {("s1", "Uno"): 1, ("s2", None): 1}
